@@ -399,3 +399,270 @@ SELECT count(*) AS total_orders, CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 E
        min(o_orderdate) AS first_order_date, max(o_orderdate) AS last_order_date
 FROM orders""",
 })
+
+
+# ---------------------------------------------------------------- part 2: layers, catalog, quality, history
+ALL_TABLES = list(C.DRIVER_TABLES)
+RELATIONAL = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+
+
+def in_list(names) -> str:
+    return "(" + ", ".join(q(n) for n in names) + ")"
+
+
+def counts_sql(names) -> str:
+    return " UNION ALL ".join(f"SELECT {q(t)} AS table_name, count(*) AS row_count FROM {t}" for t in names)
+
+
+ORACLE["layer_listing"] = f"""WITH {CUSTOMER_CTES}, {DATE_DAYS}
+SELECT 'bronze' AS layer, 'br_customer' AS table_name, count(*) AS record_count FROM bronze
+UNION ALL SELECT 'silver', 'sl_customer', count(*) FROM silver
+UNION ALL SELECT 'silver', 'sl_transformation_errors', count(*) FROM quarantine
+UNION ALL SELECT 'gold', 'dim_customer', count(*) FROM dim
+UNION ALL SELECT 'gold', 'dim_date', count(*) FROM days
+UNION ALL SELECT 'gold', 'kpi_customer_summary', count(*) FROM kpi"""
+
+ORACLE["gold_stats"] = f"""WITH {CUSTOMER_CTES}, {DATE_DAYS},
+objs AS (SELECT count(*) AS records FROM dim UNION ALL SELECT count(*) FROM days UNION ALL SELECT count(*) FROM kpi)
+SELECT {BATCH} AS batch_id, count(*) AS objects_total, count_if(records > 0) AS objects_processed,
+       CAST(sum(records) AS BIGINT) AS total_records_created,
+       CASE WHEN count(*) > 0 THEN count_if(records > 0) / count(*) * 100 ELSE 0.0 END AS success_rate
+FROM objs"""
+
+ORACLE["layer_row_counts"] = counts_sql(ALL_TABLES)
+
+
+def _pk_fk_exprs():
+    pk = " OR ".join(f"(c.table_name = {q(t)} AND c.column_name = {q(col)})"
+                     for t, cols in C.PRIMARY_KEYS.items() for col in cols)
+    fk_arms = " ".join(f"WHEN c.table_name = {q(fk.child)} AND c.column_name = {q(cc)} THEN {q(fk.parent + '.' + pc)}"
+                       for fk in C.FOREIGN_KEYS for cc, pc in zip(fk.child_cols, fk.parent_cols))
+    return f"({pk})", f"CASE {fk_arms} END"
+
+
+_PK, _FK = _pk_fk_exprs()
+
+ORACLE["table_metadata"] = f"""WITH rc AS ({counts_sql(RELATIONAL)})
+SELECT 'source' AS schema_name, c.table_name, CAST(c.ordinal_position AS INTEGER) AS ordinal_position, c.column_name,
+       c.data_type, c.is_nullable = 'YES' AS is_nullable, FALSE AS is_view, {_PK} AS is_primary_key,
+       {_FK} AS references_column, rc.row_count
+FROM information_schema.columns c JOIN rc ON c.table_name = rc.table_name
+WHERE c.table_name IN {in_list(RELATIONAL)}"""
+
+ORACLE["catalog_columns"] = f"""
+SELECT 'source' AS schema_name, c.table_name, CAST(c.ordinal_position AS INTEGER) AS ordinal_position, c.column_name,
+       c.data_type, c.is_nullable = 'YES' AS is_nullable, FALSE AS is_view
+FROM information_schema.columns c WHERE c.table_name IN {in_list(ALL_TABLES)}"""
+
+_SYS = " AND ".join(f"NOT contains(c.table_name, {q(p)})" for p in ("sys", "INFORMATION_SCHEMA", "tempdb", "msdb"))
+
+ORACLE["discover_tables"] = f"""WITH rc AS ({counts_sql(ALL_TABLES)})
+SELECT c.table_name, CAST(count(*) AS INTEGER) AS column_count, rc.row_count
+FROM information_schema.columns c JOIN rc ON c.table_name = rc.table_name
+WHERE c.table_name IN {in_list(ALL_TABLES)} AND regexp_matches(c.table_name, '(?i)e') AND {_SYS}
+GROUP BY c.table_name, rc.row_count"""
+
+ORACLE["select_tables"] = f"""
+SELECT DISTINCT c.table_name FROM information_schema.columns c
+WHERE c.table_name IN {in_list(ALL_TABLES)} AND {_SYS}
+  AND regexp_matches(c.table_name, '(?i)^(customer|orders|lineitem|part|supplier|nation|region)$')
+  AND NOT regexp_matches(c.table_name, '(?i)^(region|nation)$')"""
+
+# Candidate key pairs of the relational tables plus documents/labels
+# (integer columns named *key / *_id, matched after the table prefix).
+FK_GROUPS = [
+    [("region", "r_regionkey"), ("nation", "n_regionkey")],
+    [("nation", "n_nationkey"), ("customer", "c_nationkey"), ("supplier", "s_nationkey")],
+    [("customer", "c_custkey"), ("orders", "o_custkey")],
+    [("supplier", "s_suppkey"), ("lineitem", "l_suppkey")],
+    [("part", "p_partkey"), ("lineitem", "l_partkey")],
+    [("orders", "o_orderkey"), ("lineitem", "l_orderkey")],
+    [("documents", "doc_id"), ("labels", "doc_id")],
+]
+
+
+def _fk_pair_sql(ct, cc, pt, pc):
+    return f"""SELECT {q(ct)} AS child_table, {q(cc)} AS child_column, {q(pt)} AS parent_table, {q(pc)} AS parent_column,
+  (SELECT coalesce(max(n), 1) <= 1 FROM (SELECT count(*) AS n FROM {pt} WHERE {pc} IS NOT NULL GROUP BY {pc})) AS parent_unique,
+  (SELECT count(*) FROM {ct} ch WHERE ch.{cc} IS NOT NULL
+     AND NOT EXISTS (SELECT 1 FROM {pt} pa WHERE pa.{pc} = ch.{cc})) AS orphan_rows"""
+
+
+_pairs = [(ct, cc, pt, pc) for g in FK_GROUPS for ct, cc in g for pt, pc in g if ct != pt]
+ORACLE["fk_candidates"] = ("SELECT *, parent_unique AND orphan_rows = 0 AS is_foreign_key FROM ("
+                           + " UNION ALL ".join(_fk_pair_sql(*p) for p in _pairs) + ")")
+
+S1 = "SELECT * FROM customer WHERE c_custkey % 10 <> 9"
+S2 = ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 10 = 3 THEN round(c_acctbal + 100.0, 2) "
+      "ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 10 <> 7")
+P2 = "SELECT * FROM part WHERE p_partkey % 10 <> 7"
+_REG_TABLES = ["customer", "part", "orders", "nation", "supplier"]
+
+
+def _registry(counts: str, ts: str) -> str:
+    return (f"SELECT t.table_name, 'parquet' AS source_system, t.row_count, cj.columns_json, {ts} AS last_ingestion_at, "
+            f"md5(CAST(t.row_count AS VARCHAR) || '|' || cj.columns_json) AS content_hash "
+            f"FROM ({counts}) t JOIN cj ON t.table_name = cj.table_name")
+
+
+ORACLE["table_registry_upsert"] = f"""
+WITH cj AS (SELECT table_name, '[' || string_agg('{{"name":"' || column_name || '","type":"' || data_type || '"}}', ','
+                                                 ORDER BY ordinal_position) || ']' AS columns_json
+            FROM information_schema.columns WHERE table_name IN {in_list(_REG_TABLES)} GROUP BY table_name),
+old AS ({_registry(f"SELECT 'customer' AS table_name, count(*) AS row_count FROM ({S1}) UNION ALL SELECT 'part', count(*) FROM part UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'nation', count(*) FROM nation", TS)}),
+new AS ({_registry(f"SELECT 'customer' AS table_name, count(*) AS row_count FROM customer UNION ALL SELECT 'part', count(*) FROM ({P2}) UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'supplier', count(*) FROM supplier", TS2)})
+SELECT coalesce(n.table_name, o.table_name) AS table_name, coalesce(n.source_system, o.source_system) AS source_system,
+       coalesce(n.row_count, o.row_count) AS row_count, coalesce(n.columns_json, o.columns_json) AS columns_json,
+       coalesce(n.content_hash, o.content_hash) AS content_hash,
+       coalesce(n.last_ingestion_at, o.last_ingestion_at) AS last_ingestion_at,
+       CASE WHEN o.table_name IS NULL THEN {TS2} ELSE {TS} END AS created_at,
+       CASE WHEN n.table_name IS NULL THEN {TS} WHEN o.table_name IS NULL OR o.content_hash <> n.content_hash THEN {TS2}
+            ELSE {TS} END AS updated_at
+FROM old o FULL OUTER JOIN new n ON o.table_name = n.table_name"""
+
+
+def _check(check, table, column, failures, **extra):
+    cols = [f"{q(check)} AS check_name", f"{q(table)} AS table_name",
+            (f"{q(column)}" if column is not None else "CAST(NULL AS VARCHAR)") + " AS column_name",
+            f"CAST({failures} AS BIGINT) AS failures", f"CAST({failures} AS BIGINT) = 0 AS ok"]
+    cols += [f"{v} AS {k}" for k, v in extra.items()]
+    return "SELECT " + ", ".join(cols)
+
+
+ORACLE["dq_reconcile"] = f"""WITH {CUSTOMER_CTES},
+n AS (SELECT (SELECT count(*) FROM dirty) AS src, (SELECT count(*) FROM bronze) AS br,
+             (SELECT count(*) FROM bronze WHERE br_is_current) AS brc, (SELECT count(*) FROM silver) AS sl,
+             (SELECT count(*) FROM quarantine) AS qu, (SELECT count(*) FROM dim) AS dm)
+{_check('source_vs_bronze', 'br_customer', None, 'abs(src - br)', expected='src', actual='br')} FROM n
+UNION ALL {_check('bronze_vs_silver_quarantine', 'sl_customer', None, 'abs(brc - (sl + qu))', expected='brc', actual='sl + qu')} FROM n
+UNION ALL {_check('silver_vs_dim', 'dim_customer', None, 'abs(sl - dm)', expected='sl', actual='dm')} FROM n"""
+
+ORACLE["dq_duplicates"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+ORACLE["dq_sum_match"] = """
+WITH per_order AS (
+  SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))
+                         * (1 + CAST(l_tax AS DECIMAL(18,2)))) AS line_total
+  FROM lineitem GROUP BY l_orderkey),
+agg AS (
+  SELECT o_orderstatus, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS expected,
+         CAST(coalesce(sum(line_total), 0) AS DECIMAL(18,2)) AS actual
+  FROM orders o LEFT JOIN per_order p ON o.o_orderkey = p.l_orderkey GROUP BY o_orderstatus)
+SELECT 'sum_match' AS check_name, 'orders' AS table_name, o_orderstatus AS column_name, expected, actual,
+       CAST(abs(expected - actual) AS DECIMAL(18,2)) AS difference,
+       CAST(abs(expected - actual) AS DECIMAL(18,2)) <= CAST('0.01' AS DECIMAL(18,2)) AS ok
+FROM agg"""
+
+ORACLE["dq_foreign_keys"] = " UNION ALL ".join(
+    _check("foreign_key", fk.child, ",".join(fk.child_cols), "n", parent_table=q(fk.parent),
+           parent_column=q(",".join(fk.parent_cols)))
+    + f" FROM (SELECT count(*) AS n FROM {fk.child} ch WHERE ch.{fk.child_cols[0]} IS NOT NULL AND NOT EXISTS "
+      f"(SELECT 1 FROM {fk.parent} pa WHERE pa.{fk.parent_cols[0]} = ch.{fk.child_cols[0]}))"
+    for fk in C.FOREIGN_KEYS)
+
+_AUDIT = ["br_customer_key", "br_load_time", "br_source_file", "br_record_hash", "br_is_current", "br_batch_id"]
+ORACLE["dq_audit_populated"] = with_customer(" UNION ALL ".join(
+    _check("audit_populated", "br_customer", c, "n") + f" FROM (SELECT count_if({c} IS NULL) AS n FROM bronze)"
+    for c in _AUDIT))
+
+_REQ = {"customer": ["c_custkey", "c_name", "c_nationkey", "c_phone"],
+        "orders": ["o_orderkey", "o_custkey", "o_orderdate"],
+        "events": ["event_id", "ts", "user_id", "event_type"]}
+_PRESENT = {"customer": CUSTOMER_COLS, "orders": ORDERS_COLS, "events": EVENTS_COLS}
+ORACLE["dq_completeness"] = " UNION ALL ".join(
+    (_check("completeness", t, c, "n", column_present="TRUE") + f" FROM (SELECT count_if({c} IS NULL) AS n FROM {t})"
+     if c in _PRESENT[t] else
+     _check("completeness", t, c, "n", column_present="FALSE") + f" FROM (SELECT count(*) AS n FROM {t})")
+    for t, cols in _REQ.items() for c in cols)
+
+ORACLE["dq_uniqueness"] = " UNION ALL ".join(
+    _check("uniqueness", t, ",".join(keys), "total_rows - distinct_keys",
+           total_rows="total_rows", distinct_keys="distinct_keys")
+    + f" FROM (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total_rows, count(*) AS distinct_keys "
+      f"FROM (SELECT count(*) AS n FROM {t} GROUP BY {', '.join(keys)}))"
+    for t, keys in C.PRIMARY_KEYS.items())
+
+_FRESH = [("events", "ts", "2024-02-01 00:00:00", 86400), ("lineitem", "l_shipdate", "2002-01-01 00:00:00", 30 * 86400)]
+ORACLE["dq_freshness"] = " UNION ALL ".join(
+    _check("freshness", t, c, f"CASE WHEN lag > {lag} THEN 1 ELSE 0 END", latest="latest", lag_seconds="lag")
+    + f" FROM (SELECT max({c}) AS latest, (epoch_us(TIMESTAMP '{as_of}') - epoch_us(max({c}))) // 1000000 AS lag FROM {t})"
+    for t, c, as_of, lag in _FRESH)
+
+ORACLE["incremental_watermark"] = """
+SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00')"""
+
+_ATTRS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+_HCOLS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, record_hash"
+ORACLE["scd2_apply"] = f"""
+WITH hist AS (SELECT *, {md5_join(_ATTRS)} AS record_hash, {TS} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to,
+                     TRUE AS is_current, {BATCH} AS batch_id FROM ({S1})),
+inc AS (SELECT *, {md5_join(_ATTRS)} AS record_hash FROM ({S2}))
+SELECT h.* FROM hist h LEFT JOIN inc i ON h.c_custkey = i.c_custkey
+ WHERE i.c_custkey IS NULL OR i.record_hash = h.record_hash
+UNION ALL
+SELECT h.c_custkey, h.c_name, h.c_nationkey, h.c_acctbal, h.c_mktsegment, h.record_hash, h.valid_from, {TS2} AS valid_to,
+       FALSE AS is_current, h.batch_id
+  FROM hist h JOIN inc i ON h.c_custkey = i.c_custkey WHERE i.record_hash <> h.record_hash
+UNION ALL
+SELECT i.c_custkey, i.c_name, i.c_nationkey, i.c_acctbal, i.c_mktsegment, i.record_hash, {TS2} AS valid_from,
+       CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current, {BATCH2} AS batch_id
+  FROM inc i LEFT JOIN hist h ON h.c_custkey = i.c_custkey WHERE h.c_custkey IS NULL OR h.record_hash <> i.record_hash"""
+
+
+def _load(where, batch, ts):
+    return (f"SELECT *, {md5_join(EVENTS_COLS)} AS br_record_hash, {uuid_sql(q('events'), batch, 'event_id')} AS br_events_key, "
+            f"{ts} AS br_load_time, {batch} AS br_batch_id FROM events WHERE {where}")
+
+
+ORACLE["dedup_row_hash"] = f"""
+WITH loads AS ({_load("ts < TIMESTAMP '2024-01-16 00:00:00'", BATCH, TS)} UNION ALL
+               {_load("ts >= TIMESTAMP '2024-01-10 00:00:00'", BATCH2, TS2)})
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id, br_record_hash ORDER BY br_load_time, br_events_key) AS rn FROM loads)
+WHERE rn = 1"""
+
+ORACLE["soft_delete_mark"] = f"""
+WITH s1 AS ({S1}), s2 AS ({S2})
+SELECT s1.*, {BATCH} AS _bronze_batch_id, k.c_custkey IS NULL AS _bronze_is_deleted,
+       CASE WHEN k.c_custkey IS NULL THEN {TS2} END AS _bronze_deleted_at
+FROM s1 LEFT JOIN (SELECT DISTINCT c_custkey FROM s2) k ON s1.c_custkey = k.c_custkey"""
+
+ORACLE["reference_inactivate"] = f"""
+SELECT p.*, k.p_partkey IS NOT NULL AS is_active,
+       CASE WHEN k.p_partkey IS NULL THEN DATE '{C.AS_OF_DATE}' END AS inactivated_date,
+       CASE WHEN k.p_partkey IS NULL THEN 'reference_sync' END AS inactivated_by
+FROM part p LEFT JOIN (SELECT DISTINCT p_partkey FROM ({P2})) k ON p.p_partkey = k.p_partkey"""
+
+_CC = ["c_custkey", *_ATTRS]
+ORACLE["cdc_events"] = f"""
+WITH o AS (SELECT *, {md5_join(_ATTRS)} AS h FROM ({S1})), n AS (SELECT *, {md5_join(_ATTRS)} AS h FROM ({S2})),
+j AS (SELECT o.*, n.c_custkey AS n_key, n.c_name AS n_c_name, n.c_nationkey AS n_c_nationkey, n.c_acctbal AS n_c_acctbal,
+             n.c_mktsegment AS n_c_mktsegment, n.h AS n_h
+      FROM o FULL OUTER JOIN n ON o.c_custkey = n.c_custkey),
+e AS (SELECT *, CASE WHEN c_custkey IS NOT NULL AND n_key IS NOT NULL AND h <> n_h THEN 'U'
+                     WHEN c_custkey IS NULL THEN 'I' WHEN n_key IS NULL THEN 'D' END AS operation FROM j)
+SELECT 'customer' AS table_name, operation, coalesce(n_key, c_custkey) AS record_key,
+       CASE WHEN n_key IS NOT NULL
+            THEN to_json({{'c_custkey': n_key, 'c_name': n_c_name, 'c_nationkey': n_c_nationkey, 'c_acctbal': n_c_acctbal, 'c_mktsegment': n_c_mktsegment}})
+            ELSE to_json({json_obj(_CC)}) END AS data,
+       {TS2} AS event_ts
+FROM e WHERE operation IS NOT NULL"""
+
+_replay_extract = ", ".join(f"json_extract_string(bronze_record_json, '$.{f}') AS {f}" for f in FIELDS)
+ORACLE["quarantine_replay"] = f"""WITH {CUSTOMER_CTES},
+rq AS (SELECT error_id, br_source_key, source_table, target_table, batch_id, retry_count, {_replay_extract} FROM quarantine),
+rf AS (SELECT * REPLACE (regexp_replace(customer_id, '^X', '') AS customer_id,
+                         regexp_replace(store_id, '\\.0$', '') AS store_id,
+                         CASE WHEN active = 'one' THEN '1' ELSE active END AS active) FROM rq),
+rv AS (SELECT *, {case_of(CUSTOMER_RULES)} AS err2 FROM rf)
+SELECT error_id, br_source_key, source_table, target_table, batch_id,
+       CASE WHEN err2 IS NULL THEN 'RESOLVED' ELSE 'PENDING' END AS remediation_status, retry_count + 1 AS retry_count,
+       {TS2} AS last_retry_at, err2.category AS error_category, err2.failed_field AS failed_field,
+       err2.message AS error_message
+FROM rv"""
+
+ORACLE["quarantine_report"] = with_customer("""
+SELECT error_category, failed_field, severity, count(*) AS errors FROM quarantine
+GROUP BY error_category, failed_field, severity
+ORDER BY errors DESC, error_category, failed_field NULLS FIRST, severity LIMIT 10""")

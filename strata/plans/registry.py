@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import contracts as C
 from ..functions import rules as R
 from ..functions.hashing import md5_record_hash, sha256_record_hash, uuid_from_md5
-from ..operators import bronze as B, dlq as DLQ, gold as G, silver as S
+from ..operators import bronze as B, catalog as CAT, dlq as DLQ, gold as G, history as H, quality as Q
+from ..operators import quarantine as QR, silver as S
+from . import fixtures as FX
 from ..sources import sinks, tables as T
 from ..session import scratch_dir
 from .fixtures import dirty_customers, table
@@ -321,3 +323,239 @@ def kpi_customer_summary(spark, sf_dir):
 @query("customer_summary_view")
 def customer_summary_view(spark, sf_dir):
     return G.orders_summary_view(table(spark, sf_dir, "orders"))
+
+
+# ---------------------------------------------------------------- gold statistics / layers
+def _layer_frames(flow: CustomerFlow) -> dict:
+    bronze = flow.bronze()
+    validated = flow.validated(bronze)
+    silver = flow.silver(validated)
+    dim = flow.dim_customer(silver)
+    return {
+        ("bronze", "br_customer"): bronze,
+        ("silver", "sl_customer"): silver,
+        ("silver", "sl_transformation_errors"): flow.quarantine(validated),
+        ("gold", "dim_customer"): dim,
+        ("gold", "dim_date"): flow.dim_date(),
+        ("gold", "kpi_customer_summary"): flow.kpi(dim),
+    }
+
+
+@query("layer_listing")
+def layer_listing(spark, sf_dir):
+    frames = _layer_frames(_flow(spark, sf_dir))
+    parts = [df.agg(F.count(F.lit(1)).alias("record_count"))
+             .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "record_count")
+             for (layer, name), df in frames.items()]
+    return Q.union_all(parts)
+
+
+@query("gold_stats")
+def gold_stats(spark, sf_dir):
+    frames = _layer_frames(_flow(spark, sf_dir))
+    gold = {name: df for (layer, name), df in frames.items() if layer == "gold"}
+    c = Q.counts(gold)
+    per_object = c.select(F.col("name").alias("object_name"), F.col("n").alias("records"),
+                          (F.col("n") > 0).alias("success"))
+    return G.gold_stats(per_object, C.BATCH_ID)
+
+
+# ---------------------------------------------------------------- catalog
+RELATIONAL = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+@query("layer_row_counts")
+def layer_row_counts(spark, sf_dir):
+    return CAT.row_counts(spark, sf_dir, C.DRIVER_TABLES)
+
+
+@query("table_metadata")
+def table_metadata(spark, sf_dir):
+    return CAT.table_metadata(spark, sf_dir, RELATIONAL)
+
+
+@query("catalog_columns")
+def catalog_columns(spark, sf_dir):
+    return CAT.column_catalog(spark, sf_dir, C.DRIVER_TABLES).drop("is_primary_key", "references_column")
+
+
+DISCOVER_PATTERN = "e"
+
+
+@query("discover_tables")
+def discover_tables(spark, sf_dir):
+    return CAT.discover(spark, sf_dir, DISCOVER_PATTERN)
+
+
+SELECT_INCLUDE = "^(customer|orders|lineitem|part|supplier|nation|region)$"
+SELECT_EXCLUDE = "^(region|nation)$"
+
+
+@query("select_tables")
+def select_tables(spark, sf_dir):
+    names = CAT.filter_names(CAT.list_tables(spark, sf_dir))
+    return CAT.include_exclude(names, SELECT_INCLUDE, SELECT_EXCLUDE).select("table_name")
+
+
+FK_TABLES = RELATIONAL + ("documents", "labels")
+
+
+@query("fk_candidates")
+def fk_candidates(spark, sf_dir):
+    return CAT.fk_candidates(spark, sf_dir, FK_TABLES)
+
+
+@query("table_registry_upsert")
+def table_registry_upsert(spark, sf_dir):
+    old = CAT.registry_rows(spark, {
+        "customer": FX.customer_snapshot_1(spark, sf_dir), "part": table(spark, sf_dir, "part"),
+        "orders": table(spark, sf_dir, "orders"), "nation": table(spark, sf_dir, "nation")}, C.LOAD_TS)
+    old = old.withColumns({"created_at": F.lit(C.LOAD_TS).cast("timestamp_ntz"),
+                           "updated_at": F.lit(C.LOAD_TS).cast("timestamp_ntz")})
+    new = CAT.registry_rows(spark, {
+        "customer": table(spark, sf_dir, "customer"), "part": FX.part_snapshot_2(spark, sf_dir),
+        "orders": table(spark, sf_dir, "orders"), "supplier": table(spark, sf_dir, "supplier")}, C.NEXT_LOAD_TS)
+    return CAT.upsert_registry(old, new, C.NEXT_LOAD_TS)
+
+
+# ---------------------------------------------------------------- quality
+def _tables(spark, sf_dir, names):
+    return {t: table(spark, sf_dir, t) for t in names}
+
+
+@query("dq_reconcile")
+def dq_reconcile(spark, sf_dir):
+    flow = _flow(spark, sf_dir)
+    source = flow.source()
+    bronze = flow.bronze(source)
+    validated = flow.validated(bronze)
+    silver = flow.silver(validated)
+    named = {"source": source, "bronze": bronze, "bronze_current": bronze.filter(F.col("br_is_current")),
+             "silver": silver, "quarantine": flow.quarantine(validated), "dim": flow.dim_customer(silver)}
+    return Q.reconcile(named, [
+        ("source_vs_bronze", "br_customer", ["source"], ["bronze"]),
+        ("bronze_vs_silver_quarantine", "sl_customer", ["bronze_current"], ["silver", "quarantine"]),
+        ("silver_vs_dim", "dim_customer", ["silver"], ["dim"]),
+    ])
+
+
+@query("dq_duplicates")
+def dq_duplicates(spark, sf_dir):
+    return Q.duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("dq_sum_match")
+def dq_sum_match(spark, sf_dir):
+    return Q.sum_match(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+
+
+@query("dq_foreign_keys")
+def dq_foreign_keys(spark, sf_dir):
+    return Q.foreign_keys(_tables(spark, sf_dir, RELATIONAL), C.FOREIGN_KEYS)
+
+
+AUDIT_COLUMNS = ("br_customer_key", "br_load_time", "br_source_file", "br_record_hash", "br_is_current", "br_batch_id")
+
+
+@query("dq_audit_populated")
+def dq_audit_populated(spark, sf_dir):
+    return Q.nulls_in(_flow(spark, sf_dir).bronze(), "br_customer", AUDIT_COLUMNS, "audit_populated")
+
+
+REQUIRED_COLUMNS = {
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_phone"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderdate"),
+    "events": ("event_id", "ts", "user_id", "event_type"),
+}
+
+
+@query("dq_completeness")
+def dq_completeness(spark, sf_dir):
+    return Q.union_all([Q.completeness(table(spark, sf_dir, t), t, cols) for t, cols in REQUIRED_COLUMNS.items()])
+
+
+@query("dq_uniqueness")
+def dq_uniqueness(spark, sf_dir):
+    return Q.union_all([Q.uniqueness(table(spark, sf_dir, t), t, keys) for t, keys in C.PRIMARY_KEYS.items()])
+
+
+FRESHNESS = (("events", "ts", "2024-02-01 00:00:00", 86400),
+             ("lineitem", "l_shipdate", "2002-01-01 00:00:00", 30 * 86400))
+
+
+@query("dq_freshness")
+def dq_freshness(spark, sf_dir):
+    return Q.union_all([Q.freshness(table(spark, sf_dir, t), t, c, as_of, lag) for t, c, as_of, lag in FRESHNESS])
+
+
+# ---------------------------------------------------------------- history
+FIRST_LOAD_END = "2024-01-16 00:00:00"
+SECOND_LOAD_START = "2024-01-10 00:00:00"
+
+
+@query("incremental_watermark")
+def incremental_watermark(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    loaded = ev.filter(F.col("ts") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz"))
+    return H.watermark_increment(loaded, ev, "ts")
+
+
+def _scd2(spark, sf_dir):
+    keys = ["c_custkey"]
+    hist = H.scd2_initial(FX.customer_snapshot_1(spark, sf_dir), keys, C.LOAD_TS, C.BATCH_ID)
+    return H.scd2_apply(hist, FX.customer_snapshot_2(spark, sf_dir), keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID)
+
+
+@query("scd2_apply")
+def scd2_apply(spark, sf_dir):
+    return _scd2(spark, sf_dir)
+
+
+def _event_loads(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    first = ev.filter(F.col("ts") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz"))
+    second = ev.filter(F.col("ts") >= F.lit(SECOND_LOAD_START).cast("timestamp_ntz"))
+    loads = []
+    for df, batch, ts in ((first, C.BATCH_ID, C.LOAD_TS), (second, C.NEXT_BATCH_ID, C.NEXT_LOAD_TS)):
+        h = df.withColumn("br_record_hash", md5_record_hash(ev.columns))
+        loads.append(h.select("*", uuid_from_md5("events", batch, F.col("event_id")).alias("br_events_key"),
+                              F.lit(ts).cast("timestamp_ntz").alias("br_load_time"),
+                              F.lit(batch).alias("br_batch_id")))
+    return loads[0].unionByName(loads[1])
+
+
+@query("dedup_row_hash")
+def dedup_row_hash(spark, sf_dir):
+    return H.dedup_earliest(_event_loads(spark, sf_dir), ["event_id", "br_record_hash"],
+                            ["br_load_time", "br_events_key"])
+
+
+@query("soft_delete_mark")
+def soft_delete_mark(spark, sf_dir):
+    bronze = FX.customer_snapshot_1(spark, sf_dir).withColumn("_bronze_batch_id", F.lit(C.BATCH_ID))
+    return H.soft_delete(bronze, FX.customer_snapshot_2(spark, sf_dir), ["c_custkey"], C.NEXT_LOAD_TS)
+
+
+@query("reference_inactivate")
+def reference_inactivate(spark, sf_dir):
+    return H.inactivate(table(spark, sf_dir, "part"), FX.part_snapshot_2(spark, sf_dir), ["p_partkey"],
+                        C.AS_OF_DATE, "reference_sync")
+
+
+@query("cdc_events")
+def cdc_events(spark, sf_dir):
+    return H.change_events(FX.customer_snapshot_1(spark, sf_dir), FX.customer_snapshot_2(spark, sf_dir),
+                           ["c_custkey"], "customer", C.NEXT_LOAD_TS)
+
+
+# ---------------------------------------------------------------- quarantine replay / report
+@query("quarantine_replay")
+def quarantine_replay(spark, sf_dir):
+    updated, _ = QR.replay(_flow(spark, sf_dir).quarantine(), list(C.CUSTOMER_FIELDS), QR.default_fixes(),
+                           R.customer_rules(), C.NEXT_LOAD_TS)
+    return updated
+
+
+@query("quarantine_report")
+def quarantine_report(spark, sf_dir):
+    return QR.report(_flow(spark, sf_dir).quarantine(), top=10)
