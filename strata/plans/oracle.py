@@ -666,3 +666,9 @@ ORACLE["quarantine_report"] = with_customer("""
 SELECT error_category, failed_field, severity, count(*) AS errors FROM quarantine
 GROUP BY error_category, failed_field, severity
 ORDER BY errors DESC, error_category, failed_field NULLS FIRST, severity LIMIT 10""")
+
+
+ORACLE["ingest_single"] = ORACLE["bronze_audit_sqlserver"]
+ORACLE["medallion_end_to_end"] = ORACLE["layer_listing"].replace("AS record_count", "AS row_count")
+ORACLE["stream_quarantine"] = ORACLE["silver_quarantine"]
+ORACLE["stream_cdc_apply"] = S2

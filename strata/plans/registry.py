@@ -14,11 +14,13 @@ from ..functions import rules as R
 from ..functions.hashing import md5_record_hash, sha256_record_hash, uuid_from_md5
 from ..operators import bronze as B, catalog as CAT, dlq as DLQ, gold as G, history as H, quality as Q
 from ..operators import quarantine as QR, silver as S
+from ..streaming import bronze_stream as STREAM, cdc_stream as CDC
 from . import fixtures as FX
+from . import runs as RUN
 from ..sources import sinks, tables as T
 from ..session import scratch_dir
 from .fixtures import dirty_customers, table
-from .medallion import CustomerFlow
+from .medallion import CustomerFlow, layer_summary, run_medallion
 
 QUERIES: dict = {}
 
@@ -559,3 +561,106 @@ def quarantine_replay(spark, sf_dir):
 @query("quarantine_report")
 def quarantine_report(spark, sf_dir):
     return QR.report(_flow(spark, sf_dir).quarantine(), top=10)
+
+
+# ---------------------------------------------------------------- runs (H), sinks (A8/A9)
+INGEST_SPECS = ("dbo.customer", "dbo.orders", "dbo.part")
+
+
+def _ingest(spark, sf_dir, names=INGEST_SPECS, max_workers=1):
+    lake = scratch_dir(spark, "ingest")
+    audit = RUN.RunAudit("parquet", C.BATCH_ID)
+    RUN.ingest_many(spark, RUN.parquet_reader(spark, sf_dir), [RUN.TableSpec.parse(n) for n in names],
+                    lake, C.LOAD_TS, audit, max_workers=max_workers)
+    return lake, audit
+
+
+@query("ingest_single")
+def ingest_single(spark, sf_dir):
+    lake, audit = _ingest(spark, sf_dir, ("dbo.orders",))
+    return spark.read.parquet(f"{lake}/bronze/dbo_orders")
+
+
+@query("ingest_multi")
+def ingest_multi(spark, sf_dir):
+    _, audit = _ingest(spark, sf_dir, max_workers=3)
+    return audit.frame(spark)
+
+
+@query("run_audit")
+def run_audit(spark, sf_dir):
+    _, audit = _ingest(spark, sf_dir)
+    return audit.frame(spark).withColumn("run_total_rows", F.lit(audit.total_rows())) \
+        .withColumn("run_success", F.lit(audit.success()))
+
+
+@query("run_audit_json")
+def run_audit_json(spark, sf_dir):
+    lake, audit = _ingest(spark, sf_dir)
+    sinks.write_json(audit.frame(spark), f"{lake}/metadata/run_audit")
+    return spark.read.schema(RUN.AUDIT_SCHEMA).json(f"{lake}/metadata/run_audit")
+
+
+@query("ingest_all")
+def ingest_all(spark, sf_dir):
+    lake = scratch_dir(spark, "ingest_all")
+    audit = RUN.RunAudit("parquet", C.BATCH_ID)
+    RUN.ingest_all(spark, sf_dir, RUN.parquet_reader(spark, sf_dir), lake, C.LOAD_TS, audit,
+                   include=SELECT_INCLUDE, exclude=SELECT_EXCLUDE)
+    return audit.frame(spark)
+
+
+@query("bronze_run")
+def bronze_run(spark, sf_dir):
+    return RUN.bronze_run(spark, sf_dir, scratch_dir(spark, "bronze_run"))
+
+
+@query("sink_modes")
+def sink_modes(spark, sf_dir):
+    base = scratch_dir(spark, "sink_modes")
+    nation = table(spark, sf_dir, "nation")
+    target = f"{base}/bronze/" + B.target_name("{schema}_{table}", schema="dbo", table="nation")
+    rows = []
+    for mode in ("append", "append", "replace", "fail"):
+        try:
+            n = sinks.write_table(nation, target, mode)
+            outcome = "written"
+        except Exception as e:  # noqa: BLE001 - 'fail' on an existing table is the expected outcome
+            n, outcome = 0, "rejected: " + type(e).__name__
+        rows.append((mode, target.rsplit("/", 1)[1], n, outcome))
+    res = spark.createDataFrame(rows, "if_exists string, target_table string, rows_written bigint, outcome string")
+    final = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows_in_target"))
+    return res.join(final.withColumn("target_table", F.lit(target.rsplit("/", 1)[1])), "target_table")
+
+
+@query("medallion_end_to_end")
+def medallion_end_to_end(spark, sf_dir):
+    run = run_medallion(spark, sf_dir, scratch_dir(spark, "lake"))
+    return layer_summary(spark, run["paths"])
+
+
+# ---------------------------------------------------------------- streaming
+@query("stream_quarantine")
+def stream_quarantine(spark, sf_dir):
+    base = scratch_dir(spark, "stream_quarantine")
+    stream = STREAM.customer_bronze_stream(spark, sf_dir, lambda raw: spark.sql(FX.DIRTY_CUSTOMER_SQL, customer=raw))
+    q = STREAM.start_quarantine_stream(stream, f"{base}/lake", f"{base}/_checkpoint", C.BATCH_ID, C.LOAD_TS)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/lake/silver/sl_transformation_errors").drop("stream_epoch")
+
+
+CUSTOMER_ROW = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+@query("stream_cdc_apply")
+def stream_cdc_apply(spark, sf_dir):
+    from pyspark.sql.types import _parse_datatype_string
+    base = scratch_dir(spark, "stream_cdc")
+    s1 = FX.customer_snapshot_1(spark, sf_dir)
+    s1.withColumn("version", F.lit(0)).write.partitionBy("version").parquet(f"{base}/state")
+    CDC.publish(H.change_events(s1, FX.customer_snapshot_2(spark, sf_dir), ["c_custkey"], "customer",
+                                C.NEXT_LOAD_TS), f"{base}/events")
+    q = CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_checkpoint", "c_custkey",
+                               _parse_datatype_string(CUSTOMER_ROW))
+    q.awaitTermination()
+    return CDC.latest_version(spark, f"{base}/state")
