@@ -147,8 +147,26 @@ def first_failure(rules) -> Column:
     return F.coalesce(*[r.error for r in rules])
 
 
+_CACHE: dict = {}
+
+
+def _memo(name: str, build):
+    """Rule Columns are unresolved expressions, reusable by every DataFrame
+    of the same SparkContext; building them costs one JVM call per function,
+    so each rule set is built once per context."""
+    from pyspark import SparkContext
+    key = (name, id(SparkContext._active_spark_context))
+    if key not in _CACHE:
+        _CACHE[key] = build()
+    return list(_CACHE[key])
+
+
 def customer_rules() -> list[Rule]:
     """The silver customer rule set; field order is the semantics."""
+    return _memo("customer", _customer_rules)
+
+
+def _customer_rules() -> list[Rule]:
     return [
         required_int("customer_id"),
         required_int("store_id"),
@@ -165,6 +183,10 @@ def customer_rules() -> list[Rule]:
 
 def orders_rules() -> list[Rule]:
     """A second rule set, over typed orders."""
+    return _memo("orders", _orders_rules)
+
+
+def _orders_rules() -> list[Rule]:
     return [
         in_domain("o_orderstatus", ("F", "O", "P")),
         positive("o_totalprice"),

@@ -20,7 +20,7 @@ from . import runs as RUN
 from ..sources import sinks, tables as T
 from ..session import scratch_dir
 from .fixtures import dirty_customers, table
-from .medallion import CustomerFlow, layer_summary, run_medallion
+from .medallion import CustomerFlow, run_medallion, run_summary
 
 QUERIES: dict = {}
 
@@ -118,7 +118,7 @@ def bronze_audit_extended(spark, sf_dir):
 
 @query("record_hash_sha256")
 def record_hash_sha256(spark, sf_dir):
-    li = B.stringify(table(spark, sf_dir, "lineitem"))
+    li = B.stringify(T.spread(table(spark, sf_dir, "lineitem")))
     return li.select("l_orderkey", "l_linenumber", sha256_record_hash(li.columns).alias("record_hash"))
 
 
@@ -269,7 +269,7 @@ ORDERS_PASSTHROUGH = ("o_orderkey", "o_custkey", "o_orderpriority")
 
 @query("silver_promote_generic")
 def silver_promote_generic(spark, sf_dir):
-    clean, _, _ = S.promote(table(spark, sf_dir, "orders"), R.orders_rules(), "o_orderkey", C.BATCH_ID, C.LOAD_TS,
+    clean, _, _ = S.promote(T.spread(table(spark, sf_dir, "orders")), R.orders_rules(), "o_orderkey", C.BATCH_ID, C.LOAD_TS,
                             source_table="br_orders", target_table="sl_orders", passthrough=ORDERS_PASSTHROUGH)
     return clean
 
@@ -636,7 +636,7 @@ def sink_modes(spark, sf_dir):
 @query("medallion_end_to_end")
 def medallion_end_to_end(spark, sf_dir):
     run = run_medallion(spark, sf_dir, scratch_dir(spark, "lake"))
-    return layer_summary(spark, run["paths"])
+    return run_summary(spark, run)
 
 
 # ---------------------------------------------------------------- streaming
