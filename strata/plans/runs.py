@@ -29,6 +29,10 @@ AUDIT_SCHEMA = ("audit_id string, source_system string, source_schema string, so
 STATUSES = ("running", "success", "failed", "empty")
 
 
+def _utcnow() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 @dataclass
 class TableSpec:
     source_table: str
@@ -50,7 +54,7 @@ class TableSpec:
 class RunAudit:
     source_system: str
     batch_id: str
-    started: dt.datetime = field(default_factory=dt.datetime.utcnow)
+    started: dt.datetime = field(default_factory=_utcnow)
     entries: list = field(default_factory=list)
 
     def add(self, spec: TableSpec, started, ended, rows, status, error=None):
@@ -73,18 +77,18 @@ def ingest_table(reader: Callable[[TableSpec], DataFrame], spec: TableSpec, lake
     """Read -> SQL-Server bronze audit columns -> write (replace by default).
     An empty source is recorded as 'empty' with 0 rows; a failure is
     recorded and re-raised."""
-    started = dt.datetime.utcnow()
+    started = _utcnow()
     try:
         df = reader(spec)
         if df.isEmpty():
-            audit.add(spec, started, dt.datetime.utcnow(), 0, "empty")
+            audit.add(spec, started, _utcnow(), 0, "empty")
             return 0
         audited = B.audit_sqlserver(df, spec.source_schema, spec.source_table, load_ts)
         rows = sinks.write_table(audited, f"{lake}/{spec.target_schema}/{spec.target()}", mode)
-        audit.add(spec, started, dt.datetime.utcnow(), rows, "success")
+        audit.add(spec, started, _utcnow(), rows, "success")
         return rows
     except Exception as e:  # noqa: BLE001 - recorded, then re-raised
-        audit.add(spec, started, dt.datetime.utcnow(), None, "failed", str(e)[:2000])
+        audit.add(spec, started, _utcnow(), None, "failed", str(e)[:2000])
         raise
 
 
