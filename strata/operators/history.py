@@ -33,6 +33,17 @@ def with_hash(df: DataFrame, keys, name: str = "record_hash") -> DataFrame:
     return df.withColumn(name, md5_record_hash(attrs))
 
 
+def one_per_key(df: DataFrame, keys, order_col: str) -> DataFrame:
+    """Collapse rows sharing a key to the one with the largest ``order_col``
+    (then largest remaining values). A grouped max(struct) aggregates
+    partially map-side, so a key holding a third of all rows is reduced
+    before any shuffle — and the join that follows sees one row per key."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys and c != order_col]
+    g = df.groupBy(*keys).agg(F.max(F.struct(F.col(order_col), *[F.col(c) for c in rest])).alias("_r"))
+    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in [order_col] + rest]).select(*df.columns)
+
+
 def scd2_initial(snapshot: DataFrame, keys, load_ts, batch_id: str) -> DataFrame:
     return with_hash(snapshot, keys).select(
         "*", _ts(load_ts).alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"),
@@ -50,7 +61,7 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, keys, load_ts, batch_id:
     rows through one array+inline, so the join runs once."""
     keys = list(keys)
     attrs = [c for c in incoming.columns if c not in keys]
-    inc = with_hash(incoming, keys)
+    inc = one_per_key(with_hash(incoming, keys), keys, "record_hash")
     cur = history.filter(F.col("is_current"))
     closed = history.filter(~F.col("is_current"))
     h, i = cur.alias("h"), inc.alias("i")
@@ -113,8 +124,8 @@ def change_events(old: DataFrame, new: DataFrame, keys, table: str, event_ts) ->
     JSON of the new row, or of the old row for deletes, event time)."""
     keys = list(keys)
     cols = [c for c in new.columns]
-    o = with_hash(old, keys, "_h").alias("o")
-    n = with_hash(new, keys, "_h").alias("n")
+    o = one_per_key(with_hash(old, keys, "_h"), keys, "_h").alias("o")
+    n = one_per_key(with_hash(new, keys, "_h"), keys, "_h").alias("n")
     j = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys], "full_outer")
     has_o, has_n = F.col(f"o.{keys[0]}").isNotNull(), F.col(f"n.{keys[0]}").isNotNull()
     op = (F.when(has_o & has_n & (F.col("o._h") != F.col("n._h")), "U")
@@ -124,3 +135,12 @@ def change_events(old: DataFrame, new: DataFrame, keys, table: str, event_ts) ->
     key = F.coalesce(*[F.col(f"n.{keys[0]}"), F.col(f"o.{keys[0]}")])
     return j.select(F.lit(table).alias("table_name"), op.alias("operation"), key.alias("record_key"),
                     data.alias("data"), _ts(event_ts).alias("event_ts")).filter(F.col("operation").isNotNull())
+
+
+def scd2_apply_versioned(spark, path: str, incoming: DataFrame, keys, load_ts, batch_id: str) -> int:
+    """Apply a snapshot to a versioned history table: read the newest
+    version, write the next one beside it; returns the new version number."""
+    from ..sources.sinks import read_latest_version, write_version
+    current, v = read_latest_version(spark, path)
+    write_version(scd2_apply(current, incoming, keys, load_ts, batch_id), path, v + 1)
+    return v + 1

@@ -50,3 +50,20 @@ def ensure_schema(spark, schema: str) -> None:
 def write_json(df: DataFrame, path: str) -> None:
     """Metadata-sized frames (run audits, discovered tables) as JSON lines."""
     df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_latest_version(spark, path: str, version_col: str = "version") -> DataFrame:
+    """The newest complete version of a versioned table (partition pruned)."""
+    t = spark.read.parquet(path)
+    v = t.agg(F.max(version_col).alias("v")).first()["v"]   # one scalar
+    return t.filter(F.col(version_col) == F.lit(v)).drop(version_col), v
+
+
+def write_version(df: DataFrame, path: str, version: int, version_col: str = "version") -> int:
+    """Write a complete table version as its own partition. The version being
+    read is never overwritten; re-writing the same version (a retry) replaces
+    only that partition."""
+    observed, obs = _observed(df.withColumn(version_col, F.lit(int(version))))
+    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(version_col).parquet(path))
+    return int(obs.get.get("rows", 0))

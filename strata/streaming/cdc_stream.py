@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..sources import sinks
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("operation", T.StringType()),
@@ -26,9 +28,7 @@ def publish(events: DataFrame, path: str) -> None:
 
 
 def latest_version(spark: SparkSession, state_path: str) -> DataFrame:
-    state = spark.read.parquet(state_path)
-    v = state.agg(F.max("version").alias("v")).first()["v"]   # one scalar
-    return state.filter(F.col("version") == F.lit(v)).drop("version")
+    return sinks.read_latest_version(spark, state_path)[0]
 
 
 def fold(state: DataFrame, events: DataFrame, key: str, row_schema: T.StructType) -> DataFrame:
@@ -51,10 +51,10 @@ def start_apply_stream(spark: SparkSession, events_path: str, state_path: str, c
     stream = spark.readStream.schema(EVENT_SCHEMA).json(events_path)
 
     def apply_batch(batch: DataFrame, epoch_id: int):
-        current = latest_version(spark, state_path)
-        nxt = fold(current, batch, key, row_schema).withColumn("version", F.lit(int(epoch_id) + 1))
-        (nxt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("version").parquet(state_path))
+        # the state read is the version left by the previous micro-batch; this
+        # one writes version epoch+1, so a replayed micro-batch rewrites only it
+        current = sinks.read_latest_version(spark, state_path)[0]
+        sinks.write_version(fold(current, batch, key, row_schema), state_path, int(epoch_id) + 1)
 
     w = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -60,3 +60,24 @@ def test_incremental_watermark_only_newer(spark):
     inc = QUERIES["incremental_watermark"](spark, SF001)
     assert inc.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).count() == 0
     assert inc.count() > 0
+
+
+def test_scd2_versioned_table(spark, tmp_path):
+    from strata.sources.sinks import read_latest_version, write_version
+    keys = ["c_custkey"]
+    path = str(tmp_path / "dim_customer_history")
+    write_version(H.scd2_initial(FX.customer_snapshot_1(spark, SF001), keys, C.LOAD_TS, C.BATCH_ID), path, 0)
+    v = H.scd2_apply_versioned(spark, path, FX.customer_snapshot_2(spark, SF001), keys, C.NEXT_LOAD_TS,
+                               C.NEXT_BATCH_ID)
+    latest, lv = read_latest_version(spark, path)
+    assert v == lv == 1
+    assert _rows(latest) == _rows(QUERIES["scd2_apply"](spark, SF001))
+
+
+def test_scd2_collapses_duplicate_incoming_keys(spark):
+    keys = ["c_custkey"]
+    s1 = FX.customer_snapshot_1(spark, SF001)
+    hist = H.scd2_initial(s1, keys, C.LOAD_TS, C.BATCH_ID)
+    dup = s1.unionByName(s1).unionByName(s1)      # every key three times
+    out = H.scd2_apply(hist, dup, keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID)
+    assert _rows(out) == _rows(hist)
