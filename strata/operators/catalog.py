@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..contracts import FOREIGN_KEYS, PRIMARY_KEYS
+from .quality import orphan_rows
 from ..sources.tables import table_path
 
 # Tables whose name contains one of these are system tables.
@@ -146,11 +147,9 @@ def fk_candidates(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
         uniq[(pt, pc)] = g.agg((F.coalesce(F.max("n"), F.lit(1)) <= 1).alias("parent_unique"))
     parts = []
     for ct, cc, pt, pc in pairs:
-        child = spark.read.parquet(table_path(sf_dir, ct)).filter(F.col(cc).isNotNull())
-        parent = spark.read.parquet(table_path(sf_dir, pt)).select(F.col(pc).alias(cc))
-        # pre-aggregate child keys before the anti join: a hot key becomes one row
-        keys = child.groupBy(cc).agg(F.count(F.lit(1)).alias("n"))
-        orphans = keys.join(parent, cc, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"))
+        orphans = orphan_rows(spark.read.parquet(table_path(sf_dir, ct)), [cc],
+                              spark.read.parquet(table_path(sf_dir, pt)), [pc]) \
+            .withColumnRenamed("orphans", "orphan_rows")
         info = uniq[(pt, pc)].select(
             F.lit(ct).alias("child_table"), F.lit(cc).alias("child_column"),
             F.lit(pt).alias("parent_table"), F.lit(pc).alias("parent_column"), "parent_unique")

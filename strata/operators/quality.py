@@ -72,19 +72,31 @@ def sum_match(orders: DataFrame, lineitem: DataFrame, tolerance: str = "0.01") -
         (diff <= F.lit(tolerance).cast("decimal(18,2)")).alias("ok"))
 
 
+def orphan_rows(child: DataFrame, child_cols, parent: DataFrame, parent_cols) -> DataFrame:
+    """One row (orphans): child rows whose non-null key has no parent.
+
+    Child keys are counted first (partial aggregation map-side: a key that
+    holds a third of all rows is one row per map task before the shuffle),
+    parent keys are made distinct, and the two keyed frames meet in a left
+    join — an outer join, so Catalyst keeps the pre-aggregation below it
+    (a left-anti join would be pushed beneath the aggregate). The join's
+    child side is already partitioned by the key; AQE turns it into a
+    broadcast join when the parent keys measure small."""
+    child_cols, parent_cols = list(child_cols), list(parent_cols)
+    not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in child_cols])
+    keys = child.filter(not_null).groupBy(*child_cols).agg(F.count(F.lit(1)).alias("_n"))
+    pk = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, child_cols)]).distinct() \
+        .withColumn("_hit", F.lit(True))
+    j = keys.join(pk, child_cols, "left")
+    return j.agg(F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).alias("orphans"))
+
+
 def foreign_keys(tables: dict, fks) -> DataFrame:
-    """Orphan child rows per relationship; NULL child keys are ignored.
-    Child keys are pre-aggregated, then anti-joined to the parent keys (AQE
-    broadcasts the parent side when its runtime size is small)."""
+    """Orphan child rows per relationship; NULL child keys are ignored."""
     parts = []
     for fk in fks:
         fk: ForeignKey
-        child = tables[fk.child]
-        cond_nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk.child_cols])
-        keys = child.filter(cond_nn).groupBy(*fk.child_cols).agg(F.count(F.lit(1)).alias("n"))
-        parent = tables[fk.parent].select(*[F.col(p).alias(c) for p, c in zip(fk.parent_cols, fk.child_cols)])
-        orphans = keys.join(parent, list(fk.child_cols), "left_anti") \
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
+        orphans = orphan_rows(tables[fk.child], fk.child_cols, tables[fk.parent], fk.parent_cols)
         parts.append(orphans.select(*_row("foreign_key", fk.child, ",".join(fk.child_cols), F.col("orphans"),
                                           parent_table=F.lit(fk.parent),
                                           parent_column=F.lit(",".join(fk.parent_cols)))))
