@@ -672,3 +672,45 @@ ORACLE["ingest_single"] = ORACLE["bronze_audit_sqlserver"]
 ORACLE["medallion_end_to_end"] = ORACLE["layer_listing"].replace("AS record_count", "AS row_count")
 ORACLE["stream_quarantine"] = ORACLE["silver_quarantine"]
 ORACLE["stream_cdc_apply"] = S2
+
+
+# ---------------------------------------------------------------- result types
+# DuckDB types count_if as HUGEINT and to_json as JSON; Spark gives bigint
+# and string. Wrap every such call in a CAST so the result schemas agree.
+def _wrap_calls(sql: str, fname: str, cast_to: str) -> str:
+    out, i, n, token = [], 0, len(sql), fname + "("
+    while i < n:
+        if sql[i] == "'":                       # copy string literals verbatim
+            j = i + 1
+            while j < n and not (sql[j] == "'" and (j + 1 >= n or sql[j + 1] != "'")):
+                j += 2 if sql[j] == "'" else 1
+            out.append(sql[i:j + 1])
+            i = j + 1
+            continue
+        prev = sql[i - 1] if i else " "
+        if sql.startswith(token, i) and not (prev.isalnum() or prev == "_"):
+            depth, j = 0, i + len(fname)
+            while j < n:
+                ch = sql[j]
+                if ch == "'":
+                    j += 1
+                    while j < n and sql[j] != "'":
+                        j += 1
+                elif ch == "(":
+                    depth += 1
+                elif ch == ")":
+                    depth -= 1
+                    if depth == 0:
+                        break
+                j += 1
+            inner = _wrap_calls(sql[i + len(token):j], fname, cast_to)
+            out.append(f"CAST({fname}({inner}) AS {cast_to})")
+            i = j + 1
+            continue
+        out.append(sql[i])
+        i += 1
+    return "".join(out)
+
+
+for _k in list(ORACLE):
+    ORACLE[_k] = _wrap_calls(_wrap_calls(ORACLE[_k], "count_if", "BIGINT"), "to_json", "VARCHAR")
