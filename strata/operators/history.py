@@ -22,10 +22,13 @@ def watermark_increment(existing: DataFrame, incoming: DataFrame, col: str) -> D
     """Rows of ``incoming`` newer than max(col) already loaded. The watermark
     is one scalar (a single-row aggregate), so the resulting filter is a
     literal that pushes down into the scan."""
-    wm = existing.agg(F.max(col).alias("wm")).first()["wm"]
+    # carried as text and cast back to the column's own type, so no
+    # Python-side time zone conversion can shift it; the cast of a literal
+    # is constant-folded, keeping the filter pushable into the scan
+    wm = existing.agg(F.max(col).cast("string").alias("wm")).first()["wm"]
     if wm is None:
         return incoming
-    return incoming.filter(F.col(col) > F.lit(wm))
+    return incoming.filter(F.col(col) > F.lit(wm).cast(incoming.schema[col].dataType))
 
 
 def with_hash(df: DataFrame, keys, name: str = "record_hash") -> DataFrame:
