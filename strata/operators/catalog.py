@@ -49,6 +49,14 @@ def list_tables(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("length").alias("size_bytes"))
 
 
+def catalog_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Tables (not views) of a catalog database as a DataFrame, like a
+    dictionary query on INFORMATION_SCHEMA.TABLES where type = BASE TABLE."""
+    rows = [(t.name, t.database, t.tableType, bool(t.isTemporary))
+            for t in spark.catalog.listTables(database) if t.tableType != "VIEW"]
+    return spark.createDataFrame(rows, "table_name string, database string, table_type string, is_temporary boolean")
+
+
 def filter_names(names: DataFrame, pattern: str | None = None, exclude_system: bool = True,
                  system_patterns=SYSTEM_PATTERNS, col: str = "table_name") -> DataFrame:
     """Regex search (case-insensitive) on the name; then drop names that

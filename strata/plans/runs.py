@@ -149,3 +149,42 @@ def bronze_run(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C.BA
                                      "error string, seconds double")
     ok = sum(1 for r in rows if r[3])
     return df.withColumn("run_success_rate", F.lit(ok / len(rows) * 100 if rows else 0.0))
+
+
+def ingest_with_dlq(spark: SparkSession, source: DataFrame, table: str, lake: str, batch_id: str = C.BATCH_ID,
+                    load_ts=C.LOAD_TS, contract=None) -> DataFrame:
+    """Bronze ingest with a dead-letter queue: good rows to
+    ``staging/br_{table}``, failing rows to ``staging/br_ingestion_errors``,
+    both partitioned by batch id (a rerun replaces the batch). The summary
+    row is built from the two writes' observed counts — no extra scan."""
+    from ..operators import dlq as DLQ
+    chk = DLQ.checked(source, contract)
+    good = sinks.write_batch(DLQ.good_rows(chk, table, batch_id, load_ts), f"{lake}/staging/br_{table}",
+                             "br_batch_id")
+    bad = sinks.write_batch(DLQ.dlq_model_rows(DLQ.dlq_rows(chk, table, batch_id), load_ts),
+                            f"{lake}/staging/br_ingestion_errors", "batch_id")
+    total = good + bad
+    return spark.createDataFrame(
+        [(1, total, good, bad, round(good / total * 100, 2) if total else 0.0, bad > 0)],
+        "tables_processed int, records_processed bigint, records_success bigint, records_failed bigint, "
+        "success_rate double, has_errors boolean")
+
+
+def promote_to_silver(spark: SparkSession, bronze: DataFrame, rules, key_col: str, lake: str, silver_table: str,
+                      batch_id: str = C.BATCH_ID, load_ts=C.LOAD_TS, source_table: str | None = None,
+                      passthrough=(), record_cols=None) -> dict:
+    """Generic bronze -> silver promotion job: clean rows to
+    ``silver/{silver_table}``, failing rows to ``silver/sl_transformation_errors``.
+    Empty input returns success=False, 'No records found'. Statistics come
+    from the writes' observations."""
+    from ..operators import silver as S
+    if bronze.isEmpty():
+        return {"success": False, "records": 0, "error": "No records found"}
+    source_table = source_table or f"br_{silver_table.removeprefix('sl_')}"
+    clean, bad, _ = S.promote(bronze, rules, key_col, batch_id, load_ts, record_cols, source_table, silver_table,
+                              passthrough=passthrough)
+    promoted = sinks.write_batch(clean, f"{lake}/silver/{silver_table}", "sl_batch_id")
+    quarantined = sinks.write_batch(bad, f"{lake}/silver/sl_transformation_errors", "batch_id")
+    processed = promoted + quarantined
+    return {"success": True, "bronze_records": processed, "clean_records": promoted,
+            "quarantined_records": quarantined, "success_rate": promoted / processed * 100, "table": silver_table}

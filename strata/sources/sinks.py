@@ -42,9 +42,26 @@ def write_table(df: DataFrame, path: str, if_exists: str = "append", partition_b
     return int(obs.get.get("rows", 0))
 
 
-def ensure_schema(spark, schema: str) -> None:
-    """CREATE SCHEMA IF NOT EXISTS for catalog-backed sinks."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+def ensure_schema(spark, schema: str, location: str | None = None) -> None:
+    """CREATE SCHEMA IF NOT EXISTS for catalog-backed sinks (optionally at
+    an explicit storage location instead of the warehouse default)."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`{loc}")
+
+
+def write_catalog_table(df: DataFrame, target_table: str, target_schema: str = "bronze",
+                        if_exists: str = "append", partition_by=None, schema_location: str | None = None) -> int:
+    """Catalog-backed sink: ensure the schema exists, then save as
+    ``target_schema.target_table`` with the append/replace/fail mode."""
+    if if_exists not in MODES:
+        raise ValueError(f"if_exists must be one of {sorted(MODES)}")
+    ensure_schema(df.sparkSession, target_schema, schema_location)
+    observed, obs = _observed(df)
+    w = observed.write.mode(MODES[if_exists]).format("parquet")
+    if partition_by:
+        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    w.saveAsTable(f"`{target_schema}`.`{target_table}`")
+    return int(obs.get.get("rows", 0))
 
 
 def write_json(df: DataFrame, path: str) -> None:
