@@ -10,16 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Acceptance patterns of the contract.
-# integer: optional surrounding whitespace and sign, ASCII digits only.
-INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
+# integer (after stripping whitespace): optional sign, ASCII digits only.
+INT_PATTERN = r"^[+-]?[0-9]+$"
 # ISO date or date-time: date, optional T/space time with optional minutes,
 # seconds, 1-6 fraction digits, and an optional Z or +hh:mm offset.
 ISO_DATETIME_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"
 )
-# Python's str.strip() removes all leading/trailing whitespace, SQL trim only spaces.
-STRIP_PATTERN = r"^\s+|\s+$"
+# Python's str.strip() removes every character for which str.isspace() holds
+# (ASCII controls \t..\r and \x1c..\x1f, NEL, NBSP and the Unicode space
+# separators), SQL trim only spaces. The set is derived from that rule.
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 # Literals accepted as booleans (compared lower-cased, not stripped).
 TRUE_WORDS = ("true", "1", "yes", "t")
 FALSE_WORDS = ("false", "0", "no", "f")
@@ -30,8 +32,9 @@ def col_(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Remove all leading and trailing whitespace (not only spaces)."""
-    return F.regexp_replace(col_(c), STRIP_PATTERN, "")
+    """Remove all leading and trailing whitespace, as str.strip() does
+    (btrim over a character set: no regular expression per row)."""
+    return F.btrim(col_(c), F.lit(PY_WHITESPACE))
 
 
 def is_falsy(c) -> Column:
@@ -41,9 +44,9 @@ def is_falsy(c) -> Column:
 
 
 def parse_int(c) -> Column:
-    """String -> bigint, NULL when the text is not a whole number."""
-    c = col_(c).cast("string")
-    return F.when(c.rlike(INT_PATTERN), strip_ws(c).try_cast("bigint"))
+    """String -> bigint, NULL when the stripped text is not a whole number."""
+    s = strip_ws(col_(c).cast("string"))
+    return F.when(s.rlike(INT_PATTERN), s.try_cast("bigint"))
 
 
 def parse_iso_datetime(c) -> Column:

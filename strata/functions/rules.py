@@ -21,6 +21,9 @@ MISSING_FIELD = "MISSING_FIELD"
 DATA_TYPE = "DATA_TYPE"
 BUSINESS_RULE = "BUSINESS_RULE"
 
+# Fixed value: an '@', then a '.' before any second '@'.
+EMAIL_PATTERN = r"^[^@]*@[^@]*\."
+
 ERROR_FIELDS = ("category", "message", "failed_field", "expected_value", "actual_value")
 
 
@@ -84,8 +87,7 @@ def email(field: str = "email") -> Rule:
     raw = _raw_text(field)
     clean = F.lower(strip_ws(raw))
     # '@' present and a '.' in the piece between the first and second '@'
-    # (split_part gives '' when there is no '@').
-    well_formed = clean.contains("@") & F.split_part(clean, F.lit("@"), F.lit(2)).contains(".")
+    well_formed = clean.rlike(EMAIL_PATTERN)
     err = (F.when(is_falsy(raw), error(MISSING_FIELD, f"{field} is required but missing", field))
            .when(~well_formed, error(BUSINESS_RULE, f"{field} format is invalid", field, actual=clean)))
     return Rule(field, err, clean, "string")

@@ -8,7 +8,7 @@ CTE chains (bronze -> silver -> gold) are spelled once.
 from __future__ import annotations
 
 from .. import contracts as C
-from ..functions.parsing import INT_PATTERN, ISO_DATETIME_PATTERN, STRIP_PATTERN
+from ..functions.parsing import INT_PATTERN, ISO_DATETIME_PATTERN, PY_WHITESPACE
 from .fixtures import DIRTY_CUSTOMER_SQL
 
 ORACLE: dict = {}
@@ -43,9 +43,9 @@ def md5_join(cols) -> str:
     return "md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'None')" for c in cols) + "))"
 
 
-def strip(x): return f"regexp_replace({x}, '{STRIP_PATTERN}', '', 'g')"
+def strip(x): return f"trim({x}, {q(PY_WHITESPACE)})"
 def falsy(x): return f"({x} IS NULL OR {x} = '')"
-def pint(x): return f"(CASE WHEN regexp_matches({x}, '{INT_PATTERN}') THEN TRY_CAST({strip(x)} AS BIGINT) END)"
+def pint(x): return f"(CASE WHEN regexp_matches({strip(x)}, '{INT_PATTERN}') THEN TRY_CAST({strip(x)} AS BIGINT) END)"
 
 
 def pts(x):
@@ -80,7 +80,7 @@ def r_required_string(f):
 
 def r_email(f):
     e = f"lower({strip(f)})"
-    ok = f"(contains({e}, '@') AND contains(split_part({e}, '@', 2), '.'))"
+    ok = f"(contains({e}, '@') AND contains(split_part({e}, '@', 2), '.'))"   # stated independently of the regex
     return (f, [(falsy(f), err("MISSING_FIELD", q(f"{f} is required but missing"), f)),
                 (f"NOT {ok}", err("BUSINESS_RULE", q(f"{f} format is invalid"), f, e))],
             e)

@@ -98,3 +98,9 @@ def test_optional_int_and_bool_defaults(spark):
                                             ("", None), (None, None)])
 def test_iso_rule(spark, value, expected):
     assert _rule(spark, R.iso_datetime("create_date"), [value])[0][0] == expected
+
+
+def test_strip_matches_python_unicode_whitespace(spark):
+    vals = ["　x ", "\x1cy\x85", "  z  "]
+    assert _one(spark, vals, strip_ws) == [v.strip() for v in vals]
+    assert _one(spark, [" 12 "], parse_int) == [12]
