@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..contracts import FOREIGN_KEYS, PRIMARY_KEYS
-from .quality import orphan_rows
 from ..sources.tables import table_path
+from .quality import orphan_report
 
 # Tables whose name contains one of these are system tables.
 SYSTEM_PATTERNS = ("sys", "INFORMATION_SCHEMA", "tempdb", "msdb")
@@ -145,25 +145,12 @@ def fk_candidate_pairs(spark: SparkSession, sf_dir: str, tables):
 
 def fk_candidates(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
     """For every candidate pair: is the parent column unique, how many child
-    rows have a non-null value missing from the parent, and the verdict."""
+    rows have a non-null value missing from the parent, and the verdict —
+    all pairs answered by one plan (``quality.orphan_report``)."""
     pairs = fk_candidate_pairs(spark, sf_dir, tables)
-    parents = sorted({(pt, pc) for _, _, pt, pc in pairs})
-    uniq = {}
-    for pt, pc in parents:
-        p = spark.read.parquet(table_path(sf_dir, pt))
-        g = p.filter(F.col(pc).isNotNull()).groupBy(pc).agg(F.count(F.lit(1)).alias("n"))
-        uniq[(pt, pc)] = g.agg((F.coalesce(F.max("n"), F.lit(1)) <= 1).alias("parent_unique"))
-    parts = []
-    for ct, cc, pt, pc in pairs:
-        orphans = orphan_rows(spark.read.parquet(table_path(sf_dir, ct)), [cc],
-                              spark.read.parquet(table_path(sf_dir, pt)), [pc]) \
-            .withColumnRenamed("orphans", "orphan_rows")
-        info = uniq[(pt, pc)].select(
-            F.lit(ct).alias("child_table"), F.lit(cc).alias("child_column"),
-            F.lit(pt).alias("parent_table"), F.lit(pc).alias("parent_column"), "parent_unique")
-        parts.append(info.join(orphans.withColumn("child_table", F.lit(ct)), "child_table"))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("is_foreign_key", F.col("parent_unique") & (F.col("orphan_rows") == 0))
+    frames = {t: spark.read.parquet(table_path(sf_dir, t)) for t in {p[0] for p in pairs} | {p[2] for p in pairs}}
+    rep = orphan_report(spark, frames, pairs)
+    return rep.withColumn("is_foreign_key", F.col("parent_unique") & (F.col("orphan_rows") == 0))
 
 
 # ---------------------------------------------------------------- registry upsert

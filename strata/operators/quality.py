@@ -91,11 +91,74 @@ def orphan_rows(child: DataFrame, child_cols, parent: DataFrame, parent_cols) ->
     return j.agg(F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).alias("orphans"))
 
 
+PAIR_COLS = ["child_table", "child_column", "parent_table", "parent_column"]
+
+
+def key_counts(frames: dict, columns) -> DataFrame:
+    """(table_name, column_name, key, rows) for many single key columns at
+    once: one union of narrow key projections and a single grouped count,
+    so every table is scanned once per key column and a hot key collapses to
+    one row per map task before the shuffle."""
+    parts = [frames[t].select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
+                              F.col(c).cast("bigint").alias("key")) for t, c in columns]
+    return union_all(parts).filter(F.col("key").isNotNull()) \
+        .groupBy("table_name", "column_name", "key").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def orphan_report(spark, frames: dict, pairs) -> DataFrame:
+    """For (child_table, child_column, parent_table, parent_column) pairs of
+    integer key columns: child rows whose key is missing from the parent
+    (``orphan_rows``) and whether the parent column is unique.
+
+    All pairs are answered by one plan over the key table above: child keys
+    meet parent keys in one keyed left join (both sides already aggregated,
+    so no key can be hot), then one grouped sum. The pair list itself is
+    metadata (bounded by the number of key columns)."""
+    pairs = sorted(set(pairs))
+    cols = sorted({(p[0], p[1]) for p in pairs} | {(p[2], p[3]) for p in pairs})
+    k = key_counts(frames, cols)
+    # The pair list is built on the driver from schemas: at most (key
+    # columns)^2 rows — a proven bound — so it is broadcast. Joining it by
+    # (table, column) through a shuffle would put every key of a column
+    # into one task.
+    pf = F.broadcast(spark.createDataFrame(pairs, "child_table string, child_column string, parent_table string, "
+                                                  "parent_column string"))
+    child = k.join(pf, (k["table_name"] == pf["child_table"]) & (k["column_name"] == pf["child_column"])) \
+        .select(*PAIR_COLS, "key", "rows")
+    # _hit reads `rows` so every use of k keeps the same aggregate, letting
+    # Spark compute its shuffle once and reuse it for all three consumers
+    parent = k.select(F.col("table_name").alias("parent_table"), F.col("column_name").alias("parent_column"),
+                      "key", (F.col("rows") > 0).alias("_hit"))
+    orphans = child.join(parent, ["parent_table", "parent_column", "key"], "left").groupBy(*PAIR_COLS) \
+        .agg(F.sum(F.when(F.col("_hit").isNull(), F.col("rows")).otherwise(0)).alias("orphan_rows"))
+    unique = k.groupBy(F.col("table_name").alias("parent_table"), F.col("column_name").alias("parent_column")) \
+        .agg((F.max("rows") <= 1).alias("parent_unique"))
+    # orphans / unique hold one row per pair / per column (metadata-sized)
+    return (pf.join(F.broadcast(orphans), PAIR_COLS, "left")
+            .join(F.broadcast(unique), ["parent_table", "parent_column"], "left")
+            .select(*PAIR_COLS, F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows"),
+                    F.coalesce("parent_unique", F.lit(True)).alias("parent_unique")))
+
+
 def foreign_keys(tables: dict, fks) -> DataFrame:
-    """Orphan child rows per relationship; NULL child keys are ignored."""
+    """Orphan child rows per relationship; NULL child keys are ignored.
+    Single-column relationships are all answered by one ``orphan_report``
+    plan; composite keys fall back to ``orphan_rows`` per relationship."""
+    fks = list(fks)
+    simple = [fk for fk in fks if len(fk.child_cols) == 1]
     parts = []
+    if simple:
+        spark = next(iter(tables.values())).sparkSession
+        rep = orphan_report(spark, tables, [(fk.child, fk.child_cols[0], fk.parent, fk.parent_cols[0])
+                                            for fk in simple])
+        failures = F.col("orphan_rows")
+        parts.append(rep.select(F.lit("foreign_key").alias("check_name"), F.col("child_table").alias("table_name"),
+                                F.col("child_column").alias("column_name"), failures.alias("failures"),
+                                (failures == 0).alias("ok"), "parent_table",
+                                F.col("parent_column").alias("parent_column")))
     for fk in fks:
-        fk: ForeignKey
+        if len(fk.child_cols) == 1:
+            continue
         orphans = orphan_rows(tables[fk.child], fk.child_cols, tables[fk.parent], fk.parent_cols)
         parts.append(orphans.select(*_row("foreign_key", fk.child, ",".join(fk.child_cols), F.col("orphans"),
                                           parent_table=F.lit(fk.parent),
