@@ -107,7 +107,8 @@ def column_catalog(spark: SparkSession, sf_dir: str, tables, schema_name: str =
 def table_metadata(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
     """Columns, keys and row count per table: the column catalog joined to
     the row counts on table name (both metadata-sized)."""
-    return column_catalog(spark, sf_dir, tables).join(row_counts(spark, sf_dir, tables), "table_name")
+    # one row count per table: bounded by the number of tables
+    return column_catalog(spark, sf_dir, tables).join(F.broadcast(row_counts(spark, sf_dir, tables)), "table_name")
 
 
 def discover(spark: SparkSession, sf_dir: str, pattern: str | None = None, exclude_system: bool = True) -> DataFrame:
