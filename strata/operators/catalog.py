@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..contracts import FOREIGN_KEYS, PRIMARY_KEYS
-from ..sources.tables import table_path
+from ..sources.tables import scan_table
 from .quality import orphan_report
 
 # Tables whose name contains one of these are system tables.
@@ -82,7 +82,7 @@ def include_exclude(names: DataFrame, include: str | None = None, exclude: str |
 
 def row_counts(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
     """(table_name, row_count) — one union of per-table COUNT(*) aggregates."""
-    parts = [spark.read.parquet(table_path(sf_dir, t)).agg(F.count(F.lit(1)).alias("row_count"))
+    parts = [scan_table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(t).alias("table_name"), "row_count") for t in tables]
     return reduce(DataFrame.unionByName, parts)
 
@@ -94,7 +94,7 @@ def column_catalog(spark: SparkSession, sf_dir: str, tables, schema_name: str =
                  for c, p in zip(fk.child_cols, fk.parent_cols)}
     rows = []
     for t in tables:
-        schema = spark.read.parquet(table_path(sf_dir, t)).schema
+        schema = scan_table(spark, sf_dir, t).schema
         for i, f in enumerate(schema.fields, start=1):
             rows.append((schema_name, t, i, f.name, sql_type_name(f.dataType), bool(f.nullable), False,
                          f.name in PRIMARY_KEYS.get(t, ()), fk_target.get((t, f.name))))
@@ -132,7 +132,7 @@ def fk_candidate_pairs(spark: SparkSession, sf_dir: str, tables):
     like keys (*key, *_id) whose names match after the table prefix."""
     keyish = {}
     for t in tables:
-        for f in spark.read.parquet(table_path(sf_dir, t)).schema.fields:
+        for f in scan_table(spark, sf_dir, t).schema.fields:
             if isinstance(f.dataType, (T.IntegerType, T.LongType)) and (f.name.endswith("key") or f.name.endswith("_id")):
                 keyish.setdefault(_key_suffix(f.name), []).append((t, f.name))
     pairs = []
@@ -149,7 +149,7 @@ def fk_candidates(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
     rows have a non-null value missing from the parent, and the verdict —
     all pairs answered by one plan (``quality.orphan_report``)."""
     pairs = fk_candidate_pairs(spark, sf_dir, tables)
-    frames = {t: spark.read.parquet(table_path(sf_dir, t)) for t in {p[0] for p in pairs} | {p[2] for p in pairs}}
+    frames = {t: scan_table(spark, sf_dir, t) for t in {p[0] for p in pairs} | {p[2] for p in pairs}}
     rep = orphan_report(spark, frames, pairs)
     return rep.withColumn("is_foreign_key", F.col("parent_unique") & (F.col("orphan_rows") == 0))
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.tables import scan_table
+
 DIRTY_CUSTOMER_SQL = """
 SELECT
  CASE WHEN c_custkey % 97 = 1 THEN NULL WHEN c_custkey % 89 = 1 THEN concat('X', CAST(c_custkey AS STRING))
@@ -37,7 +39,7 @@ FROM {customer}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return scan_table(spark, sf_dir, name)
 
 
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import contracts as C
 from ..operators import bronze as B, catalog as CAT
 from ..sources import sinks
-from ..sources.tables import parse_qualified
+from ..sources.tables import parse_qualified, scan_table
 
 AUDIT_SCHEMA = ("audit_id string, source_system string, source_schema string, source_table string, "
                 "target_table string, ingestion_started_at timestamp_ntz, ingestion_completed_at timestamp_ntz, "
@@ -127,7 +127,7 @@ def ingest_all(spark: SparkSession, sf_dir: str, reader, lake: str, load_ts, aud
 
 
 def parquet_reader(spark: SparkSession, sf_dir: str):
-    return lambda spec: spark.read.parquet(f"{sf_dir.rstrip('/')}/{spec.source_table}.parquet")
+    return lambda spec: scan_table(spark, sf_dir, spec.source_table)
 
 
 def bronze_run(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C.BATCH_ID, load_ts=C.LOAD_TS,
@@ -139,7 +139,7 @@ def bronze_run(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C.BA
     for t in tables:
         t0 = time.time()
         try:
-            src = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
+            src = scan_table(spark, sf_dir, t)
             br = B.audit_lenient(B.stringify(src), t, batch_id, load_ts, key_cols=keys.get(t, ()))
             n = sinks.write_batch(br, f"{lake}/staging/br_{t}", "br_batch_id")
             rows.append((t, f"br_{t}", n, True, None, time.time() - t0))

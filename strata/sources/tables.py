@@ -14,9 +14,21 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SCHEMAS: dict = {}
+
+
 def scan_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Whole table by name."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Whole table by name. Source tables are read-only inputs, so their
+    schema is inferred once per SparkContext and then passed explicitly,
+    which skips the footer read on every later scan."""
+    path = table_path(sf_dir, name)
+    key = (id(spark.sparkContext), path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def scan_projected(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.rules import customer_rules
 from ..operators import bronze as B, silver as S
 from ..sources import sinks
+from ..sources.tables import scan_table
 
 
 def customer_bronze_stream(spark: SparkSession, sf_dir: str, transform, max_files: int = 1) -> DataFrame:
     """Stream the customer table's files (new files are picked up as they land)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").schema
+    schema = scan_table(spark, sf_dir, "customer").schema
     raw = (spark.readStream.schema(schema).option("pathGlobFilter", "customer.parquet")
            .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
     return transform(raw)
