@@ -19,6 +19,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # concurrent table ingests (plans/runs.ingest_many) share executors fairly
+    "spark.scheduler.mode": "FAIR",
 }
 
 
