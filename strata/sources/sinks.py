@@ -69,10 +69,12 @@ def write_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def read_latest_version(spark, path: str, version_col: str = "version") -> DataFrame:
-    """The newest complete version of a versioned table (partition pruned)."""
+def read_latest_version(spark, path: str, version_col: str = "version", at_most: int | None = None):
+    """(frame, version) of the newest complete version of a versioned table,
+    optionally the newest one not above ``at_most`` (partition pruned)."""
     t = spark.read.parquet(path)
-    v = t.agg(F.max(version_col).alias("v")).first()["v"]   # one scalar
+    cand = t if at_most is None else t.filter(F.col(version_col) <= F.lit(int(at_most)))
+    v = cand.agg(F.max(version_col).alias("v")).first()["v"]   # one scalar
     return t.filter(F.col(version_col) == F.lit(v)).drop(version_col), v
 
 

@@ -39,21 +39,23 @@ def fold(state: DataFrame, events: DataFrame, key: str, row_schema: T.StructType
               .select(F.col("record_key").alias(key), F.col("e.operation").alias("_op"),
                       F.from_json(F.col("e.data"), row_schema).alias("_new")))
     cols = [f.name for f in row_schema.fields]
-    j = state.withColumn("_old", F.lit(True)).join(latest, key, "full_outer")
-    out = j.filter(F.col("_op").isNull() | (F.col("_op") != "D")).select(
-        *[F.when(F.col("_op").isNull(), F.col(c) if c != key else F.col(key))
-          .otherwise(F.col(f"_new.{c}")).alias(c) for c in cols])
-    return out
+    j = state.join(latest, key, "full_outer")
+    return j.filter(F.col("_op").isNull() | (F.col("_op") != "D")).select(
+        *[F.when(F.col("_op").isNull(), F.col(c)).otherwise(F.col(f"_new.{c}")).alias(c) for c in cols])
 
 
 def start_apply_stream(spark: SparkSession, events_path: str, state_path: str, checkpoint: str, key: str,
-                       row_schema: T.StructType, available_now: bool = True):
-    stream = spark.readStream.schema(EVENT_SCHEMA).json(events_path)
+                       row_schema: T.StructType, available_now: bool = True, max_files: int | None = None):
+    reader = spark.readStream.schema(EVENT_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    stream = reader.json(events_path)
 
     def apply_batch(batch: DataFrame, epoch_id: int):
-        # the state read is the version left by the previous micro-batch; this
-        # one writes version epoch+1, so a replayed micro-batch rewrites only it
-        current = sinks.read_latest_version(spark, state_path)[0]
+        # micro-batch e reads the newest version <= e (left by an earlier
+        # micro-batch) and writes version e+1; a replay after a failure reads
+        # the same input version and rewrites only its own output version
+        current = sinks.read_latest_version(spark, state_path, at_most=int(epoch_id))[0]
         sinks.write_version(fold(current, batch, key, row_schema), state_path, int(epoch_id) + 1)
 
     w = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
