@@ -18,6 +18,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ("medallion_end_to_end", "silver_promote_generic", "record_hash_sha256", "dq_foreign_keys", "scd2_apply")
 
+# Input rows each headline query processes (for rows/s): tables it reads, with multiplicity.
+INPUT_TABLES = {
+    "medallion_end_to_end": {"customer": 1, "orders": 1},
+    "silver_promote_generic": {"orders": 1},
+    "record_hash_sha256": {"lineitem": 1},
+    "dq_foreign_keys": {"region": 1, "nation": 3, "customer": 2, "supplier": 2, "part": 1, "orders": 2, "lineitem": 3},
+    "scd2_apply": {"customer": 2},
+}
+
 
 def main():
     from strata.plans.registry import QUERIES
@@ -40,6 +49,14 @@ def main():
         run(name)                      # warm-up
         runs = sorted(run(name) for _ in range(repeats))
         timings[name] = round(runs[len(runs) // 2], 3)
+    from pyspark.sql import functions as F
+    counts = {}
+    for name in names:
+        for t in INPUT_TABLES.get(name, {}):
+            if t not in counts:
+                counts[t] = spark.read.parquet(f"{sf_dir}/{t}.parquet").agg(F.count(F.lit(1))).first()[0]
+    rows = {n: sum(counts[t] * k for t, k in INPUT_TABLES[n].items()) for n in names if n in INPUT_TABLES}
+    rows_per_sec = {n: round(r / timings[n]) for n, r in rows.items() if timings.get(n)}
     sf = sf_dir.rsplit("sf", 1)[-1]
     try:
         sf = float(sf)
@@ -47,7 +64,8 @@ def main():
         pass
     print(json.dumps({"metric": "headline_total_seconds" if names == list(HEADLINE) else "total_seconds",
                       "value": round(sum(timings.values()), 3), "unit": "sec", "queries": timings, "sf": sf,
-                      "cpus": int(cpus), "timing": f"median of {repeats} runs after one warm-up, noop sink"}))
+                      "cpus": int(cpus), "rows": rows, "rows_per_sec": rows_per_sec,
+                      "timing": f"median of {repeats} runs after one warm-up, noop sink"}))
     spark.stop()
 
 

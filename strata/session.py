@@ -67,3 +67,17 @@ def workspace_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder under the workspace (one per run)."""
     return f"{workspace_root(spark)}/{purpose}/{uuid.uuid4().hex}"
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Sizing for a cluster run: scan splits of ~128 MB, and enough shuffle
+    partitions that each holds about one split's worth (AQE coalesces the
+    small ones and splits skewed ones at run time)."""
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

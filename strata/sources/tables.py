@@ -79,7 +79,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     CPU-heavy per-row work such as hashing or rule evaluation. A scan that
     is already split at least that finely — every large input — is
     returned unchanged, so no shuffle is added at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:   # sessions without RDD access (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)

@@ -77,3 +77,19 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert Q.orphan_report(spark, gone, [("c", "k", "p", "pk")]).first().orphan_rows == n // 3 + 1
     d = H.dedup_earliest(df.withColumn("t", F.col("v")), ["k"], ["t"])
     assert d.filter(F.col("k") == 7).first().t == 0 and d.count() == n - n // 3
+
+
+def test_recommended_conf_scales_with_input():
+    from strata.session import recommended_conf
+    small = recommended_conf(10 << 20, 8)
+    big = recommended_conf(100 << 40, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+
+
+def test_spread_only_when_under_split(spark):
+    from strata.sources.tables import spread
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(8)
+    assert spread(many, 4) is many
