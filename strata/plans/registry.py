@@ -1,8 +1,10 @@
 """Registered queries: one DataFrame-returning callable per operator.
 
-Each takes (spark, sf_dir), reads the driver tables under ``sf_dir`` (or
-data Spark derives from them) and returns a lazy DataFrame; nothing is
-collected to the driver.
+Each takes (spark, sf_dir), reads the driver tables under ``sf_dir`` whole
+(or data Spark derives from them) and returns a DataFrame. Most are lazy;
+the sink, run and streaming queries perform their writes when called and
+return what they wrote, read back. Only metadata-sized values (a watermark
+scalar, table names) are ever collected to the driver.
 """
 
 from __future__ import annotations
@@ -57,6 +59,10 @@ def scan_query(spark, sf_dir):
 
 @query("scan_partitioned")
 def scan_partitioned(spark, sf_dir):
+    # Batched/partitioned read with a column list: parquet is split into
+    # parallel scan tasks by Spark itself; the JDBC form (numPartitions,
+    # fetchsize, pruned SELECT list) is sources.tables.read_jdbc, tested
+    # against embedded Derby.
     return T.scan_projected(spark, sf_dir, "lineitem", LINEITEM_PROJECTION)
 
 
