@@ -101,7 +101,8 @@ def key_counts(frames: dict, columns) -> DataFrame:
     one row per map task before the shuffle."""
     parts = [frames[t].select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
                               F.col(c).cast("bigint").alias("key")) for t, c in columns]
-    return union_all(parts).filter(F.col("key").isNotNull()) \
+    # identical positional schemas: plain union (no by-name resolution)
+    return reduce(DataFrame.union, parts).filter(F.col("key").isNotNull()) \
         .groupBy("table_name", "column_name", "key").agg(F.count(F.lit(1)).alias("rows"))
 
 
