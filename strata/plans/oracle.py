@@ -714,3 +714,25 @@ def _wrap_calls(sql: str, fname: str, cast_to: str) -> str:
 
 for _k in list(ORACLE):
     ORACLE[_k] = _wrap_calls(_wrap_calls(ORACLE[_k], "count_if", "BIGINT"), "to_json", "VARCHAR")
+
+
+def _audit_rows(tables) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{C.BATCH_ID}:dbo.{t}' AS audit_id, 'parquet' AS source_system, 'dbo' AS source_schema, "
+        f"{q(t)} AS source_table, 'bronze.dbo_{t}' AS target_table, count(*) AS rows_processed, 'success' AS status, "
+        f"CAST(NULL AS VARCHAR) AS error_message, {BATCH} AS batch_id FROM {t}" for t in tables)
+
+
+ORACLE["ingest_multi"] = _audit_rows(["customer", "orders", "part"])
+ORACLE["ingest_all"] = _audit_rows(["customer", "lineitem", "orders", "part", "supplier"])
+ORACLE["bronze_run"] = " UNION ALL ".join(
+    f"SELECT {q(t)} AS source_table, 'br_{t}' AS bronze_table, count(*) AS records, TRUE AS success, "
+    f"CAST(NULL AS VARCHAR) AS error, CAST(100.0 AS DOUBLE) AS run_success_rate FROM {t}"
+    for t in ["customer", "orders", "part"])
+ORACLE["sink_modes"] = " UNION ALL ".join(
+    f"SELECT {q(mode)} AS if_exists, 'dbo_nation' AS target_table, {n} AS rows_written, {q(outcome)} AS outcome, "
+    f"(SELECT count(*) FROM nation) AS rows_in_target FROM (SELECT 1)"
+    for mode, n, outcome in [("append", "(SELECT count(*) FROM nation)", "written"),
+                             ("append", "(SELECT count(*) FROM nation)", "written"),
+                             ("replace", "(SELECT count(*) FROM nation)", "written"),
+                             ("fail", "CAST(0 AS BIGINT)", "rejected")])
