@@ -50,9 +50,13 @@ def ensure_schema(spark, schema: str, location: str | None = None) -> None:
 
 
 def write_catalog_table(df: DataFrame, target_table: str, target_schema: str = "bronze",
-                        if_exists: str = "append", partition_by=None, schema_location: str | None = None) -> int:
+                        if_exists: str = "append", partition_by=None, schema_location: str | None = None,
+                        bucket_by: tuple | None = None) -> int:
     """Catalog-backed sink: ensure the schema exists, then save as
-    ``target_schema.target_table`` with the append/replace/fail mode."""
+    ``target_schema.target_table`` with the append/replace/fail mode.
+    ``bucket_by=(n, cols)`` stores the table hash-bucketed and sorted by
+    ``cols``, so later joins/aggregations on those keys (SCD2 history,
+    registry upserts) read it co-partitioned, without a shuffle."""
     if if_exists not in MODES:
         raise ValueError(f"if_exists must be one of {sorted(MODES)}")
     ensure_schema(df.sparkSession, target_schema, schema_location)
@@ -60,6 +64,10 @@ def write_catalog_table(df: DataFrame, target_table: str, target_schema: str = "
     w = observed.write.mode(MODES[if_exists]).format("parquet")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if bucket_by:
+        n, cols = bucket_by
+        cols = [cols] if isinstance(cols, str) else list(cols)
+        w = w.bucketBy(int(n), *cols).sortBy(*cols)
     w.saveAsTable(f"`{target_schema}`.`{target_table}`")
     return int(obs.get.get("rows", 0))
 

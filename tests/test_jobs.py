@@ -68,3 +68,20 @@ def test_target_naming_and_qualified_names():
     assert (spec.source_schema, spec.source_table, spec.target()) == ("sales", "Customer", "sales_Customer")
     assert RUN.TableSpec.parse("Customer").source_schema == "dbo"
     assert B.target_name("br_{table}", table="film") == "br_film"
+
+
+def test_bucketed_history_joins_without_shuffle(spark, tmp_path):
+    from strata import contracts as C
+    from strata.operators import history as H
+    from strata.plans import fixtures as FX
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hist = H.scd2_initial(FX.customer_snapshot_1(spark, SF001), ["c_custkey"], C.LOAD_TS, C.BATCH_ID)
+        for name in ("hist_a", "hist_b"):
+            sinks.write_catalog_table(hist, name, "history_test", "replace", bucket_by=(8, "c_custkey"),
+                                      schema_location=str(tmp_path / "history_test"))
+        a, b = spark.table("history_test.hist_a"), spark.table("history_test.hist_b")
+        plan = a.join(b, "c_custkey")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
