@@ -126,6 +126,24 @@ def ingest_all(spark: SparkSession, sf_dir: str, reader, lake: str, load_ts, aud
     return ingest_many(spark, reader, [TableSpec(t, schema) for t in selected], lake, load_ts, audit)
 
 
+def jdbc_reader(spark: SparkSession, url: str, properties: dict | None = None, partitioning: dict | None = None,
+                fetch_size: int = 10000):
+    """Reader for ``ingest_*`` from a database: ``schema.table`` per spec;
+    ``partitioning`` maps a table to (column, lower, upper, partitions) for
+    parallel range reads."""
+    from ..sources.tables import read_jdbc
+
+    def read(spec: TableSpec) -> DataFrame:
+        part = (partitioning or {}).get(spec.source_table)
+        kw = {}
+        if part:
+            col, lo, hi, n = part
+            kw = dict(partition_column=col, lower_bound=lo, upper_bound=hi, num_partitions=n)
+        return read_jdbc(spark, url, f"{spec.source_schema}.{spec.source_table}", fetch_size=fetch_size,
+                         properties=properties, **kw)
+    return read
+
+
 def parquet_reader(spark: SparkSession, sf_dir: str):
     return lambda spec: scan_table(spark, sf_dir, spec.source_table)
 

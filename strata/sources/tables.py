@@ -43,18 +43,22 @@ def scan_query(spark: SparkSession, query: str, args: dict | None = None, **tabl
     return spark.sql(query, args=args, **tables)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, *, columns=None, partition_column: str | None = None,
-              lower_bound: int | None = None, upper_bound: int | None = None, num_partitions: int = 4,
-              fetch_size: int = 10000, properties: dict | None = None) -> DataFrame:
-    """Batched, optionally partitioned JDBC read.
+def read_jdbc(spark: SparkSession, url: str, table: str | None = None, *, query: str | None = None, columns=None,
+              partition_column: str | None = None, lower_bound: int | None = None, upper_bound: int | None = None,
+              num_partitions: int = 4, fetch_size: int = 10000, properties: dict | None = None) -> DataFrame:
+    """Batched, optionally partitioned JDBC read of a table or a custom query.
 
     With a numeric ``partition_column`` the table is read by
     ``num_partitions`` parallel range queries (one connection each, rows
     streamed ``fetch_size`` at a time); the column list becomes the SELECT
-    list of each query.
+    list of each query and filters are pushed into its WHERE clause. A
+    custom ``query`` runs as a subquery (Spark cannot range-partition it;
+    wrap it as ``dbtable='(query) q'`` with a partition column for that).
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table) \
-        .option("fetchsize", str(fetch_size))
+    if (table is None) == (query is None):
+        raise ValueError("give exactly one of table or query")
+    reader = spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetch_size))
+    reader = reader.option("dbtable", table) if table is not None else reader.option("query", query)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
     if partition_column is not None:
