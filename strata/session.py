@@ -46,8 +46,9 @@ def workspace_root(spark: SparkSession) -> str:
     """Shared folder for layer tables, streaming checkpoints and versions.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (it must
-    be shared storage). Only when the session has none — local tests — a
-    fresh folder is made and registered as the checkpoint dir.
+    be shared storage; a cluster session without one is an error). Only a
+    local-mode session without one — tests — gets a fresh folder, which is
+    also registered as its checkpoint dir.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
@@ -56,6 +57,9 @@ def workspace_root(spark: SparkSession) -> str:
         except Exception:
             root = None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...): layer tables, "
+                               "stream checkpoints and state versions must survive executor loss")
         key = id(spark.sparkContext)
         if key not in _LOCAL_ROOT:
             _LOCAL_ROOT[key] = tempfile.mkdtemp(prefix="strata-ws-")
