@@ -16,11 +16,13 @@ from ..sources import sinks
 from ..sources.tables import scan_table
 
 
-def customer_bronze_stream(spark: SparkSession, sf_dir: str, transform, max_files: int = 1) -> DataFrame:
-    """Stream the customer table's files (new files are picked up as they land)."""
+def customer_bronze_stream(spark: SparkSession, sf_dir: str, transform, max_files: int = 1,
+                           source_dir: str | None = None, glob: str = "customer.parquet") -> DataFrame:
+    """Stream customer files from ``source_dir`` (default: the table folder);
+    files that land later are picked up by the next trigger."""
     schema = scan_table(spark, sf_dir, "customer").schema
-    raw = (spark.readStream.schema(schema).option("pathGlobFilter", "customer.parquet")
-           .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
+    raw = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
+           .option("maxFilesPerTrigger", max_files).parquet(source_dir or sf_dir))
     return transform(raw)
 
 

@@ -24,3 +24,31 @@ def test_stream_restart_does_not_duplicate(spark, tmp_path):
     expected = CustomerFlow(spark, SF001).quarantine().count()
     assert first == expected
     assert spark.read.parquet(f"{base}/lake/silver/sl_customer").count() == CustomerFlow(spark, SF001).silver().count()
+
+
+def test_stream_picks_up_only_new_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+    base = str(tmp_path)
+    cust = spark.read.parquet(f"{SF001}/customer.parquet")
+    first, second = cust.filter(F.col("c_custkey") < 75), cust.filter(F.col("c_custkey") >= 75)
+    first.coalesce(1).write.parquet(f"{base}/landing/part1")
+
+    def run():
+        stream = STREAM.customer_bronze_stream(
+            spark, SF001, lambda raw: spark.sql(FX.DIRTY_CUSTOMER_SQL, customer=raw),
+            source_dir=f"{base}/landing/*", glob="*.parquet")
+        q = STREAM.start_quarantine_stream(stream, f"{base}/lake", f"{base}/_ck", C.BATCH_ID, C.LOAD_TS)
+        q.awaitTermination()
+
+    def total():
+        s = spark.read.parquet(f"{base}/lake/silver/sl_customer").count()
+        e = spark.read.parquet(f"{base}/lake/silver/sl_transformation_errors").count()
+        return s + e
+
+    run()
+    assert total() == 75
+    second.coalesce(1).write.parquet(f"{base}/landing/part2")
+    run()
+    assert total() == 150
+    epochs = {r[0] for r in spark.read.parquet(f"{base}/lake/silver/sl_customer").select("stream_epoch").collect()}
+    assert len(epochs) == 2
