@@ -1,0 +1,133 @@
+"""Hash-bucketed, versioned state table for keyed upserts on plain parquet.
+
+Without MERGE, a keyed upsert rewrites whatever it reads. Here the state is
+split into ``buckets`` hash buckets of the key, and a new version rewrites
+only the buckets that the incoming keys fall into; the others keep pointing
+at the folders an older version wrote.
+
+Layout under ``path``::
+
+    data/bucket=<b>/version=<v>/    rows of bucket b, written by version v
+    manifest/version=<v>/           version v: one row per non-empty bucket
+                                    (bucket, data_version), plus a header row
+                                    (bucket -1) with the bucket count and schema
+
+A version exists once its manifest does. The manifest is written after the
+data, so a reader never sees a half-written version, and a retry of the same
+version rewrites the same folders. The manifest has one row per bucket, so it
+is metadata-sized; choose ``buckets`` so one bucket holds roughly one scan
+split to one GB of state.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+
+MANIFEST_DDL = "bucket int, data_version bigint, buckets int, row_schema string, version bigint"
+HEADER = -1
+
+
+def bucket_of(keys, buckets: int) -> Column:
+    """Bucket id in [0, buckets) of the key columns (xxhash64, so the same
+    key of the same type lands in the same bucket in every engine run)."""
+    cols = [F.col(k) if isinstance(k, str) else k for k in ([keys] if isinstance(keys, (str, Column)) else keys)]
+    return F.pmod(F.xxhash64(*cols), F.lit(int(buckets))).cast("int")
+
+
+class Version:
+    """One manifest: which folder holds each bucket, the bucket count and schema."""
+
+    def __init__(self, path: str, version: int, buckets: int, schema: T.StructType, folders: dict[int, int]):
+        self.path, self.version, self.buckets, self.schema, self.folders = path, version, buckets, schema, folders
+
+    def paths(self, only=None) -> list[str]:
+        return [f"{self.path}/data/bucket={b}/version={v}" for b, v in sorted(self.folders.items())
+                if only is None or b in only]
+
+    def read(self, spark: SparkSession, only=None) -> DataFrame:
+        """The rows of this version (optionally only the given buckets)."""
+        paths = self.paths(only)
+        if not paths:
+            return spark.createDataFrame([], self.schema)
+        return (spark.read.schema(self.schema).option("basePath", f"{self.path}/data").parquet(*paths)
+                .select(*self.schema.fieldNames()))
+
+
+def manifest(spark: SparkSession, path: str, at_most: int | None = None) -> Version:
+    """The newest version (not above ``at_most``); reads only the manifest,
+    never the data."""
+    m = spark.read.schema(MANIFEST_DDL).parquet(f"{path}/manifest")
+    if at_most is not None:
+        m = m.filter(F.col("version") <= F.lit(int(at_most)))
+    # the newest version's rows, one per bucket (metadata-sized), in one job
+    rows = m.filter(F.col("version") == m.select(F.max("version")).scalar()).collect()
+    if not rows:
+        raise FileNotFoundError(f"no state version at {path}" + (f" <= {at_most}" if at_most is not None else ""))
+    v = rows[0].version
+    header = next(r for r in rows if r.bucket == HEADER)
+    folders = {r.bucket: r.data_version for r in rows if r.bucket != HEADER}
+    return Version(path, int(v), int(header.buckets), T.StructType.fromJson(json.loads(header.row_schema)),
+                   folders)
+
+
+def _write_manifest(spark: SparkSession, path: str, version: int, buckets: int, schema: T.StructType,
+                    folders: dict[int, int]) -> None:
+    rows = [(HEADER, None, int(buckets), schema.json())] + [(int(b), int(v), None, None)
+                                                           for b, v in sorted(folders.items())]
+    (spark.createDataFrame(rows, "bucket int, data_version bigint, buckets int, row_schema string")
+     .withColumn("version", F.lit(int(version)).cast("bigint")).coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version")
+     .parquet(f"{path}/manifest"))
+
+
+def _write_buckets(df: DataFrame, path: str, keys, buckets: int, version: int) -> tuple[int, set[int]]:
+    """Write ``df`` as version ``version`` of the buckets it holds; returns
+    (rows, non-empty buckets) from an Observation on the write itself.
+
+    Rows are shuffled by bucket so each bucket folder gets one file (a
+    bucket is sized to fit one task; keys are unique in the state, so no
+    bucket is hotter than the hash makes it)."""
+    obs = Observation(f"state_{uuid.uuid4().hex[:8]}")
+    out = (df.withColumn("bucket", bucket_of(keys, buckets))
+           .withColumn("version", F.lit(int(version)).cast("bigint"))
+           .repartition("bucket")
+           # observed after the exchange: metrics observed below it go missing
+           # when AQE finds the shuffle empty
+           .observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set("bucket").alias("written")))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket", "version").parquet(f"{path}/data"))
+    got = obs.get
+    return int(got.get("rows", 0)), set(got.get("written") or [])
+
+
+def init(df: DataFrame, path: str, keys, buckets: int, version: int = 0) -> int:
+    """Write ``df`` (unique keys) as the first version; returns rows written."""
+    rows, written = _write_buckets(df, path, keys, buckets, version)
+    _write_manifest(df.sparkSession, path, version, buckets, df.schema, {b: version for b in written})
+    return rows
+
+
+def touched_buckets(keys_df: DataFrame, keys, buckets: int) -> set[int]:
+    """Distinct bucket ids of a frame of keys: at most ``buckets`` values,
+    aggregated on the executors (map-side distinct) before reaching the driver."""
+    return {r[0] for r in keys_df.select(bucket_of(keys, buckets).alias("b")).distinct().collect()}
+
+
+def upsert(spark: SparkSession, path: str, keys, base: Version, touched: set[int], new_rows: DataFrame,
+           version: int) -> int:
+    """Write version ``version``: ``new_rows`` are the complete new contents
+    of the ``touched`` buckets (computed from ``base.read(only=touched)``);
+    every other bucket keeps its folder from ``base``. Returns rows written."""
+    if version <= base.version:
+        raise ValueError(f"version {version} must be newer than the base version {base.version}")
+    rows, written = _write_buckets(new_rows.select(*base.schema.fieldNames()), path, keys, base.buckets, version)
+    stray = written - touched
+    if stray:
+        raise ValueError(f"rows outside the touched buckets: {sorted(stray)[:5]}")
+    folders = {b: v for b, v in base.folders.items() if b not in touched}
+    folders.update({b: version for b in written})
+    _write_manifest(spark, path, version, base.buckets, base.schema, folders)
+    return rows

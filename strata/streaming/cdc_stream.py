@@ -3,16 +3,17 @@
 Publish writes change events as JSON files (the file sink stands in for a
 message bus; with the Kafka connector on the classpath the same frame goes
 to ``format("kafka")``). Apply streams the events back and, per micro-batch,
-folds the latest event per key into the state table: the next complete
-version is written as a new ``version`` partition (never overwriting the
-version being read), so a retried micro-batch just rewrites its version.
+folds the latest event per key into a hash-bucketed, versioned state table
+(``sources.bucketed_state``): only the buckets the batch's keys fall into are
+read and rewritten, as version e+1 of micro-batch e. The version being read
+is never overwritten, so a retried micro-batch just rewrites its own version.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..sources import sinks
+from ..sources import bucketed_state as BS
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -27,8 +28,14 @@ def publish(events: DataFrame, path: str) -> None:
     events.write.mode("append").json(path)
 
 
+def init_state(snapshot: DataFrame, state_path: str, key: str, buckets: int) -> int:
+    """Version 0 of the state table (one row per key)."""
+    return BS.init(snapshot, state_path, key, buckets)
+
+
 def latest_version(spark: SparkSession, state_path: str) -> DataFrame:
-    return sinks.read_latest_version(spark, state_path)[0]
+    v = BS.manifest(spark, state_path)
+    return v.read(spark)
 
 
 def fold(state: DataFrame, events: DataFrame, key: str, row_schema: T.StructType) -> DataFrame:
@@ -51,12 +58,20 @@ def start_apply_stream(spark: SparkSession, events_path: str, state_path: str, c
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.json(events_path)
 
+    key_type = row_schema[key].dataType
+
     def apply_batch(batch: DataFrame, epoch_id: int):
         # micro-batch e reads the newest version <= e (left by an earlier
         # micro-batch) and writes version e+1; a replay after a failure reads
-        # the same input version and rewrites only its own output version
-        current = sinks.read_latest_version(spark, state_path, at_most=int(epoch_id))[0]
-        sinks.write_version(fold(current, batch, key, row_schema), state_path, int(epoch_id) + 1)
+        # the same input version and rewrites only its own output version.
+        # Only the buckets holding the batch's keys are read and rewritten.
+        base = BS.manifest(spark, state_path, at_most=int(epoch_id))
+        keys = batch.select(F.col("record_key").cast(key_type).alias(key))
+        touched = BS.touched_buckets(keys, key, base.buckets)
+        if not touched:
+            return
+        current = base.read(spark, only=touched)
+        BS.upsert(spark, state_path, key, base, touched, fold(current, batch, key, row_schema), int(epoch_id) + 1)
 
     w = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

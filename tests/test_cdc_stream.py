@@ -1,4 +1,7 @@
-"""Change events applied over several micro-batches and after a restart."""
+"""Change events applied over several micro-batches and after a restart,
+on the hash-bucketed state table."""
+
+import os
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
@@ -6,7 +9,7 @@ from pyspark.sql.types import _parse_datatype_string
 from strata import contracts as C
 from strata.operators import history as H
 from strata.plans import fixtures as FX
-from strata.sources.sinks import read_latest_version
+from strata.sources import bucketed_state as BS
 from strata.streaming import cdc_stream as CDC
 
 from .conftest import SF001
@@ -18,13 +21,18 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select(sorted(df.columns)).collect())
 
 
+def _folders(base, version):
+    data = os.path.join(base, "state", "data")
+    return sorted(b for b in os.listdir(data) if os.path.isdir(os.path.join(data, b, f"version={version}")))
+
+
 def test_multi_batch_apply_and_restart(spark, tmp_path):
     base = str(tmp_path)
     row = _parse_datatype_string(ROW_DDL)
     s1 = FX.customer_snapshot_1(spark, SF001)
     s2 = FX.customer_snapshot_2(spark, SF001)
     s3 = s2.filter(F.col("c_nationkey") != 3)            # a later extract: one nation's customers deleted
-    s1.withColumn("version", F.lit(0)).write.partitionBy("version").parquet(f"{base}/state")
+    CDC.init_state(s1, f"{base}/state", "c_custkey", 8)
     CDC.publish(H.change_events(s1, s2, ["c_custkey"], "customer", C.NEXT_LOAD_TS).coalesce(1), f"{base}/events")
     CDC.publish(H.change_events(s2, s3, ["c_custkey"], "customer", "2024-03-01 00:00:00").coalesce(1),
                 f"{base}/events")
@@ -35,9 +43,52 @@ def test_multi_batch_apply_and_restart(spark, tmp_path):
         q.awaitTermination()
 
     run()
-    state, version = read_latest_version(spark, f"{base}/state")
-    assert version == 2
-    assert _rows(state) == _rows(s3)
+    v = BS.manifest(spark, f"{base}/state")
+    assert v.version == 2
+    assert _rows(v.read(spark)) == _rows(s3)
     run()   # restart: nothing new, state unchanged
-    state2, version2 = read_latest_version(spark, f"{base}/state")
-    assert version2 == 2 and _rows(state2) == _rows(s3)
+    v2 = BS.manifest(spark, f"{base}/state")
+    assert v2.version == 2 and _rows(v2.read(spark)) == _rows(s3)
+    # every version stays readable
+    assert _rows(BS.manifest(spark, f"{base}/state", at_most=1).read(spark)) == _rows(s2)
+    assert _rows(BS.manifest(spark, f"{base}/state", at_most=0).read(spark)) == _rows(s1)
+
+
+def test_batch_rewrites_only_its_buckets(spark, tmp_path):
+    base = str(tmp_path)
+    row = _parse_datatype_string(ROW_DDL)
+    s1 = FX.customer_snapshot_1(spark, SF001)
+    CDC.init_state(s1, f"{base}/state", "c_custkey", 16)
+    assert len(_folders(base, 0)) == 16
+    # one update and one insert, in (at most) two buckets
+    upd = s1.filter(F.col("c_custkey") == 1).withColumn("c_name", F.lit("renamed"))
+    ins = spark.createDataFrame([(10**9, "new", 1, 0.5, "AUTOMOBILE")], ROW_DDL)
+    s2 = s1.filter(F.col("c_custkey") != 1).unionByName(upd).unionByName(ins)
+    CDC.publish(H.change_events(s1, s2, ["c_custkey"], "customer", C.NEXT_LOAD_TS).coalesce(1), f"{base}/events")
+    CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_ck", "c_custkey",
+                           row).awaitTermination()
+    v = BS.manifest(spark, f"{base}/state")
+    expect = {r[0] for r in spark.createDataFrame([(1,), (10**9,)], "c_custkey bigint")
+              .select(BS.bucket_of("c_custkey", 16)).collect()}
+    assert set(int(b.split("=")[1]) for b in _folders(base, 1)) == expect
+    assert sum(1 for dv in v.folders.values() if dv == 1) == len(expect)
+    assert _rows(v.read(spark)) == _rows(s2)
+
+
+def test_emptied_bucket_and_empty_state(spark, tmp_path):
+    path = str(tmp_path / "state")
+    df = spark.createDataFrame([(k, f"n{k}") for k in range(20)], "k bigint, name string")
+    BS.init(df, path, "k", 4)
+    v0 = BS.manifest(spark, path)
+    assert len(v0.folders) == 4
+    # delete every row of one bucket: that bucket leaves the manifest
+    b0 = min(v0.folders)
+    gone = df.filter(BS.bucket_of("k", 4) == b0)
+    BS.upsert(spark, path, "k", v0, {b0}, v0.read(spark, only={b0}).join(gone, "k", "left_anti"), 1)
+    v1 = BS.manifest(spark, path)
+    assert b0 not in v1.folders and len(v1.folders) == 3
+    assert _rows(v1.read(spark)) == _rows(df.join(gone, "k", "left_anti"))
+    # delete everything: an empty, typed table
+    BS.upsert(spark, path, "k", v1, set(v1.folders), spark.createDataFrame([], "k bigint, name string"), 2)
+    v2 = BS.manifest(spark, path)
+    assert v2.folders == {} and v2.read(spark).count() == 0 and v2.read(spark).columns == ["k", "name"]
