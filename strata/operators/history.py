@@ -3,8 +3,10 @@ de-duplication on row hash, soft delete, reference inactivation, change
 events.
 
 Stock Spark has no MERGE for parquet tables, so every "upsert" is a join
-producing the complete next version, written to a new location by the
-caller (never overwriting the path being read).
+producing the next version, written to a new location by the caller (never
+overwriting the path being read). ``sources.history_table`` stores SCD2
+history so a load rewrites only current rows; ``sources.bucketed_state``
+stores keyed state so an upsert rewrites only the buckets it touches.
 """
 
 from __future__ import annotations
@@ -138,12 +140,3 @@ def change_events(old: DataFrame, new: DataFrame, keys, table: str, event_ts) ->
     key = F.coalesce(*[F.col(f"n.{keys[0]}"), F.col(f"o.{keys[0]}")])
     return j.select(F.lit(table).alias("table_name"), op.alias("operation"), key.alias("record_key"),
                     data.alias("data"), _ts(event_ts).alias("event_ts")).filter(F.col("operation").isNotNull())
-
-
-def scd2_apply_versioned(spark, path: str, incoming: DataFrame, keys, load_ts, batch_id: str) -> int:
-    """Apply a snapshot to a versioned history table: read the newest
-    version, write the next one beside it; returns the new version number."""
-    from ..sources.sinks import read_latest_version, write_version
-    current, v = read_latest_version(spark, path)
-    write_version(scd2_apply(current, incoming, keys, load_ts, batch_id), path, v + 1)
-    return v + 1

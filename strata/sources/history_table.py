@@ -1,0 +1,82 @@
+"""Type-2 history table whose closed versions are written once.
+
+Layout under ``path``::
+
+    load=<n>/is_current=false/   versions closed by load n (never rewritten)
+    load=<n>/is_current=true/    the current rows after load n
+    _commits/load=<n>/           one row per finished load (schema included)
+
+Load n+1 reads only the current rows of load n, joins them with the incoming
+snapshot and writes its own ``load=n+1`` folders: the rows it closes and the
+new current set. Closed versions of earlier loads are never read or copied,
+so a load costs O(current rows + changes), not O(history). History as of load
+n is every closed folder up to n plus the current folder of n, picked by
+partition pruning. The commit row is written last: a load is visible only once
+complete, and a retried load rewrites only its own folders.
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from ..operators.history import scd2_apply, scd2_initial
+
+COMMIT_DDL = "row_schema string, rows bigint, load bigint"
+
+
+def _commit(spark: SparkSession, path: str, load: int, schema: T.StructType, rows: int) -> None:
+    (spark.createDataFrame([(schema.json(), int(rows))], "row_schema string, rows bigint")
+     .withColumn("load", F.lit(int(load)).cast("bigint")).coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load")
+     .parquet(f"{path}/_commits"))
+
+
+def latest_load(spark: SparkSession, path: str, at_most: int | None = None) -> tuple[int, T.StructType]:
+    """(newest committed load, row schema); reads the commit rows only."""
+    c = spark.read.schema(COMMIT_DDL).parquet(f"{path}/_commits")
+    if at_most is not None:
+        c = c.filter(F.col("load") <= F.lit(int(at_most)))
+    r = c.filter(F.col("load") == c.select(F.max("load")).scalar()).select("load", "row_schema").first()
+    if r is None:
+        raise FileNotFoundError(f"no committed load at {path}")
+    return int(r["load"]), T.StructType.fromJson(json.loads(r["row_schema"]))
+
+
+def _write_load(df: DataFrame, path: str, load: int) -> int:
+    from .sinks import _observed
+    observed, obs = _observed(df.withColumn("load", F.lit(int(load)).cast("bigint")))
+    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load", "is_current").parquet(path))
+    return int(obs.get.get("rows", 0))
+
+
+def read(spark: SparkSession, path: str, at_most: int | None = None, current_only: bool = False) -> DataFrame:
+    """History as of the newest committed load (or the newest not above
+    ``at_most``); with ``current_only``, only its current rows."""
+    n, schema = latest_load(spark, path, at_most)
+    full = T.StructType(list(schema.fields) + [T.StructField("load", T.LongType())])
+    t = spark.read.schema(full).parquet(path)
+    cur = (F.col("load") == F.lit(n)) & F.col("is_current")
+    keep = cur if current_only else cur | ((F.col("load") <= F.lit(n)) & ~F.col("is_current"))
+    # both conditions name partition columns only: pruned to the listed folders
+    return t.filter(keep).select(*schema.fieldNames())
+
+
+def init(snapshot: DataFrame, path: str, keys, load_ts, batch_id: str) -> int:
+    """Load 0: every snapshot row is the current version."""
+    hist = scd2_initial(snapshot, keys, load_ts, batch_id)
+    rows = _write_load(hist, path, 0)
+    _commit(snapshot.sparkSession, path, 0, hist.schema, rows)
+    return 0
+
+
+def apply(spark: SparkSession, path: str, incoming: DataFrame, keys, load_ts, batch_id: str) -> int:
+    """Apply a snapshot as the next load; returns its load number."""
+    n, schema = latest_load(spark, path)
+    current = read(spark, path, at_most=n, current_only=True)
+    out = scd2_apply(current, incoming, keys, load_ts, batch_id)   # no closed rows in: none copied out
+    rows = _write_load(out.select(*schema.fieldNames()), path, n + 1)
+    _commit(spark, path, n + 1, schema, rows)
+    return n + 1

@@ -62,16 +62,29 @@ def test_incremental_watermark_only_newer(spark):
     assert inc.count() > 0
 
 
-def test_scd2_versioned_table(spark, tmp_path):
-    from strata.sources.sinks import read_latest_version, write_version
+def test_scd2_history_table(spark, tmp_path):
+    from strata.sources import history_table as HT
     keys = ["c_custkey"]
     path = str(tmp_path / "dim_customer_history")
-    write_version(H.scd2_initial(FX.customer_snapshot_1(spark, SF001), keys, C.LOAD_TS, C.BATCH_ID), path, 0)
-    v = H.scd2_apply_versioned(spark, path, FX.customer_snapshot_2(spark, SF001), keys, C.NEXT_LOAD_TS,
-                               C.NEXT_BATCH_ID)
-    latest, lv = read_latest_version(spark, path)
-    assert v == lv == 1
-    assert _rows(latest) == _rows(QUERIES["scd2_apply"](spark, SF001))
+    s1, s2 = FX.customer_snapshot_1(spark, SF001), FX.customer_snapshot_2(spark, SF001)
+    assert HT.init(s1, path, keys, C.LOAD_TS, C.BATCH_ID) == 0
+    assert HT.apply(spark, path, s2, keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID) == 1
+    expect = QUERIES["scd2_apply"](spark, SF001)
+    assert _rows(HT.read(spark, path)) == _rows(expect)
+    assert _rows(HT.read(spark, path, current_only=True)) == _rows(expect.filter("is_current"))
+    assert _rows(HT.read(spark, path, at_most=0)) == _rows(H.scd2_initial(s1, keys, C.LOAD_TS, C.BATCH_ID))
+    # load 1 wrote only the rows it closed and the current set; load 0's folder is untouched
+    closed1 = spark.read.parquet(f"{path}/load=1/is_current=false").count()
+    assert closed1 == expect.filter(~F.col("is_current")).count()
+    # the same snapshot again is a no-op on history; a retried load rewrites only its own folders
+    assert HT.apply(spark, path, s2, keys, "2024-03-01 00:00:00", "batch_003") == 2
+    assert _rows(HT.read(spark, path)) == _rows(expect)
+    # an uncommitted load (data written, no commit row) is invisible
+    HT.read(spark, path, current_only=True).withColumn("c_name", F.lit("uncommitted")) \
+        .withColumn("load", F.lit(3).cast("bigint")) \
+        .write.mode("append").partitionBy("load", "is_current").parquet(path)
+    assert HT.latest_load(spark, path)[0] == 2
+    assert _rows(HT.read(spark, path)) == _rows(expect)
 
 
 def test_scd2_collapses_duplicate_incoming_keys(spark):
