@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..contracts import FOREIGN_KEYS, PRIMARY_KEYS
-from ..sources.tables import scan_table
+from ..sources.tables import local_frame, scan_table
 from .quality import orphan_report
 
 # Tables whose name contains one of these are system tables.
@@ -54,7 +54,7 @@ def catalog_tables(spark: SparkSession, database: str | None = None) -> DataFram
     dictionary query on INFORMATION_SCHEMA.TABLES where type = BASE TABLE."""
     rows = [(t.name, t.database, t.tableType, bool(t.isTemporary))
             for t in spark.catalog.listTables(database) if t.tableType != "VIEW"]
-    return spark.createDataFrame(rows, "table_name string, database string, table_type string, is_temporary boolean")
+    return local_frame(spark, rows, "table_name string, database string, table_type string, is_temporary boolean")
 
 
 def filter_names(names: DataFrame, pattern: str | None = None, exclude_system: bool = True,
@@ -101,7 +101,7 @@ def column_catalog(spark: SparkSession, sf_dir: str, tables, schema_name: str =
     cat_schema = ("schema_name string, table_name string, ordinal_position int, column_name string, "
                   "data_type string, is_nullable boolean, is_view boolean, is_primary_key boolean, "
                   "references_column string")
-    return spark.createDataFrame(rows, cat_schema)
+    return local_frame(spark, rows, cat_schema)
 
 
 def table_metadata(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
@@ -116,7 +116,7 @@ def discover(spark: SparkSession, sf_dir: str, pattern: str | None = None, exclu
     names = filter_names(list_tables(spark, sf_dir), pattern, exclude_system).select("table_name")
     found = [r.table_name for r in names.collect()]   # metadata-sized: one row per table
     if not found:
-        return spark.createDataFrame([], "table_name string, column_count int, row_count bigint")
+        return local_frame(spark, [], "table_name string, column_count int, row_count bigint")
     cols = column_catalog(spark, sf_dir, found).groupBy("table_name") \
         .agg(F.count(F.lit(1)).cast("int").alias("column_count"))
     return cols.join(row_counts(spark, sf_dir, found), "table_name")

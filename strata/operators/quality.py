@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..contracts import ForeignKey
+from ..sources.tables import local_frame
 
 
 def _row(check: str, table: str, column: str | None, failures: Column, **extra) -> list[Column]:
@@ -122,7 +123,7 @@ def orphan_report(spark, frames: dict, pairs) -> DataFrame:
     # columns)^2 rows — a proven bound — so it is broadcast. Joining it by
     # (table, column) through a shuffle would put every key of a column
     # into one task.
-    pf = F.broadcast(spark.createDataFrame(pairs, "child_table string, child_column string, parent_table string, "
+    pf = F.broadcast(local_frame(spark, pairs, "child_table string, child_column string, parent_table string, "
                                                   "parent_column string"))
     child = k.join(pf, (k["table_name"] == pf["child_table"]) & (k["column_name"] == pf["child_column"])) \
         .select(*PAIR_COLS, "key", "rows")

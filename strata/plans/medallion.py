@@ -16,6 +16,7 @@ from .. import contracts as C
 from ..functions.rules import customer_rules
 from ..operators import bronze as B, gold as G, silver as S
 from ..sources import sinks
+from ..sources.tables import local_frame
 from .fixtures import dirty_customers, table
 
 
@@ -121,7 +122,7 @@ def _concurrently(jobs: dict, spark: SparkSession) -> dict:
 
 def run_summary(spark: SparkSession, run: dict) -> DataFrame:
     """(layer, table_name, row_count) from the counts observed at write time."""
-    return spark.createDataFrame([(layer, name, int(run["rows"][name])) for layer, name in LAYER_TABLES],
+    return local_frame(spark, [(layer, name, int(run["rows"][name])) for layer, name in LAYER_TABLES],
                                  "layer string, table_name string, row_count bigint")
 
 

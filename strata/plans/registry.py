@@ -639,7 +639,7 @@ def sink_modes(spark, sf_dir):
         except Exception:  # noqa: BLE001 - 'fail' on an existing table is the expected outcome
             n, outcome = 0, "rejected"
         rows.append((mode, target.rsplit("/", 1)[1], n, outcome))
-    res = spark.createDataFrame(rows, "if_exists string, target_table string, rows_written bigint, outcome string")
+    res = T.local_frame(spark, rows, "if_exists string, target_table string, rows_written bigint, outcome string")
     final = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows_in_target"))
     return res.join(final.withColumn("target_table", F.lit(target.rsplit("/", 1)[1])), "target_table")
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import contracts as C
 from ..operators import bronze as B, catalog as CAT
 from ..sources import sinks
-from ..sources.tables import parse_qualified, scan_table
+from ..sources.tables import local_frame, parse_qualified, scan_table
 
 AUDIT_SCHEMA = ("audit_id string, source_system string, source_schema string, source_table string, "
                 "target_table string, ingestion_started_at timestamp_ntz, ingestion_completed_at timestamp_ntz, "
@@ -69,7 +69,7 @@ class RunAudit:
         return all(e[9] in ("success", "empty") for e in self.entries)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.entries, AUDIT_SCHEMA)
+        return local_frame(spark, self.entries, AUDIT_SCHEMA)
 
 
 def ingest_table(reader: Callable[[TableSpec], DataFrame], spec: TableSpec, lake: str, load_ts,
@@ -163,7 +163,7 @@ def bronze_run(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C.BA
             rows.append((t, f"br_{t}", n, True, None, time.time() - t0))
         except Exception as e:  # noqa: BLE001
             rows.append((t, f"br_{t}", 0, False, str(e)[:2000], time.time() - t0))
-    df = spark.createDataFrame(rows, "source_table string, bronze_table string, records bigint, success boolean, "
+    df = local_frame(spark, rows, "source_table string, bronze_table string, records bigint, success boolean, "
                                      "error string, seconds double")
     ok = sum(1 for r in rows if r[3])
     return df.withColumn("run_success_rate", F.lit(ok / len(rows) * 100 if rows else 0.0))
@@ -182,8 +182,8 @@ def ingest_with_dlq(spark: SparkSession, source: DataFrame, table: str, lake: st
     bad = sinks.write_batch(DLQ.dlq_model_rows(DLQ.dlq_rows(chk, table, batch_id), load_ts),
                             f"{lake}/staging/br_ingestion_errors", "batch_id")
     total = good + bad
-    return spark.createDataFrame(
-        [(1, total, good, bad, round(good / total * 100, 2) if total else 0.0, bad > 0)],
+    return local_frame(
+        spark, [(1, total, good, bad, round(good / total * 100, 2) if total else 0.0, bad > 0)],
         "tables_processed int, records_processed bigint, records_success bigint, records_failed bigint, "
         "success_rate double, has_errors boolean")
 

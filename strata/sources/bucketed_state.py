@@ -26,6 +26,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from .tables import local_frame
+
 MANIFEST_DDL = "bucket int, data_version bigint, buckets int, row_schema string, version bigint"
 HEADER = -1
 
@@ -51,7 +53,7 @@ class Version:
         """The rows of this version (optionally only the given buckets)."""
         paths = self.paths(only)
         if not paths:
-            return spark.createDataFrame([], self.schema)
+            return local_frame(spark, [], self.schema)
         return (spark.read.schema(self.schema).option("basePath", f"{self.path}/data").parquet(*paths)
                 .select(*self.schema.fieldNames()))
 
@@ -77,7 +79,7 @@ def _write_manifest(spark: SparkSession, path: str, version: int, buckets: int,
                     folders: dict[int, int]) -> None:
     rows = [(HEADER, None, int(buckets), schema.json())] + [(int(b), int(v), None, None)
                                                            for b, v in sorted(folders.items())]
-    (spark.createDataFrame(rows, "bucket int, data_version bigint, buckets int, row_schema string")
+    (local_frame(spark, rows, "bucket int, data_version bigint, buckets int, row_schema string")
      .withColumn("version", F.lit(int(version)).cast("bigint")).coalesce(1)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version")
      .parquet(f"{path}/manifest"))

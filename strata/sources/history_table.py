@@ -22,12 +22,13 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.history import scd2_apply, scd2_initial
+from .tables import local_frame
 
 COMMIT_DDL = "row_schema string, rows bigint, load bigint"
 
 
 def _commit(spark: SparkSession, path: str, load: int, schema: T.StructType, rows: int) -> None:
-    (spark.createDataFrame([(schema.json(), int(rows))], "row_schema string, rows bigint")
+    (local_frame(spark, [(schema.json(), int(rows))], "row_schema string, rows bigint")
      .withColumn("load", F.lit(int(load)).cast("bigint")).coalesce(1)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load")
      .parquet(f"{path}/_commits"))

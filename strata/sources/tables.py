@@ -8,6 +8,22 @@ the JDBC SELECT.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+def local_frame(spark: SparkSession, rows, schema) -> DataFrame:
+    """A metadata-sized frame built on the driver (run audits, catalog rows,
+    manifests, pair lists). Rows go to the JVM as one Arrow table and plan as
+    a ``LocalRelation``: no Python worker runs, and the optimizer knows the
+    frame's size (a list-built frame is an RDD scan of unknown size)."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(st)
+    rows = [tuple(r[f.name] for f in st.fields) if isinstance(r, dict) else tuple(r) for r in rows]
+    cols = list(zip(*rows)) if rows else [() for _ in st.fields]
+    table = pa.Table.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
+    return spark.createDataFrame(table, st)
 
 
 def table_path(sf_dir: str, name: str) -> str:
