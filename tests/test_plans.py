@@ -93,3 +93,21 @@ def test_spread_only_when_under_split(spark):
     assert spread(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(8)
     assert spread(many, 4) is many
+
+
+def test_local_frame_is_a_sized_local_relation(spark):
+    import datetime as dt
+    from strata.sources.tables import local_frame
+    ddl = "name string, n bigint, at timestamp_ntz, ok boolean, x double"
+    rows = [("a", 1, dt.datetime(2024, 1, 2, 3, 4, 5), True, 0.5), ("b", None, None, None, None),
+            {"name": "c", "n": 3, "at": None, "ok": False, "x": 1.5}]
+    df = local_frame(spark, rows, ddl)
+    assert df.schema.simpleString() == "struct<name:string,n:bigint,at:timestamp_ntz,ok:boolean,x:double>"
+    assert [tuple(r) for r in df.orderBy("name").collect()] == [
+        ("a", 1, dt.datetime(2024, 1, 2, 3, 4, 5), True, 0.5), ("b", None, None, None, None),
+        ("c", 3, None, False, 1.5)]
+    plan = df._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().startswith("LocalRelation")
+    assert 0 < int(str(plan.stats().sizeInBytes())) < 10_000     # a size the planner can check
+    empty = local_frame(spark, [], ddl)
+    assert empty.count() == 0 and empty.schema == df.schema
