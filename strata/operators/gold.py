@@ -57,7 +57,9 @@ def dim_customer(silver: DataFrame, batch_id: str, created_at) -> DataFrame:
         F.concat_ws(" ", F.coalesce("first_name", F.lit("None")), F.coalesce("last_name", F.lit("None")))
         .alias("full_name"),
         "email",
-        (F.coalesce(F.col("activebool"), F.lit(False)) & (F.col("active") == 1)).alias("is_active"),
+        # a missing flag counts as not active (never NULL)
+        (F.coalesce(F.col("activebool"), F.lit(False)) & F.coalesce(F.col("active") == 1, F.lit(False)))
+        .alias("is_active"),
         customer_segment().alias("customer_segment"),
         email_domain().alias("email_domain"),
         name_length_bucket().alias("name_length_category"),

@@ -174,7 +174,7 @@ quarantine AS (
 dim AS (
   SELECT sl_customer_key AS dim_customer_key, customer_id, first_name, last_name,
          coalesce(first_name, 'None') || ' ' || coalesce(last_name, 'None') AS full_name, email,
-         (coalesce(activebool, FALSE) AND active = 1) AS is_active,
+         (coalesce(activebool, FALSE) AND coalesce(active = 1, FALSE)) AS is_active,
          {segment_sql()} AS customer_segment, {domain_sql()} AS email_domain,
          {bucket_sql()} AS name_length_category, sl_load_time AS effective_date, TRUE AS is_current,
          {BATCH} AS batch_id, {TS} AS created_at

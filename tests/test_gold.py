@@ -48,6 +48,17 @@ def test_segment_rules(spark):
     assert b == ["Short", "Short", "Long", "Short", "Short"]
 
 
+
+def test_is_active_needs_both_flags_and_is_never_null(spark):
+    # Python's `bool(activebool) and active == 1`: a missing value is not active
+    df = spark.createDataFrame(
+        [(1, True, 1), (2, True, 0), (3, False, 1), (4, None, 1), (5, True, None), (6, None, None)],
+        "customer_id int, activebool boolean, active int") \
+        .selectExpr("customer_id", "activebool", "active", "'k' AS sl_customer_key", "'A' AS first_name",
+                    "'B' AS last_name", "'a@x.com' AS email", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS sl_load_time")
+    out = {r.customer_id: r.is_active for r in G.dim_customer(df, "b", "2024-01-01 00:00:00").collect()}
+    assert out == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False}
+
 # Mock warehouse customers (10 literal rows of the reference's sample table).
 MOCK_CUSTOMERS = [
     (1, "John", "Doe", "john.doe@example.com", "555-0101", "123 Main St", "Seattle", "WA", "98101", "USA"),
