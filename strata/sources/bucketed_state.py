@@ -125,7 +125,9 @@ def upsert(spark: SparkSession, path: str, keys, base: Version, touched: set[int
     every other bucket keeps its folder from ``base``. Returns rows written."""
     if version <= base.version:
         raise ValueError(f"version {version} must be newer than the base version {base.version}")
-    rows, written = _write_buckets(new_rows.select(*base.schema.fieldNames()), path, keys, base.buckets, version)
+    # the stored types: a key hashes by type, so a widened key would land in another bucket
+    typed = new_rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in base.schema.fields])
+    rows, written = _write_buckets(typed, path, keys, base.buckets, version)
     stray = written - touched
     if stray:
         raise ValueError(f"rows outside the touched buckets: {sorted(stray)[:5]}")

@@ -92,3 +92,21 @@ def test_emptied_bucket_and_empty_state(spark, tmp_path):
     BS.upsert(spark, path, "k", v1, set(v1.folders), spark.createDataFrame([], "k bigint, name string"), 2)
     v2 = BS.manifest(spark, path)
     assert v2.folders == {} and v2.read(spark).count() == 0 and v2.read(spark).columns == ["k", "name"]
+
+
+def test_upsert_keeps_the_stored_key_type(spark, tmp_path):
+    # state keyed by int; the new rows arrive with the key widened to bigint
+    path = str(tmp_path / "state")
+    df = spark.createDataFrame([(k, f"n{k}") for k in range(50)], "k int, name string")
+    BS.init(df, path, "k", 8)
+    v0 = BS.manifest(spark, path)
+    new = spark.createDataFrame([(7, "seven"), (1000, "new")], "k bigint, name string")
+    touched = BS.touched_buckets(new.select(F.col("k").cast("int").alias("k")), "k", 8)
+    cur = v0.read(spark, only=touched)
+    out = cur.join(new.select(F.col("k").cast("int").alias("k")), "k", "left_anti") \
+        .select(F.col("k").cast("bigint").alias("k"), "name").unionByName(new)
+    BS.upsert(spark, path, "k", v0, touched, out, 1)
+    got = BS.manifest(spark, path).read(spark)
+    assert got.schema["k"].dataType.simpleString() == "int"
+    expect = df.filter("k != 7").unionByName(spark.createDataFrame([(7, "seven"), (1000, "new")], "k int, name string"))
+    assert _rows(got) == _rows(expect)
