@@ -43,7 +43,8 @@ def fold(state: DataFrame, events: DataFrame, key: str, row_schema: T.StructType
     state: D removes the key, I/U replace the row, no event keeps it."""
     latest = (events.groupBy("record_key")
               .agg(F.max(F.struct("event_ts", "operation", "data")).alias("e"))
-              .select(F.col("record_key").cast(row_schema[key].dataType).alias(key), F.col("e.operation").alias("_op"),
+              .select(F.col("record_key").cast(row_schema[key].dataType).alias(key),
+                      F.col("e.operation").alias("_op"),
                       F.from_json(F.col("e.data"), row_schema).alias("_new")))
     cols = [f.name for f in row_schema.fields]
     j = state.join(latest, key, "full_outer")
