@@ -110,3 +110,23 @@ def test_upsert_keeps_the_stored_key_type(spark, tmp_path):
     assert got.schema["k"].dataType.simpleString() == "int"
     expect = df.filter("k != 7").unionByName(spark.createDataFrame([(7, "seven"), (1000, "new")], "k int, name string"))
     assert _rows(got) == _rows(expect)
+
+
+def test_fold_with_a_hot_key(spark):
+    """A third of all events update one key: the latest-event aggregate
+    combines map-side (partial max before the shuffle) and the newest wins."""
+    row = _parse_datatype_string("k bigint, v bigint")
+    n = 30000
+    ev = spark.range(n).select(
+        F.lit("t").alias("table_name"), F.lit("U").alias("operation"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("bigint").alias("record_key"),
+        F.to_json(F.struct(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("bigint").alias("k"),
+                           F.col("id").alias("v"))).alias("data"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("event_ts"))
+    state = spark.createDataFrame([(1, -1), (n + 5, -5)], "k bigint, v bigint")
+    out = CDC.fold(state, ev, "k", row)
+    got = {r.k: r.v for r in out.filter(F.col("k").isin(1, n + 5)).collect()}
+    assert got == {1: n - 3, n + 5: -5}        # the hot key's newest event; untouched key kept
+    assert out.count() == (n - n // 3) + 1      # every event key (key 1 among them) and the untouched n+5
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
