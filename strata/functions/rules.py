@@ -13,8 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from .parsing import (col_, is_falsy, parse_bool_like, parse_int, parse_iso_datetime,
-                      strip_ws)
+from .parsing import is_falsy, parse_bool_like, parse_int, parse_iso_datetime, strip_ws
 
 # Error categories.
 MISSING_FIELD = "MISSING_FIELD"

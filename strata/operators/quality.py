@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..contracts import ForeignKey
 from ..sources.tables import local_frame
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rules import customer_rules
 from ..operators import bronze as B, silver as S
-from ..sources import sinks
 from ..sources.tables import scan_table
 
 

@@ -1,6 +1,5 @@
 """History operators: SCD2 idempotence and currency, dedup vs brute force."""
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from strata import contracts as C

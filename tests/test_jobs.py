@@ -1,7 +1,5 @@
 """Writing jobs: DLQ ingest, silver promotion, catalog sinks."""
 
-from pyspark.sql import functions as F
-
 from strata.functions.rules import customer_rules, orders_rules
 from strata.operators import bronze as B, catalog as CAT
 from strata.plans import runs as RUN

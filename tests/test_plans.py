@@ -5,7 +5,6 @@ import re
 
 from pyspark.sql import functions as F
 
-from strata import contracts as C
 from strata.operators import history as H, quality as Q
 from strata.plans.registry import QUERIES
 
