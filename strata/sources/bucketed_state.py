@@ -135,3 +135,35 @@ def upsert(spark: SparkSession, path: str, keys, base: Version, touched: set[int
     folders.update({b: version for b in written})
     _write_manifest(spark, path, version, base.buckets, base.schema, folders)
     return rows
+
+
+def vacuum(spark: SparkSession, path: str, keep_versions: int = 2) -> dict:
+    """Delete what the newest ``keep_versions`` versions no longer need:
+    bucket folders no retained manifest names and the older manifests.
+    Only folders of versions older than the oldest retained one are touched,
+    so a write still in flight (a newer version) is never affected. Returns
+    counts of removed folders. Listing and deletes are file-system metadata
+    calls from the driver (Hadoop FileSystem), one per folder."""
+    if keep_versions < 1:
+        raise ValueError("keep_versions must be at least 1")
+    m = spark.read.schema(MANIFEST_DDL).parquet(f"{path}/manifest")
+    versions = [r[0] for r in m.select("version").distinct().orderBy(F.col("version").desc()).collect()]
+    retained = versions[:keep_versions]
+    oldest = min(retained)
+    needed = {(r.bucket, r.data_version) for r in
+              m.filter((F.col("version") >= F.lit(oldest)) & (F.col("bucket") != F.lit(HEADER)))
+              .select("bucket", "data_version").distinct().collect()}   # at most buckets x keep_versions rows
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    removed = {"data_folders": 0, "manifests": 0}
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/data/bucket=*/version=*")) or []:
+        p = st.getPath()
+        version, bucket = int(p.getName().split("=", 1)[1]), int(p.getParent().getName().split("=", 1)[1])
+        if version < oldest and (bucket, version) not in needed:
+            removed["data_folders"] += bool(fs.delete(p, True))
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/manifest/version=*")) or []:
+        p = st.getPath()
+        if int(p.getName().split("=", 1)[1]) < oldest:
+            removed["manifests"] += bool(fs.delete(p, True))
+    return removed

@@ -130,3 +130,37 @@ def test_fold_with_a_hot_key(spark):
     assert out.count() == (n - n // 3) + 1      # every event key (key 1 among them) and the untouched n+5
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
+
+
+def test_vacuum_keeps_what_retained_versions_need(spark, tmp_path):
+    import pytest
+    path = str(tmp_path / "state")
+    df = spark.createDataFrame([(k, f"n{k}") for k in range(40)], "k bigint, name string")
+    BS.init(df, path, "k", 4)
+    expect = {k: f"n{k}" for k in range(40)}
+    for version, k in ((1, 3), (2, 3), (3, 5)):      # each version renames one key
+        base = BS.manifest(spark, path)
+        b = BS.touched_buckets(spark.createDataFrame([(k,)], "k bigint"), "k", 4)
+        cur = base.read(spark, only=b)
+        new = cur.withColumn("name", F.when(F.col("k") == k, F.lit(f"v{version}")).otherwise(F.col("name")))
+        BS.upsert(spark, path, "k", base, b, new, version)
+        expect[k] = f"v{version}"
+    # a folder of an unfinished newer write must survive
+    stray = os.path.join(path, "data", "bucket=0", "version=9")
+    os.makedirs(stray)
+    before = BS.manifest(spark, path)
+    removed = BS.vacuum(spark, path, keep_versions=2)
+    assert removed["manifests"] == 2                  # versions 0 and 1
+    assert os.path.isdir(stray)
+    after = BS.manifest(spark, path)
+    assert after.version == 3 and after.folders == before.folders
+    assert {r.k: r.name for r in after.read(spark).collect()} == expect
+    assert BS.manifest(spark, path, at_most=2).read(spark).count() == 40   # still retained
+    with pytest.raises(FileNotFoundError):
+        BS.manifest(spark, path, at_most=1)
+    # every folder left is named by a retained manifest (or newer than all of them)
+    left = {(int(b.split("=")[1]), int(v.split("=")[1]))
+            for b in os.listdir(os.path.join(path, "data")) if b.startswith("bucket=")
+            for v in os.listdir(os.path.join(path, "data", b)) if v.startswith("version=")}
+    named = set(after.folders.items()) | set(BS.manifest(spark, path, at_most=2).folders.items())
+    assert {x for x in left if x[1] <= 3} == named
