@@ -93,3 +93,26 @@ def test_scd2_collapses_duplicate_incoming_keys(spark):
     dup = s1.unionByName(s1).unionByName(s1)      # every key three times
     out = H.scd2_apply(hist, dup, keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID)
     assert _rows(out) == _rows(hist)
+
+
+def test_incremental_load_keeps_its_watermark(spark, tmp_path):
+    from strata.plans.runs import incremental_load, stored_watermark
+    target, state = str(tmp_path / "events"), str(tmp_path / "wm")
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    first = incremental_load(spark, ev.filter(F.col("ts") < cut), "ts", target, state, "L1")
+    assert first == ev.filter(F.col("ts") < cut).count()
+    wm1 = stored_watermark(spark, state)
+    assert wm1 == ev.filter(F.col("ts") < cut).agg(F.max("ts").cast("string")).first()[0]
+    second = incremental_load(spark, ev, "ts", target, state, "L2")     # the full table arrives again
+    assert second == ev.filter(F.col("ts") > F.lit(wm1).cast("timestamp_ntz")).count()
+    again = incremental_load(spark, ev, "ts", target, state, "L2")      # a rerun of L2 rewrites L2 only
+    assert again == second
+    loaded = spark.read.parquet(target)
+    assert loaded.count() == ev.count() and loaded.select("event_id").distinct().count() == \
+        ev.select("event_id").distinct().count()
+    assert incremental_load(spark, ev, "ts", target, state, "L3") == 0     # nothing new
+    assert stored_watermark(spark, state) == ev.agg(F.max("ts").cast("string")).first()[0]
+    # the increment filter is a literal that reaches the scan
+    plan = ev.filter(F.col("ts") > F.lit(wm1).cast("timestamp_ntz"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
