@@ -24,13 +24,20 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "strata", extra: dict | None = None) -> SparkSession:
+    """A session with strata's defaults. Local mode (tests, bench) gets a small
+    shuffle width and a large driver heap; on a cluster the shuffle width
+    is left to the cluster's settings (see ``recommended_conf``) unless
+    given, so a fixed small default can never throttle a large job."""
     master = master or os.environ.get("SPARK_MASTER", "local[*]")
+    local = master.startswith("local")
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+    if shuffle_partitions is not None or local:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    if local:
+        conf["spark.driver.memory"] = "16g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

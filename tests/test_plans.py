@@ -110,3 +110,42 @@ def test_local_frame_is_a_sized_local_relation(spark):
     assert 0 < int(str(plan.stats().sizeInBytes())) < 10_000     # a size the planner can check
     empty = local_frame(spark, [], ddl)
     assert empty.count() == 0 and empty.schema == df.schema
+
+
+def test_cluster_session_keeps_the_cluster_shuffle_width(monkeypatch):
+    """build_session sets a shuffle width only for local mode (or when asked)."""
+    from strata import session as SS
+    seen = {}
+
+    class Builder:
+        def master(self, m):
+            seen["master"] = m
+            return self
+
+        def appName(self, n):
+            return self
+
+        def config(self, k, v):
+            seen[k] = v
+            return self
+
+        def getOrCreate(self):
+            class S:
+                class sparkContext:
+                    @staticmethod
+                    def setLogLevel(level):
+                        pass
+            return S()
+
+    class FakeSession:
+        builder = Builder()
+
+    monkeypatch.setattr(SS, "SparkSession", FakeSession)
+    SS.build_session(master="yarn")
+    assert "spark.sql.shuffle.partitions" not in seen and "spark.driver.memory" not in seen
+    seen.clear()
+    SS.build_session(master="yarn", shuffle_partitions=4000)
+    assert seen["spark.sql.shuffle.partitions"] == "4000"
+    seen.clear()
+    SS.build_session(master="local[4]")
+    assert seen["spark.sql.shuffle.partitions"] == "8"
