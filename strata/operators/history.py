@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import JSON_OPTIONS, md5_record_hash
+from .skew import DEFAULT_MAX_KEY_ROWS, salted_join
 
 
 def _ts(v) -> Column:
@@ -103,21 +104,27 @@ def dedup_earliest(df: DataFrame, keys, order_cols) -> DataFrame:
 
 
 def soft_delete(bronze: DataFrame, snapshot: DataFrame, keys, deleted_at,
-                flag: str = "_bronze_is_deleted", stamp: str = "_bronze_deleted_at") -> DataFrame:
+                flag: str = "_bronze_is_deleted", stamp: str = "_bronze_deleted_at",
+                max_key_rows: int = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
     """Bronze rows whose key is absent from the new full snapshot are
-    flagged deleted (left join against the snapshot's distinct keys)."""
+    flagged deleted (left join against the snapshot's distinct keys). Bronze
+    may hold many rows per key (history, repeated loads), so the join is
+    salted: a key with more than ``max_key_rows`` rows is spread over
+    several tasks (``operators.skew``)."""
     keys = list(keys)
     present = snapshot.select(*keys).distinct().withColumn("_present", F.lit(True))
-    j = bronze.drop(flag, stamp).join(present, keys, "left")
+    j = salted_join(bronze.drop(flag, stamp), present, keys, "left", max_key_rows)
     gone = F.col("_present").isNull()
     return j.select(*[c for c in bronze.columns if c not in (flag, stamp)],
                     gone.alias(flag), F.when(gone, _ts(deleted_at)).alias(stamp))
 
 
-def inactivate(reference: DataFrame, snapshot: DataFrame, keys, as_of: str, by: str) -> DataFrame:
+def inactivate(reference: DataFrame, snapshot: DataFrame, keys, as_of: str, by: str,
+               max_key_rows: int = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
     """Reference rows missing from the new snapshot become inactive with the
     inactivation date and actor filled from parameters."""
-    marked = soft_delete(reference, snapshot, keys, as_of, flag="_gone", stamp="_gone_at")
+    marked = soft_delete(reference, snapshot, keys, as_of, flag="_gone", stamp="_gone_at",
+                         max_key_rows=max_key_rows)
     gone = F.col("_gone")
     return marked.select(*[c for c in reference.columns], (~gone).alias("is_active"),
                          F.when(gone, F.lit(as_of).cast("date")).alias("inactivated_date"),

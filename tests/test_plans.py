@@ -149,3 +149,23 @@ def test_cluster_session_keeps_the_cluster_shuffle_width(monkeypatch):
     seen.clear()
     SS.build_session(master="local[4]")
     assert seen["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_salted_join_equals_plain_join_with_a_hot_key(spark):
+    """A third of the left rows share one key, many of them exact duplicates:
+    the salted join spreads them and returns exactly the plain join."""
+    from strata.operators.skew import hot_keys, salted_join
+    n = 9000
+    left = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"),
+        F.when(F.col("id") % 6 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v"))   # duplicates on key 7
+    right = spark.range(0, 1000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    hot = {r.k: r._salts for r in hot_keys(left, ["k"], 500).collect()}
+    assert hot == {7: 7}                                   # 3000 + 3 rows on key 7 -> 7 salts of <= 500
+    for how in ("left", "inner"):
+        plain = left.join(right, "k", how)
+        salted = salted_join(left, right, ["k"], how, max_key_rows=500)
+        assert sorted(map(tuple, salted.select("k", "v", "w").collect())) == \
+            sorted(map(tuple, plain.select("k", "v", "w").collect()))
+    q = QUERIES["soft_delete_mark"](spark, SF001)
+    assert "_salt" in _plan(q) and "_salt" not in q.columns
