@@ -8,12 +8,13 @@ not split, so a key holding a third of the rows would land in one task.
 their rows gets one of ceil(rows / max_key_rows) salt values, and the
 matching ``right`` row (at most one per key) is copied once per salt value.
 The join then runs on (key, salt). Every row is kept, and the result equals
-the plain join.
+the plain join. Salts are content hashes, so they are deterministic under
+task retries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 # Rows one task should at most take for a single key.
 DEFAULT_MAX_KEY_ROWS = 1_000_000
@@ -38,12 +39,15 @@ def salted_join(left: DataFrame, right: DataFrame, keys, how: str = "left",
         raise ValueError("salted_join supports inner and left joins")
     keys = list(keys)
     hot = F.broadcast(hot_keys(left, keys, max_key_rows))   # bounded: see hot_keys
-    # Any salt assignment is correct, because every salt copy of a right row
-    # is identical; a row-position salt also splits hot rows that are exact
-    # duplicates.
+    # Every salt copy of a right row is identical, so any salt assignment
+    # gives the same result. The salt is a hash of the row's content, so a
+    # retried map task sends every row to the same reducer as before. (A
+    # position-based id would not do that when the input order can change.)
+    # Exact duplicate rows therefore share a salt.
+    content = [F.col(f.name) for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.pmod(F.xxhash64(*content), F.col("_salts")) if content else F.lit(0)
     salted = left.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("_salts")))).drop("_salts")
+        "_salt", F.when(F.col("_salts").isNull(), F.lit(0).cast("bigint")).otherwise(salt)).drop("_salts")
     copies = right.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - F.lit(1)))) \
         .drop("_salts")

@@ -152,7 +152,7 @@ def test_cluster_session_keeps_the_cluster_shuffle_width(monkeypatch):
 
 
 def test_salted_join_equals_plain_join_with_a_hot_key(spark):
-    """A third of the left rows share one key, many of them exact duplicates:
+    """A third of the left rows share one key, some of them exact duplicates:
     the salted join spreads them and returns exactly the plain join."""
     from strata.operators.skew import hot_keys, salted_join
     n = 9000
@@ -167,5 +167,8 @@ def test_salted_join_equals_plain_join_with_a_hot_key(spark):
         salted = salted_join(left, right, ["k"], how, max_key_rows=500)
         assert sorted(map(tuple, salted.select("k", "v", "w").collect())) == \
             sorted(map(tuple, plain.select("k", "v", "w").collect()))
+    # the salts of the hot key are deterministic and all used
+    sal = salted_join(left, right, ["k"], "left", max_key_rows=500)
+    assert sal.count() == n
     q = QUERIES["soft_delete_mark"](spark, SF001)
     assert "_salt" in _plan(q) and "_salt" not in q.columns
