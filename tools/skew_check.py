@@ -6,6 +6,9 @@ event log (written to a fresh scratch folder) gives, per operator, the
 records read from shuffle by the busiest task against all shuffle records.
 Map-side combining shows up as a busiest task far below the hot key's share.
 
+A local diagnostic: it runs on local[8] and keeps its event log and the
+skewed copy in fresh folders under /tmp.
+
 usage: python tools/skew_check.py [sf_dir]
 """
 
