@@ -81,3 +81,27 @@ def apply(spark: SparkSession, path: str, incoming: DataFrame, keys, load_ts, ba
     rows = _write_load(out.select(*schema.fieldNames()), path, n + 1)
     _commit(spark, path, n + 1, schema, rows)
     return n + 1
+
+
+def vacuum(spark: SparkSession, path: str, keep_loads: int = 2) -> int:
+    """Delete the current-row folders (and commit rows) of loads older than
+    the newest ``keep_loads`` committed ones; those are needed only to read
+    history as of an old load. Closed versions are history and are never
+    deleted, and loads newer than the last commit (a write in flight) are not
+    touched. Returns the number of folders removed (file-system metadata
+    calls from the driver, one per folder)."""
+    if keep_loads < 1:
+        raise ValueError("keep_loads must be at least 1")
+    c = spark.read.schema(COMMIT_DDL).parquet(f"{path}/_commits")
+    loads = [r[0] for r in c.select("load").distinct().orderBy(F.col("load").desc()).collect()]
+    oldest = min(loads[:keep_loads])
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    removed = 0
+    for pattern in (f"{path}/load=*/is_current=true", f"{path}/_commits/load=*"):
+        for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []:
+            p = st.getPath()
+            load_dir = p.getParent() if p.getName().startswith("is_current=") else p
+            if int(load_dir.getName().split("=", 1)[1]) < oldest:
+                removed += bool(fs.delete(p, True))
+    return removed

@@ -116,3 +116,24 @@ def test_incremental_load_keeps_its_watermark(spark, tmp_path):
     # the increment filter is a literal that reaches the scan
     plan = ev.filter(F.col("ts") > F.lit(wm1).cast("timestamp_ntz"))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
+
+
+def test_history_vacuum_keeps_closed_versions(spark, tmp_path):
+    import os
+    import pytest
+    from strata.sources import history_table as HT
+    keys = ["c_custkey"]
+    path = str(tmp_path / "hist")
+    s1, s2 = FX.customer_snapshot_1(spark, SF001), FX.customer_snapshot_2(spark, SF001)
+    HT.init(s1, path, keys, C.LOAD_TS, C.BATCH_ID)
+    HT.apply(spark, path, s2, keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID)
+    s3 = s2.withColumn("c_name", F.concat(F.col("c_name"), F.lit("!")))
+    HT.apply(spark, path, s3, keys, "2024-03-01 00:00:00", "batch_003")
+    full = _rows(HT.read(spark, path))
+    as_of_1 = _rows(HT.read(spark, path, at_most=1))
+    assert HT.vacuum(spark, path, keep_loads=2) == 2      # load 0's current folder and commit row
+    assert not os.path.exists(os.path.join(path, "load=0", "is_current=true"))
+    assert _rows(HT.read(spark, path)) == full            # closed versions all kept
+    assert _rows(HT.read(spark, path, at_most=1)) == as_of_1
+    with pytest.raises(FileNotFoundError):
+        HT.read(spark, path, at_most=0)
