@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .. import contracts as C
@@ -220,8 +221,8 @@ def stored_watermark(spark: SparkSession, state_path: str, before: str | None =
         if before is not None:
             w = w.filter(F.col("load_id") < F.lit(before))
         r = w.filter(F.col("watermark").isNotNull()).orderBy(F.col("load_id").desc()).select("watermark").first()
-    except Exception as e:  # noqa: BLE001 - first load: nothing stored yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":     # first load: nothing stored yet
             return None
         raise
     return r["watermark"] if r else None
