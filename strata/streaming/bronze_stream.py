@@ -15,13 +15,17 @@ from ..operators import bronze as B, silver as S
 from ..sources.tables import scan_table
 
 
-def customer_bronze_stream(spark: SparkSession, sf_dir: str, transform, max_files: int = 1,
+def customer_bronze_stream(spark: SparkSession, sf_dir: str, transform, max_files: int | None = 1000,
                            source_dir: str | None = None, glob: str = "customer.parquet") -> DataFrame:
     """Stream customer files from ``source_dir`` (default: the table folder);
-    files that land later are picked up by the next trigger."""
+    files that land later are picked up by the next trigger. ``max_files``
+    bounds a micro-batch (1000 files of ~128 MB is ~128 GB), so a backlog
+    runs as several restartable batches rather than one."""
     schema = scan_table(spark, sf_dir, "customer").schema
-    raw = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-           .option("maxFilesPerTrigger", max_files).parquet(source_dir or sf_dir))
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    raw = reader.parquet(source_dir or sf_dir)
     return transform(raw)
 
 
