@@ -53,7 +53,14 @@ def fold(state: DataFrame, events: DataFrame, key: str, row_schema: T.StructType
 
 
 def start_apply_stream(spark: SparkSession, events_path: str, state_path: str, checkpoint: str, key: str,
-                       row_schema: T.StructType, available_now: bool = True, max_files: int | None = None):
+                       row_schema: T.StructType, available_now: bool = True, max_files: int | None = None,
+                       vacuum_every: int | None = None, keep_versions: int = 2):
+    """Apply change events to the bucketed state, one version per micro-batch.
+    With ``vacuum_every``, every n-th micro-batch also removes versions older
+    than the newest ``keep_versions`` (at least 2: a replayed micro-batch
+    reads the version before its own), which keeps the manifest listing and
+    the storage bounded."""
+    keep_versions = max(int(keep_versions), 2)
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -73,6 +80,8 @@ def start_apply_stream(spark: SparkSession, events_path: str, state_path: str, c
             return
         current = base.read(spark, only=touched)
         BS.upsert(spark, state_path, key, base, touched, fold(current, batch, key, row_schema), int(epoch_id) + 1)
+        if vacuum_every and (int(epoch_id) + 1) % int(vacuum_every) == 0:
+            BS.vacuum(spark, state_path, keep_versions)
 
     w = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

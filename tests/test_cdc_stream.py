@@ -164,3 +164,20 @@ def test_vacuum_keeps_what_retained_versions_need(spark, tmp_path):
             for v in os.listdir(os.path.join(path, "data", b)) if v.startswith("version=")}
     named = set(after.folders.items()) | set(BS.manifest(spark, path, at_most=2).folders.items())
     assert {x for x in left if x[1] <= 3} == named
+
+
+def test_stream_vacuums_old_versions(spark, tmp_path):
+    base = str(tmp_path)
+    row = _parse_datatype_string(ROW_DDL)
+    s1 = FX.customer_snapshot_1(spark, SF001)
+    s2 = FX.customer_snapshot_2(spark, SF001)
+    s3 = s2.filter(F.col("c_nationkey") != 3)
+    CDC.init_state(s1, f"{base}/state", "c_custkey", 8)
+    CDC.publish(H.change_events(s1, s2, ["c_custkey"], "customer", C.NEXT_LOAD_TS).coalesce(1), f"{base}/events")
+    CDC.publish(H.change_events(s2, s3, ["c_custkey"], "customer", "2024-03-01 00:00:00").coalesce(1),
+                f"{base}/events")
+    CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_ck", "c_custkey", row,
+                           max_files=1, vacuum_every=1, keep_versions=1).awaitTermination()   # keeps 2
+    manifests = sorted(os.listdir(os.path.join(base, "state", "manifest")))
+    assert [m for m in manifests if m.startswith("version=")] == ["version=1", "version=2"]
+    assert _rows(BS.manifest(spark, f"{base}/state").read(spark)) == _rows(s3)
