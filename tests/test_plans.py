@@ -172,3 +172,31 @@ def test_salted_join_equals_plain_join_with_a_hot_key(spark):
     assert sal.count() == n
     q = QUERIES["soft_delete_mark"](spark, SF001)
     assert "_salt" in _plan(q) and "_salt" not in q.columns
+
+
+def test_salted_join_spreads_the_hot_key_over_tasks(spark):
+    """Rows per join task, read with spark_partition_id: without salting the
+    hot key's rows sit in one task; with salting no task holds half of them."""
+    from strata.operators.skew import salted_join
+    n = 12000
+    left = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 2000).alias("k"), F.col("id").alias("v"))
+    right = spark.range(2000).select(F.col("id").alias("k"), F.lit(True).alias("present"))
+    hot_rows = left.filter("k = 7").count()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.enabled": "false"}
+    saved = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+
+        def busiest(df):
+            return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+        assert busiest(left.join(right, "k", "left")) >= hot_rows
+        salted = salted_join(left, right, ["k"], "left", max_key_rows=hot_rows // 16)
+        assert salted.count() == n
+        assert busiest(salted) < hot_rows / 2
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
