@@ -211,3 +211,26 @@ def test_bucketed_fold_matches_a_python_replay(spark, tmp_path):
         BS.upsert(spark, path, "k", base, touched, CDC.fold(base.read(spark, only=touched), batch, "k", row), version)
         got = {r.k: r.v for r in BS.manifest(spark, path).read(spark).collect()}
         assert got == state, version
+
+
+def test_retried_upsert_rewrites_the_same_version(spark, tmp_path):
+    """A micro-batch that failed after writing its data (no manifest yet) and
+    one that failed after the manifest are both safe to run again."""
+    path = str(tmp_path / "state")
+    df = spark.createDataFrame([(k, f"n{k}") for k in range(30)], "k bigint, name string")
+    BS.init(df, path, "k", 4)
+    new = spark.createDataFrame([(5, "five"), (99, "new")], "k bigint, name string")
+
+    def attempt():
+        base = BS.manifest(spark, path, at_most=0)           # the version micro-batch 0 reads
+        touched = BS.touched_buckets(new.select("k"), "k", 4)
+        cur = base.read(spark, only=touched)
+        out = cur.join(new.select("k"), "k", "left_anti").unionByName(new)
+        return BS.upsert(spark, path, "k", base, touched, out, 1)
+
+    first = attempt()
+    again = attempt()
+    assert first == again
+    got = {r.k: r.name for r in BS.manifest(spark, path).read(spark).collect()}
+    assert got == {**{k: f"n{k}" for k in range(30)}, 5: "five", 99: "new"}
+    assert BS.manifest(spark, path).version == 1
