@@ -214,8 +214,8 @@ def test_bucketed_fold_matches_a_python_replay(spark, tmp_path):
 
 
 def test_retried_upsert_rewrites_the_same_version(spark, tmp_path):
-    """A micro-batch that failed after writing its data (no manifest yet) and
-    one that failed after the manifest are both safe to run again."""
+    """Running a micro-batch's upsert again (a retry after its manifest was
+    written) reads the same base version and rewrites the same version."""
     path = str(tmp_path / "state")
     df = spark.createDataFrame([(k, f"n{k}") for k in range(30)], "k bigint, name string")
     BS.init(df, path, "k", 4)
