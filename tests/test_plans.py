@@ -200,3 +200,40 @@ def test_salted_join_spreads_the_hot_key_over_tasks(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_workspace_follows_the_session_checkpoint_dir():
+    """Layer tables and stream state go under spark.checkpoint.dir; a cluster
+    session without one is refused; only local mode gets its own folder."""
+    import pytest
+    from strata.session import workspace_root
+
+    class Conf:
+        def __init__(self, d):
+            self.d = d
+
+        def get(self, k, default=None):
+            return self.d.get(k, default)
+
+    def fake(master, conf):
+        class SC:
+            pass
+        sc = SC()
+        sc.master = master
+        sc.getConf = lambda: Conf(conf)
+        sc.setCheckpointDir = lambda p: conf.setdefault("_set", p)
+
+        class S:
+            pass
+        s = S()
+        s.sparkContext = sc
+        s.conf = Conf({})
+        return s
+
+    shared = fake("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ck/"})
+    assert workspace_root(shared) == "hdfs:///shared/ck/strata"
+    with pytest.raises(RuntimeError):
+        workspace_root(fake("yarn", {}))
+    conf = {}
+    local = workspace_root(fake("local[2]", conf))
+    assert local.endswith("/strata") and "_set" in conf     # its own folder, also the RDD checkpoint dir
