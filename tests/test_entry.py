@@ -49,3 +49,7 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [rel.columns.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
     assert got == want
+    # no pairwise joins and no Python evaluation anywhere in the plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, (name, bad)
