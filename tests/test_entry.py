@@ -2,6 +2,7 @@
 
 import datetime as dt
 import decimal
+import re
 
 import duckdb
 import pytest
@@ -53,3 +54,29 @@ def test_query_matches_oracle(spark, duck, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, (name, bad)
+    assert not _single_task_steps(plan), (name, _single_task_steps(plan))
+
+
+def _single_task_steps(plan: str) -> list[str]:
+    """Steps that funnel data-sized input through one task: a global sort
+    (range shuffle) or a single-partition exchange that is not above a
+    partial aggregate (e.g. a window without partition keys)."""
+    out = ["global sort"] if "rangepartitioning" in plan else []
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            if not re.search(r"(Hash|ObjectHash|Sort)Aggregate\(keys=\[\]", child):
+                out.append(child.strip()[:80])
+    return out
+
+
+def test_single_task_detector(spark):
+    from pyspark.sql import Window, functions as F
+    bad = [spark.range(100).orderBy(F.col("id").desc()),
+           spark.range(100).withColumn("rn", F.row_number().over(Window.orderBy("id")))]
+    good = [spark.range(100).agg(F.count("*")),
+            spark.range(100).withColumn("rn", F.row_number().over(Window.partitionBy(F.col("id") % 3).orderBy("id")))]
+    for df, expect in [(d, True) for d in bad] + [(d, False) for d in good]:
+        df.collect()
+        assert bool(_single_task_steps(df._jdf.queryExecution().executedPlan().toString())) == expect
