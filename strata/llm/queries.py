@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, token_files
+from strata.llm import bpe, simhash, token_files
 from strata.session import scratch_dir
 
 
@@ -19,6 +19,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), words_per_shingle=3, max_bits=2)
+
+
 def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path())
 
@@ -29,6 +33,6 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, manifest, folder)
 
 
-QUERIES = {"op2_bpe_roundtrip": op2_bpe_roundtrip, "op3_token_files": op3_token_files}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe_roundtrip, op3_token_files)}
 #: DuckDB SQL of the operators that SQL can express.
 ORACLE: dict[str, str] = {}
