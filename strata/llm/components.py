@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), "m")
         small = large.join(least, F.col("u") == F.col("n")).select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        links = kept(small.select("e.u", "e.v").where("u <> v").distinct(), "components")
+        links = kept(small.select("e.v", "e.u").where("u <> v").distinct(), "components")
         now = links.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
         if tuple(now) == before:
             break

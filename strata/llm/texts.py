@@ -39,3 +39,30 @@ def byte_batches(batches, column: str, most: int = PIECE_BYTES) -> Iterator[tupl
             data = texts.buffers()[2]
             flat = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
             yield part, flat, offsets - offsets[0]
+
+
+def grouped(batches, keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """Groups of equal first ``keys`` columns, as tables, from batches in which a group's rows follow each other."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, bool)
+        for k in range(keys):
+            column = batch.column(k)
+            if batch.num_rows > 1:
+                differs = pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1))
+                change[1:] |= pc.fill_null(differs, True).to_numpy(zero_copy_only=False)
+        cuts = [*np.flatnonzero(change).tolist(), batch.num_rows]
+        begin = 0
+        for end in cuts:
+            key = tuple(batch.column(k)[begin].as_py() for k in range(keys))
+            if held and key != current:
+                yield current, pa.Table.from_batches(held)
+                held = []
+            current = key
+            held.append(batch.slice(begin, end - begin))
+            begin = end
+    if held:
+        yield current, pa.Table.from_batches(held)
