@@ -11,7 +11,9 @@ smaller successor it extends, so a bucket's induced part follows the order of su
 level. The common prefix of neighbours in the array, counted up to ``length``, tells which windows occur twice.
 
 A group with over ``group_segments`` different segments (the edges of a passage found everywhere) would be too much for a task.
-Its windows are counted instead, by a 128-bit hash of all their bytes, combined before the shuffle: also exact, but more rows.
+Its segments are cut into pieces of a few windows at the same distances from the anchor, and pieces are grouped by their core, the
+bytes that all of a piece's windows contain: windows can only be equal if the cores are. Equal pieces are one again. Groups that are still
+too large are cut finer; a piece of one window is its own core, so its group holds one text and needs no sorting.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from strata.llm.texts import byte_batches
 GRAM = 128
 #: Different segments of one group that are sorted in one task.
 GROUP_SEGMENTS = 2000
+#: Windows of a piece when a group is too large, and when its pieces' groups still are.
+PIECE_WINDOWS = (64, 8, 1)
 _PLACE = 24  # bits of an anchor's place in a piece
 
 
@@ -98,7 +102,7 @@ def suffix_array(data: np.ndarray, begins: np.ndarray, owned: np.ndarray, ends:
     cuts = np.flatnonzero((np.diff(byte_i.astype(np.int16)) != 0) | (np.diff(level) != 0)) + 1
     groups = list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(induced)])) if len(induced) else []
     after = 1
-    done = [] 
+    done = []
     k = 0
     for c in np.unique(np.concatenate((byte_i, byte_d))).tolist():
         while k < len(groups) and byte_i[groups[k][0]] == c:
@@ -180,15 +184,14 @@ def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: st
     every = kept(texts.select("k1", "k2", "t").mapInArrow(
         cut, "k1 long, k2 long, begin int, windows int, anchor int, gram long, whole long"), "suffix_segments")
     # one row per different segment, then what its group holds
-    one = every.groupBy("gram", "whole").agg(F.count("*").alias("times"), F.min(F.struct("k1", "k2", "begin", "windows")).alias("at"))
+    one = every.groupBy("gram", "whole").agg(F.count("*").alias("times"), F.min(F.struct("k1", "k2", "begin", "windows", "anchor")).alias("at"))
     grams = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     one = kept(one.join(grams, "gram"), "suffix_classes")
     sizes = one.groupBy("gram").agg(F.count("*").alias("different"))
-    alone = sizes.where("different = 1").select("gram")
-    whole = one.join(alone, "gram").where("times > 1").select(
+    whole = one.join(sizes.where("different = 1"), "gram").where("times > 1").select(
         "gram", "whole", F.lit(0).alias("from"), F.col("at.windows").alias("to"))
     wanted = one.join(sizes.where("different > 1"), "gram")
-    wanted = wanted.select("at.k1", "at.k2", F.struct("gram", "whole", "times", "different", "at.begin", "at.windows").alias("s"))
+    wanted = wanted.select("at.k1", "at.k2", F.struct("gram", "whole", "times", "at.begin", "at.windows", "at.anchor").alias("s"))
     wanted = wanted.groupBy("k1", "k2").agg(F.collect_list("s").alias("wanted"))  # at most a document's segments
 
     def fetch(batches):
@@ -196,13 +199,25 @@ def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: st
             out = []
             for text, some in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = (text or "").encode()
-                out += [{k: s[k] for k in ("gram", "whole", "times", "different", "windows")}
+                out += [{k: s[k] for k in ("gram", "whole", "times", "windows", "anchor")}
                         | {"part": data[s["begin"] : s["begin"] + s["windows"] + length - 1]} for s in some]
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
-                [("gram", pa.int64()), ("whole", pa.int64()), ("times", pa.int64()), ("different", pa.int64()), ("windows", pa.int32()), ("part", pa.binary())]))
+            yield pa.RecordBatch.from_pylist(out, schema=PARTS)
 
-    parts = kept(texts.join(wanted, ["k1", "k2"]).select("t", "wanted").mapInArrow(
-        fetch, "gram long, whole long, times long, different long, windows int, part binary"), "suffix_parts")
+    parts = kept(texts.join(wanted, ["k1", "k2"]).select("t", "wanted").mapInArrow(fetch, PARTS_DDL), "suffix_parts")
+    runs = kept(whole.union(repeats(parts, length, group_segments, PIECE_WINDOWS)), "suffix_runs")
+    return every.join(runs, ["gram", "whole"]).select(
+        "k1", "k2", (F.col("begin") + F.col("from")).alias("begin"), (F.col("begin") + F.col("to") + (length - 1)).alias("end"))
+
+
+PARTS = pa.schema([("gram", pa.int64()), ("whole", pa.int64()), ("times", pa.int64()), ("windows", pa.int32()), ("anchor", pa.int32()),
+                   ("part", pa.binary())])
+PARTS_DDL = "gram long, whole long, times long, windows int, anchor int, part binary"
+
+
+def repeats(parts: DataFrame, length: int, group_segments: int, steps: tuple[int, ...]) -> DataFrame:
+    """(gram, whole, from, to): runs of windows that occur more than once. ``parts``: one row per different segment (gram, whole), with the times it
+    occurs, its windows, its anchor's place and its bytes."""
+    sizes = parts.groupBy("gram").agg(F.count("*").alias("different"))
 
     def sort(batches):
         def runs(rows):
@@ -221,26 +236,38 @@ def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: st
         if held:
             yield runs(held)
 
-    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    small = (parts.where(F.col("different") <= group_segments).select("gram", "whole", "times", "windows", "part")
+    width = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = (parts.join(sizes.where(F.col("different") <= group_segments), "gram").select("gram", "whole", "times", "windows", "part")
              .repartition(width, "gram").sortWithinPartitions("gram", "whole"))
-    sorted_runs = small.mapInArrow(sort, "gram long, whole long, from int, to int")
+    found = small.mapInArrow(sort, "gram long, whole long, from int, to int")
+    large = sizes.where(F.col("different") > group_segments)
+    if not steps or large.isEmpty():
+        return found
+    step = steps[0]
 
-    def windows_of(batches):
+    def cut(batches):
         for batch in batches:
-            for gram_, whole_, times, part in zip(*(batch.column(c).to_pylist() for c in ("gram", "whole", "times", "part"))):
-                n = len(part) - length + 1
-                keys = [hashlib.md5(part[k : k + length]).digest() for k in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([gram_] * n, pa.int64()), pa.array([whole_] * n, pa.int64()), pa.array([times] * n, pa.int64()),
-                     pa.array(range(n), pa.int32()), pa.array(keys, pa.binary())], names=["gram", "whole", "times", "at", "key"])
-
-    each = parts.where(F.col("different") > group_segments).mapInArrow(windows_of, "gram long, whole long, times long, at int, key binary")
-    twice = each.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key")
-    counted_runs = each.join(twice, "key").select("gram", "whole", F.col("at").alias("from"), (F.col("at") + 1).alias("to"))
-    runs = kept(whole.union(sorted_runs).union(counted_runs), "suffix_runs")
-    return every.join(runs, ["gram", "whole"]).select(
-        "k1", "k2", (F.col("begin") + F.col("from")).alias("begin"), (F.col("begin") + F.col("to") + (length - 1)).alias("end"))
+            out = []
+            for gram, whole, times, windows, anchor, part in zip(*(c.to_pylist() for c in batch.columns)):
+                for number in range(-anchor // step, (windows - 1 - anchor) // step + 1):  # windows number * step .. + step - 1 from the anchor
+                    first, last = max(0, number * step + anchor), min(windows, number * step + step + anchor) - 1
+                    piece = part[first : last + length]
+                    core = part[number * step + step - 1 + anchor : number * step + anchor + length]
+                    of = hashlib.md5(b"%d %d " % (gram, number) + core).digest()
+                    out.append({"gram": int.from_bytes(of[:8], "little", signed=True),
+                                "whole": int.from_bytes(hashlib.md5(b"%d " % (first - anchor) + piece).digest()[:8], "little", signed=True),
+                                "times": times, "windows": last - first + 1, "anchor": anchor - first, "part": piece,
+                                "from_gram": gram, "from_whole": whole, "first": first})
+            yield pa.RecordBatch.from_pylist(out, schema=pieces_schema)
+
+    pieces_schema = pa.schema([*PARTS, ("from_gram", pa.int64()), ("from_whole", pa.int64()), ("first", pa.int32())])
+    pieces = kept(parts.join(large, "gram").select(*PARTS.names).mapInArrow(
+        cut, f"{PARTS_DDL}, from_gram long, from_whole long, first int"), "suffix_pieces")
+    classes = kept(pieces.groupBy("gram", "whole").agg(F.sum("times").alias("times"), *[F.first(c).alias(c) for c in ("windows", "anchor", "part")]), "suffix_parts")
+    finer = kept(repeats(classes, length, group_segments, steps[1:]), "suffix_runs")
+    back = pieces.select("gram", "whole", "from_gram", "from_whole", "first").join(finer, ["gram", "whole"]).select(
+        "from_gram", "from_whole", F.col("from") + F.col("first"), F.col("to") + F.col("first"))
+    return found.union(back)
 
 
 def keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
