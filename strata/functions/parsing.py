@@ -18,6 +18,8 @@ ISO_DATETIME_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"
 )
+# what follows the time of day
+OFFSET_PATTERN = r"(Z|[+-][0-9]{2}:[0-9]{2})$"
 # Python's str.strip() removes every character for which str.isspace() holds
 # (ASCII controls \t..\r and \x1c..\x1f, NEL, NBSP and the Unicode space
 # separators), SQL trim only spaces. The set is derived from that rule.
@@ -50,10 +52,17 @@ def parse_int(c) -> Column:
 
 
 def parse_iso_datetime(c) -> Column:
-    """ISO-8601 text -> timestamp_ntz (wall clock as written), else NULL."""
+    """ISO-8601 text -> timestamp_ntz, else NULL. A text with an offset (or
+    Z) names an instant and gives its UTC wall clock; one without is taken
+    as UTC already."""
     c = col_(c).cast("string")
     ok = c.rlike(ISO_DATETIME_PATTERN) & ~c.startswith("0000")
-    return F.when(ok, c.try_cast("timestamp_ntz"))
+    wall = F.regexp_replace(c, OFFSET_PATTERN, "").try_cast("timestamp_ntz")
+    offset = F.regexp_extract(c, OFFSET_PATTERN, 0)
+    sign = F.when(offset.startswith("-"), -1).otherwise(1)
+    minutes = sign * (F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 5, 2).try_cast("int"))
+    utc = F.timestamp_add("MINUTE", F.coalesce(-minutes, F.lit(0)), wall)
+    return F.when(ok, F.when((offset == "") | (offset == "Z"), wall).otherwise(utc))
 
 
 def parse_bool_like(c) -> Column:

@@ -41,12 +41,26 @@ def sql_type_name(dt: T.DataType) -> str:
 
 
 def list_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """(table_name, size_bytes) for every parquet table file in ``folder``;
-    the binaryFile source lists files without reading their content."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .load(folder).select("path", "length"))
-    return files.select(F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("table_name"),
-                        F.col("length").alias("size_bytes"))
+    """(table_name, size_bytes) for every parquet table in ``folder``, be it
+    one file or a folder of part files. One level is listed through the
+    file system Spark reads with; sizes count the data files of a folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if not name.endswith(".parquet"):
+            continue
+        size = st.getLen()
+        if st.isDirectory():
+            size, files = 0, fs.listFiles(st.getPath(), True)
+            while files.hasNext():
+                f = files.next()
+                if f.getPath().getName()[0] not in "_.":
+                    size += f.getLen()
+        rows.append((name.removesuffix(".parquet"), size))
+    return local_frame(spark, rows, "table_name string, size_bytes bigint")
 
 
 def catalog_tables(spark: SparkSession, database: str | None = None) -> DataFrame:

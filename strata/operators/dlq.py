@@ -17,6 +17,9 @@ SCHEMA_VALIDATION = "SCHEMA_VALIDATION"
 CONSTRAINT_VIOLATION = "CONSTRAINT_VIOLATION"
 UNKNOWN_ERROR = "UNKNOWN_ERROR"
 NULL_TYPE_MESSAGE = "customer_id must be integer, got <class 'NoneType'>"
+FLOAT_TYPE_MESSAGE = "customer_id must be integer, got <class 'float'>"
+# a number with a decimal point or exponent, as a float prints
+FRACTION_PATTERN = r"^[+-]?([0-9]+[.][0-9]*|[.][0-9]+|[0-9]+)([eE][+-]?[0-9]+)?$"
 EMAIL_MESSAGE_PREFIX = "Invalid email format: "
 # Field names looked for in an error message, in this order.
 MESSAGE_FIELDS = ("customer_id", "email", "first_name", "last_name")
@@ -28,11 +31,14 @@ DLQ_ERR = "_dlq"
 
 
 def customer_contract_error() -> Column:
-    """br_customer contract: customer_id present; email, if present, has '@'.
+    """br_customer contract: customer_id present and no fraction; email, if present, has '@'.
     Returns NULL or struct(error_type, error_message)."""
     cid, em = F.col("customer_id"), F.col("email")
+    fraction = cid.cast("string").rlike(FRACTION_PATTERN) & cid.cast("string").rlike("[.eE]")
     return (F.when(cid.isNull(), F.struct(F.lit(SCHEMA_VALIDATION).alias("error_type"),
                                           F.lit(NULL_TYPE_MESSAGE).alias("error_message")))
+            .when(fraction, F.struct(F.lit(SCHEMA_VALIDATION).alias("error_type"),
+                                     F.lit(FLOAT_TYPE_MESSAGE).alias("error_message")))
             .when(em.isNotNull() & ~em.cast("string").contains("@"),
                   F.struct(F.lit(SCHEMA_VALIDATION).alias("error_type"),
                            F.concat(F.lit(EMAIL_MESSAGE_PREFIX), em.cast("string")).alias("error_message"))))

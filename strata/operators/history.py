@@ -11,6 +11,8 @@ stores keyed state so an upsert rewrites only the buckets it touches.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import JSON_OPTIONS, md5_record_hash
@@ -39,6 +41,34 @@ def with_hash(df: DataFrame, keys, name: str = "record_hash") -> DataFrame:
     return df.withColumn(name, md5_record_hash(attrs))
 
 
+def usable(df: DataFrame, keys) -> DataFrame:
+    """Rows with a key that names one state: no NULL key column, and no other,
+    different row of the same key (equal rows count once)."""
+    keys = list(keys)
+    rows = df.distinct().dropna(subset=keys)
+    return rows.join(_key_counts(rows, keys).filter("_n = 1").drop("_n"), keys, "left_semi")
+
+
+def unusable(df: DataFrame, keys) -> DataFrame:
+    """The other rows, for quarantine, with ``key_fault``: 'null_key' or 'ambiguous_key'."""
+    keys = list(keys)
+    rows = df.distinct()
+    null_key = ~reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    named = rows.dropna(subset=keys)
+    several = named.join(_key_counts(named, keys).filter("_n > 1").drop("_n"), keys, "left_semi")
+    return (rows.filter(null_key).withColumn("key_fault", F.lit("null_key"))
+            .unionByName(several.select(*rows.columns).withColumn("key_fault", F.lit("ambiguous_key"))))
+
+
+def _key_counts(rows: DataFrame, keys) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _differs(left: str, right: str, cols) -> Column:
+    """Whether any column differs; NULL equals NULL only."""
+    return reduce(lambda a, b: a | b, [~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols], F.lit(False))
+
+
 def one_per_key(df: DataFrame, keys, order_col: str) -> DataFrame:
     """Collapse rows sharing a key to the one with the largest ``order_col``
     (then largest remaining values). A grouped max(struct) aggregates
@@ -57,23 +87,25 @@ def scd2_initial(snapshot: DataFrame, keys, load_ts, batch_id: str) -> DataFrame
 
 
 def scd2_apply(history: DataFrame, incoming: DataFrame, keys, load_ts, batch_id: str) -> DataFrame:
-    """Type-2 history: unchanged keys keep their row; a changed hash closes
+    """Type-2 history: unchanged keys keep their row; a change in any column closes
     the current row (valid_to, is_current=false) and adds a new current
     version; new keys are inserted; keys missing from ``incoming`` stay as
     they are (deletes are the soft-delete operator's job).
 
-    Only current rows take part in the full outer join on the key; closed
+    Incoming rows with a NULL key or with different rows for one key
+    (``unusable``) change nothing; callers quarantine them. Only current rows take part in the full outer join on the key; closed
     versions pass through untouched. Each joined row emits its 0..2 output
     rows through one array+inline, so the join runs once."""
     keys = list(keys)
     attrs = [c for c in incoming.columns if c not in keys]
-    inc = one_per_key(with_hash(incoming, keys), keys, "record_hash")
+    inc = with_hash(usable(incoming, keys), keys)
     cur = history.filter(F.col("is_current"))
     closed = history.filter(~F.col("is_current"))
-    h, i = cur.alias("h"), inc.alias("i")
+    # presence is a flag of its own: a NULL key in old history matches nothing and stays
+    h, i = cur.withColumn("_here", F.lit(True)).alias("h"), inc.withColumn("_here", F.lit(True)).alias("i")
     j = h.join(i, [F.col(f"h.{k}") == F.col(f"i.{k}") for k in keys], "full_outer")
-    has_h, has_i = F.col(f"h.{keys[0]}").isNotNull(), F.col(f"i.{keys[0]}").isNotNull()
-    changed = has_h & has_i & (F.col("h.record_hash") != F.col("i.record_hash"))
+    has_h, has_i = F.col("h._here").isNotNull(), F.col("i._here").isNotNull()
+    changed = has_h & has_i & _differs("h", "i", attrs)
     out_cols = keys + attrs + ["record_hash"]
     t = _ts(load_ts)
 
@@ -113,22 +145,34 @@ def soft_delete(bronze: DataFrame, snapshot: DataFrame, keys, deleted_at,
     several tasks (``operators.skew``)."""
     keys = list(keys)
     present = snapshot.select(*keys).distinct().withColumn("_present", F.lit(True))
-    j = salted_join(bronze.drop(flag, stamp), present, keys, "left", max_key_rows)
-    gone = F.col("_present").isNull()
-    return j.select(*[c for c in bronze.columns if c not in (flag, stamp)],
-                    gone.alias(flag), F.when(gone, _ts(deleted_at)).alias(stamp))
+    data = [c for c in bronze.columns if c not in (flag, stamp)]
+    # a row that was deleted before keeps its first deletion time
+    known = {flag, stamp} <= set(bronze.columns)
+    since = F.when(F.col(flag), F.col(stamp)) if known else F.lit(None).cast("timestamp_ntz")
+    rows = bronze.select(*data, since.alias("_since"))
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    j = salted_join(rows.filter(has_key), present, keys, "left", max_key_rows).select(*rows.columns, F.col("_present").isNull().alias("_gone_now"))
+    # a NULL key is in no snapshot: those rows need no join, and never meet in one task
+    j = j.unionByName(rows.filter(~has_key).withColumn("_gone_now", F.lit(True)))
+    gone = F.col("_gone_now")
+    return j.select(*data, gone.alias(flag), F.when(gone, F.coalesce(F.col("_since"), _ts(deleted_at))).alias(stamp))
 
 
 def inactivate(reference: DataFrame, snapshot: DataFrame, keys, as_of: str, by: str,
                max_key_rows: int = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
     """Reference rows missing from the new snapshot become inactive with the
     inactivation date and actor filled from parameters."""
-    marked = soft_delete(reference, snapshot, keys, as_of, flag="_gone", stamp="_gone_at",
+    marks = ("is_active", "inactivated_date", "inactivated_by")
+    known = set(marks) <= set(reference.columns)
+    before = F.struct(*[F.col(c) for c in marks]) if known else F.lit(None).cast("struct<is_active:boolean,inactivated_date:date,inactivated_by:string>")
+    data = [c for c in reference.columns if c not in marks]
+    marked = soft_delete(reference.select(*data, before.alias("_before")), snapshot, keys, as_of, flag="_gone", stamp="_gone_at",
                          max_key_rows=max_key_rows)
-    gone = F.col("_gone")
-    return marked.select(*[c for c in reference.columns], (~gone).alias("is_active"),
-                         F.when(gone, F.lit(as_of).cast("date")).alias("inactivated_date"),
-                         F.when(gone, F.lit(by)).alias("inactivated_by"))
+    gone, old = F.col("_gone"), F.col("_before")
+    still = F.coalesce(~old["is_active"], F.lit(False))   # inactive already: date and actor stay
+    return marked.select(*data, (~gone).alias("is_active"),
+                         F.when(gone, F.when(still, old["inactivated_date"]).otherwise(F.lit(as_of).cast("date"))).alias("inactivated_date"),
+                         F.when(gone, F.when(still, old["inactivated_by"]).otherwise(F.lit(by))).alias("inactivated_by"))
 
 
 def change_events(old: DataFrame, new: DataFrame, keys, table: str, event_ts) -> DataFrame:
@@ -136,14 +180,16 @@ def change_events(old: DataFrame, new: DataFrame, keys, table: str, event_ts) ->
     JSON of the new row, or of the old row for deletes, event time)."""
     keys = list(keys)
     cols = [c for c in new.columns]
-    o = one_per_key(with_hash(old, keys, "_h"), keys, "_h").alias("o")
-    n = one_per_key(with_hash(new, keys, "_h"), keys, "_h").alias("n")
+    attrs = [c for c in cols if c not in keys]
+    o = usable(old, keys).withColumn("_here", F.lit(True)).alias("o")
+    n = usable(new, keys).withColumn("_here", F.lit(True)).alias("n")
     j = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys], "full_outer")
-    has_o, has_n = F.col(f"o.{keys[0]}").isNotNull(), F.col(f"n.{keys[0]}").isNotNull()
-    op = (F.when(has_o & has_n & (F.col("o._h") != F.col("n._h")), "U")
+    has_o, has_n = F.col("o._here").isNotNull(), F.col("n._here").isNotNull()
+    op = (F.when(has_o & has_n & _differs("o", "n", attrs), "U")
           .when(~has_o, "I").when(~has_n, "D"))
     data = F.when(has_n, F.to_json(F.struct(*[F.col(f"n.{c}").alias(c) for c in cols]), JSON_OPTIONS)) \
         .otherwise(F.to_json(F.struct(*[F.col(f"o.{c}").alias(c) for c in cols]), JSON_OPTIONS))
-    key = F.coalesce(*[F.col(f"n.{keys[0]}"), F.col(f"o.{keys[0]}")])
+    parts = [F.coalesce(F.col(f"n.{k}"), F.col(f"o.{k}")).alias(k) for k in keys]
+    key = parts[0] if len(keys) == 1 else F.to_json(F.struct(*parts), JSON_OPTIONS)   # a composite key as one JSON text
     return j.select(F.lit(table).alias("table_name"), op.alias("operation"), key.alias("record_key"),
                     data.alias("data"), _ts(event_ts).alias("event_ts")).filter(F.col("operation").isNotNull())

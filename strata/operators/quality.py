@@ -170,7 +170,8 @@ def foreign_keys(tables: dict, fks) -> DataFrame:
 def nulls_in(df: DataFrame, table: str, columns, check: str) -> DataFrame:
     """count_if(c IS NULL) for each column in one pass, one row per column."""
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)])
-    return union_all([agg.select(*_row(check, table, c, F.col(f"_n{i}"))) for i, c in enumerate(columns)])
+    # all rows come from the one aggregate: a union of its projections would be pruned apart and scan once per column
+    return agg.select(F.inline(F.array(*[F.struct(*_row(check, table, c, F.col(f"_n{i}"))) for i, c in enumerate(columns)])))
 
 
 def completeness(df: DataFrame, table: str, required) -> DataFrame:
@@ -186,8 +187,8 @@ def completeness(df: DataFrame, table: str, required) -> DataFrame:
             failures, exists = F.col(f"_n{present.index(c)}"), F.lit(True)
         else:
             failures, exists = F.col("_rows"), F.lit(False)
-        parts.append(agg.select(*_row("completeness", table, c, failures, column_present=exists)))
-    return union_all(parts)
+        parts.append(F.struct(*_row("completeness", table, c, failures, column_present=exists)))
+    return agg.select(F.inline(F.array(*parts)))
 
 
 def uniqueness(df: DataFrame, table: str, keys) -> DataFrame:

@@ -41,15 +41,10 @@ def replay(quarantine: DataFrame, fields, fixes: dict, rules, retried_at) -> tup
     return updated, promoted
 
 
-def report(quarantine: DataFrame, top: int | None = None) -> DataFrame:
-    """Errors by category, field and severity; with ``top``, the k largest
-    groups (full tie-break ordering so the cut is deterministic)."""
-    g = quarantine.groupBy("error_category", "failed_field", "severity") \
+def report(quarantine: DataFrame) -> DataFrame:
+    """Errors by category, field and severity, every group."""
+    return quarantine.groupBy("error_category", "failed_field", "severity") \
         .agg(F.count(F.lit(1)).alias("errors"))
-    if top is None:
-        return g
-    return g.orderBy(F.col("errors").desc(), "error_category", F.col("failed_field").asc_nulls_first(),
-                     "severity").limit(top)
 
 
 # Repairs used by the replay query (strip an 'X' id prefix,

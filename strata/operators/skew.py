@@ -14,6 +14,8 @@ task retries.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 # Rows one task should at most take for a single key.
@@ -43,12 +45,17 @@ def salted_join(left: DataFrame, right: DataFrame, keys, how: str = "left",
     # gives the same result. The salt is a hash of the row's content, so a
     # retried map task sends every row to the same reducer as before. (A
     # position-based id would not do that when the input order can change.)
-    # Exact duplicate rows therefore share a salt.
+    # The number of the map partition goes into the hash, so exact duplicates
+    # spread as well, as far as they lie in different partitions.
     content = [F.col(f.name) for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
-    salt = F.pmod(F.xxhash64(*content), F.col("_salts")) if content else F.lit(0)
-    salted = left.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_salts").isNull(), F.lit(0).cast("bigint")).otherwise(salt)).drop("_salts")
+    salt = F.pmod(F.xxhash64(F.col("_part"), *content), F.col("_salts"))
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    # rows with a NULL key match nothing: they skip the join
+    without = left.filter(~has_key) if how == "left" else None
+    salted = left.filter(has_key).withColumn("_part", F.spark_partition_id()).join(hot, keys, "left").withColumn(
+        "_salt", F.when(F.col("_salts").isNull(), F.lit(0).cast("bigint")).otherwise(salt)).drop("_salts", "_part")
     copies = right.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - F.lit(1)))) \
         .drop("_salts")
-    return salted.join(copies, keys + ["_salt"], how).drop("_salt")
+    out = salted.join(copies, keys + ["_salt"], how).drop("_salt")
+    return out if without is None else out.unionByName(without, allowMissingColumns=True)

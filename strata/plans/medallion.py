@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import contracts as C
 from ..functions.rules import customer_rules
-from ..operators import bronze as B, gold as G, silver as S
+from ..operators import bronze as B, gold as G, quality as Q, silver as S
 from ..sources import sinks
 from ..sources.tables import local_frame
 from .fixtures import dirty_customers, table
@@ -74,7 +74,7 @@ LAYER_TABLES = (
 def _read_batch(spark: SparkSession, path: str, batch_col: str, batch_id: str) -> DataFrame:
     """Read one batch partition directly: only that partition's files are
     listed, however many batches the table holds."""
-    return spark.read.option("basePath", path).parquet(f"{path}/{batch_col}={batch_id}")
+    return spark.read.option("basePath", path).parquet(sinks.batch_path(path, batch_col, batch_id))
 
 
 def run_medallion(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C.BATCH_ID,
@@ -88,16 +88,16 @@ def run_medallion(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C
     flow = CustomerFlow(spark, sf_dir, batch_id, load_ts)
     paths = {name: f"{lake}/{layer}/{name}" for layer, name in LAYER_TABLES}
     rows = {}
-    rows["br_customer"] = sinks.write_batch(flow.bronze(), paths["br_customer"], "br_batch_id")
+    rows["br_customer"] = sinks.write_batch(flow.bronze(), paths["br_customer"], "br_batch_id", batch_id)
     bronze = _read_batch(spark, paths["br_customer"], "br_batch_id", batch_id)
     validated = flow.validated(bronze)
     # silver, quarantine and the calendar do not depend on each other: run
     # them as concurrent jobs (FAIR pools) instead of one after another
     rows.update(_concurrently({
-        "sl_customer": lambda: sinks.write_batch(flow.silver(validated), paths["sl_customer"], "sl_batch_id"),
+        "sl_customer": lambda: sinks.write_batch(flow.silver(validated), paths["sl_customer"], "sl_batch_id", batch_id),
         "sl_transformation_errors": lambda: sinks.write_batch(
-            flow.quarantine(validated), paths["sl_transformation_errors"], "batch_id"),
-        "dim_date": lambda: sinks.write_batch(flow.dim_date(), paths["dim_date"], "batch_id"),
+            flow.quarantine(validated), paths["sl_transformation_errors"], "batch_id", batch_id),
+        "dim_date": lambda: sinks.write_batch(flow.dim_date(), paths["dim_date"], "batch_id", batch_id),
     }, spark))
     silver = _read_batch(spark, paths["sl_customer"], "sl_batch_id", batch_id)
     # the dimension is a narrow projection of silver, so the KPI aggregates
@@ -105,11 +105,40 @@ def run_medallion(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C
     # writes start together instead of the KPI waiting for the dimension
     dim = flow.dim_customer(silver)
     rows.update(_concurrently({
-        "dim_customer": lambda: sinks.write_batch(dim, paths["dim_customer"], "batch_id"),
+        "dim_customer": lambda: sinks.write_batch(dim, paths["dim_customer"], "batch_id", batch_id),
         "kpi_customer_summary": lambda: sinks.write_batch(flow.kpi(dim), paths["kpi_customer_summary"],
-                                                          "batch_id"),
+                                                          "batch_id", batch_id),
     }, spark))
-    return {"paths": paths, "rows": rows, "batch_id": batch_id}
+    run = {"paths": paths, "rows": rows, "batch_id": batch_id}
+    run["checks"] = validate_layers(spark, sf_dir, run)
+    run["valid"] = all(r.ok for r in run["checks"].collect())   # one row per rule
+    return run
+
+
+def layer_frames(spark: SparkSession, paths: dict, batch_id: str = C.BATCH_ID) -> dict:
+    """(layer, table) -> the stored rows of one batch."""
+    batch_col = {"br_customer": "br_batch_id", "sl_customer": "sl_batch_id"}
+    return {(layer, name): _read_batch(spark, paths[name], batch_col.get(name, "batch_id"), batch_id)
+            for layer, name in LAYER_TABLES}
+
+
+RECONCILE_RULES = (
+    ("source_vs_bronze", "br_customer", ["source"], ["br_customer"]),
+    ("bronze_vs_silver_quarantine", "sl_customer", ["bronze_current"], ["sl_customer", "sl_transformation_errors"]),
+    ("silver_vs_dim", "dim_customer", ["sl_customer"], ["dim_customer"]),
+)
+
+
+def validate_layers(spark: SparkSession, sf_dir: str, run: dict) -> DataFrame:
+    """The validate stage: row counts of the source and of the layers as
+    they are stored, read back and reconciled. A row lost or doubled
+    between two layers fails its rule."""
+    stored = {name: df for (_, name), df in layer_frames(spark, run["paths"], run["batch_id"]).items()}
+    named = {"source": CustomerFlow(spark, sf_dir).source(), "br_customer": stored["br_customer"],
+             "bronze_current": stored["br_customer"].filter(F.col("br_is_current")),
+             "sl_customer": stored["sl_customer"], "sl_transformation_errors": stored["sl_transformation_errors"],
+             "dim_customer": stored["dim_customer"]}
+    return Q.reconcile(named, RECONCILE_RULES)
 
 
 def _concurrently(jobs: dict, spark: SparkSession) -> dict:
@@ -136,10 +165,8 @@ def run_summary(spark: SparkSession, run: dict) -> DataFrame:
 def layer_summary(spark: SparkSession, paths: dict, batch_id: str = C.BATCH_ID) -> DataFrame:
     """(layer, table_name, row_count) of every layer table for one batch,
     read back from storage — one union of per-table aggregates."""
-    batch_col = {"br_customer": "br_batch_id", "sl_customer": "sl_batch_id"}
     parts = []
-    for layer, name in LAYER_TABLES:
-        df = _read_batch(spark, paths[name], batch_col.get(name, "batch_id"), batch_id)
+    for (layer, name), df in layer_frames(spark, paths, batch_id).items():
         parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
                      .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"))
     out = parts[0]

@@ -8,11 +8,17 @@ CTE chains (bronze -> silver -> gold) are spelled once.
 from __future__ import annotations
 
 from .. import contracts as C
-from ..functions.parsing import INT_PATTERN, ISO_DATETIME_PATTERN, PY_WHITESPACE
 from .fixtures import DIRTY_CUSTOMER_SQL
 
 ORACLE: dict = {}
 
+# spelled here on their own, not shared with the code they check
+INT_PATTERN = "^[+-]?[0-9]+$"
+ISO_DATETIME_PATTERN = ("^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?"
+                        "(Z|[+-][0-9]{2}:[0-9]{2})?)?$")
+PY_WHITESPACE = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                  0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
 TS = f"TIMESTAMP '{C.LOAD_TS}'"
 TS2 = f"TIMESTAMP '{C.NEXT_LOAD_TS}'"
 BATCH = f"'{C.BATCH_ID}'"
@@ -623,7 +629,7 @@ SELECT * EXCLUDE (rn) FROM (
 WHERE rn = 1"""
 
 ORACLE["soft_delete_mark"] = f"""
-WITH s1 AS ({S1}), s2 AS ({S2})
+WITH s1 AS (SELECT * FROM customer), s2 AS ({S2})
 SELECT s1.*, {BATCH} AS _bronze_batch_id, k.c_custkey IS NULL AS _bronze_is_deleted,
        CASE WHEN k.c_custkey IS NULL THEN {TS2} END AS _bronze_deleted_at
 FROM s1 LEFT JOIN (SELECT DISTINCT c_custkey FROM s2) k ON s1.c_custkey = k.c_custkey"""
@@ -664,8 +670,7 @@ FROM rv"""
 
 ORACLE["quarantine_report"] = with_customer("""
 SELECT error_category, failed_field, severity, count(*) AS errors FROM quarantine
-GROUP BY error_category, failed_field, severity
-ORDER BY errors DESC, error_category, failed_field NULLS FIRST, severity LIMIT 10""")
+GROUP BY error_category, failed_field, severity""")
 
 
 ORACLE["ingest_single"] = ORACLE["bronze_audit_sqlserver"]
@@ -724,6 +729,9 @@ def _audit_rows(tables) -> str:
 
 
 ORACLE["ingest_multi"] = _audit_rows(["customer", "orders", "part"])
+ORACLE["run_audit"] = f"""SELECT a.*, (sum(rows_processed) OVER ())::BIGINT AS run_total_rows, true AS run_success
+FROM ({ORACLE['ingest_multi']}) a"""
+ORACLE["run_audit_json"] = ORACLE["ingest_multi"]
 ORACLE["ingest_all"] = _audit_rows(["customer", "lineitem", "orders", "part", "supplier"])
 ORACLE["bronze_run"] = " UNION ALL ".join(
     f"SELECT {q(t)} AS source_table, 'br_{t}' AS bronze_table, count(*) AS records, TRUE AS success, "

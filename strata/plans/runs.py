@@ -59,6 +59,8 @@ class RunAudit:
     entries: list = field(default_factory=list)
 
     def add(self, spec: TableSpec, started, ended, rows, status, error=None):
+        if status not in STATUSES:
+            raise ValueError(f"status must be one of {STATUSES}")
         self.entries.append((f"{self.batch_id}:{spec.source_schema}.{spec.source_table}", self.source_system,
                              spec.source_schema, spec.source_table, f"{spec.target_schema}.{spec.target()}",
                              started, ended, (ended - started).total_seconds(), rows, status, error, self.batch_id))
@@ -89,7 +91,7 @@ def ingest_table(reader: Callable[[TableSpec], DataFrame], spec: TableSpec, lake
         audit.add(spec, started, _utcnow(), rows, "success")
         return rows
     except Exception as e:  # noqa: BLE001 - recorded, then re-raised
-        audit.add(spec, started, _utcnow(), None, "failed", str(e)[:2000])
+        audit.add(spec, started, _utcnow(), None, "failed", str(e))
         raise
 
 
@@ -98,12 +100,15 @@ def ingest_many(spark: SparkSession, reader, specs, lake: str, load_ts, audit: R
     """Ingest several tables; with ``max_workers`` > 1 they run
     concurrently, each thread in its own FAIR scheduler pool."""
     def one(spec):
+        before = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"ingest_{spec.source_table}")
         try:
             ingest_table(reader, spec, lake, load_ts, audit)
         except Exception:
             if not continue_on_error:
                 raise
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", before)
 
     if max_workers <= 1:
         for s in specs:
@@ -160,10 +165,10 @@ def bronze_run(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C.BA
         try:
             src = scan_table(spark, sf_dir, t)
             br = B.audit_lenient(B.stringify(src), t, batch_id, load_ts, key_cols=keys.get(t, ()))
-            n = sinks.write_batch(br, f"{lake}/staging/br_{t}", "br_batch_id")
+            n = sinks.write_batch(br, f"{lake}/staging/br_{t}", "br_batch_id", batch_id)
             rows.append((t, f"br_{t}", n, True, None, time.time() - t0))
         except Exception as e:  # noqa: BLE001
-            rows.append((t, f"br_{t}", 0, False, str(e)[:2000], time.time() - t0))
+            rows.append((t, f"br_{t}", 0, False, str(e), time.time() - t0))
     df = local_frame(spark, rows, "source_table string, bronze_table string, records bigint, success boolean, "
                                      "error string, seconds double")
     ok = sum(1 for r in rows if r[3])
@@ -179,9 +184,9 @@ def ingest_with_dlq(spark: SparkSession, source: DataFrame, table: str, lake: st
     from ..operators import dlq as DLQ
     chk = DLQ.checked(source, contract)
     good = sinks.write_batch(DLQ.good_rows(chk, table, batch_id, load_ts), f"{lake}/staging/br_{table}",
-                             "br_batch_id")
+                             "br_batch_id", batch_id)
     bad = sinks.write_batch(DLQ.dlq_model_rows(DLQ.dlq_rows(chk, table, batch_id), load_ts),
-                            f"{lake}/staging/br_ingestion_errors", "batch_id")
+                            f"{lake}/staging/br_ingestion_errors", "batch_id", batch_id)
     total = good + bad
     return local_frame(
         spark, [(1, total, good, bad, round(good / total * 100, 2) if total else 0.0, bad > 0)],
@@ -202,8 +207,8 @@ def promote_to_silver(spark: SparkSession, bronze: DataFrame, rules, key_col: st
     source_table = source_table or f"br_{silver_table.removeprefix('sl_')}"
     clean, bad, _ = S.promote(bronze, rules, key_col, batch_id, load_ts, record_cols, source_table, silver_table,
                               passthrough=passthrough)
-    promoted = sinks.write_batch(clean, f"{lake}/silver/{silver_table}", "sl_batch_id")
-    quarantined = sinks.write_batch(bad, f"{lake}/silver/sl_transformation_errors", "batch_id")
+    promoted = sinks.write_batch(clean, f"{lake}/silver/{silver_table}", "sl_batch_id", batch_id)
+    quarantined = sinks.write_batch(bad, f"{lake}/silver/sl_transformation_errors", "batch_id", batch_id)
     processed = promoted + quarantined
     return {"success": True, "bronze_records": processed, "clean_records": promoted,
             "quarantined_records": quarantined, "success_rate": promoted / processed * 100, "table": silver_table}

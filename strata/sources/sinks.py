@@ -7,6 +7,7 @@ second scan.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -19,23 +20,31 @@ def _observed(df: DataFrame):
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def write_batch(df: DataFrame, path: str, batch_col: str, fmt: str = "parquet") -> int:
-    """Write one batch as its own partition. Re-running the same batch id
-    overwrites only that partition (dynamic partition overwrite), so runs
-    are idempotent and other batches are untouched."""
-    observed, obs = _observed(df)
-    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(batch_col).format(fmt).save(path))
+def batch_path(path: str, batch_col: str, batch_id: str) -> str:
+    """Folder of one batch in a table partitioned by batch id."""
+    return f"{path}/{batch_col}={quote(str(batch_id), safe=' ')}"
+
+
+def write_batch(df: DataFrame, path: str, batch_col: str, batch_id: str, fmt: str = "parquet") -> int:
+    """Write one batch as its own partition folder, replacing that folder
+    whole: a re-run with fewer rows, or none, leaves nothing of the earlier
+    run, and other batches are untouched. An empty batch still leaves its
+    (typed) folder, so the next layer can read it."""
+    observed, obs = _observed(df.drop(batch_col))
+    (observed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .format(fmt).save(batch_path(path, batch_col, batch_id)))
     return int(obs.get.get("rows", 0))
 
 
 def write_table(df: DataFrame, path: str, if_exists: str = "append", partition_by=None,
                 fmt: str = "parquet") -> int:
-    """``if_exists`` in append / replace / fail; returns rows written."""
+    """``if_exists`` in append / replace / fail; returns rows written.
+    Replacing drops every earlier row, whatever the session's partition
+    overwrite mode."""
     if if_exists not in MODES:
         raise ValueError(f"if_exists must be one of {sorted(MODES)}")
     observed, obs = _observed(df)
-    w = observed.write.mode(MODES[if_exists]).format(fmt)
+    w = observed.write.mode(MODES[if_exists]).option("partitionOverwriteMode", "static").format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.save(path)
@@ -75,22 +84,3 @@ def write_catalog_table(df: DataFrame, target_table: str, target_schema: str = "
 def write_json(df: DataFrame, path: str) -> None:
     """Metadata-sized frames (run audits, discovered tables) as JSON lines."""
     df.coalesce(1).write.mode("overwrite").json(path)
-
-
-def read_latest_version(spark, path: str, version_col: str = "version", at_most: int | None = None):
-    """(frame, version) of the newest complete version of a versioned table,
-    optionally the newest one not above ``at_most`` (partition pruned)."""
-    t = spark.read.parquet(path)
-    cand = t if at_most is None else t.filter(F.col(version_col) <= F.lit(int(at_most)))
-    v = cand.agg(F.max(version_col).alias("v")).first()["v"]   # one scalar
-    return t.filter(F.col(version_col) == F.lit(v)).drop(version_col), v
-
-
-def write_version(df: DataFrame, path: str, version: int, version_col: str = "version") -> int:
-    """Write a complete table version as its own partition. The version being
-    read is never overwritten; re-writing the same version (a retry) replaces
-    only that partition."""
-    observed, obs = _observed(df.withColumn(version_col, F.lit(int(version))))
-    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(version_col).parquet(path))
-    return int(obs.get.get("rows", 0))

@@ -91,17 +91,3 @@ def parse_qualified(name: str, default_schema: str = "dbo") -> tuple[str, str]:
         schema, tbl = name.split(".", 1)
         return schema, tbl
     return default_schema, name
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin redistribute a scan that yields fewer partitions than the
-    cluster has cores (e.g. one large file with a single row group) before
-    CPU-heavy per-row work such as hashing or rule evaluation. A scan that
-    is already split at least that finely — every large input — is
-    returned unchanged, so no shuffle is added at scale."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:   # sessions without RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df if current >= target else df.repartition(target)

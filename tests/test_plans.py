@@ -49,7 +49,7 @@ def test_fk_checks_never_join_by_table_and_column_alone(spark):
 
 def test_scd2_collapses_incoming_before_full_outer_join(spark):
     plan = _plan(QUERIES["scd2_apply"](spark, SF001))
-    assert "FullOuter" in plan and "partial_max" in plan
+    assert "FullOuter" in plan and "partial_count" in plan
 
 
 def test_no_python_udfs_in_any_plan(spark):
@@ -86,14 +86,6 @@ def test_recommended_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
 
 
-def test_spread_only_when_under_split(spark):
-    from strata.sources.tables import spread
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(8)
-    assert spread(many, 4) is many
-
-
 def test_local_frame_is_a_sized_local_relation(spark):
     import datetime as dt
     from strata.sources.tables import local_frame
