@@ -150,6 +150,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", s: Set
         yield pa.RecordBatch.from_pydict({"shares": pa.array([shares.tobytes()], pa.binary()), "constant": [constant]})
 
     model = rows.repartition(1).mapInArrow(run, "shares binary, constant double").first()
+    if model is None:  # no labelled document, no task
+        return fit([], s)
     return np.frombuffer(model.shares, np.float32), model.constant
 
 

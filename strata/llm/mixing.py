@@ -76,8 +76,8 @@ def mix(docs: DataFrame, size: Column, max_epochs: float | None = None, entropy:
     mine = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in results], F.coalesce(size, F.lit(0)).cast("long").alias("tokens"))
     identity = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
     source = F.col(f"`{source_col}`")
-    filed = mine.select("*", F.coalesce(F.concat(F.lit("="), source), F.lit("null")).alias("s"), (digits(identity, 1, 8) % blocks).alias("b"))
-    sums = kept(filed.groupBy("s", "b").agg(F.sum("tokens").alias("t")), "mix_blocks")  # at most blocks rows per source
+    filed = mine.select("*", F.coalesce(F.concat(F.lit("="), source), F.lit("null")).alias("__s"), (digits(identity, 1, 8) % blocks).alias("__b"))
+    sums = kept(filed.groupBy(F.col("__s").alias("s"), F.col("__b").alias("b")).agg(F.sum("tokens").alias("t")), "mix_blocks")  # at most blocks rows per source
     shares = kept(sums.groupBy("s").agg(F.sum("t").alias("tokens")), "mix_shares")
     a = exponent(shares, max_epochs, entropy, budget)
     total = float(shares.agg(F.sum("tokens")).first()[0] or 0)
@@ -93,6 +93,6 @@ def mix(docs: DataFrame, size: Column, max_epochs: float | None = None, entropy:
     order = Window.partitionBy("s", "epoch").orderBy(place)  # at most blocks rows
     plan = plan.select("s", "b", "epoch", "whole", "rest", F.row_number().over(order).alias("turn"), F.sum("t").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
     plan = plan.where((F.col("epoch") <= F.col("whole")) | ((F.col("rest") > 0) & (F.col("upto") <= F.col("rest")))).select(
-        F.col("s").alias("s2"), F.col("b").alias("b2"), "epoch", "turn")
-    out = filed.join(plan, (F.col("s") == F.col("s2")) & (F.col("b") == F.col("b2")))
+        F.col("s").alias("__s2"), F.col("b").alias("__b2"), "epoch", "turn")
+    out = filed.join(plan, (F.col("__s") == F.col("__s2")) & (F.col("__b") == F.col("__b2")))
     return out.select(*mine.columns, "epoch", "turn")

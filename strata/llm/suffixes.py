@@ -270,10 +270,10 @@ def repeats(parts: DataFrame, length: int, group_segments: int, steps: tuple[int
     return found.union(back)
 
 
-def keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """Adds t (the text; null: empty), k1 and k2. Rows with the same id and text have the same key, and the same result."""
+def keyed(docs: DataFrame, text_col: str, id_col: str, *more) -> DataFrame:
+    """The columns ``more``, t (the text; null: empty), k1 and k2. Rows with the same id and text have the same key, and the same result."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    return docs.select("*", text.alias("t"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("k1"), F.xxhash64(text).alias("k2"))
+    return docs.select(*more, text.alias("t"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("k1"), F.xxhash64(text).alias("k2"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: str = "doc_id", **how) -> DataFrame:
@@ -288,7 +288,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", i
     found = found.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     names = [c for c in mine.columns if c != text_col]
     packed = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row") if names else F.lit(0).alias("row")
-    rows = keyed(mine, text_col, id_col).select(packed, "t", "k1", "k2")
+    rows = keyed(mine, text_col, id_col, packed)
     rows = rows.join(found, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")), "left").select("row", "t", "spans")
 
     def apply(batches):

@@ -54,7 +54,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", time
     active = asked.join(intervals(entries), (F.col("asked") == F.col("pattern")) & (F.col("valid_from") <= F.col("t"))
                         & (F.col("valid_to").isNull() | (F.col("t") < F.col("valid_to"))))
     order = F.struct(F.length("pattern").alias("size"), (F.col("list") == "block").alias("b"), "pattern", "list")
-    verdict = active.groupBy("u", "t").agg(F.count("*").alias("n"), F.max(order).alias("d"))
-    out = mine.join(verdict, (F.col(f"`{url_col}`") == F.col("u")) & (F.col(f"`{time_col}`") == F.col("t")), "left")
-    return out.select(*mine.columns, F.coalesce("n", F.lit(0)).alias("n_active"), F.col("d.pattern").alias("decided_by"),
-                      F.col("d.list").alias("decided_list"), F.coalesce(F.col("d.b"), F.lit(False)).alias("blocked"))
+    verdict = active.groupBy(F.col("u").alias("__u"), F.col("t").alias("__t")).agg(F.count("*").alias("__n"), F.max(order).alias("__d"))
+    out = mine.join(verdict, (F.col(f"`{url_col}`") == F.col("__u")) & (F.col(f"`{time_col}`") == F.col("__t")), "left")
+    return out.select(*mine.columns, F.coalesce("__n", F.lit(0)).alias("n_active"), F.col("__d.pattern").alias("decided_by"),
+                      F.col("__d.list").alias("decided_list"), F.coalesce(F.col("__d.b"), F.lit(False)).alias("blocked"))
