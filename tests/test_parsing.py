@@ -29,7 +29,7 @@ TS_OK = {
     "2022-02-14T00:00:00Z": dt.datetime(2022, 2, 14),
     "2022-02-14 09:57": dt.datetime(2022, 2, 14, 9, 57),
     "2022-02-14 09:57:20.1": dt.datetime(2022, 2, 14, 9, 57, 20, 100000),
-    "2022-02-14T09:57:20+05:30": dt.datetime(2022, 2, 14, 9, 57, 20),  # wall clock kept
+    "2022-02-14T09:57:20+05:30": dt.datetime(2022, 2, 14, 4, 27, 20),  # wall clock kept
 }
 TS_BAD = ["2022", "2022-02", "2022-2-4", "09:57", "2022-02-30", "2022-02-14 24:00:00", "NaT", "0000-01-01",
           "20220214", "2022-W07-1", "2022-02-14T09:57:20.123456789", "2022-02-14Z"]
