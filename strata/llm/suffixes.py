@@ -166,8 +166,8 @@ def repeated_runs(parts: list[bytes], windows: np.ndarray, many: np.ndarray, len
 
 def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: str = "doc_id", gram: int = GRAM,
           group_segments: int = GROUP_SEGMENTS) -> DataFrame:
-    """(k1, k2, begin, end): byte ranges of the documents that are covered by repeated strings of ``length`` bytes, possibly
-    overlapping. Documents are known by two hashes of id and text (``keyed``)."""
+    """(k1, k2, spans): byte ranges (begin, end) of the documents that are covered by repeated strings of ``length`` bytes, possibly
+    overlapping; a row per segment that has any. Documents are known by two hashes of id and text (``keyed``)."""
     texts = keyed(docs, text_col, id_col)
 
     def cut(batches):
@@ -189,7 +189,7 @@ def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: st
     one = kept(one.join(grams, "gram"), "suffix_classes")
     sizes = one.groupBy("gram").agg(F.count("*").alias("different"))
     whole = one.join(sizes.where("different = 1"), "gram").where("times > 1").select(
-        "gram", "whole", F.lit(0).alias("from"), F.col("at.windows").alias("to"))
+        "gram", "whole", F.array(F.struct(F.lit(0).alias("from"), F.col("at.windows").alias("to"))).alias("runs"))
     wanted = one.join(sizes.where("different > 1"), "gram")
     wanted = wanted.select("at.k1", "at.k2", F.struct("gram", "whole", "times", "at.begin", "at.windows", "at.anchor").alias("s"))
     wanted = wanted.groupBy("k1", "k2").agg(F.collect_list("s").alias("wanted"))  # at most a document's segments
@@ -205,27 +205,27 @@ def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: st
 
     parts = kept(texts.join(wanted, ["k1", "k2"]).select("t", "wanted").mapInArrow(fetch, PARTS_DDL), "suffix_parts")
     runs = kept(whole.union(repeats(parts, length, group_segments, PIECE_WINDOWS)), "suffix_runs")
-    return every.join(runs, ["gram", "whole"]).select(
-        "k1", "k2", (F.col("begin") + F.col("from")).alias("begin"), (F.col("begin") + F.col("to") + (length - 1)).alias("end"))
+    moved = F.transform("runs", lambda r: F.struct((F.col("begin") + r["from"]).alias("begin"), (F.col("begin") + r["to"] + (length - 1)).alias("end")))
+    return every.join(runs, ["gram", "whole"]).select("k1", "k2", moved.alias("spans"))
 
 
 PARTS = pa.schema([("gram", pa.int64()), ("whole", pa.int64()), ("times", pa.int64()), ("windows", pa.int32()), ("anchor", pa.int32()),
                    ("part", pa.binary())])
+RUNS = pa.schema([("gram", pa.int64()), ("whole", pa.int64()), ("runs", pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])))])
 PARTS_DDL = "gram long, whole long, times long, windows int, anchor int, part binary"
 
 
 def repeats(parts: DataFrame, length: int, group_segments: int, steps: tuple[int, ...]) -> DataFrame:
-    """(gram, whole, from, to): runs of windows that occur more than once. ``parts``: one row per different segment (gram, whole), with the times it
+    """(gram, whole, runs): runs (from, to) of windows that occur more than once, for segments that have any. ``parts``: one row per different segment (gram, whole), with the times it
     occurs, its windows, its anchor's place and its bytes."""
     sizes = parts.groupBy("gram").agg(F.count("*").alias("different"))
 
     def sort(batches):
         def runs(rows):
             found = repeated_runs([r[4] for r in rows], np.array([r[3] for r in rows], np.int64), np.array([r[2] > 1 for r in rows]), length)
-            flat = [(r[0], r[1], a, b) for r, some in zip(rows, found) for a, b in some]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*flat) if flat else [[]] * 4, kinds)], names=["gram", "whole", "from", "to"])
+            some = [{"gram": r[0], "whole": r[1], "runs": [{"from": a, "to": b} for a, b in f]} for r, f in zip(rows, found) if f]
+            return pa.RecordBatch.from_pylist(some, schema=RUNS)
 
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "whole", "times", "windows", "part"))):
@@ -239,7 +239,7 @@ def repeats(parts: DataFrame, length: int, group_segments: int, steps: tuple[int
     width = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     small = (parts.join(sizes.where(F.col("different") <= group_segments), "gram").select("gram", "whole", "times", "windows", "part")
              .repartition(width, "gram").sortWithinPartitions("gram", "whole"))
-    found = small.mapInArrow(sort, "gram long, whole long, from int, to int")
+    found = small.mapInArrow(sort, "gram long, whole long, runs array<struct<from:int,to:int>>")
     large = sizes.where(F.col("different") > group_segments)
     if not steps or large.isEmpty():
         return found
@@ -265,8 +265,10 @@ def repeats(parts: DataFrame, length: int, group_segments: int, steps: tuple[int
         cut, f"{PARTS_DDL}, from_gram long, from_whole long, first int"), "suffix_pieces")
     classes = kept(pieces.groupBy("gram", "whole").agg(F.sum("times").alias("times"), *[F.first(c).alias(c) for c in ("windows", "anchor", "part")]), "suffix_parts")
     finer = kept(repeats(classes, length, group_segments, steps[1:]), "suffix_runs")
+    moved = F.transform("runs", lambda r: F.struct((r["from"] + F.col("first")).alias("from"), (r["to"] + F.col("first")).alias("to")))
     back = pieces.select("gram", "whole", "from_gram", "from_whole", "first").join(finer, ["gram", "whole"]).select(
-        "from_gram", "from_whole", F.col("from") + F.col("first"), F.col("to") + F.col("first"))
+        "from_gram", "from_whole", moved.alias("runs"))
+    back = back.groupBy("from_gram", "from_whole").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # at most a segment's windows
     return found.union(back)
 
 
@@ -285,7 +287,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", i
     results = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()}
     mine = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in results])
     found = spans(mine, length, text_col, id_col, **how)
-    found = found.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    found = found.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.flatten(F.collect_list("spans")).alias("spans"))
     names = [c for c in mine.columns if c != text_col]
     packed = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row") if names else F.lit(0).alias("row")
     rows = keyed(mine, text_col, id_col, packed)
