@@ -28,8 +28,9 @@ from strata.llm import rolling
 from strata.llm.store import kept
 from strata.llm.texts import byte_batches
 
-#: Bytes of the gram that a segment is known by.
-GRAM = 128
+#: A segment is known by a gram of this part of the length sought: shorter ones make longer, so fewer, segments; longer ones
+#: are rarer, so they bring fewer different segments together.
+GRAM_PART = 8
 #: Different segments of one group that are sorted in one task.
 GROUP_SEGMENTS = 2000
 #: Windows of a piece when a group is too large, and when its pieces' groups still are.
@@ -164,11 +165,12 @@ def repeated_runs(parts: list[bytes], windows: np.ndarray, many: np.ndarray, len
     return out
 
 
-def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: str = "doc_id", gram: int = GRAM,
+def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: str = "doc_id", gram: int | None = None,
           group_segments: int = GROUP_SEGMENTS) -> DataFrame:
     """(k1, k2, spans): byte ranges (begin, end) of the documents that are covered by repeated strings of ``length`` bytes, possibly
     overlapping; a row per segment that has any. Documents are known by two hashes of id and text (``keyed``)."""
     texts = keyed(docs, text_col, id_col)
+    gram = gram or max(1, length // GRAM_PART)
 
     def cut(batches):
         names = ["k1", "k2", "begin", "windows", "anchor", "gram", "whole"]
