@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..contracts import FOREIGN_KEYS, PRIMARY_KEYS
 from ..sources.tables import local_frame, scan_table
-from .quality import orphan_report
+from .quality import PAIR_COLS, is_unique, orphan_report, union_all
 
 # Tables whose name contains one of these are system tables.
 SYSTEM_PATTERNS = ("sys", "INFORMATION_SCHEMA", "tempdb", "msdb")
@@ -141,31 +141,35 @@ def _key_suffix(name: str) -> str:
     return name.split("_", 1)[1] if "_" in name and not name.endswith("_id") else name
 
 
-def fk_candidate_pairs(spark: SparkSession, sf_dir: str, tables):
-    """(child, child_col, parent, parent_col) pairs: integer columns named
-    like keys (*key, *_id) whose names match after the table prefix."""
-    keyish = {}
+def key_groups(spark: SparkSession, sf_dir: str, tables) -> list[list[tuple[str, str]]]:
+    """Integer columns named like keys (*key, *_id), as (table, column), in
+    groups whose names match after the table prefix."""
+    keyish: dict[str, list] = {}
     for t in tables:
         for f in scan_table(spark, sf_dir, t).schema.fields:
             if isinstance(f.dataType, (T.IntegerType, T.LongType)) and (f.name.endswith("key") or f.name.endswith("_id")):
                 keyish.setdefault(_key_suffix(f.name), []).append((t, f.name))
-    pairs = []
-    for cols in keyish.values():
-        for ct, cc in cols:
-            for pt, pc in cols:
-                if ct != pt:
-                    pairs.append((ct, cc, pt, pc))
-    return sorted(pairs)
+    return [g for g in keyish.values() if len({t for t, _ in g}) > 1]
 
 
 def fk_candidates(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
-    """For every candidate pair: is the parent column unique, how many child
-    rows have a non-null value missing from the parent, and the verdict —
-    all pairs answered by one plan (``quality.orphan_report``)."""
-    pairs = fk_candidate_pairs(spark, sf_dir, tables)
-    frames = {t: scan_table(spark, sf_dir, t) for t in {p[0] for p in pairs} | {p[2] for p in pairs}}
-    rep = orphan_report(spark, frames, pairs)
-    return rep.withColumn("is_foreign_key", F.col("parent_unique") & (F.col("orphan_rows") == 0))
+    """Candidate foreign keys: key columns whose names match a unique key
+    column of another table, the child rows with a non-null value missing
+    there, and the verdict. Only unique columns become parents, so many
+    tables that share a key column are not all paired with each other."""
+    groups = key_groups(spark, sf_dir, tables)
+    frames = {t: scan_table(spark, sf_dir, t) for g in groups for t, _ in g}
+    columns = [c for g in groups for c in g]
+    none = local_frame(spark, [], ", ".join(f"{c} string" for c in PAIR_COLS) + ", orphan_rows bigint, parent_unique boolean, is_foreign_key boolean")
+    if not columns:
+        return none
+    found = union_all([is_unique(frames[t], [c]).select(F.lit(t).alias("t"), F.lit(c).alias("c"), "parent_unique") for t, c in columns])
+    parents = {(r.t, r.c) for r in found.filter("parent_unique").collect()}   # one row per key column
+    pairs = [(ct, cc, pt, pc) for g in groups for ct, cc in g for pt, pc in g if ct != pt and (pt, pc) in parents]
+    if not pairs:
+        return none
+    return orphan_report(frames, pairs).select(
+        *PAIR_COLS, "orphan_rows", F.lit(True).alias("parent_unique"), (F.col("orphan_rows") == 0).alias("is_foreign_key"))
 
 
 # ---------------------------------------------------------------- registry upsert

@@ -4,9 +4,8 @@ events.
 
 Stock Spark has no MERGE for parquet tables, so every "upsert" is a join
 producing the next version, written to a new location by the caller (never
-overwriting the path being read). ``sources.history_table`` stores SCD2
-history so a load rewrites only current rows; ``sources.bucketed_state``
-stores keyed state so an upsert rewrites only the buckets it touches.
+overwriting the path being read). Written partitioned by ``is_current``, SCD2
+history gives a load its current rows by partition pruning.
 """
 
 from __future__ import annotations

@@ -12,8 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..sources.tables import local_frame
-
 
 def _row(check: str, table: str, column: str | None, failures: Column, **extra) -> list[Column]:
     return [F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
@@ -72,99 +70,60 @@ def sum_match(orders: DataFrame, lineitem: DataFrame, tolerance: str = "0.01") -
         (diff <= F.lit(tolerance).cast("decimal(18,2)")).alias("ok"))
 
 
+PAIR_COLS = ["child_table", "child_column", "parent_table", "parent_column"]
+
+
+def _key(df: DataFrame, columns, as_text=()) -> list[Column]:
+    """Key columns ``_k0``, ``_k1``, ... of a relationship."""
+    return [(F.col(c).cast("string") if i in as_text else F.col(c)).alias(f"_k{i}") for i, c in enumerate(columns)]
+
+
+def _mixed(child: DataFrame, child_cols, parent: DataFrame, parent_cols) -> list[int]:
+    """Places where text meets another type; those keys are compared as text."""
+    text = lambda df, c: df.schema[c].dataType.typeName() in ("string", "char", "varchar")
+    return [i for i, (c, p) in enumerate(zip(child_cols, parent_cols)) if text(child, c) != text(parent, p)]
+
+
 def orphan_rows(child: DataFrame, child_cols, parent: DataFrame, parent_cols) -> DataFrame:
-    """One row (orphans): child rows whose non-null key has no parent.
+    """One row (orphan_rows): child rows whose non-null key, of any type, has
+    no parent.
 
     Child keys are counted first (partial aggregation map-side: a key that
     holds a third of all rows is one row per map task before the shuffle),
-    parent keys are made distinct, and the two keyed frames meet in a left
-    join — an outer join, so Catalyst keeps the pre-aggregation below it
-    (a left-anti join would be pushed beneath the aggregate). The join's
-    child side is already partitioned by the key; AQE turns it into a
-    broadcast join when the parent keys measure small."""
+    parent keys are made distinct, and both sides meet on the key they were
+    shuffled on once. The join is an outer one, so Catalyst keeps the
+    aggregation below it (a left-anti join would be pushed beneath the
+    aggregate); AQE broadcasts the parent keys when they measure small."""
     child_cols, parent_cols = list(child_cols), list(parent_cols)
-    not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in child_cols])
-    keys = child.filter(not_null).groupBy(*child_cols).agg(F.count(F.lit(1)).alias("_n"))
-    pk = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, child_cols)]).distinct() \
-        .withColumn("_hit", F.lit(True))
-    j = keys.join(pk, child_cols, "left")
-    return j.agg(F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).alias("orphans"))
+    text = _mixed(child, child_cols, parent, parent_cols)
+    names = [f"_k{i}" for i in range(len(child_cols))]
+    keys = child.select(*_key(child, child_cols, text)).dropna().groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    pk = parent.select(*_key(parent, parent_cols, text)).dropna().distinct().withColumn("_hit", F.lit(True))
+    j = keys.join(pk, names, "left")
+    return j.agg(F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("orphan_rows"))
 
 
-PAIR_COLS = ["child_table", "child_column", "parent_table", "parent_column"]
+def is_unique(df: DataFrame, columns) -> DataFrame:
+    """One row (parent_unique): no non-null key occurs twice."""
+    keys = df.select(*_key(df, columns)).dropna()
+    n = keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return n.agg((F.coalesce(F.max("_n"), F.lit(1)) <= 1).alias("parent_unique"))
 
 
-def key_counts(frames: dict, columns) -> DataFrame:
-    """(table_name, column_name, key, rows) for many single key columns at
-    once: one union of narrow key projections and a single grouped count,
-    so every table is scanned once per key column and a hot key collapses to
-    one row per map task before the shuffle."""
-    parts = [frames[t].select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                              F.col(c).cast("bigint").alias("key")) for t, c in columns]
-    # identical positional schemas: plain union (no by-name resolution)
-    return reduce(DataFrame.union, parts).filter(F.col("key").isNotNull()) \
-        .groupBy("table_name", "column_name", "key").agg(F.count(F.lit(1)).alias("rows"))
-
-
-def orphan_report(spark, frames: dict, pairs) -> DataFrame:
-    """For (child_table, child_column, parent_table, parent_column) pairs of
-    integer key columns: child rows whose key is missing from the parent
-    (``orphan_rows``) and whether the parent column is unique.
-
-    All pairs are answered by one plan over the key table above: child keys
-    meet parent keys in one keyed left join (both sides already aggregated,
-    so no key can be hot), then one grouped sum. The pair list itself is
-    metadata (bounded by the number of key columns)."""
-    pairs = sorted(set(pairs))
-    cols = sorted({(p[0], p[1]) for p in pairs} | {(p[2], p[3]) for p in pairs})
-    k = key_counts(frames, cols)
-    # The pair list is built on the driver from schemas: at most (key
-    # columns)^2 rows — a proven bound — so it is broadcast. Joining it by
-    # (table, column) through a shuffle would put every key of a column
-    # into one task.
-    pf = F.broadcast(local_frame(spark, pairs, "child_table string, child_column string, parent_table string, "
-                                                  "parent_column string"))
-    child = k.join(pf, (k["table_name"] == pf["child_table"]) & (k["column_name"] == pf["child_column"])) \
-        .select(*PAIR_COLS, "key", "rows")
-    # _hit reads `rows` so every use of k keeps the same aggregate, letting
-    # Spark compute its shuffle once and reuse it for all three consumers
-    parent = k.select(F.col("table_name").alias("parent_table"), F.col("column_name").alias("parent_column"),
-                      "key", (F.col("rows") > 0).alias("_hit"))
-    orphans = child.join(parent, ["parent_table", "parent_column", "key"], "left").groupBy(*PAIR_COLS) \
-        .agg(F.sum(F.when(F.col("_hit").isNull(), F.col("rows")).otherwise(0)).alias("orphan_rows"))
-    unique = k.groupBy(F.col("table_name").alias("parent_table"), F.col("column_name").alias("parent_column")) \
-        .agg((F.max("rows") <= 1).alias("parent_unique"))
-    # orphans / unique hold one row per pair / per column (metadata-sized)
-    return (pf.join(F.broadcast(orphans), PAIR_COLS, "left")
-            .join(F.broadcast(unique), ["parent_table", "parent_column"], "left")
-            .select(*PAIR_COLS, F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows"),
-                    F.coalesce("parent_unique", F.lit(True)).alias("parent_unique")))
+def orphan_report(frames: dict, pairs) -> DataFrame:
+    """(child_table, child_column, parent_table, parent_column, orphan_rows)
+    of pairs of single key columns, each by ``orphan_rows``; the stages of
+    the pairs are independent, so Spark runs them side by side."""
+    return union_all([orphan_rows(frames[ct], [cc], frames[pt], [pc]).select(
+        *[F.lit(v).alias(k) for k, v in zip(PAIR_COLS, (ct, cc, pt, pc))], "orphan_rows") for ct, cc, pt, pc in sorted(set(pairs))])
 
 
 def foreign_keys(tables: dict, fks) -> DataFrame:
-    """Orphan child rows per relationship; NULL child keys are ignored.
-    Single-column relationships are all answered by one ``orphan_report``
-    plan; composite keys fall back to ``orphan_rows`` per relationship."""
-    fks = list(fks)
-    simple = [fk for fk in fks if len(fk.child_cols) == 1]
-    parts = []
-    if simple:
-        spark = next(iter(tables.values())).sparkSession
-        rep = orphan_report(spark, tables, [(fk.child, fk.child_cols[0], fk.parent, fk.parent_cols[0])
-                                            for fk in simple])
-        failures = F.col("orphan_rows")
-        parts.append(rep.select(F.lit("foreign_key").alias("check_name"), F.col("child_table").alias("table_name"),
-                                F.col("child_column").alias("column_name"), failures.alias("failures"),
-                                (failures == 0).alias("ok"), "parent_table",
-                                F.col("parent_column").alias("parent_column")))
-    for fk in fks:
-        if len(fk.child_cols) == 1:
-            continue
-        orphans = orphan_rows(tables[fk.child], fk.child_cols, tables[fk.parent], fk.parent_cols)
-        parts.append(orphans.select(*_row("foreign_key", fk.child, ",".join(fk.child_cols), F.col("orphans"),
-                                          parent_table=F.lit(fk.parent),
-                                          parent_column=F.lit(",".join(fk.parent_cols)))))
-    return union_all(parts)
+    """Orphan child rows per relationship; rows with a NULL in the child key
+    are ignored."""
+    return union_all([orphan_rows(tables[fk.child], fk.child_cols, tables[fk.parent], fk.parent_cols).select(
+        *_row("foreign_key", fk.child, ",".join(fk.child_cols), F.col("orphan_rows"), parent_table=F.lit(fk.parent),
+              parent_column=F.lit(",".join(fk.parent_cols)))) for fk in fks])
 
 
 def nulls_in(df: DataFrame, table: str, columns, check: str) -> DataFrame:

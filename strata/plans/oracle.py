@@ -496,7 +496,7 @@ def _fk_pair_sql(ct, cc, pt, pc):
 
 _pairs = [(ct, cc, pt, pc) for g in FK_GROUPS for ct, cc in g for pt, pc in g if ct != pt]
 ORACLE["fk_candidates"] = ("SELECT *, parent_unique AND orphan_rows = 0 AS is_foreign_key FROM ("
-                           + " UNION ALL ".join(_fk_pair_sql(*p) for p in _pairs) + ")")
+                           + " UNION ALL ".join(_fk_pair_sql(*p) for p in _pairs) + ") WHERE parent_unique")
 
 S1 = "SELECT * FROM customer WHERE c_custkey % 10 <> 9"
 S2 = ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 10 = 3 THEN round(c_acctbal + 100.0, 2) "

@@ -642,20 +642,16 @@ def stream_quarantine(spark, sf_dir):
 
 
 CUSTOMER_ROW = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-# Hash buckets of the CDC state. On a cluster: state bytes / ~512 MB, so a
-# micro-batch rewrites only the buckets its keys fall into.
-CDC_BUCKETS = 32
 
 
 @query("stream_cdc_apply")
 def stream_cdc_apply(spark, sf_dir):
     from pyspark.sql.types import _parse_datatype_string
-    base = scratch_dir(spark, "stream_cdc")
-    s1 = FX.customer_snapshot_1(spark, sf_dir)
-    CDC.init_state(s1, f"{base}/state", "c_custkey", CDC_BUCKETS)
-    CDC.publish(H.change_events(s1, FX.customer_snapshot_2(spark, sf_dir), ["c_custkey"], "customer",
-                                C.NEXT_LOAD_TS), f"{base}/events")
-    q = CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_checkpoint", "c_custkey",
-                               _parse_datatype_string(CUSTOMER_ROW))
-    q.awaitTermination()
-    return CDC.latest_version(spark, f"{base}/state")
+    base, keys, row = scratch_dir(spark, "stream_cdc"), ["c_custkey"], _parse_datatype_string(CUSTOMER_ROW)
+    s1, s2 = FX.customer_snapshot_1(spark, sf_dir), FX.customer_snapshot_2(spark, sf_dir)
+    CDC.init_state(s1, f"{base}/state")
+    # the changes, and behind them late events that say again how every row of the first load was
+    CDC.publish(H.change_events(s1, s2, keys, "customer", C.NEXT_LOAD_TS), f"{base}/events")
+    CDC.publish(H.change_events(s1.limit(0), s1, keys, "customer", C.LOAD_TS), f"{base}/events")
+    CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_checkpoint", keys, row).awaitTermination()
+    return CDC.current(spark, f"{base}/state", keys, row)

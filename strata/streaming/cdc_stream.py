@@ -2,87 +2,116 @@
 
 Publish writes change events as JSON files (the file sink stands in for a
 message bus; with the Kafka connector on the classpath the same frame goes
-to ``format("kafka")``). Apply streams the events back and, per micro-batch,
-folds the latest event per key into a hash-bucketed, versioned state table
-(``sources.bucketed_state``): only the buckets the batch's keys fall into are
-read and rewritten, as version e+1 of micro-batch e. The version being read
-is never overwritten, so a retried micro-batch just rewrites its own version.
+to ``format("kafka")``). Apply streams the events into a change log, through
+Spark's own file sink, which commits each micro-batch once. The state is the
+latest event per key, by event time and then sequence number, over the first
+snapshot and the log: the order in which events arrive does not matter, and a
+deleted key stays as a tombstone that late events meet. ``compact`` rewrites a
+state as one snapshot, in a plain batch job.
+
+Layout under a state path: ``base/`` (first snapshot) and ``changes/`` (log).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
 
-from ..sources import bucketed_state as BS
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("operation", T.StringType()),
-    T.StructField("record_key", T.LongType()),
+    T.StructField("record_key", T.StringType()),
     T.StructField("data", T.StringType()),
     T.StructField("event_ts", T.TimestampNTZType()),
+    T.StructField("event_seq", T.LongType()),
 ])
+#: Columns of the log beside those of the row, in the order that decides which event is the latest.
+MARKS = ("_event_ts", "_event_seq", "_operation")
+MARKS_DDL = "_event_ts timestamp_ntz, _event_seq bigint, _operation string"
 
 
-def publish(events: DataFrame, path: str) -> None:
+def publish(events: DataFrame, path: str, sequence: Column | None = None) -> None:
+    """Append events to the bus. ``sequence`` orders events of one key and
+    time; without it (and without an ``event_seq`` column) it is 0."""
+    if "event_seq" not in events.columns or sequence is not None:
+        events = events.withColumn("event_seq", (F.lit(0) if sequence is None else sequence).cast("bigint"))
     events.write.mode("append").json(path)
 
 
-def init_state(snapshot: DataFrame, state_path: str, key: str, buckets: int) -> int:
-    """Version 0 of the state table (one row per key)."""
-    return BS.init(snapshot, state_path, key, buckets)
+def _log_schema(row_schema: T.StructType) -> T.StructType:
+    marks = T._parse_datatype_string(MARKS_DDL).fields
+    # files are read back nullable
+    return T.StructType([T.StructField(f.name, f.dataType) for f in [*row_schema.fields, *marks]])
 
 
-def latest_version(spark: SparkSession, state_path: str) -> DataFrame:
-    v = BS.manifest(spark, state_path)
-    return v.read(spark)
+def init_state(snapshot: DataFrame, state_path: str) -> None:
+    """A new state that holds the rows of ``snapshot``; any event is later than those."""
+    base = snapshot.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in T._parse_datatype_string(MARKS_DDL)])
+    base.write.mode("errorifexists").parquet(f"{state_path}/base")
+    base.limit(0).write.mode("errorifexists").parquet(f"{state_path}/changes")
 
 
-def fold(state: DataFrame, events: DataFrame, key: str, row_schema: T.StructType) -> DataFrame:
-    """Latest event per key (by event time, then operation) applied to the
-    state: D removes the key, I/U replace the row, no event keeps it."""
-    latest = (events.groupBy("record_key")
-              .agg(F.max(F.struct("event_ts", "operation", "data")).alias("e"))
-              .select(F.col("record_key").cast(row_schema[key].dataType).alias(key),
-                      F.col("e.operation").alias("_op"),
-                      F.from_json(F.col("e.data"), row_schema).alias("_new")))
-    cols = [f.name for f in row_schema.fields]
-    j = state.join(latest, key, "full_outer")
-    return j.filter(F.col("_op").isNull() | (F.col("_op") != "D")).select(
-        *[F.when(F.col("_op").isNull(), F.col(c)).otherwise(F.col(f"_new.{c}")).alias(c) for c in cols])
+def log_rows(events: DataFrame, keys, row_schema: T.StructType) -> DataFrame:
+    """Events as rows of the log. The key comes from the row in ``data``; a
+    single-column key of an event without data (some deletes) from
+    ``record_key``. Events that name no key keep NULL there."""
+    keys = list(keys)
+    row = F.from_json("data", row_schema)
+    cols = [row[f.name].alias(f.name) if [f.name] != keys
+            else F.coalesce(row[f.name], F.col("record_key").try_cast(f.dataType)).alias(f.name) for f in row_schema.fields]
+    return events.select(*cols, F.col("event_ts").alias("_event_ts"), F.col("event_seq").alias("_event_seq"),
+                         F.col("operation").alias("_operation"))
 
 
-def start_apply_stream(spark: SparkSession, events_path: str, state_path: str, checkpoint: str, key: str,
-                       row_schema: T.StructType, available_now: bool = True, max_files: int | None = None,
-                       vacuum_every: int | None = None, keep_versions: int = 2):
-    """Apply change events to the bucketed state, one version per micro-batch.
-    With ``vacuum_every``, every n-th micro-batch also removes versions older
-    than the newest ``keep_versions`` (at least 2: a replayed micro-batch
-    reads the version before its own), which keeps the manifest listing and
-    the storage bounded."""
-    keep_versions = max(int(keep_versions), 2)
+def latest(log: DataFrame, keys) -> DataFrame:
+    """The latest row of the log per key, tombstones included; the largest
+    content decides between events of one time and sequence. The grouped
+    maximum combines before the shuffle, so a key with a third of all events
+    is one row per map task. Rows without a whole key are left out."""
+    keys = list(keys)
+    rest = [c for c in log.columns if c not in keys and c not in MARKS]
+    g = log.dropna(subset=keys).groupBy(*keys).agg(F.max(F.struct(*MARKS, *rest)).alias("_r"))
+    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in [*MARKS, *rest]]).select(*log.columns)
+
+
+def log(spark: SparkSession, state_path: str, row_schema: T.StructType) -> DataFrame:
+    schema = _log_schema(row_schema)
+    return spark.read.schema(schema).parquet(f"{state_path}/base").unionByName(
+        spark.read.schema(schema).parquet(f"{state_path}/changes"))
+
+
+def current(spark: SparkSession, state_path: str, keys, row_schema: T.StructType) -> DataFrame:
+    """The rows of the state: the latest event per key, deleted keys left out."""
+    rows = latest(log(spark, state_path, row_schema), keys)
+    return rows.filter(~F.col("_operation").eqNullSafe(F.lit("D"))).select(*row_schema.fieldNames())
+
+
+def unkeyed(spark: SparkSession, state_path: str, keys, row_schema: T.StructType) -> DataFrame:
+    """Rows of the log without a whole key, for quarantine."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return log(spark, state_path, row_schema).filter(~whole)
+
+
+def compact(spark: SparkSession, state_path: str, new_path: str, keys, row_schema: T.StructType) -> None:
+    """Writes the latest row per key, tombstones with their times included, as
+    a new state whose log is empty. Reading costs the log since the last
+    compaction. Run it when no apply stream writes to ``state_path``, and start
+    the next one on ``new_path`` with a checkpoint of its own: events that it
+    reads again change nothing."""
+    rows = latest(log(spark, state_path, row_schema), keys)
+    rows.write.mode("errorifexists").parquet(f"{new_path}/base")
+    rows.limit(0).write.mode("errorifexists").parquet(f"{new_path}/changes")
+
+
+def start_apply_stream(spark: SparkSession, events_path: str, state_path: str, checkpoint: str, keys,
+                       row_schema: T.StructType, available_now: bool = True, max_files: int | None = 1000):
+    """Stream change events into the log of the state. The file sink commits
+    the files of a micro-batch once, so a replayed one adds nothing."""
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.json(events_path)
-
-    key_type = row_schema[key].dataType
-
-    def apply_batch(batch: DataFrame, epoch_id: int):
-        # micro-batch e reads the newest version <= e (left by an earlier
-        # micro-batch) and writes version e+1; a replay after a failure reads
-        # the same input version and rewrites only its own output version.
-        # Only the buckets holding the batch's keys are read and rewritten.
-        base = BS.manifest(spark, state_path, at_most=int(epoch_id))
-        keys = batch.select(F.col("record_key").cast(key_type).alias(key))
-        touched = BS.touched_buckets(keys, key, base.buckets)
-        if not touched:
-            return
-        current = base.read(spark, only=touched)
-        BS.upsert(spark, state_path, key, base, touched, fold(current, batch, key, row_schema), int(epoch_id) + 1)
-        if vacuum_every and (int(epoch_id) + 1) % int(vacuum_every) == 0:
-            BS.vacuum(spark, state_path, keep_versions)
-
-    w = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
+    w = (log_rows(reader.json(events_path), keys, row_schema).writeStream.format("parquet").outputMode("append")
+         .option("path", f"{state_path}/changes").option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

@@ -1,236 +1,128 @@
-"""Change events applied over several micro-batches and after a restart,
-on the hash-bucketed state table."""
+"""Change events applied over several micro-batches, out of order, after a restart and after a compaction."""
 
-import os
+import datetime as dt
+import json
+import random
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from strata import contracts as C
 from strata.operators import history as H
 from strata.plans import fixtures as FX
-from strata.sources import bucketed_state as BS
 from strata.streaming import cdc_stream as CDC
 
 from .conftest import SF001
 
-ROW_DDL = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+ROW = (StructType().add("c_custkey", "long").add("c_name", "string").add("c_nationkey", "integer").add("c_acctbal", "double")
+       .add("c_mktsegment", "string"))
+KEY = ["c_custkey"]
+T0 = dt.datetime(2024, 1, 1)
 
 
 def _rows(df):
     return sorted(tuple(r) for r in df.select(sorted(df.columns)).collect())
 
 
-def _folders(base, version):
-    data = os.path.join(base, "state", "data")
-    return sorted(b for b in os.listdir(data) if os.path.isdir(os.path.join(data, b, f"version={version}")))
+def _event(op, row, seconds, seq=0, key=None):
+    key = str(next(iter(row.values()))) if key is None else key
+    return ("t", op, key, json.dumps(row), T0 + dt.timedelta(seconds=seconds), seq)
 
 
 def test_multi_batch_apply_and_restart(spark, tmp_path):
     base = str(tmp_path)
-    row = _parse_datatype_string(ROW_DDL)
     s1 = FX.customer_snapshot_1(spark, SF001)
     s2 = FX.customer_snapshot_2(spark, SF001)
     s3 = s2.filter(F.col("c_nationkey") != 3)            # a later extract: one nation's customers deleted
-    CDC.init_state(s1, f"{base}/state", "c_custkey", 8)
-    CDC.publish(H.change_events(s1, s2, ["c_custkey"], "customer", C.NEXT_LOAD_TS).coalesce(1), f"{base}/events")
-    CDC.publish(H.change_events(s2, s3, ["c_custkey"], "customer", "2024-03-01 00:00:00").coalesce(1),
-                f"{base}/events")
+    CDC.init_state(s1, f"{base}/state")
+    assert _rows(CDC.current(spark, f"{base}/state", KEY, ROW)) == _rows(s1)
+    # the later events arrive first
+    CDC.publish(H.change_events(s2, s3, KEY, "customer", "2024-03-01 00:00:00").coalesce(1), f"{base}/events")
 
     def run():
-        q = CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_ck", "c_custkey", row,
-                                   max_files=1)
-        q.awaitTermination()
+        CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_ck", KEY, ROW, max_files=1).awaitTermination()
 
     run()
-    v = BS.manifest(spark, f"{base}/state")
-    assert v.version == 2
-    assert _rows(v.read(spark)) == _rows(s3)
-    run()   # restart: nothing new, state unchanged
-    v2 = BS.manifest(spark, f"{base}/state")
-    assert v2.version == 2 and _rows(v2.read(spark)) == _rows(s3)
-    # every version stays readable
-    assert _rows(BS.manifest(spark, f"{base}/state", at_most=1).read(spark)) == _rows(s2)
-    assert _rows(BS.manifest(spark, f"{base}/state", at_most=0).read(spark)) == _rows(s1)
-
-
-def test_batch_rewrites_only_its_buckets(spark, tmp_path):
-    base = str(tmp_path)
-    row = _parse_datatype_string(ROW_DDL)
-    s1 = FX.customer_snapshot_1(spark, SF001)
-    CDC.init_state(s1, f"{base}/state", "c_custkey", 16)
-    assert len(_folders(base, 0)) == 16
-    # one update and one insert, in (at most) two buckets
-    upd = s1.filter(F.col("c_custkey") == 1).withColumn("c_name", F.lit("renamed"))
-    ins = spark.createDataFrame([(10**9, "new", 1, 0.5, "AUTOMOBILE")], ROW_DDL)
-    s2 = s1.filter(F.col("c_custkey") != 1).unionByName(upd).unionByName(ins)
-    CDC.publish(H.change_events(s1, s2, ["c_custkey"], "customer", C.NEXT_LOAD_TS).coalesce(1), f"{base}/events")
-    CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_ck", "c_custkey",
-                           row).awaitTermination()
-    v = BS.manifest(spark, f"{base}/state")
-    expect = {r[0] for r in spark.createDataFrame([(1,), (10**9,)], "c_custkey bigint")
-              .select(BS.bucket_of("c_custkey", 16)).collect()}
-    assert set(int(b.split("=")[1]) for b in _folders(base, 1)) == expect
-    assert sum(1 for dv in v.folders.values() if dv == 1) == len(expect)
-    assert _rows(v.read(spark)) == _rows(s2)
-
-
-def test_emptied_bucket_and_empty_state(spark, tmp_path):
-    path = str(tmp_path / "state")
-    df = spark.createDataFrame([(k, f"n{k}") for k in range(20)], "k bigint, name string")
-    BS.init(df, path, "k", 4)
-    v0 = BS.manifest(spark, path)
-    assert len(v0.folders) == 4
-    # delete every row of one bucket: that bucket leaves the manifest
-    b0 = min(v0.folders)
-    gone = df.filter(BS.bucket_of("k", 4) == b0)
-    BS.upsert(spark, path, "k", v0, {b0}, v0.read(spark, only={b0}).join(gone, "k", "left_anti"), 1)
-    v1 = BS.manifest(spark, path)
-    assert b0 not in v1.folders and len(v1.folders) == 3
-    assert _rows(v1.read(spark)) == _rows(df.join(gone, "k", "left_anti"))
-    # delete everything: an empty, typed table
-    BS.upsert(spark, path, "k", v1, set(v1.folders), spark.createDataFrame([], "k bigint, name string"), 2)
-    v2 = BS.manifest(spark, path)
-    assert v2.folders == {} and v2.read(spark).count() == 0 and v2.read(spark).columns == ["k", "name"]
-
-
-def test_upsert_keeps_the_stored_key_type(spark, tmp_path):
-    # state keyed by int; the new rows arrive with the key widened to bigint
-    path = str(tmp_path / "state")
-    df = spark.createDataFrame([(k, f"n{k}") for k in range(50)], "k int, name string")
-    BS.init(df, path, "k", 8)
-    v0 = BS.manifest(spark, path)
-    new = spark.createDataFrame([(7, "seven"), (1000, "new")], "k bigint, name string")
-    touched = BS.touched_buckets(new.select(F.col("k").cast("int").alias("k")), "k", 8)
-    cur = v0.read(spark, only=touched)
-    out = cur.join(new.select(F.col("k").cast("int").alias("k")), "k", "left_anti") \
-        .select(F.col("k").cast("bigint").alias("k"), "name").unionByName(new)
-    BS.upsert(spark, path, "k", v0, touched, out, 1)
-    got = BS.manifest(spark, path).read(spark)
-    assert got.schema["k"].dataType.simpleString() == "int"
-    expect = df.filter("k != 7").unionByName(spark.createDataFrame([(7, "seven"), (1000, "new")], "k int, name string"))
-    assert _rows(got) == _rows(expect)
-
-
-def test_fold_with_a_hot_key(spark):
-    """A third of all events update one key: the latest-event aggregate
-    combines map-side (partial max before the shuffle) and the newest wins."""
+    CDC.publish(H.change_events(s1, s2, KEY, "customer", C.NEXT_LOAD_TS).coalesce(1), f"{base}/events")
+    run()
+    assert _rows(CDC.current(spark, f"{base}/state", KEY, ROW)) == _rows(s3)
+    n = CDC.log(spark, f"{base}/state", ROW).count()
+    run()   # restart: nothing new, the log unchanged
+    assert CDC.log(spark, f"{base}/state", ROW).count() == n
+    CDC.compact(spark, f"{base}/state", f"{base}/compact", KEY, ROW)
+    assert _rows(CDC.current(spark, f"{base}/compact", KEY, ROW)) == _rows(s3)
+    # events older than the tombstones still lose after the compaction
+    CDC.publish(H.change_events(s1.limit(0), s1, KEY, "customer", C.LOAD_TS), f"{base}/late")
+    CDC.start_apply_stream(spark, f"{base}/late", f"{base}/compact", f"{base}/_ck2", KEY, ROW).awaitTermination()
+    assert _rows(CDC.current(spark, f"{base}/compact", KEY, ROW)) == _rows(s3)
+
+
+def test_same_time_events_follow_their_sequence(spark):
+    row = _parse_datatype_string("k string, v bigint")
+    ev = [_event("U", {"k": "a", "v": 1}, 5, 0), _event("D", {"k": "a", "v": 1}, 5, 1),       # update, then delete
+          _event("D", {"k": "b", "v": 1}, 5, 0), _event("I", {"k": "b", "v": 2}, 5, 1),       # delete, then insert
+          _event("U", {"k": "c", "v": 9}, 9), _event("U", {"k": "c", "v": 3}, 3)]             # late
+    events = spark.createDataFrame(ev, CDC.EVENT_SCHEMA)
+    for order in (events, events.orderBy(F.desc("event_ts"), F.desc("event_seq"))):
+        got = {r.k: (r._operation, r.v) for r in CDC.latest(CDC.log_rows(order, ["k"], row), ["k"]).collect()}
+        assert got == {"a": ("D", 1), "b": ("I", 2), "c": ("U", 9)}
+
+
+def test_keys_of_several_columns_and_events_without_one(spark):
+    row = _parse_datatype_string("k1 string, k2 int, v bigint")
+    ev = [_event("I", {"k1": "a", "k2": 1, "v": 1}, 1), _event("U", {"k1": "a", "k2": 2, "v": 2}, 1),
+          _event("U", {"k1": "a", "k2": 1, "v": 3}, 2), _event("U", {"k1": "a", "k2": None, "v": 4}, 3), ("t", "U", None, None, None, None)]
+    rows = CDC.log_rows(spark.createDataFrame(ev, CDC.EVENT_SCHEMA), ["k1", "k2"], row)
+    assert sorted((r.k1, r.k2, r.v) for r in CDC.latest(rows, ["k1", "k2"]).collect()) == [("a", 1, 3), ("a", 2, 2)]
+    # a delete that carries no row names its key by itself
+    one = _parse_datatype_string("k bigint, v bigint")
+    ev = [_event("I", {"k": 7, "v": 1}, 1), ("t", "D", "7", None, T0 + dt.timedelta(seconds=2), 0)]
+    got = CDC.latest(CDC.log_rows(spark.createDataFrame(ev, CDC.EVENT_SCHEMA), ["k"], one), ["k"]).collect()
+    assert [(r.k, r._operation) for r in got] == [(7, "D")]
+
+
+def test_unkeyed_rows_are_kept_apart(spark, tmp_path):
+    row = _parse_datatype_string("k bigint, v bigint")
+    CDC.init_state(spark.createDataFrame([(1, 1), (None, 2)], "k bigint, v bigint"), f"{tmp_path}/state")
+    assert [r.v for r in CDC.unkeyed(spark, f"{tmp_path}/state", ["k"], row).collect()] == [2]
+    assert [(r.k, r.v) for r in CDC.current(spark, f"{tmp_path}/state", ["k"], row).collect()] == [(1, 1)]
+
+
+def test_latest_with_a_hot_key(spark):
+    """A third of all events update one key: the aggregate combines before the shuffle and the newest wins."""
     row = _parse_datatype_string("k bigint, v bigint")
     n = 30000
+    key = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("bigint")
     ev = spark.range(n).select(
-        F.lit("t").alias("table_name"), F.lit("U").alias("operation"),
-        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("bigint").alias("record_key"),
-        F.to_json(F.struct(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("bigint").alias("k"),
-                           F.col("id").alias("v"))).alias("data"),
-        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("event_ts"))
-    state = spark.createDataFrame([(1, -1), (n + 5, -5)], "k bigint, v bigint")
-    out = CDC.fold(state, ev, "k", row)
-    got = {r.k: r.v for r in out.filter(F.col("k").isin(1, n + 5)).collect()}
-    assert got == {1: n - 3, n + 5: -5}        # the hot key's newest event; untouched key kept
-    assert out.count() == (n - n // 3) + 1      # every event key (key 1 among them) and the untouched n+5
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan
-
-
-def test_vacuum_keeps_what_retained_versions_need(spark, tmp_path):
-    import pytest
-    path = str(tmp_path / "state")
-    df = spark.createDataFrame([(k, f"n{k}") for k in range(40)], "k bigint, name string")
-    BS.init(df, path, "k", 4)
-    expect = {k: f"n{k}" for k in range(40)}
-    for version, k in ((1, 3), (2, 3), (3, 5)):      # each version renames one key
-        base = BS.manifest(spark, path)
-        b = BS.touched_buckets(spark.createDataFrame([(k,)], "k bigint"), "k", 4)
-        cur = base.read(spark, only=b)
-        new = cur.withColumn("name", F.when(F.col("k") == k, F.lit(f"v{version}")).otherwise(F.col("name")))
-        BS.upsert(spark, path, "k", base, b, new, version)
-        expect[k] = f"v{version}"
-    # a folder of an unfinished newer write must survive
-    stray = os.path.join(path, "data", "bucket=0", "version=9")
-    os.makedirs(stray)
-    before = BS.manifest(spark, path)
-    removed = BS.vacuum(spark, path, keep_versions=2)
-    assert removed["manifests"] == 2                  # versions 0 and 1
-    assert os.path.isdir(stray)
-    after = BS.manifest(spark, path)
-    assert after.version == 3 and after.folders == before.folders
-    assert {r.k: r.name for r in after.read(spark).collect()} == expect
-    assert BS.manifest(spark, path, at_most=2).read(spark).count() == 40   # still retained
-    with pytest.raises(FileNotFoundError):
-        BS.manifest(spark, path, at_most=1)
-    # every folder left is named by a retained manifest (or newer than all of them)
-    left = {(int(b.split("=")[1]), int(v.split("=")[1]))
-            for b in os.listdir(os.path.join(path, "data")) if b.startswith("bucket=")
-            for v in os.listdir(os.path.join(path, "data", b)) if v.startswith("version=")}
-    named = set(after.folders.items()) | set(BS.manifest(spark, path, at_most=2).folders.items())
-    assert {x for x in left if x[1] <= 3} == named
-
-
-def test_stream_vacuums_old_versions(spark, tmp_path):
-    base = str(tmp_path)
-    row = _parse_datatype_string(ROW_DDL)
-    s1 = FX.customer_snapshot_1(spark, SF001)
-    s2 = FX.customer_snapshot_2(spark, SF001)
-    s3 = s2.filter(F.col("c_nationkey") != 3)
-    CDC.init_state(s1, f"{base}/state", "c_custkey", 8)
-    CDC.publish(H.change_events(s1, s2, ["c_custkey"], "customer", C.NEXT_LOAD_TS).coalesce(1), f"{base}/events")
-    CDC.publish(H.change_events(s2, s3, ["c_custkey"], "customer", "2024-03-01 00:00:00").coalesce(1),
-                f"{base}/events")
-    CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_ck", "c_custkey", row,
-                           max_files=1, vacuum_every=1, keep_versions=1).awaitTermination()   # keeps 2
-    manifests = sorted(os.listdir(os.path.join(base, "state", "manifest")))
-    assert [m for m in manifests if m.startswith("version=")] == ["version=1", "version=2"]
-    assert _rows(BS.manifest(spark, f"{base}/state").read(spark)) == _rows(s3)
-
-
-def test_bucketed_fold_matches_a_python_replay(spark, tmp_path):
-    """Random I/U/D events over four upserts, checked against a dict replay."""
-    import datetime as dt
-    import json
-    import random
+        F.lit("t").alias("table_name"), F.lit("U").alias("operation"), key.cast("string").alias("record_key"),
+        F.to_json(F.struct(key.alias("k"), F.col("id").alias("v"))).alias("data"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("event_ts"),
+        F.lit(0).cast("bigint").alias("event_seq"))
+    out = CDC.latest(CDC.log_rows(ev, ["k"], row), ["k"])
+    assert [r.v for r in out.filter("k = 1").collect()] == [n - 3]
+    assert out.count() == n - n // 3
+    assert "partial_max" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_random_events_match_a_python_replay(spark, tmp_path):
+    """Random I/U/D events, streamed in shuffled order, against a replay in time order."""
     rnd = random.Random(7)
-    path = str(tmp_path / "state")
     row = _parse_datatype_string("k bigint, v bigint")
     state = {k: k * 10 for k in range(60)}
-    BS.init(spark.createDataFrame(sorted(state.items()), "k bigint, v bigint"), path, "k", 6)
-    t0 = dt.datetime(2024, 1, 1)
-    for version in range(1, 5):
-        evs = []
-        for i in range(40):
-            k = rnd.choice([rnd.randrange(90), 3])          # key 3 is hot
-            op = rnd.choice("IUD")
-            evs.append(("t", op, k, json.dumps({"k": k, "v": version * 1000 + i}), t0 + dt.timedelta(seconds=i)))
-        for _, op, k, data, _ in evs:                       # events are in time order
-            if op == "D":
-                state.pop(k, None)
-            else:
-                state[k] = json.loads(data)["v"]
-        batch = spark.createDataFrame(evs, CDC.EVENT_SCHEMA)
-        base = BS.manifest(spark, path)
-        touched = BS.touched_buckets(batch.select(F.col("record_key").alias("k")), "k", base.buckets)
-        BS.upsert(spark, path, "k", base, touched, CDC.fold(base.read(spark, only=touched), batch, "k", row), version)
-        got = {r.k: r.v for r in BS.manifest(spark, path).read(spark).collect()}
-        assert got == state, version
-
-
-def test_retried_upsert_rewrites_the_same_version(spark, tmp_path):
-    """Running a micro-batch's upsert again (a retry after its manifest was
-    written) reads the same base version and rewrites the same version."""
-    path = str(tmp_path / "state")
-    df = spark.createDataFrame([(k, f"n{k}") for k in range(30)], "k bigint, name string")
-    BS.init(df, path, "k", 4)
-    new = spark.createDataFrame([(5, "five"), (99, "new")], "k bigint, name string")
-
-    def attempt():
-        base = BS.manifest(spark, path, at_most=0)           # the version micro-batch 0 reads
-        touched = BS.touched_buckets(new.select("k"), "k", 4)
-        cur = base.read(spark, only=touched)
-        out = cur.join(new.select("k"), "k", "left_anti").unionByName(new)
-        return BS.upsert(spark, path, "k", base, touched, out, 1)
-
-    first = attempt()
-    again = attempt()
-    assert first == again
-    got = {r.k: r.name for r in BS.manifest(spark, path).read(spark).collect()}
-    assert got == {**{k: f"n{k}" for k in range(30)}, 5: "five", 99: "new"}
-    assert BS.manifest(spark, path).version == 1
+    path = str(tmp_path)
+    CDC.init_state(spark.createDataFrame(sorted(state.items()), "k bigint, v bigint"), f"{path}/state")
+    evs = []
+    for i in range(160):
+        k = rnd.choice([rnd.randrange(90), 3])          # key 3 is hot
+        op = rnd.choice("IUD")
+        evs.append(_event(op, {"k": k, "v": 1000 + i}, i // 4, i % 4))   # four events a second
+        if op == "D":
+            state.pop(k, None)
+        else:
+            state[k] = 1000 + i
+    rnd.shuffle(evs)
+    for part in range(4):
+        CDC.publish(spark.createDataFrame(evs[part::4], CDC.EVENT_SCHEMA).coalesce(1), f"{path}/events")
+    CDC.start_apply_stream(spark, f"{path}/events", f"{path}/state", f"{path}/_ck", ["k"], row, max_files=1).awaitTermination()
+    got = {r.k: r.v for r in CDC.current(spark, f"{path}/state", ["k"], row).collect()}
+    assert got == state

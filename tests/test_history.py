@@ -61,31 +61,6 @@ def test_incremental_watermark_only_newer(spark):
     assert inc.count() > 0
 
 
-def test_scd2_history_table(spark, tmp_path):
-    from strata.sources import history_table as HT
-    keys = ["c_custkey"]
-    path = str(tmp_path / "dim_customer_history")
-    s1, s2 = FX.customer_snapshot_1(spark, SF001), FX.customer_snapshot_2(spark, SF001)
-    assert HT.init(s1, path, keys, C.LOAD_TS, C.BATCH_ID) == 0
-    assert HT.apply(spark, path, s2, keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID) == 1
-    expect = QUERIES["scd2_apply"](spark, SF001)
-    assert _rows(HT.read(spark, path)) == _rows(expect)
-    assert _rows(HT.read(spark, path, current_only=True)) == _rows(expect.filter("is_current"))
-    assert _rows(HT.read(spark, path, at_most=0)) == _rows(H.scd2_initial(s1, keys, C.LOAD_TS, C.BATCH_ID))
-    # load 1 wrote only the rows it closed and the current set; load 0's folder is untouched
-    closed1 = spark.read.parquet(f"{path}/load=1/is_current=false").count()
-    assert closed1 == expect.filter(~F.col("is_current")).count()
-    # the same snapshot again is a no-op on history; a retried load rewrites only its own folders
-    assert HT.apply(spark, path, s2, keys, "2024-03-01 00:00:00", "batch_003") == 2
-    assert _rows(HT.read(spark, path)) == _rows(expect)
-    # an uncommitted load (data written, no commit row) is invisible
-    HT.read(spark, path, current_only=True).withColumn("c_name", F.lit("uncommitted")) \
-        .withColumn("load", F.lit(3).cast("bigint")) \
-        .write.mode("append").partitionBy("load", "is_current").parquet(path)
-    assert HT.latest_load(spark, path)[0] == 2
-    assert _rows(HT.read(spark, path)) == _rows(expect)
-
-
 def test_scd2_collapses_duplicate_incoming_keys(spark):
     keys = ["c_custkey"]
     s1 = FX.customer_snapshot_1(spark, SF001)
@@ -116,24 +91,3 @@ def test_incremental_load_keeps_its_watermark(spark, tmp_path):
     # the increment filter is a literal that reaches the scan
     plan = ev.filter(F.col("ts") > F.lit(wm1).cast("timestamp_ntz"))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
-
-
-def test_history_vacuum_keeps_closed_versions(spark, tmp_path):
-    import os
-    import pytest
-    from strata.sources import history_table as HT
-    keys = ["c_custkey"]
-    path = str(tmp_path / "hist")
-    s1, s2 = FX.customer_snapshot_1(spark, SF001), FX.customer_snapshot_2(spark, SF001)
-    HT.init(s1, path, keys, C.LOAD_TS, C.BATCH_ID)
-    HT.apply(spark, path, s2, keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID)
-    s3 = s2.withColumn("c_name", F.concat(F.col("c_name"), F.lit("!")))
-    HT.apply(spark, path, s3, keys, "2024-03-01 00:00:00", "batch_003")
-    full = _rows(HT.read(spark, path))
-    as_of_1 = _rows(HT.read(spark, path, at_most=1))
-    assert HT.vacuum(spark, path, keep_loads=2) == 2      # load 0's current folder and commit row
-    assert not os.path.exists(os.path.join(path, "load=0", "is_current=true"))
-    assert _rows(HT.read(spark, path)) == full            # closed versions all kept
-    assert _rows(HT.read(spark, path, at_most=1)) == as_of_1
-    with pytest.raises(FileNotFoundError):
-        HT.read(spark, path, at_most=0)

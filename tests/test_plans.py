@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from strata import contracts as C
 from strata.operators import history as H, quality as Q
 from strata.plans.registry import QUERIES
 
@@ -37,14 +38,22 @@ def test_dedup_aggregates_partially_without_windows(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
-def test_fk_checks_never_join_by_table_and_column_alone(spark):
-    """A join keyed only on (table, column) would put every key of a column
-    into one task; aggregates on those columns are fine (partial first)."""
-    for name in ("dq_foreign_keys", "fk_candidates"):
-        plan = _plan(QUERIES[name](spark, SF001))
-        assert not re.search(r"SortMergeJoin \[table_name#\d+, column_name#\d+\]", plan), name
-        assert not re.search(r"ShuffledHashJoin \[table_name#\d+, column_name#\d+\]", plan), name
-        assert "partial_count" in plan
+def test_fk_checks_shuffle_each_key_once(spark):
+    """Per relationship one count of child keys and one distinct of parent
+    keys, joined on the key itself."""
+    plan = _plan(QUERIES["dq_foreign_keys"](spark, SF001))
+    assert "partial_count" in plan and "table_name" not in "".join(re.findall(r"hashpartitioning\([^)]*\)", plan))
+    assert plan.count("hashpartitioning") <= 2 * len(C.FOREIGN_KEYS)
+
+
+def test_fk_keys_of_any_type(spark):
+    child = spark.createDataFrame([("a", 1), ("a", 1), ("x", 2), (None, 3)], "k string, n int")
+    parent = spark.createDataFrame([("a", 1), ("b", 5)], "pk string, pn bigint")
+    assert Q.orphan_rows(child, ["k"], parent, ["pk"]).first()[0] == 1
+    assert Q.orphan_rows(child, ["n"], parent, ["pn"]).first()[0] == 2
+    assert Q.orphan_rows(child, ["k", "n"], parent, ["pk", "pn"]).first()[0] == 1
+    assert Q.orphan_rows(child, ["k"], parent, ["pn"]).first()[0] == 3      # text against numbers: compared as text
+    assert Q.is_unique(parent, ["pk"]).first()[0] and not Q.is_unique(child, ["k"]).first()[0]
 
 
 def test_scd2_collapses_incoming_before_full_outer_join(spark):
@@ -70,10 +79,9 @@ def test_hot_key_holding_a_third_of_rows(spark):
     u = Q.uniqueness(df, "t", ["k"]).first()
     assert u.failures == n // 3 and u.total_rows == n
     parents = spark.range(n).select(F.col("id").alias("pk"))
-    rep = Q.orphan_report(spark, {"c": df, "p": parents}, [("c", "k", "p", "pk")]).first()
-    assert rep.orphan_rows == 0 and rep.parent_unique
+    assert Q.orphan_report({"c": df, "p": parents}, [("c", "k", "p", "pk")]).first().orphan_rows == 0
     gone = {"c": df, "p": parents.filter(F.col("pk") != 7)}
-    assert Q.orphan_report(spark, gone, [("c", "k", "p", "pk")]).first().orphan_rows == n // 3 + 1
+    assert Q.orphan_report(gone, [("c", "k", "p", "pk")]).first().orphan_rows == n // 3 + 1
     d = H.dedup_earliest(df.withColumn("t", F.col("v")), ["k"], ["t"])
     assert d.filter(F.col("k") == 7).first().t == 0 and d.count() == n - n // 3
 

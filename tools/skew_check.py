@@ -54,21 +54,20 @@ def main():
     hot_rows = skewed.filter(F.col("l_orderkey") == hot_key).count()
     events = skewed.select(
         F.lit("lineitem").alias("table_name"), F.lit("U").alias("operation"),
-        F.col("l_orderkey").alias("record_key"),
+        F.col("l_orderkey").cast("string").alias("record_key"), F.lit(0).cast("bigint").alias("event_seq"),
         F.to_json(F.struct(F.col("l_orderkey").alias("k"), F.col("l_quantity").alias("v"))).alias("data"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
          + F.make_dt_interval(secs=F.col("l_linenumber"))).alias("event_ts"))
-    state = orders.select(F.col("o_orderkey").alias("k"), F.lit(0).cast("decimal(15,2)").alias("v"))
     ops = {
         "Q2 duplicates": lambda: Q.duplicates(skewed, ["l_orderkey"]),
         "Q3 sum_match": lambda: Q.sum_match(orders, skewed),
-        "Q4 foreign key": lambda: Q.orphan_report(spark, {"lineitem": skewed, "orders": orders},
+        "Q4 foreign key": lambda: Q.orphan_report({"lineitem": skewed, "orders": orders},
                                                   [("lineitem", "l_orderkey", "orders", "o_orderkey")]),
         "J3 dedup": lambda: H.dedup_earliest(skewed, ["l_orderkey"], ["l_linenumber"]),
         "J4 soft delete": lambda: H.soft_delete(skewed, orders.withColumnRenamed("o_orderkey", "l_orderkey"),
                                                 ["l_orderkey"], "2024-01-01 00:00:00"),
-        "K2 CDC fold": lambda: CDC.fold(state, events, "k", T.StructType([
-            T.StructField("k", T.LongType()), T.StructField("v", T.DecimalType(15, 2))])),
+        "K2 CDC latest": lambda: CDC.latest(CDC.log_rows(events, ["k"], T.StructType([
+            T.StructField("k", T.LongType()), T.StructField("v", T.DecimalType(15, 2))])), ["k"]),
         # the snapshot side too large to broadcast: a sort-merge left join whose
         # hot partition AQE splits (thresholds scaled down to this data size)
         "J4 sort-merge": lambda: H.soft_delete(skewed, orders.withColumnRenamed("o_orderkey", "l_orderkey"),
