@@ -211,17 +211,34 @@ def brute_removal(texts, length):
     return out
 
 
-@pytest.mark.parametrize("how", [{}, {"group_segments": 2}])
+@pytest.mark.parametrize("how", [{}, {"group_segments": 2}, {"gram": None}])
 def test_removal_equals_brute_force(spark, how):
     rng = random.Random(5)
     base = ["".join(rng.choice("abcdé \n") for _ in range(rng.randint(0, 90))) for _ in range(8)] + ["a" * 70, "ab" * 40, "|" * 72, "a" * 55 + "b"]
     texts = ["".join(rng.choice(base) if rng.random() < 0.6 else "".join(rng.choice("abc") for _ in range(rng.randint(0, 30)))
                      for _ in range(rng.randint(0, 5))) for _ in range(250)] + [None, "", "x" * 500, "x" * 500]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_spans", F.lit("clash")).withColumn("t", F.lit(1))
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(docs, length=20, gram=8, **how).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(docs, length=20, **{"gram": 8, **how}).collect()}
     assert got == dict(enumerate(brute_removal(texts, 20)))
 
 
+def test_removal_of_long_passages_with_production_lengths(spark):
+    """Passages under, at and over 400 bytes, some with one byte changed, behind a line that nearly all texts share."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line, passages = text(80) + "\n", [text(n) for n in (399, 400, 401, 700, 1500)]
+    texts = []
+    for _ in range(60):
+        some = rng.choice(passages)
+        if rng.random() < 0.3:
+            at = rng.randrange(len(some))
+            some = some[:at] + "#" + some[at + 1 :]
+        texts.append(text(rng.randint(0, 300)) + line * rng.randint(0, 2) + some + text(rng.randint(0, 300)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(docs).collect()}
+    assert got == dict(enumerate(brute_removal(texts, 400)))
+
+
 def test_removal_of_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "y" * 10 + "q" * 15), (None, "y" * 10 + "q" * 15), (3, None)], "doc_id long, text string")
     got = sorted((r.n_bytes, r.n_removed, r.text) for r in suffixes.remove_repeats(docs, length=20, gram=8).collect())
