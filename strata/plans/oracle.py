@@ -448,12 +448,12 @@ def _pk_fk_exprs():
 
 _PK, _FK = _pk_fk_exprs()
 
-ORACLE["table_metadata"] = f"""WITH rc AS ({counts_sql(RELATIONAL)})
+ORACLE["table_metadata"] = f"""WITH rc AS ({counts_sql(ALL_TABLES)})
 SELECT 'source' AS schema_name, c.table_name, CAST(c.ordinal_position AS INTEGER) AS ordinal_position, c.column_name,
        c.data_type, c.is_nullable = 'YES' AS is_nullable, FALSE AS is_view, {_PK} AS is_primary_key,
        {_FK} AS references_column, rc.row_count
 FROM information_schema.columns c JOIN rc ON c.table_name = rc.table_name
-WHERE c.table_name IN {in_list(RELATIONAL)}"""
+WHERE c.table_name IN {in_list(ALL_TABLES)}"""
 
 ORACLE["catalog_columns"] = f"""
 SELECT 'source' AS schema_name, c.table_name, CAST(c.ordinal_position AS INTEGER) AS ordinal_position, c.column_name,

@@ -368,7 +368,7 @@ def layer_row_counts(spark, sf_dir):
 
 @query("table_metadata")
 def table_metadata(spark, sf_dir):
-    return CAT.table_metadata(spark, sf_dir, RELATIONAL)
+    return CAT.table_metadata(spark, sf_dir, C.DRIVER_TABLES)
 
 
 @query("catalog_columns")
