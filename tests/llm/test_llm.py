@@ -267,6 +267,26 @@ def test_mix_meets_its_limits(spark):
     assert mixing.mix(docs.limit(0), queries.words(F.col("text")), max_epochs=2.0).count() == 0
 
 
+def test_mix_fills_past_a_very_long_document(spark):
+    one = [(0, "a", 900)] + [(k, s, 1) for s, begin in (("b", 1000), ("c", 2000), ("d", 3000)) for k in range(begin, begin + 300)]
+    docs = spark.createDataFrame(one, "doc_id long, source string, n long")
+    got = Counter(r.source for r in mixing.mix(docs, F.col("n"), max_epochs=2.0, fill=True).collect())
+    assert got["a"] == 1 and got["b"] == got["c"] == got["d"] == 450  # the only document of a is larger than its quota
+    for seed in range(1, 4):
+        giant = [(0, "hot", 5000)] + [(k, "hot", 1 + k % 9) for k in range(1, 4000)] + [(k, f"s{k % 6}", 1) for k in range(10000, 13000)]
+        docs = spark.createDataFrame(giant, "doc_id long, source string, n long")
+        rows = mixing.mix(docs, F.col("n"), max_epochs=8.0, seed=seed, fill=True).collect()
+        total = sum(n for _, _, n in giant)
+        shares = {s: sum(n for _, x, n in giant if x == s) for _, s, _ in giant}
+        a = mixing.exponent(spark.createDataFrame(list(shares.items()), "s string, tokens long"), 8.0)
+        weight = {s: (n / total) ** a for s, n in shares.items()}
+        for s, w in weight.items():
+            quota = total * w / sum(weight.values())
+            mine = [r for r in rows if r.source == s]
+            assert 0.995 * quota - 1 <= sum(r.tokens for r in mine) <= quota + 1
+            assert len({(r.doc_id, r.epoch) for r in mine}) == len(mine)
+
+
 def test_exponent_meets_entropy(spark):
     shares = spark.createDataFrame([("a", 800), ("b", 150), ("c", 50)], "s string, tokens long")
     a = mixing.exponent(shares, entropy=0.9)
