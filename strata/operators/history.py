@@ -63,6 +63,14 @@ def _key_counts(rows: DataFrame, keys) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def _states(df: DataFrame, keys) -> DataFrame:
+    """One row per whole key, with the number ``_n`` of its different rows."""
+    rest = [c for c in df.columns if c not in keys]
+    packed = F.struct(F.lit(True).alias("_here"), *[F.col(c) for c in rest])
+    g = df.distinct().dropna(subset=keys).groupBy(*keys).agg(F.min(packed).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest], "_r._here", "_n")
+
+
 def _differs(left: str, right: str, cols) -> Column:
     """Whether any column differs; NULL equals NULL only."""
     return reduce(lambda a, b: a | b, [~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols], F.lit(False))
@@ -176,15 +184,17 @@ def inactivate(reference: DataFrame, snapshot: DataFrame, keys, as_of: str, by:
 
 def change_events(old: DataFrame, new: DataFrame, keys, table: str, event_ts) -> DataFrame:
     """Snapshot diff -> change events (table, operation I/U/D, key, data
-    JSON of the new row, or of the old row for deletes, event time)."""
+    JSON of the new row, or of the old row for deletes, event time). A key
+    with different rows on either side gives no event: its state is unknown
+    there, not missing. Callers quarantine those rows (``unusable``)."""
     keys = list(keys)
     cols = [c for c in new.columns]
     attrs = [c for c in cols if c not in keys]
-    o = usable(old, keys).withColumn("_here", F.lit(True)).alias("o")
-    n = usable(new, keys).withColumn("_here", F.lit(True)).alias("n")
+    o, n = _states(old, keys).alias("o"), _states(new, keys).alias("n")
     j = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys], "full_outer")
     has_o, has_n = F.col("o._here").isNotNull(), F.col("n._here").isNotNull()
-    op = (F.when(has_o & has_n & _differs("o", "n", attrs), "U")
+    several = (F.coalesce(F.col("o._n"), F.lit(1)) > 1) | (F.coalesce(F.col("n._n"), F.lit(1)) > 1)
+    op = (F.when(several, F.lit(None)).when(has_o & has_n & _differs("o", "n", attrs), "U")
           .when(~has_o, "I").when(~has_n, "D"))
     data = F.when(has_n, F.to_json(F.struct(*[F.col(f"n.{c}").alias(c) for c in cols]), JSON_OPTIONS)) \
         .otherwise(F.to_json(F.struct(*[F.col(f"o.{c}").alias(c) for c in cols]), JSON_OPTIONS))

@@ -489,7 +489,9 @@ def incremental_watermark(spark, sf_dir):
 def _scd2(spark, sf_dir):
     keys = ["c_custkey"]
     hist = H.scd2_initial(FX.customer_snapshot_1(spark, sf_dir), keys, C.LOAD_TS, C.BATCH_ID)
-    return H.scd2_apply(hist, FX.customer_snapshot_2(spark, sf_dir), keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID)
+    incoming = FX.customer_snapshot_2(spark, sf_dir)
+    RUN.set_aside(incoming, keys, "customer", scratch_dir(spark, "scd2"), C.NEXT_BATCH_ID)
+    return H.scd2_apply(hist, incoming, keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID)
 
 
 @query("scd2_apply")
@@ -530,8 +532,11 @@ def reference_inactivate(spark, sf_dir):
 
 @query("cdc_events")
 def cdc_events(spark, sf_dir):
-    return H.change_events(FX.customer_snapshot_1(spark, sf_dir), FX.customer_snapshot_2(spark, sf_dir),
-                           ["c_custkey"], "customer", C.NEXT_LOAD_TS)
+    lake, keys = scratch_dir(spark, "cdc_events"), ["c_custkey"]
+    s1, s2 = FX.customer_snapshot_1(spark, sf_dir), FX.customer_snapshot_2(spark, sf_dir)
+    RUN.set_aside(s1, keys, "customer", lake, C.BATCH_ID)
+    RUN.set_aside(s2, keys, "customer", lake, C.NEXT_BATCH_ID)
+    return H.change_events(s1, s2, keys, "customer", C.NEXT_LOAD_TS)
 
 
 # ---------------------------------------------------------------- quarantine replay / report
@@ -649,6 +654,8 @@ def stream_cdc_apply(spark, sf_dir):
     from pyspark.sql.types import _parse_datatype_string
     base, keys, row = scratch_dir(spark, "stream_cdc"), ["c_custkey"], _parse_datatype_string(CUSTOMER_ROW)
     s1, s2 = FX.customer_snapshot_1(spark, sf_dir), FX.customer_snapshot_2(spark, sf_dir)
+    RUN.set_aside(s1, keys, "customer", base, C.BATCH_ID)
+    RUN.set_aside(s2, keys, "customer", base, C.NEXT_BATCH_ID)
     CDC.init_state(s1, f"{base}/state")
     # the changes, and behind them late events that say again how every row of the first load was
     CDC.publish(H.change_events(s1, s2, keys, "customer", C.NEXT_LOAD_TS), f"{base}/events")

@@ -214,6 +214,15 @@ def promote_to_silver(spark: SparkSession, bronze: DataFrame, rules, key_col: st
             "quarantined_records": quarantined, "success_rate": promoted / processed * 100, "table": silver_table}
 
 
+def set_aside(snapshot: DataFrame, keys, table: str, lake: str, batch_id: str = C.BATCH_ID) -> int:
+    """Quarantine of a snapshot that a history job loads: its rows with a NULL
+    key or with different rows for one key, which change nothing there, go to
+    ``silver/key_errors/{table}``. A rerun replaces its own batch. Returns rows
+    written."""
+    from ..operators import history as H
+    return sinks.write_batch(H.unusable(snapshot, keys), f"{lake}/silver/key_errors/{table}", "batch_id", batch_id)
+
+
 WATERMARK_DDL = "watermark string, rows bigint, load_id string"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata import contracts as C
 from strata.functions.parsing import parse_iso_datetime
 from strata.operators import catalog as CAT, dlq as DLQ, history as H, quality as Q
-from strata.plans import medallion as M, runs as RUN
+from strata.plans import medallion as M, registry as REG, runs as RUN
 from strata.session import scratch_dir
 from strata.sources import sinks
 
@@ -70,6 +70,32 @@ def test_history_with_null_and_ambiguous_keys(spark):
     assert ("D", '{"k":1,"a":"a|b"}') in {(r.operation, r.record_key) for r in pair.collect()}
 
 
+def test_ambiguous_known_keys_give_no_event(spark):
+    ddl = "k int, a string"
+    old = spark.createDataFrame([(1, "x"), (2, "x"), (2, "y"), (3, "x"), (4, "x"), (4, "x"), (5, "p"), (5, "q"), (6, "x"), (None, "x")], ddl)
+    new = spark.createDataFrame([(1, "x"), (1, "z"), (2, "x"), (4, "w"), (5, "p"), (5, "r"), (6, "x"), (7, "x"), (8, "x"), (8, "y"), (None, "y")], ddl)
+    events = {(r.operation, r.record_key) for r in H.change_events(old, new, ["k"], "t", C.LOAD_TS).collect()}
+    assert events == {("D", 3), ("U", 4), ("I", 7)}
+    lake = scratch_dir(spark, "lake")
+    for _ in range(2):  # a rerun replaces its own batch
+        assert RUN.set_aside(old, ["k"], "t", lake, "b1") == 5 and RUN.set_aside(new, ["k"], "t", lake, "b2") == 7
+    stored = spark.read.parquet(f"{lake}/silver/key_errors/t")
+    assert sorted((r.batch_id, r.k or 0, r.a, r.key_fault) for r in stored.filter("batch_id = 'b1'").collect()) == [
+        ("b1", 0, "x", "null_key"), ("b1", 2, "x", "ambiguous_key"), ("b1", 2, "y", "ambiguous_key"), ("b1", 5, "p", "ambiguous_key"), ("b1", 5, "q", "ambiguous_key")]
+
+
+@pytest.mark.parametrize("name, batches", [("scd2_apply", {"batch_002"}), ("cdc_events", {"batch_001", "batch_002"}), ("stream_cdc_apply", {"batch_001", "batch_002"})])
+def test_history_queries_write_quarantine(spark, monkeypatch, name, batches):
+    rows = spark.createDataFrame([(1, "n", 1, 1.0, "s"), (1, "m", 1, 1.0, "s"), (2, "n", 1, 1.0, "s")], REG.CUSTOMER_ROW)
+    for snapshot in ("customer_snapshot_1", "customer_snapshot_2"):
+        monkeypatch.setattr(REG.FX, snapshot, lambda spark, sf_dir: rows)
+    lake = scratch_dir(spark, "lake")
+    monkeypatch.setattr(REG, "scratch_dir", lambda spark, purpose: f"{lake}/{name}")
+    REG.QUERIES[name](spark, SF001).collect()
+    stored = spark.read.parquet(f"{lake}/{name}/silver/key_errors/customer").collect()
+    assert sorted((r.batch_id, r.c_name) for r in stored) == sorted((b, n) for b in batches for n in "nm")
+
+
 def test_soft_delete_and_inactivation_keep_first_dates(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (3, "d")], "k int, v string")
     one = H.soft_delete(rows, rows.filter("k <> 2"), ["k"], "2024-01-01 00:00:00")
