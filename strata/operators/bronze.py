@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..contracts import TypedContract
-from ..functions.hashing import md5_record_hash, sha256_record_hash, uuid_from_md5
+from ..functions.hashing import md5_record_hash, record_json, sha256_record_hash, uuid_from_md5
 
 _COMPLEX = (T.ArrayType, T.MapType, T.StructType)
 
@@ -94,17 +94,28 @@ def audit_extended(df: DataFrame, schema: str, table: str, load_ts, batch_id: st
 
 
 def conform_typed(df: DataFrame, contract: TypedContract) -> DataFrame:
-    """Typed bronze: cast each column to its contract type (try_cast, so bad
-    values become NULL, then the default), and apply renames."""
+    """Typed bronze: cast each column to its contract type and apply renames.
+    The default stands for a missing (NULL) value only. An unreadable value
+    becomes NULL in the row, and ``unreadable`` returns it for quarantine."""
     out = []
     for c in contract.columns:
         v = F.col(c.name).try_cast(c.sql_type)
         if c.default is not None:
-            v = F.coalesce(v, F.lit(c.default).cast(c.sql_type))
+            v = F.when(F.col(c.name).isNull(), F.lit(c.default).cast(c.sql_type)).otherwise(v)
         out.append(v.alias(c.rename or c.name))
     return df.select(*out)
 
 
+def unreadable(df: DataFrame, contract: TypedContract, batch_id: str) -> DataFrame:
+    """One row per value that ``conform_typed`` cannot read as its contract
+    type, with the whole source record."""
+    faults = F.array(*[F.when(F.col(c.name).isNotNull() & F.col(c.name).try_cast(c.sql_type).isNull(), F.struct(
+        F.lit(c.name).alias("failed_field"), F.col(c.name).cast("string").alias("actual_value"),
+        F.lit(c.sql_type).alias("expected_type"))) for c in contract.columns])
+    found = df.select(record_json(df.columns).alias("raw_record"), F.explode(F.filter(faults, lambda x: x.isNotNull())).alias("_f"))
+    return found.select(F.lit(contract.table).alias("source_table"), F.lit(batch_id).alias("batch_id"), "_f.*", "raw_record")
+
+
 def apply_overrides(df: DataFrame, overrides: dict | None = None, exclude=()) -> DataFrame:
     """Per-column SQL expression overrides (e.g. a CAST) and column exclusion."""
     overrides = overrides or {}

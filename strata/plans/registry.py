@@ -144,7 +144,10 @@ def surrogate_key(spark, sf_dir):
 
 @query("bronze_typed_conform")
 def bronze_typed_conform(spark, sf_dir):
-    return B.conform_typed(B.stringify(table(spark, sf_dir, "orders")), C.ORDERS_TYPED)
+    orders = B.stringify(table(spark, sf_dir, "orders"))
+    sinks.write_batch(B.unreadable(orders, C.ORDERS_TYPED, C.BATCH_ID), scratch_dir(spark, "typed") + "/bronze/unreadable/orders",
+                      "batch_id", C.BATCH_ID)
+    return B.conform_typed(orders, C.ORDERS_TYPED)
 
 
 COLUMN_OVERRIDES = {"o_totalprice": "CAST(o_totalprice AS DECIMAL(12,2))",

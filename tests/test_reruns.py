@@ -123,6 +123,24 @@ def test_fractional_ids_are_dead_letters(spark):
     assert sorted((r.actual_value, r.expected_type) for r in bad) == [("1.5", "integer"), ("None", "integer")]
 
 
+def test_unreadable_values_are_not_replaced_by_defaults(spark, monkeypatch):
+    names = [c.name for c in C.ORDERS_TYPED.columns]
+    rows = [("1", "10", "F", "12.50", "1995-01-01 00:00:00", "1-URGENT"), ("2", "10", None, None, None, None),
+            ("3", "x", "F", "12,50", "1995-13-01", "1-URGENT")]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    monkeypatch.setattr(REG, "table", lambda spark, sf_dir, name: df)
+    lake = scratch_dir(spark, "lake")
+    monkeypatch.setattr(REG, "scratch_dir", lambda spark, purpose: lake)
+    got = {r.o_orderkey: r for r in REG.QUERIES["bronze_typed_conform"](spark, SF001).collect()}
+    assert [str(got[k].o_totalprice) for k in (1, 2, 3)] == ["12.50", "0.00", "None"]
+    assert (got[2].o_orderstatus, got[2].o_orderpriority, got[2].source_o_orderdate) == ("O", "5-LOW", None)
+    bad = spark.read.parquet(f"{lake}/bronze/unreadable/orders").collect()
+    assert sorted((r.batch_id, r.failed_field, r.actual_value, r.expected_type) for r in bad) == [
+        (C.BATCH_ID, "o_custkey", "x", "bigint"), (C.BATCH_ID, "o_orderdate", "1995-13-01", "timestamp_ntz"),
+        (C.BATCH_ID, "o_totalprice", "12,50", "decimal(12,2)")]
+    assert all('"o_orderkey":"3"' in r.raw_record for r in bad)
+
+
 def test_validate_stage_sees_a_broken_layer(spark):
     run = M.run_medallion(spark, SF001, scratch_dir(spark, "lake"))
     assert run["valid"]
