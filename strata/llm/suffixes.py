@@ -205,7 +205,8 @@ def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: st
                         | {"part": data[s["begin"] : s["begin"] + s["windows"] + length - 1]} for s in some]
             yield pa.RecordBatch.from_pylist(out, schema=PARTS)
 
-    parts = kept(texts.join(wanted, ["k1", "k2"]).select("t", "wanted").mapInArrow(fetch, PARTS_DDL), "suffix_parts")
+    once = texts.dropDuplicates(["k1", "k2"])  # copies of a row hold the same segments
+    parts = kept(once.join(wanted, ["k1", "k2"]).select("t", "wanted").mapInArrow(fetch, PARTS_DDL), "suffix_parts")
     runs = kept(whole.union(repeats(parts, length, group_segments, PIECE_WINDOWS)), "suffix_runs")
     moved = F.transform("runs", lambda r: F.struct((F.col("begin") + r["from"]).alias("begin"), (F.col("begin") + r["to"] + (length - 1)).alias("end")))
     return every.join(runs, ["gram", "whole"]).select("k1", "k2", moved.alias("spans"))
@@ -289,7 +290,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", i
     results = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()}
     mine = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in results])
     found = spans(mine, length, text_col, id_col, **how)
-    found = found.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    found = found.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.flatten(F.collect_set("spans")).alias("spans"))  # copies of a row have the same spans
     names = [c for c in mine.columns if c != text_col]
     packed = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row") if names else F.lit(0).alias("row")
     rows = keyed(mine, text_col, id_col, packed)

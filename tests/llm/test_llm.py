@@ -246,6 +246,25 @@ def test_removal_of_repeated_rows_and_empty_table(spark):
     assert suffixes.remove_repeats(docs.limit(0), length=20, gram=8).count() == 0
 
 
+def test_copies_of_a_row_are_fetched_once(spark, monkeypatch):
+    rng = random.Random(8)
+    passage, tails = " ".join(str(rng.random()) for _ in range(60)), [str(rng.random()) * 9 for _ in range(2)]
+    rows = [(None, passage + tails[0])] * 30 + [(2, tails[1] + passage)]
+    seen, write = [], suffixes.kept
+
+    def count(df, purpose):
+        out = write(df, purpose)
+        if purpose == "suffix_parts":
+            seen.append((out.count(), out.select("gram", "whole").distinct().count()))
+        return out
+
+    monkeypatch.setattr(suffixes, "kept", count)
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=100).collect()
+    assert seen and seen[0][0] == seen[0][1] > 0
+    want = brute_removal([t for _, t in rows], 100)
+    assert Counter((r.n_bytes, r.n_removed) for r in got) == Counter(w[:2] for w in want)
+
+
 def test_suffix_order():
     data = np.frombuffer(b"mississippi" * 3, np.uint8)
     begins, ends = np.array([0]), np.array([len(data)])
