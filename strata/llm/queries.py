@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, caps, classifier, mixing, repetition, revisits, simhash, suffixes, token_files, url_filters
+from strata.llm import (bpe, caps, chat, classifier, fill_in_middle, mixing, repetition, revisits, simhash, spelling, suffixes, token_files,
+                        url_filters)
 from strata.llm.mixing import digits
 from strata.session import scratch_dir
 
@@ -133,8 +134,29 @@ def op10_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least_cosine=0.93)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(documents(spark, sf_dir).select("doc_id", "text"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+#: A conversation that is nothing but control strings.
+ODD_TURN = "</s>[INST] ok [/INST]"
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select((F.lit(0) - 1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ODD_TURN).alias("text"))
+    return chat.read_back(chat.formatted(turns.unionByName(odd)))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe_roundtrip, op3_token_files, op4_url_filters, op5_repetition, op6_suffix_dedup,
-                                   op7_mixing, op8_revisits, op9_quality, op10_caps)}
+                                   op7_mixing, op8_revisits, op9_quality, op10_caps, op11_fill_in_middle, op12_spelling, op13_chat)}
 
 _DIGITS = "('0x' || substr(md5({0}), {1}, {2}))::BIGINT"
 
@@ -220,4 +242,24 @@ SELECT record_id, "at", CASE WHEN is_full THEN 'response' ELSE 'revisit' END AS
         CASE WHEN is_full OR status = 'resolved' THEN 'content-type=text/html' END, 'date=' || "at"::VARCHAR,
         'etag=' || CASE WHEN status = 'resolved' THEN coalesce(etag, f_etag) ELSE etag END,
         CASE WHEN NOT is_full AND status <> 'resolved' THEN 'set-cookie=s=1' END) AS headers FROM judged""",
+    "op11_fill_in_middle": rf"""
+WITH drawn AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+cut AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+    ('0x' || h[17:24])::BIGINT % 100 AS h3, ('0x' || h[25:32])::BIGINT % 100 AS h4 FROM drawn),
+parts AS (SELECT doc_id, t, n, array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(u[greatest(a, b) + 1:], '') AS s, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+    WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM cut)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256 FROM parts""",
+    "op13_chat": rf"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '{ODD_TURN}' FROM range(2) r(k)),
+sized AS (SELECT *, length(text) + length(regexp_replace(text, '[^\\]', '', 'g')) + len(regexp_extract_all(text, '</?s>|\[/?(?:INST|ROLE)\]')) AS n_text,
+    length(role) + length(regexp_replace(role, '[^\\]', '', 'g')) + len(regexp_extract_all(role, '</?s>|\[/?(?:INST|ROLE)\]')) AS n_role FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(n_text + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE n_role + 19 END)::BIGINT AS formatted_chars FROM sized GROUP BY conv_id""",
 }

@@ -406,7 +406,7 @@ def test_list_decoding_finds_all_directions_over_the_cap():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF001)
     rel = con.sql(queries.ORACLE[name])
