@@ -196,6 +196,32 @@ def test_repetition_equals_brute_force(spark):
     assert repetition.rules(docs.limit(0)).count() == 0
 
 
+def test_repetition_limits_decide_and_later_occurrences_count(spark):
+    """A passage of 12 words twice in a text: a quarter of its characters in repeated 10-grams is too much, an eighth is not."""
+    unlike = [f"w{k:04d}" for k in range(2000)]
+    rows = [(n, " ".join(unlike[:12] + unlike[20 : 20 + n] + unlike[:12]), "x") for n in (60, 80, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+    got = {r.doc_id: r for r in repetition.rules(docs).collect()}
+    assert {k: r.later_10_chars for k, r in got.items()} == {k: 60 for k in got} and {r.dup_10_chars for r in got.values()} == {120}
+    assert {k: (r.base_failed, r.kept) for k, r in got.items()} == {60: (False, False), 80: (False, True), 200: (False, True)}
+
+
+def thue_morse(n, a, b):
+    out = [a]
+    while len(out) < n:
+        out += [b if c == a else a for c in out]
+    return "".join(out)
+
+
+@pytest.mark.parametrize("n", [256, 1024, 8192])
+def test_lines_and_words_that_collide_under_powers_of_two_are_told_apart(n):
+    x, y = thue_morse(n, "a", "b"), thue_morse(n, "b", "a")
+    window = " ".join(["w"] * 3)
+    data = f"{x}\n{y}\n{x} {window} 1 2 3 4 {y} {window} 1 2 3 4".encode()
+    got = repetition.measure(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert (got["n_dup_lines"].tolist(), got["n_repeat_words"].tolist(), got["dup_7_chars"].tolist()) == ([0], [0], [14])
+
+
 # ---------------------------------------------------------------- suffix arrays
 def brute_removal(texts, length):
     data = [(t or "").encode() for t in texts]
