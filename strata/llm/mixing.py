@@ -6,11 +6,10 @@ natural one that has the wanted entropy. Each pass is one aggregate over the tab
 halvings).
 
 The weights are realised as budgeted block permutations. A source's documents fall into a fixed number of blocks by hash. An epoch is a
-permutation of the blocks; a source gets as many whole epochs as its quota holds and of one more the first blocks that fit.
+permutation of the blocks; a source gets as many whole epochs as its quota holds and of one more the blocks that fit, in the permutation's
+order: a block that does not fit is passed over. What is left of the quota is filled from one of the blocks passed over, in pieces by a further hash,
+so one very long document keeps no source below its weight by more than a piece. A source that has nothing by then gets its smallest piece.
 A document comes once per epoch that has its block. The block number is part of the join key, so a hot source is spread.
-
-The first block that does not fit ends the last epoch, so one very long document can keep a source far below its weight. With ``fill``
-blocks that don't fit are passed over, and what is left of the quota is filled from one of them, in pieces by a further hash.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strata.llm.rows import others, packed, quoted, unpacked
 from strata.llm.store import kept
 
 BLOCKS = 256
@@ -77,26 +77,24 @@ def fitting(parts: Column, room: Column) -> Column:
         (at["left"] - x["t"]).alias("left"), F.concat(at["taken"], F.array(x["part"])).alias("taken"))).otherwise(at))
 
 
-def filled(plan: DataFrame, docs: DataFrame, size: Column, seed: int) -> DataFrame:
-    """The last epoch of each source (s, b, epoch, turn, pieces; null pieces: the whole block). Of the blocks that don't fit the one
-    with the shortest longest document is cut into pieces, so a very long document doesn't stop the filling. A source that has got
-    nothing by then gets the smallest piece, though it is larger than its quota."""
+def last_epochs(plan: DataFrame, filed: DataFrame, seed: int) -> DataFrame:
+    """The last epoch of each source (s, b, epoch, turn, pieces; null pieces: the whole block), from ``plan`` (a source's blocks in that epoch) and
+    ``filed`` (s, b, p and tokens of each document). Of the blocks that don't fit the one with the shortest longest document is cut into pieces."""
     entry = F.struct("turn", F.col("b").alias("part"), "t")
-    last = plan.where((F.col("epoch") == F.col("whole") + 1) & (F.col("rest") > 0))
-    chosen = last.groupBy("s", "epoch", "whole", "rest").agg(F.collect_list(entry).alias("parts"), F.collect_list(  # at most blocks entries
+    chosen = plan.groupBy("s", "epoch", "whole", "rest").agg(F.collect_list(entry).alias("parts"), F.collect_list(  # at most blocks entries
         F.struct("longest", "turn", "b")).alias("cuts")).withColumn("fit", fitting(F.col("parts"), F.col("rest")))
     cut = F.array_min(F.filter("cuts", lambda x: ~F.array_contains(F.col("fit.taken"), x["b"])))
     chosen = kept(chosen.select("s", "epoch", "whole", "rest", "parts", F.col("fit.left").alias("left"), F.col("fit.taken").alias("taken"), cut.alias("cut")), "mix_last")
     whole = chosen.select("s", "epoch", F.explode(F.filter("parts", lambda x: F.array_contains("taken", x["part"]))).alias("x")).select(
         "s", F.col("x.part").alias("b"), "epoch", F.col("x.turn").alias("turn"), F.lit(None).cast("array<long>").alias("pieces"))
     # left > 0 with all blocks taken is not possible: rest is under the source's tokens
-    asked = chosen.where("left > 0").select(F.col("s").alias("__s2"), F.col("cut.b").alias("__b2"), F.col("cut.turn").alias("turn"), "epoch", "left",
+    asked = chosen.where("left > 0").select(F.col("s").alias("s2"), F.col("cut.b").alias("b2"), F.col("cut.turn").alias("turn"), "epoch", "left",
                                             ((F.col("whole") == 0) & (F.col("left") == F.col("rest"))).alias("bare"))
-    pieces = (docs.join(asked.select("__s2", "__b2"), (F.col("__s") == F.col("__s2")) & (F.col("__b") == F.col("__b2")))
-              .groupBy(F.col("__s").alias("s"), F.col("__b").alias("b"), F.col("__p").alias("p")).agg(F.sum(F.coalesce(size, F.lit(0)).cast("long")).alias("t")))
+    mine = (F.col("s") == F.col("s2")) & (F.col("b") == F.col("b2"))
+    pieces = filed.join(asked.select("s2", "b2"), mine).groupBy("s", "b", "p").agg(F.sum("tokens").alias("t"))
     place = F.md5(F.concat_ws("|", F.lit(str(seed)), "s", "epoch", "b", "p"))
-    got = (pieces.join(asked, (F.col("s") == F.col("__s2")) & (F.col("b") == F.col("__b2"))).groupBy("s", "b", "epoch", "turn", "left", "bare")
-           .agg(F.collect_list(F.struct(place.alias("turn"), F.col("p").alias("part"), "t")).alias("parts")))  # at most BLOCKS entries
+    got = pieces.join(asked, mine).groupBy("s", "b", "epoch", "turn", "left", "bare").agg(
+        F.collect_list(F.struct(place.alias("turn"), F.col("p").alias("part"), "t")).alias("parts"))  # at most BLOCKS entries
     least = F.array_min(F.transform(F.filter("parts", lambda x: x["t"] > 0), lambda x: F.struct(x["t"], x["part"])))["part"]
     fit = fitting(F.col("parts"), F.col("left"))
     nothing = F.col("bare") & (fit["left"] == F.col("left"))
@@ -104,19 +102,17 @@ def filled(plan: DataFrame, docs: DataFrame, size: Column, seed: int) -> DataFra
 
 
 def mix(docs: DataFrame, size: Column, max_epochs: float | None = None, entropy: float | None = None, budget: float | None = 1.0,
-        seed: int = 1, source_col: str = "source", id_col: str = "doc_id", blocks: int = BLOCKS, fill: bool = False) -> DataFrame:
+        seed: int = 1, source_col: str = "source", id_col: str = "doc_id", blocks: int = BLOCKS) -> DataFrame:
     """The mix: all columns of ``docs`` and tokens (``size``, null: 0), epoch (from 1) and turn (the place of the document's block in that epoch's
     permutation). A document has a row per epoch it is in; under a budget it may have none. A null source is a source
-    of its own. Sources without tokens get one epoch. Repeated rows and rows of one id share a block. Result names replace
-    columns of ``docs``. ``fill``: fill the last epoch past blocks that don't fit, and give every source with a quota at least a piece."""
-    results = ["tokens", "epoch", "turn"]
-    mine = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in results], F.coalesce(size, F.lit(0)).cast("long").alias("tokens"))
-    identity = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
-    source = F.col(f"`{source_col}`")
-    at = [F.coalesce(F.concat(F.lit("="), source), F.lit("null")).alias("__s"), (digits(identity, 1, 8) % blocks).alias("__b")]
-    at += [(digits(identity, 9, 8) % BLOCKS).alias("__p")] if fill else []
-    filed = mine.select("*", *at)
-    sums = kept(filed.groupBy(F.col("__s").alias("s"), F.col("__b").alias("b")).agg(F.sum("tokens").alias("t"), F.max("tokens").alias("longest")), "mix_blocks")  # at most blocks rows per source
+    of its own. Sources without tokens get one epoch; every source with a quota gets something. Repeated rows and rows of one id share a block and
+    a piece. Result names replace columns of ``docs``; other columns may have any name. An empty table gives an empty mix."""
+    names = others(docs, "tokens", "epoch", "turn")
+    identity = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(quoted(id_col)).cast("string"), F.lit("")))
+    source = F.coalesce(F.concat(F.lit("="), F.col(quoted(source_col)).cast("string")), F.lit("null"))
+    filed = docs.select(packed(names), F.coalesce(size, F.lit(0)).cast("long").alias("tokens"), source.alias("s"),
+                        (digits(identity, 1, 8) % blocks).alias("b"), (digits(identity, 9, 8) % BLOCKS).alias("p"))
+    sums = kept(filed.groupBy("s", "b").agg(F.sum("tokens").alias("t"), F.max("tokens").alias("longest")), "mix_blocks")  # at most blocks rows per source
     shares = kept(sums.groupBy("s").agg(F.sum("t").alias("tokens")), "mix_shares")
     a = exponent(shares, max_epochs, entropy, budget)
     total = float(shares.agg(F.sum("tokens")).first()[0] or 0)
@@ -130,16 +126,10 @@ def mix(docs: DataFrame, size: Column, max_epochs: float | None = None, entropy:
     plan = sums.join(quotas, "s").select("*", F.explode(F.sequence(F.lit(1), (F.col("whole") + 1).cast("int"))).alias("epoch"))
     place = F.md5(F.concat_ws("|", F.lit(str(seed)), "s", F.col("epoch").cast("string"), F.col("b").cast("string")))
     order = Window.partitionBy("s", "epoch").orderBy(place)  # at most blocks rows
-    plan = plan.select("s", "b", "t", "longest", "epoch", "whole", "rest", F.row_number().over(order).alias("turn"),
-                       F.sum("t").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
-    if fill:
-        none = F.lit(None).cast("array<long>").alias("pieces")
-        plan = plan.where(F.col("epoch") <= F.col("whole")).select("s", "b", "epoch", "turn", none).unionByName(
-            filled(plan, docs.select("*", *at), size, seed))
-    else:
-        plan = plan.where((F.col("epoch") <= F.col("whole")) | ((F.col("rest") > 0) & (F.col("upto") <= F.col("rest"))))
-    given = plan.select(F.col("s").alias("__s2"), F.col("b").alias("__b2"), "epoch", "turn", *(["pieces"] if fill else []))
-    out = filed.join(given.withColumnsRenamed({"pieces": "__pieces"}), (F.col("__s") == F.col("__s2")) & (F.col("__b") == F.col("__b2")))
-    if fill:
-        out = out.where(F.col("__pieces").isNull() | F.array_contains("__pieces", F.col("__p")))
-    return out.select(*mine.columns, "epoch", "turn")
+    plan = plan.select("s", "b", "t", "longest", "epoch", "whole", "rest", F.row_number().over(order).alias("turn"))
+    given = plan.where(F.col("epoch") <= F.col("whole")).select("s", "b", "epoch", "turn", F.lit(None).cast("array<long>").alias("pieces")).unionByName(
+        last_epochs(plan.where((F.col("epoch") > F.col("whole")) & (F.col("rest") > 0)), filed.select("s", "b", "p", "tokens"), seed))
+    given = given.select(F.col("s").alias("s2"), F.col("b").alias("b2"), "epoch", "turn", "pieces")
+    out = filed.join(given, (F.col("s") == F.col("s2")) & (F.col("b") == F.col("b2")))
+    out = out.where(F.col("pieces").isNull() | F.array_contains("pieces", F.col("p")))
+    return out.select(*unpacked(names), "tokens", "epoch", "turn")

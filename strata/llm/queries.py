@@ -198,8 +198,9 @@ SELECT c.page_id, c.url, c.fetched, coalesce(r.n, 0) AS n_active, r.pattern AS d
 FROM captures c LEFT JOIN ranked r ON r.page_id = c.page_id AND r.url = c.url AND r.fetched = c.fetched AND r.k = 1""",
     "op7_mixing": rf"""
 WITH RECURSIVE docs AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS tokens,
-    coalesce('=' || source, 'null') AS s, {_d("'1|' || coalesce(doc_id::VARCHAR, '')", 1, 8)} % 256 AS b FROM documents),
-blocks AS (SELECT s, b, sum(tokens)::BIGINT AS t FROM docs GROUP BY ALL),
+    coalesce('=' || source, 'null') AS s, {_d("'1|' || coalesce(doc_id::VARCHAR, '')", 1, 8)} % 256 AS b,
+    {_d("'1|' || coalesce(doc_id::VARCHAR, '')", 9, 8)} % 256 AS p FROM documents),
+blocks AS (SELECT s, b, sum(tokens)::BIGINT AS t, max(tokens) AS longest FROM docs GROUP BY ALL),
 shares AS (SELECT s, sum(t)::BIGINT AS tokens FROM blocks GROUP BY ALL),
 p AS (SELECT list(tokens / (SELECT sum(tokens) FROM shares)::DOUBLE) AS p FROM shares WHERE tokens > 0),
 -- halve [0, 1] for the flattest mix that repeats no source more than twice
@@ -210,14 +211,33 @@ halves AS (SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi FROM p
         FROM halves, p WHERE i < 45)),
 chosen AS (SELECT CASE WHEN len(p.p) <= 2 THEN 0.0 WHEN list_max(list_transform(p.p, lambda x: pow(x, -1.0))) / len(p.p) <= 2.0 THEN 0.0
     ELSE ceil(hi * 1e6) / 1e6 END AS a FROM halves, p WHERE i = 45),
-quotas AS (SELECT s, tokens, floor(pow(tokens / (SELECT sum(tokens) FROM shares)::DOUBLE, a - 1)
-    / (SELECT list_sum(list_transform(p.p, lambda x: pow(x, a))) FROM p) * tokens + 0.5)::BIGINT AS quota FROM shares, chosen),
-plan AS (SELECT b.s, b.b, b.t, e.epoch, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END AS whole, CASE WHEN tokens > 0 THEN quota % tokens ELSE 0 END AS rest,
+quotas AS (SELECT s, tokens, CASE WHEN tokens > 0 THEN floor(pow(tokens / (SELECT sum(tokens) FROM shares)::DOUBLE, a - 1)
+    / (SELECT list_sum(list_transform(p.p, lambda x: pow(x, a))) FROM p) * tokens + 0.5)::BIGINT ELSE 0 END AS quota FROM shares, chosen),
+plan AS (SELECT b.s, b.b, b.t, b.longest, e.epoch, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END AS whole, CASE WHEN tokens > 0 THEN quota % tokens ELSE 0 END AS rest,
     md5('1|' || b.s || '|' || e.epoch || '|' || b.b) AS place
     FROM blocks b JOIN quotas q USING (s), LATERAL (SELECT unnest(range(1, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END + 2)) AS epoch) e),
-turns AS (SELECT *, row_number() OVER w AS turn, sum(t) OVER w AS upto FROM plan WINDOW w AS (PARTITION BY s, epoch ORDER BY place))
-SELECT d.doc_id, d.source, d.tokens, t.epoch::INT AS epoch, t.turn::INT AS turn FROM docs d JOIN turns t USING (s, b)
-WHERE t.epoch <= t.whole OR (t.rest > 0 AND t.upto <= t.rest)""",
+turns AS (SELECT *, row_number() OVER (PARTITION BY s, epoch ORDER BY place) AS turn FROM plan),
+-- the last epoch, block by block: what fits in the room left is taken
+walk AS (SELECT s, epoch, whole, rest, turn, b, longest, t <= rest AS taken, rest - CASE WHEN t <= rest THEN t ELSE 0 END AS room FROM turns
+    WHERE epoch = whole + 1 AND rest > 0 AND turn = 1
+    UNION ALL SELECT n.s, n.epoch, n.whole, n.rest, n.turn, n.b, n.longest, n.t <= w.room, w.room - CASE WHEN n.t <= w.room THEN n.t ELSE 0 END
+    FROM walk w JOIN turns n ON n.s = w.s AND n.epoch = w.epoch AND n.turn = w.turn + 1),
+ends AS (SELECT s, epoch, whole, rest, min(room) AS room FROM walk GROUP BY ALL),
+-- of a block passed over the pieces that fit in what is left; of a source with nothing the smallest piece
+cut AS (SELECT e.s, e.epoch, e.room, e.whole = 0 AND e.room = e.rest AS bare, w.b, w.turn FROM ends e JOIN walk w USING (s, epoch) WHERE e.room > 0 AND NOT w.taken
+    QUALIFY row_number() OVER (PARTITION BY s, epoch ORDER BY w.longest, w.turn, w.b) = 1),
+sized AS (SELECT c.s, c.epoch, c.room, c.bare, c.b, d.p, sum(d.tokens)::BIGINT AS t FROM cut c JOIN docs d ON d.s = c.s AND d.b = c.b GROUP BY ALL),
+pieces AS (SELECT *, row_number() OVER (PARTITION BY s, epoch ORDER BY md5('1|' || s || '|' || epoch || '|' || b || '|' || p)) AS k FROM sized),
+fill AS (SELECT s, epoch, b, p, k, t <= room AS taken, room - CASE WHEN t <= room THEN t ELSE 0 END AS room FROM pieces WHERE k = 1
+    UNION ALL SELECT n.s, n.epoch, n.b, n.p, n.k, n.t <= f.room, f.room - CASE WHEN n.t <= f.room THEN n.t ELSE 0 END
+    FROM fill f JOIN pieces n ON n.s = f.s AND n.epoch = f.epoch AND n.k = f.k + 1),
+filled AS (SELECT s, epoch, min(room) AS room FROM fill GROUP BY ALL),
+least AS (SELECT p.s, p.epoch, p.b, p.p FROM pieces p JOIN filled f USING (s, epoch) WHERE p.bare AND p.room = f.room AND p.t > 0
+    QUALIFY row_number() OVER (PARTITION BY p.s, p.epoch ORDER BY p.t, p.p) = 1),
+given AS (SELECT s, b, epoch, turn, NULL::BIGINT AS p FROM turns WHERE epoch <= whole
+    UNION ALL SELECT s, b, epoch, turn, NULL FROM walk WHERE taken
+    UNION ALL SELECT c.s, c.b, c.epoch, c.turn, x.p FROM cut c JOIN (SELECT s, epoch, p FROM fill WHERE taken UNION SELECT s, epoch, p FROM least) x USING (s, epoch))
+SELECT d.doc_id, d.source, d.tokens, g.epoch::INT AS epoch, g.turn::INT AS turn FROM docs d JOIN given g ON g.s = d.s AND g.b = d.b AND (g.p IS NULL OR g.p = d.p)""",
     "op8_revisits": rf"""
 WITH base AS (SELECT page_id, url, '"' || substr(md5(html), 1, 12) || '"' AS e1, '"2-' || substr(md5(html), 13, 12) || '"' AS e2, md5(html) AS m,
     length(html) AS n, (page_id * 37) % 200 AS start, {_d("page_id::VARCHAR", 1, 1)} AS d1, {_d("page_id::VARCHAR", 2, 1)} AS d2,

@@ -302,7 +302,7 @@ def test_suffix_order():
 # ---------------------------------------------------------------- mixing
 def test_mix_meets_its_limits(spark):
     docs = spark.createDataFrame([(k, "big" if k % 10 else "small", "w " * (1 + k % 7)) for k in range(3000)] + [(None, None, "a b"), (1, "none", None)],
-                                 "doc_id long, source string, text string").withColumn("epoch", F.lit("clash")).withColumn("s", F.lit(1)).withColumn("b", F.lit(1))
+                                 "doc_id long, source string, text string").withColumn("epoch", F.lit("clash")).withColumn("s", F.lit(1)).withColumn("__p", F.lit(1)).withColumn("a.b", F.lit(1))
     rows = mixing.mix(docs, queries.words(F.col("text")), max_epochs=2.0, budget=1.0).collect()
     total = sum(1 + k % 7 for k in range(3000)) + 2
     assert 0.95 * total <= sum(r.tokens for r in rows) <= total
@@ -315,12 +315,12 @@ def test_mix_meets_its_limits(spark):
 def test_mix_fills_past_a_very_long_document(spark):
     one = [(0, "a", 900)] + [(k, s, 1) for s, begin in (("b", 1000), ("c", 2000), ("d", 3000)) for k in range(begin, begin + 300)]
     docs = spark.createDataFrame(one, "doc_id long, source string, n long")
-    got = Counter(r.source for r in mixing.mix(docs, F.col("n"), max_epochs=2.0, fill=True).collect())
+    got = Counter(r.source for r in mixing.mix(docs, F.col("n"), max_epochs=2.0).collect())
     assert got["a"] == 1 and got["b"] == got["c"] == got["d"] == 450  # the only document of a is larger than its quota
     for seed in range(1, 4):
         giant = [(0, "hot", 5000)] + [(k, "hot", 1 + k % 9) for k in range(1, 4000)] + [(k, f"s{k % 6}", 1) for k in range(10000, 13000)]
         docs = spark.createDataFrame(giant, "doc_id long, source string, n long")
-        rows = mixing.mix(docs, F.col("n"), max_epochs=8.0, seed=seed, fill=True).collect()
+        rows = mixing.mix(docs, F.col("n"), max_epochs=8.0, seed=seed).collect()
         total = sum(n for _, _, n in giant)
         shares = {s: sum(n for _, x, n in giant if x == s) for _, s, _ in giant}
         a = mixing.exponent(spark.createDataFrame(list(shares.items()), "s string, tokens long"), 8.0)
@@ -332,6 +332,19 @@ def test_mix_fills_past_a_very_long_document(spark):
             assert len({(r.doc_id, r.epoch) for r in mine}) == len(mine)
 
 
+@pytest.mark.parametrize("most", [900, 20_000])
+def test_mixing_query_equals_sql_with_a_giant_document(spark, tmp_path, most):
+    """A source of one document longer than its quota, a hot source with a very long one, null sources, ids and texts, repeated rows."""
+    rows = [(0, "lone", "w " * most), (1, "hot", "w " * 6000), (None, None, "a b c"), (5, None, None), (5, "empty", "")]
+    rows += [(k, "hot", "w " * (1 + k % 9)) for k in range(2, 1500)] + [(k, f"s{k % 4}", "w " * 3) for k in range(3000, 4000)] + [(3000, "s0", "w w w")] * 2
+    spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter(tuple(r) for r in queries.op7_mixing(spark, str(tmp_path)).select("doc_id", "source", "tokens", "epoch", "turn").collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert got == Counter(con.sql(f"SELECT doc_id, source, tokens, epoch, turn FROM ({queries.ORACLE['op7_mixing']})").fetchall())
+    assert {s for _, s, *_ in got} >= {"lone", "hot", "s0", "s1", "s2", "s3"}
+
+
 def test_exponent_meets_entropy(spark):
     shares = spark.createDataFrame([("a", 800), ("b", 150), ("c", 50)], "s string, tokens long")
     a = mixing.exponent(shares, entropy=0.9)
