@@ -22,25 +22,26 @@ from pyspark.sql import DataFrame, functions as F, types as T
 DEFAULT_MAX_KEY_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, keys, max_key_rows: int = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys, max_key_rows: int = DEFAULT_MAX_KEY_ROWS, counts: DataFrame | None = None) -> DataFrame:
     """(keys..., _salts) for keys holding more than ``max_key_rows`` rows.
     There are at most rows / max_key_rows of them, whatever the data: that
     bound is what allows broadcasting the result."""
     keys = list(keys)
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > F.lit(int(max_key_rows)))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if counts is None else counts
+    return (counts.filter(F.col("_n") > F.lit(int(max_key_rows)))
             .select(*keys, F.ceil(F.col("_n") / F.lit(int(max_key_rows))).cast("int").alias("_salts")))
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys, how: str = "left",
-                max_key_rows: int = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
+                max_key_rows: int = DEFAULT_MAX_KEY_ROWS, counts: DataFrame | None = None) -> DataFrame:
     """``left.join(right, keys, how)`` for a ``right`` with at most one row
     per key (``how`` in inner / left), with hot keys of ``left`` spread over
-    several tasks."""
+    several tasks. ``counts``: (keys..., _n) rows of ``left`` per key, if a
+    caller has them, for the keys of ``right`` at least."""
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left, keys, max_key_rows))   # bounded: see hot_keys
+    hot = F.broadcast(hot_keys(left, keys, max_key_rows, counts))   # bounded: see hot_keys
     # Every salt copy of a right row is identical, so any salt assignment
     # gives the same result. The salt is a hash of the row's content, so a
     # retried map task sends every row to the same reducer as before. (A

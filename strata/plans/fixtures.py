@@ -64,6 +64,26 @@ def customer_snapshot_2(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .otherwise(F.col("c_acctbal"))))
 
 
+# Four loads of one table in the order they arrive: (load time, batch, rows).
+# The third arrives after the second but is older, the fourth is older still.
+# (not in the load; a changed balance), as tests of the key's last digit.
+LOADS = (
+    ("2024-01-01 00:00:00", "load_a", "k % 10 = 9", "k % 10 = 1"),
+    ("2024-03-01 00:00:00", "load_c", "k % 10 = 7", "k % 10 IN (1, 3)"),
+    ("2024-02-01 00:00:00", "load_b", "k % 10 IN (5, 7)", "k % 10 IN (3, 4, 6)"),
+    ("2023-12-01 00:00:00", "load_0", "k % 10 IN (2, 9)", "k % 10 = 8"),
+)
+
+
+def customer_loads(spark: SparkSession, sf_dir: str):
+    """The loads as (load time, batch id, snapshot): rows that are there later or no more are missing, some balances differ."""
+    c = table(spark, sf_dir, "customer")
+    for t, batch, missing, changed in LOADS:
+        missing, changed = (x.replace("k %", "c_custkey %") for x in (missing, changed))
+        yield t, batch, c.filter(f"NOT ({missing})").withColumn(
+            "c_acctbal", F.expr(f"CASE WHEN {changed} THEN round(c_acctbal + 100.0, 2) ELSE c_acctbal END"))
+
+
 def part_snapshot_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.filter(F.col("p_partkey") % 10 != 7)

@@ -77,6 +77,14 @@ def _read_batch(spark: SparkSession, path: str, batch_col: str, batch_id: str) -
     return spark.read.option("basePath", path).parquet(sinks.batch_path(path, batch_col, batch_id))
 
 
+class ValidationFailed(RuntimeError):
+    """A validate rule of a run found rows lost or doubled. ``run`` is the run, with its ``checks``."""
+
+    def __init__(self, run: dict, failed: list[str]):
+        super().__init__(f"batch {run['batch_id']}: failed checks {', '.join(failed)}")
+        self.run = run
+
+
 def run_medallion(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C.BATCH_ID,
                   load_ts: str = C.LOAD_TS) -> dict:
     """Bronze -> silver (+quarantine) -> gold, each layer written once and
@@ -84,7 +92,8 @@ def run_medallion(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C
     silver batch), so lineage is cut at every layer boundary and a
     lost executor only recomputes from the last written layer. Rewriting
     the same batch id replaces that batch's partition only (idempotent).
-    Row counts are observed while writing (no extra scans)."""
+    Row counts are observed while writing (no extra scans). The run ends with
+    the validate stage; a rule that fails raises ``ValidationFailed``."""
     flow = CustomerFlow(spark, sf_dir, batch_id, load_ts)
     paths = {name: f"{lake}/{layer}/{name}" for layer, name in LAYER_TABLES}
     rows = {}
@@ -110,8 +119,18 @@ def run_medallion(spark: SparkSession, sf_dir: str, lake: str, batch_id: str = C
                                                           "batch_id", batch_id),
     }, spark))
     run = {"paths": paths, "rows": rows, "batch_id": batch_id}
-    run["checks"] = validate_layers(spark, sf_dir, run)
-    run["valid"] = all(r.ok for r in run["checks"].collect())   # one row per rule
+    return validated_run(spark, sf_dir, run)
+
+
+def validated_run(spark: SparkSession, sf_dir: str, run: dict) -> dict:
+    """The run with its ``checks``, evaluated once: one row per rule, handed on as a local frame. Raises ``ValidationFailed``."""
+    checks = validate_layers(spark, sf_dir, run)
+    rows = checks.collect()   # one row per rule
+    run["checks"] = local_frame(spark, rows, checks.schema)
+    failed = [r.check_name for r in rows if not r.ok]
+    run["valid"] = not failed
+    if failed:
+        raise ValidationFailed(run, failed)
     return run
 
 
@@ -157,9 +176,13 @@ def _concurrently(jobs: dict, spark: SparkSession) -> dict:
 
 
 def run_summary(spark: SparkSession, run: dict) -> DataFrame:
-    """(layer, table_name, row_count) from the counts observed at write time."""
-    return local_frame(spark, [(layer, name, int(run["rows"][name])) for layer, name in LAYER_TABLES],
-                                 "layer string, table_name string, row_count bigint")
+    """(layer, table_name, row_count, checks_failed, run_valid): counts observed at write time, and of each table the rules of the
+    validate stage that failed, with the verdict on the whole run."""
+    failed = {}
+    for r in run["checks"].collect():   # one row per rule
+        failed[r.table_name] = failed.get(r.table_name, 0) + (not r.ok)
+    return local_frame(spark, [(layer, name, int(run["rows"][name]), failed.get(name, 0), run["valid"]) for layer, name in LAYER_TABLES],
+                       "layer string, table_name string, row_count bigint, checks_failed bigint, run_valid boolean")
 
 
 def layer_summary(spark: SparkSession, paths: dict, batch_id: str = C.BATCH_ID) -> DataFrame:

@@ -8,6 +8,7 @@ CTE chains (bronze -> silver -> gold) are spelled once.
 from __future__ import annotations
 
 from .. import contracts as C
+from . import fixtures as FX
 from .fixtures import DIRTY_CUSTOMER_SQL
 
 ORACLE: dict = {}
@@ -640,6 +641,19 @@ SELECT p.*, k.p_partkey IS NOT NULL AS is_active,
        CASE WHEN k.p_partkey IS NULL THEN 'reference_sync' END AS inactivated_by
 FROM part p LEFT JOIN (SELECT DISTINCT p_partkey FROM ({P2})) k ON p.p_partkey = k.p_partkey"""
 
+_LATE = " UNION ALL ".join(
+    f"SELECT c_custkey, c_name, c_nationkey, CASE WHEN {changed.replace('k %', 'c_custkey %')} THEN round(c_acctbal + 100.0, 2) ELSE c_acctbal END AS c_acctbal, "
+    f"c_mktsegment, TIMESTAMP '{t}' AS t, '{batch}' AS batch_id FROM customer WHERE NOT ({missing.replace('k %', 'c_custkey %')})"
+    for t, batch, missing, changed in FX.LOADS)
+# a full rebuild from all snapshots: a version begins where the content differs from the load before that has the key
+ORACLE["scd2_late_load"] = f"""
+WITH seen AS (SELECT *, {md5_join(_ATTRS)} AS record_hash FROM ({_LATE})),
+marked AS (SELECT *, lag(record_hash) OVER (PARTITION BY c_custkey ORDER BY t) AS before FROM seen),
+first AS (SELECT * FROM marked WHERE before IS NULL OR before <> record_hash)
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, record_hash, t AS valid_from,
+       lead(t) OVER (PARTITION BY c_custkey ORDER BY t) AS valid_to,
+       lead(t) OVER (PARTITION BY c_custkey ORDER BY t) IS NULL AS is_current, batch_id FROM first"""
+
 _CC = ["c_custkey", *_ATTRS]
 ORACLE["cdc_events"] = f"""
 WITH o AS (SELECT *, {md5_join(_ATTRS)} AS h FROM ({S1})), n AS (SELECT *, {md5_join(_ATTRS)} AS h FROM ({S2})),
@@ -674,7 +688,8 @@ GROUP BY error_category, failed_field, severity""")
 
 
 ORACLE["ingest_single"] = ORACLE["bronze_audit_sqlserver"]
-ORACLE["medallion_end_to_end"] = ORACLE["layer_listing"].replace("AS record_count", "AS row_count")
+ORACLE["medallion_end_to_end"] = ORACLE["layer_listing"].replace("AS record_count", "AS row_count, CAST(0 AS BIGINT) AS checks_failed, TRUE AS run_valid") \
+    .replace(", count(*) FROM", ", count(*), 0, TRUE FROM")
 ORACLE["stream_quarantine"] = ORACLE["silver_quarantine"]
 ORACLE["stream_cdc_apply"] = S2
 

@@ -493,8 +493,8 @@ def _scd2(spark, sf_dir):
     keys = ["c_custkey"]
     hist = H.scd2_initial(FX.customer_snapshot_1(spark, sf_dir), keys, C.LOAD_TS, C.BATCH_ID)
     incoming = FX.customer_snapshot_2(spark, sf_dir)
-    RUN.set_aside(incoming, keys, "customer", scratch_dir(spark, "scd2"), C.NEXT_BATCH_ID)
-    return H.scd2_apply(hist, incoming, keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID)
+    _, faulty = RUN.set_aside(incoming, keys, "customer", scratch_dir(spark, "scd2"), C.NEXT_BATCH_ID)
+    return H.scd2_apply(hist, incoming, keys, C.NEXT_LOAD_TS, C.NEXT_BATCH_ID, faulty)
 
 
 @query("scd2_apply")
@@ -502,6 +502,21 @@ def scd2_apply(spark, sf_dir):
     return _scd2(spark, sf_dir)
 
 
+@query("scd2_late_load")
+def scd2_late_load(spark, sf_dir):
+    # four loads; the second and the first by time arrive last
+    keys, lake = ["c_custkey"], scratch_dir(spark, "scd2_late")
+    loads, runs = [], None
+    for k, (t, batch, snapshot) in enumerate(FX.customer_loads(spark, sf_dir)):
+        _, faulty = RUN.set_aside(snapshot, keys, "customer", lake, batch)
+        runs = (H.runs_initial(snapshot, keys, t, batch, faulty) if runs is None
+                else H.runs_insert(runs, snapshot, keys, t, batch, loads, faulty))
+        sinks.write_table(runs, f"{lake}/history/{k}", "replace")   # every load leaves a stored version
+        runs = spark.read.schema(runs.schema).parquet(f"{lake}/history/{k}")
+        loads.append((t, batch))
+    return H.runs_versions(runs, keys)
+
+
 def _event_loads(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     first = ev.filter(F.col("ts") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz"))
@@ -537,9 +552,9 @@ def reference_inactivate(spark, sf_dir):
 def cdc_events(spark, sf_dir):
     lake, keys = scratch_dir(spark, "cdc_events"), ["c_custkey"]
     s1, s2 = FX.customer_snapshot_1(spark, sf_dir), FX.customer_snapshot_2(spark, sf_dir)
-    RUN.set_aside(s1, keys, "customer", lake, C.BATCH_ID)
-    RUN.set_aside(s2, keys, "customer", lake, C.NEXT_BATCH_ID)
-    return H.change_events(s1, s2, keys, "customer", C.NEXT_LOAD_TS)
+    _, f1 = RUN.set_aside(s1, keys, "customer", lake, C.BATCH_ID)
+    _, f2 = RUN.set_aside(s2, keys, "customer", lake, C.NEXT_BATCH_ID)
+    return H.change_events(s1, s2, keys, "customer", C.NEXT_LOAD_TS, f1, f2)
 
 
 # ---------------------------------------------------------------- quarantine replay / report

@@ -214,13 +214,19 @@ def promote_to_silver(spark: SparkSession, bronze: DataFrame, rules, key_col: st
             "quarantined_records": quarantined, "success_rate": promoted / processed * 100, "table": silver_table}
 
 
-def set_aside(snapshot: DataFrame, keys, table: str, lake: str, batch_id: str = C.BATCH_ID) -> int:
+def set_aside(snapshot: DataFrame, keys, table: str, lake: str, batch_id: str = C.BATCH_ID) -> tuple[int, DataFrame]:
     """Quarantine of a snapshot that a history job loads: its rows with a NULL
     key or with different rows for one key, which change nothing there, go to
     ``silver/key_errors/{table}``. A rerun replaces its own batch. Returns rows
-    written."""
+    written and the stored faulty keys, for the history operators: one aggregate finds both the rows to use and
+    those to set aside, and a snapshot without a fault is not looked at again."""
     from ..operators import history as H
-    return sinks.write_batch(H.unusable(snapshot, keys), f"{lake}/silver/key_errors/{table}", "batch_id", batch_id)
+    spark, where = snapshot.sparkSession, f"{lake}/silver/key_faults/{table}"
+    n = sinks.write_batch(H.faulty_keys(snapshot, keys), where, "batch_id", batch_id)
+    schema = H.faulty_keys(snapshot, keys).schema
+    faulty = spark.read.schema(schema).parquet(sinks.batch_path(where, "batch_id", batch_id)) if n else local_frame(spark, [], schema)
+    bad = H.unusable(snapshot, keys, faulty) if n else snapshot.limit(0).withColumn("key_fault", F.lit(""))
+    return sinks.write_batch(bad, f"{lake}/silver/key_errors/{table}", "batch_id", batch_id), faulty
 
 
 WATERMARK_DDL = "watermark string, rows bigint, load_id string"

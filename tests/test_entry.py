@@ -64,13 +64,23 @@ def _single_task_steps(plan: str) -> list[str]:
     out = ["global sort"] if "rangepartitioning" in plan else []
     lines = plan.splitlines()
     for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
+        # a reused exchange has no child here: the next line belongs to its sibling
+        if "Exchange SinglePartition" in line and "ReusedExchange" not in line:
             child = lines[i + 1] if i + 1 < len(lines) else ""
             if not re.search(r"(Hash|ObjectHash|Sort)Aggregate\(keys=\[\]", child):
                 out.append(child.strip()[:80])
     return out
 
 
+def test_single_task_detector_passes_over_reused_exchanges():
+    reused = """Union
+:- *(9) HashAggregate(keys=[], functions=[sum(n#1)])
+:  +- ReusedExchange [partial#2], Exchange SinglePartition, ENSURE_REQUIREMENTS, [plan_id=7]
++- *(3) Project [a#1]"""
+    assert not _single_task_steps(reused)
+    assert _single_task_steps(reused.replace("ReusedExchange [partial#2], ", "")) == ["+- *(3) Project [a#1]"]
+
+
 def test_single_task_detector(spark):
     from pyspark.sql import Window, functions as F
     bad = [spark.range(100).orderBy(F.col("id").desc()),

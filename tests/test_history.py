@@ -91,3 +91,66 @@ def test_incremental_load_keeps_its_watermark(spark, tmp_path):
     # the increment filter is a literal that reaches the scan
     plan = ev.filter(F.col("ts") > F.lit(wm1).cast("timestamp_ntz"))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
+
+
+def _rebuilt(loads, keys):
+    """Versions of every key from all loads in the order of their times, by a plain loop."""
+    out, current = [], {}
+    for t, batch, rows in sorted(loads):
+        for r in rows:
+            k, content = r[:keys], r[keys:]
+            if k not in current or current[k][0] != content:
+                if k in current:
+                    out.append((*k, *current[k][0], *current[k][1:], t, False))
+                current[k] = (content, t, batch)
+    return sorted(out + [(*k, *c[0], *c[1:], None, True) for k, c in current.items()], key=repr)
+
+
+def test_loads_in_any_order_give_one_history(spark):
+    import itertools
+    import random
+    rng = random.Random(4)
+    loads = [(f"2024-0{m}-01 00:00:00", f"b{m}", [(k, rng.choice([None, "x", "y"])) for k in range(40) if rng.random() < 0.7]) for m in range(1, 5)]
+    orders = [(0, 1, 2, 3), (3, 2, 1, 0), (1, 3, 0, 2), (2, 0, 3, 1)] + rng.sample(list(itertools.permutations(range(4))), 2)
+    for order in orders:
+        runs, known = None, []
+        for n in order:
+            t, batch, rows = loads[n]
+            df = spark.createDataFrame(rows, "k int, v string")
+            runs = H.runs_initial(df, ["k"], t, batch) if runs is None else H.runs_insert(runs, df, ["k"], t, batch, known)
+            runs = spark.createDataFrame(runs.collect(), runs.schema)
+            known.append((t, batch))
+            got = H.runs_versions(runs, ["k"]).withColumn("valid_from", F.col("valid_from").cast("string")).withColumn(
+                "valid_to", F.col("valid_to").cast("string")).select("k", "v", "valid_from", "batch_id", "valid_to", "is_current").collect()
+            assert sorted((tuple(r) for r in got), key=repr) == _rebuilt([loads[m] for m in order[: len(known)]], 1)
+    try:
+        H.runs_insert(runs, df, ["k"], loads[0][0], "again", known)
+    except ValueError:
+        return
+    raise AssertionError("a known load time must be refused")
+
+
+def test_versions_of_late_loads_neither_overlap_nor_run_backwards(spark):
+    from pyspark.sql import Window
+    out = QUERIES["scd2_late_load"](spark, SF001)
+    following = F.lead("valid_from").over(Window.partitionBy("c_custkey").orderBy("valid_from"))
+    odd = out.withColumn("next", following).filter((F.col("valid_to") <= F.col("valid_from")) | ~F.col("valid_to").eqNullSafe(F.col("next")))
+    assert odd.isEmpty() and out.filter("is_current").count() == out.select("c_custkey").distinct().count()
+    assert out.groupBy("c_custkey").count().agg(F.max("count")).first()[0] == 4
+
+
+def test_scd2_refuses_a_load_out_of_order(spark):
+    import pytest
+    keys, rows = ["k"], spark.createDataFrame([(1, "a")], "k int, v string")
+    hist = H.scd2_initial(rows, keys, "2024-03-01 00:00:00", "b")
+    with pytest.raises(Exception, match="out of order"):
+        H.scd2_apply(hist, rows, keys, "2024-02-01 00:00:00", "late").collect()
+
+
+def test_history_plans_shuffle_little(spark):
+    """No sort aggregate over text; soft delete reads the bronze rows for its keys and once for the rows."""
+    for name, sort_aggregates in (("scd2_apply", 0), ("cdc_events", 0)):
+        df = QUERIES[name](spark, SF001)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("SortAggregate") == sort_aggregates

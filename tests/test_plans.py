@@ -57,8 +57,13 @@ def test_fk_keys_of_any_type(spark):
 
 
 def test_scd2_collapses_incoming_before_full_outer_join(spark):
-    plan = _plan(QUERIES["scd2_apply"](spark, SF001))
-    assert "FullOuter" in plan and "partial_count" in plan
+    """A key is one row there: keys of several rows are found beforehand, by an aggregate that combines before its shuffle."""
+    from strata.operators import history as H
+    assert "FullOuter" in _plan(QUERIES["scd2_apply"](spark, SF001))
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (2, "b"), (3, "c")], "k int, v string")
+    assert "partial_count" in _plan(H.faulty_keys(rows, ["k"]))
+    joined = _plan(H.scd2_apply(H.scd2_initial(spark.createDataFrame([(9, "z")], "k int, v string"), ["k"], "2024-01-01", "b"), rows, ["k"], "2024-02-01", "c"))
+    assert "FullOuter" in joined and "partial_count" in joined
 
 
 def test_no_python_udfs_in_any_plan(spark):

@@ -78,7 +78,7 @@ def test_ambiguous_known_keys_give_no_event(spark):
     assert events == {("D", 3), ("U", 4), ("I", 7)}
     lake = scratch_dir(spark, "lake")
     for _ in range(2):  # a rerun replaces its own batch
-        assert RUN.set_aside(old, ["k"], "t", lake, "b1") == 5 and RUN.set_aside(new, ["k"], "t", lake, "b2") == 7
+        assert RUN.set_aside(old, ["k"], "t", lake, "b1")[0] == 5 and RUN.set_aside(new, ["k"], "t", lake, "b2")[0] == 7
     stored = spark.read.parquet(f"{lake}/silver/key_errors/t")
     assert sorted((r.batch_id, r.k or 0, r.a, r.key_fault) for r in stored.filter("batch_id = 'b1'").collect()) == [
         ("b1", 0, "x", "null_key"), ("b1", 2, "x", "ambiguous_key"), ("b1", 2, "y", "ambiguous_key"), ("b1", 5, "p", "ambiguous_key"), ("b1", 5, "q", "ambiguous_key")]
@@ -150,6 +150,10 @@ def test_validate_stage_sees_a_broken_layer(spark):
     sinks.write_batch(spark.createDataFrame(rows[1:], stored.schema), path, "sl_batch_id", run["batch_id"])
     failed = {r.check_name for r in M.validate_layers(spark, SF001, run).collect() if not r.ok}
     assert failed == {"bronze_vs_silver_quarantine", "silver_vs_dim"}
+    with pytest.raises(M.ValidationFailed) as stopped:
+        M.validated_run(spark, SF001, run)
+    report = {r.table_name: (r.checks_failed, r.run_valid) for r in M.run_summary(spark, stopped.value.run).collect()}
+    assert report["sl_customer"] == (1, False) and report["dim_customer"] == (1, False) and report["dim_date"] == (0, False)
 
 
 def test_everything_quarantined_is_a_valid_batch(spark):
