@@ -80,8 +80,9 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the text that is left, which tells what is kept."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return suffixes.remove_repeats(docs, length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffixes.remove_repeats(docs, length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,9 @@
 *segment* (the windows' bytes, under 2 * length). Only segments whose anchor gram occurs elsewhere can hold a repeat, and a repeat of
 a window lies in the same anchor's group. Equal segments are counted before any shuffle and stand for all their copies.
 
+**Copies.** Texts that occur more than once are found first, by hashes of whole texts. All copies of one that is long enough are removed whole; one of
+them goes on, to be met by other texts, so thousands of copies cost as much as one.
+
 **Suffix arrays.** The different segments of a group go to one task, many groups to a task. There the suffixes that are smaller
 than their successors are sorted directly; scanning the buckets (first byte) upwards induces the others: each stands behind the
 smaller successor it extends, so a bucket's induced part follows the order of successors already placed, runs of one byte level by
@@ -25,9 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from strata.llm import rolling
+from strata.llm.rows import others, packed, quoted, unpacked
 from strata.llm.store import kept
 from strata.llm.texts import byte_batches
 
+#: UTF-8 bytes whose segments are looked for at a time; a longer text is gone through in parts of this many windows.
+PIECE_BYTES = 1 << 20
+#: Repeated texts (two hashes each) that are sent to every task; more of them are joined by shuffle.
+MOST_SENT = 200_000
+
 #: A segment is known by a gram of this part of the length sought: shorter ones make longer, so fewer, segments; longer ones
 #: are rarer, so they bring fewer different segments together.
 GRAM_PART = 8
@@ -35,7 +44,7 @@ GRAM_PART = 8
 GROUP_SEGMENTS = 2000
 #: Windows of a piece when a group is too large, and when its pieces' groups still are.
 PIECE_WINDOWS = (64, 8, 1)
-_PLACE = 24  # bits of an anchor's place in a piece
+_PLACE = 24  # bits of an anchor's place in a piece: pieces are shorter than 2**24 bytes
 
 
 def segments(flat: np.ndarray, offsets: np.ndarray, length: int, gram: int):
@@ -49,8 +58,9 @@ def segments(flat: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     inverse = rolling.powers(rolling.INVERSE, n + 1)
     count = n - gram + 1
     hashes = rolling.mix((sums[gram:] - sums[:-gram]) * inverse[:count])
-    bits = np.uint64(max(_PLACE, int(n).bit_length()))
-    low = (np.uint64(1) << bits) - np.uint64(1)
+    if n >> _PLACE:
+        raise ValueError("the piece is too long")  # an anchor must not depend on the length of the piece
+    low = np.uint64((1 << _PLACE) - 1)
     blocks = -(-count // span)
     key = np.full(blocks * span, np.uint64(0xFFFFFFFFFFFFFFFF))
     key[:count] = (hashes & ~low) | np.arange(count, dtype=np.uint64)  # equal hashes: the first one
@@ -165,36 +175,50 @@ def repeated_runs(parts: list[bytes], windows: np.ndarray, many: np.ndarray, len
     return out
 
 
-def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: str = "doc_id", gram: int | None = None,
-          group_segments: int = GROUP_SEGMENTS) -> DataFrame:
-    """(k1, k2, spans): byte ranges (begin, end) of the documents that are covered by repeated strings of ``length`` bytes, possibly
-    overlapping; a row per segment that has any. Documents are known by two hashes of id and text (``keyed``)."""
-    texts = keyed(docs, text_col, id_col)
+def text_parts(flat: np.ndarray, offsets: np.ndarray, length: int, most: int):
+    """(first text, first byte in it, bytes, offsets) of parts: many texts, or the bytes of ``most`` windows of one that is longer."""
+    if len(flat) <= 2 * most:
+        yield 0, 0, flat, offsets
+        return
+    for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        for begin in range(a, max(b - length + 1, a), most):
+            end = min(begin + most + length - 1, b)
+            yield k, begin - a, flat[begin:end], np.array([0, end - begin])
+
+
+def spans(once: DataFrame, length: int = 400, gram: int | None = None, group_segments: int = GROUP_SEGMENTS) -> DataFrame:
+    """(k1, k2, spans): byte ranges (begin, end) of texts that are covered by repeated strings of ``length`` bytes, possibly
+    overlapping; a row per text that has any, texts with ``again`` left out. ``once``: different texts, as (k1, k2, again, t): two hashes of the
+    text, whether there are copies of it, and its bytes, ``length`` at least."""
     gram = gram or max(1, length // GRAM_PART)
 
     def cut(batches):
-        names = ["k1", "k2", "begin", "windows", "anchor", "gram", "whole"]
-        for part, flat, offsets in byte_batches(batches, "t"):
-            got = segments(flat, offsets, length, gram)
-            if got is not None:
+        names = ["k1", "k2", "again", "begin", "windows", "anchor", "gram", "whole"]
+        for part, flat, offsets in byte_batches(batches, "t", PIECE_BYTES):
+            for first, base, some, cuts in text_parts(flat, offsets, length, PIECE_BYTES):
+                got = segments(some, cuts, length, gram)
+                if got is None:
+                    continue
                 row, begin, windows, anchor, g, whole = got
-                rows = pa.array(row)
+                rows = pa.array(row + first)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(rows), part.column(1).take(rows), pa.array(begin, pa.int32()), pa.array(windows, pa.int32()),
+                    [*(part.column(k).take(rows) for k in range(3)), pa.array(begin + base, pa.int32()), pa.array(windows, pa.int32()),
                      pa.array(anchor, pa.int32()), pa.array(g.view(np.int64)), pa.array(whole.view(np.int64))], names=names)
 
-    every = kept(texts.select("k1", "k2", "t").mapInArrow(
-        cut, "k1 long, k2 long, begin int, windows int, anchor int, gram long, whole long"), "suffix_segments")
-    # one row per different segment, then what its group holds
-    one = every.groupBy("gram", "whole").agg(F.count("*").alias("times"), F.min(F.struct("k1", "k2", "begin", "windows", "anchor")).alias("at"))
-    grams = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    every = kept(once.select("k1", "k2", "again", "t").mapInArrow(
+        cut, "k1 long, k2 long, again boolean, begin int, windows int, anchor int, gram long, whole long"), "suffix_segments")
+    # one row per different segment, then what its group holds; a segment of a text with copies occurs more than once. The sides of joins on
+    # ``gram`` are stored tables, so the joins are of plain shuffles, which adaptive execution splits where a gram is hot
+    times = F.sum(F.when(F.col("again"), 2).otherwise(1))
+    grams = kept(every.groupBy("gram").agg(times.alias("n")).where("n > 1").select("gram"), "suffix_grams")
+    one = every.groupBy("gram", "whole").agg(times.alias("times"), F.min(F.struct("k1", "k2", "begin", "windows", "anchor")).alias("at"))
     one = kept(one.join(grams, "gram"), "suffix_classes")
-    sizes = one.groupBy("gram").agg(F.count("*").alias("different"))
+    sizes = kept(one.groupBy("gram").agg(F.count("*").alias("different")), "suffix_sizes")
     whole = one.join(sizes.where("different = 1"), "gram").where("times > 1").select(
         "gram", "whole", F.array(F.struct(F.lit(0).alias("from"), F.col("at.windows").alias("to"))).alias("runs"))
     wanted = one.join(sizes.where("different > 1"), "gram")
     wanted = wanted.select("at.k1", "at.k2", F.struct("gram", "whole", "times", "at.begin", "at.windows", "at.anchor").alias("s"))
-    wanted = wanted.groupBy("k1", "k2").agg(F.collect_list("s").alias("wanted"))  # at most a document's segments
+    wanted = wanted.groupBy("k1", "k2").agg(F.collect_list("s").alias("wanted"))  # at most a text's segments
 
     def fetch(batches):
         for batch in batches:
@@ -205,11 +229,11 @@ def spans(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: st
                         | {"part": data[s["begin"] : s["begin"] + s["windows"] + length - 1]} for s in some]
             yield pa.RecordBatch.from_pylist(out, schema=PARTS)
 
-    once = texts.dropDuplicates(["k1", "k2"])  # copies of a row hold the same segments
     parts = kept(once.join(wanted, ["k1", "k2"]).select("t", "wanted").mapInArrow(fetch, PARTS_DDL), "suffix_parts")
     runs = kept(whole.union(repeats(parts, length, group_segments, PIECE_WINDOWS)), "suffix_runs")
     moved = F.transform("runs", lambda r: F.struct((F.col("begin") + r["from"]).alias("begin"), (F.col("begin") + r["to"] + (length - 1)).alias("end")))
-    return every.join(runs, ["gram", "whole"]).select("k1", "k2", moved.alias("spans"))
+    mine = every.where(~F.col("again")).select("k1", "k2", "begin", "gram", "whole").join(runs, ["gram", "whole"])
+    return mine.groupBy("k1", "k2").agg(F.flatten(F.collect_list(moved)).alias("spans"))  # at most a text's segments
 
 
 PARTS = pa.schema([("gram", pa.int64()), ("whole", pa.int64()), ("times", pa.int64()), ("windows", pa.int32()), ("anchor", pa.int32()),
@@ -221,7 +245,7 @@ PARTS_DDL = "gram long, whole long, times long, windows int, anchor int, part bi
 def repeats(parts: DataFrame, length: int, group_segments: int, steps: tuple[int, ...]) -> DataFrame:
     """(gram, whole, runs): runs (from, to) of windows that occur more than once, for segments that have any. ``parts``: one row per different segment (gram, whole), with the times it
     occurs, its windows, its anchor's place and its bytes."""
-    sizes = parts.groupBy("gram").agg(F.count("*").alias("different"))
+    sizes = kept(parts.groupBy("gram").agg(F.count("*").alias("different")), "suffix_sizes")
 
     def sort(batches):
         def runs(rows):
@@ -244,8 +268,10 @@ def repeats(parts: DataFrame, length: int, group_segments: int, steps: tuple[int
              .repartition(width, "gram").sortWithinPartitions("gram", "whole"))
     found = small.mapInArrow(sort, "gram long, whole long, runs array<struct<from:int,to:int>>")
     large = sizes.where(F.col("different") > group_segments)
-    if not steps or large.isEmpty():
+    if large.isEmpty():
         return found
+    if not steps:
+        raise ValueError("the last step has to be pieces of one window, whose groups hold one text")
     step = steps[0]
 
     def cut(batches):
@@ -275,29 +301,33 @@ def repeats(parts: DataFrame, length: int, group_segments: int, steps: tuple[int
     return found.union(back)
 
 
-def keyed(docs: DataFrame, text_col: str, id_col: str, *more) -> DataFrame:
-    """The columns ``more``, t (the text; null: empty), k1 and k2. Rows with the same id and text have the same key, and the same result."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    return docs.select(*more, text.alias("t"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("k1"), F.xxhash64(text).alias("k2"))
-
-
-def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: str = "doc_id", **how) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: str | None = None, **how) -> DataFrame:
     """All columns of ``docs`` with ``text_col`` replaced by what is left, and n_bytes, n_removed, n_spans (maximal removed runs)
     and kept_sha256 (of the remaining bytes). Removed is each byte covered by a ``length``-byte string that also starts anywhere
     else in the table, in the same text too (matches may overlap, none crosses texts); strings are judged on the input. A character cut by a removal
-    leaves the text; the digest is of the bytes. A null text is empty. Columns named like a result are replaced. Repeated rows are copies
-    of each other."""
+    leaves the text; the digest is of the bytes. A null text is empty. Columns named like a result are replaced, others may have any name.
+    Repeated rows are copies of each other; ids are not needed (``id_col`` is accepted and ignored). An empty table gives an empty one."""
     results = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()}
-    mine = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in results])
-    found = spans(mine, length, text_col, id_col, **how)
-    found = found.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.flatten(F.collect_set("spans")).alias("spans"))  # copies of a row have the same spans
-    names = [c for c in mine.columns if c != text_col]
-    packed = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row") if names else F.lit(0).alias("row")
-    rows = keyed(mine, text_col, id_col, packed)
-    rows = rows.join(found, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")), "left").select("row", "t", "spans")
+    names = others(docs, text_col, *results)
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    rows = docs.select(packed(names), text.alias("t"), F.xxhash64(text).alias("k1"), F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long").alias("k2"))
+    long = F.octet_length("t") >= length
+    copies = kept(rows.where(long).groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2", F.lit(True).alias("copied")), "suffix_copies")
+    n_copies = copies.count()
+    sent = F.broadcast(copies) if n_copies <= MOST_SENT else copies
+    marked = rows.join(sent, ["k1", "k2"], "left") if n_copies else rows.withColumn("copied", F.lit(None).cast("boolean"))
+    marked = marked.withColumn("again", F.coalesce("copied", F.lit(False))).drop("copied")
+    columns = ["k1", "k2", "again", "t"]
+    once = marked.where(long & ~F.col("again")).select(columns)
+    if n_copies:
+        once = once.unionByName(marked.where("again").select(columns).dropDuplicates(["k1", "k2"]))
+    found = spans(once, length, **how).select(F.col("k1").alias("s1"), F.col("k2").alias("s2"), "spans")
+    single = marked.where(~F.col("again")).join(found, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")), "left").select("row", "t", "spans")
+    whole = F.array(F.struct(F.lit(0).alias("begin"), F.octet_length("t").alias("end")))
+    rows = single.union(marked.where("again").select("row", "t", whole.alias("spans"))) if n_copies else single
 
     def apply(batches):
-        for part, flat, offsets in byte_batches(batches, "t"):
+        for part, flat, offsets in byte_batches(batches, "t", PIECE_BYTES):
             out: list[list] = [[], [], [], [], []]
             for begin, end, some in zip(offsets, offsets[1:], part.column(2).to_pylist()):
                 data, left, at, removed, n = flat[begin:end].tobytes(), [], 0, 0, 0
@@ -319,5 +349,5 @@ def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", i
 
     schema = rows.select("row").schema.add("left", "string").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
     done = rows.mapInArrow(apply, schema)
-    place = {c: k for k, c in enumerate(names)}
-    return done.select(*[F.col("left").alias(c) if c == text_col else F.col(f"row.c{place[c]}").alias(c) for c in mine.columns], *results)
+    back = dict(zip(names, unpacked(names)))
+    return done.select(*[F.col("left").alias(c) if c == text_col else back[c] for c in docs.columns if c not in results], *results)

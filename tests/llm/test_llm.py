@@ -243,7 +243,7 @@ def test_removal_equals_brute_force(spark, how):
     base = ["".join(rng.choice("abcdé \n") for _ in range(rng.randint(0, 90))) for _ in range(8)] + ["a" * 70, "ab" * 40, "|" * 72, "a" * 55 + "b"]
     texts = ["".join(rng.choice(base) if rng.random() < 0.6 else "".join(rng.choice("abc") for _ in range(rng.randint(0, 30)))
                      for _ in range(rng.randint(0, 5))) for _ in range(250)] + [None, "", "x" * 500, "x" * 500]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_spans", F.lit("clash")).withColumn("t", F.lit(1))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_spans", F.lit("clash")).withColumn("t", F.lit(1)).withColumn("a.b", F.lit(1))
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(docs, length=20, **{"gram": 8, **how}).collect()}
     assert got == dict(enumerate(brute_removal(texts, 20)))
 
@@ -291,6 +291,30 @@ def test_copies_of_a_row_are_fetched_once(spark, monkeypatch):
     assert Counter((r.n_bytes, r.n_removed) for r in got) == Counter(w[:2] for w in want)
 
 
+@pytest.mark.parametrize("most_sent", [0, 200_000])
+def test_long_texts_in_parts_and_copies_by_shuffle(spark, monkeypatch, most_sent):
+    """Texts far longer than a piece, with repeats in themselves and each other, across the borders of parts; copies of them."""
+    monkeypatch.setattr(suffixes, "PIECE_BYTES", 300)
+    monkeypatch.setattr(suffixes, "MOST_SENT", most_sent)
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    shared = [text(n) for n in (25, 90, 350, 900)]
+    texts = [text(rng.randint(0, 400)) + rng.choice(shared) + text(rng.randint(0, 900)) + rng.choice(shared) for _ in range(25)] + ["", None, text(19), text(20)]
+    texts += [texts[0]] * 30 + [texts[1]] * 2 + [texts[-1]] * 2 + [texts[-2]] * 3
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    got = Counter((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(docs, length=20, gram=8).collect())
+    assert got == Counter(brute_removal(texts, 20))
+
+
+def test_parts_cover_every_window_once():
+    flat, offsets, length, most = np.arange(1000) % 251, np.array([0, 0, 5, 700, 1000]), 20, 64
+    seen = Counter()
+    for k, base, part, cuts in suffixes.text_parts(flat, offsets, length, most):
+        assert len(part) < most + length and part.tolist() == flat[offsets[k] + base : offsets[k] + base + len(part)].tolist()
+        seen.update((k, base + w) for w in range(len(part) - length + 1))
+    assert seen == Counter((k, w) for k in range(4) for w in range(offsets[k + 1] - offsets[k] - length + 1))
+
+
 def test_suffix_order():
     data = np.frombuffer(b"mississippi" * 3, np.uint8)
     begins, ends = np.array([0]), np.array([len(data)])
