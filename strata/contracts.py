@@ -87,4 +87,5 @@ BATCH_ID = "batch_001"
 NEXT_BATCH_ID = "batch_002"
 LOAD_TS = "2024-01-01 00:00:00"
 NEXT_LOAD_TS = "2024-02-01 00:00:00"
+LAST_LOAD_TS = "2024-03-01 00:00:00"
 AS_OF_DATE = "2024-06-30"

@@ -87,3 +87,19 @@ def customer_loads(spark: SparkSession, sf_dir: str):
 def part_snapshot_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.filter(F.col("p_partkey") % 10 != 7)
+
+
+# Events that cannot be applied: what is wrong with the event of a key, by the key's last digits.
+UNREADABLE_EVENTS_SQL = """
+SELECT 'customer' AS table_name, CASE WHEN c_custkey % 30 = 20 THEN 'X' ELSE 'U' END AS operation, CAST(c_custkey AS STRING) AS record_key,
+ CASE WHEN c_custkey % 30 = 0 THEN 'not json'
+      WHEN c_custkey % 30 = 10 THEN concat('{{"c_custkey":', CAST(c_custkey AS STRING), ',"c_acctbal":"abc"}}')
+      WHEN c_custkey % 30 = 5 THEN NULL WHEN c_custkey % 30 = 15 THEN '{{"c_name":"nobody"}}'
+      ELSE concat('{{"c_custkey":', CAST(c_custkey AS STRING), '}}') END AS data
+FROM {customer} WHERE c_custkey % 5 = 0 AND c_custkey % 30 <> 25
+"""
+
+
+def unreadable_events(spark: SparkSession, sf_dir: str, at: str) -> DataFrame:
+    sql = UNREADABLE_EVENTS_SQL
+    return spark.sql(sql, customer=table(spark, sf_dir, "customer")).withColumn("event_ts", F.lit(at).cast("timestamp_ntz"))

@@ -692,6 +692,11 @@ ORACLE["medallion_end_to_end"] = ORACLE["layer_listing"].replace("AS record_coun
     .replace(", count(*) FROM", ", count(*), 0, TRUE FROM")
 ORACLE["stream_quarantine"] = ORACLE["silver_quarantine"]
 ORACLE["stream_cdc_apply"] = S2
+ORACLE["stream_cdc_faults"] = f"""
+SELECT *, TIMESTAMP '{C.LAST_LOAD_TS}' AS event_ts, CAST(0 AS BIGINT) AS event_seq,
+       CASE WHEN CAST(record_key AS BIGINT) % 30 IN (0, 10) THEN 'unreadable_data' WHEN operation = 'X' THEN 'unknown_operation'
+            WHEN data IS NULL THEN 'no_data' ELSE 'no_key' END AS fault
+FROM ({FX.UNREADABLE_EVENTS_SQL.format(customer="customer").replace("STRING", "VARCHAR")})"""
 
 
 # ---------------------------------------------------------------- result types

@@ -667,16 +667,39 @@ def stream_quarantine(spark, sf_dir):
 CUSTOMER_ROW = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
 
-@query("stream_cdc_apply")
-def stream_cdc_apply(spark, sf_dir):
+def _customer_row():
     from pyspark.sql.types import _parse_datatype_string
-    base, keys, row = scratch_dir(spark, "stream_cdc"), ["c_custkey"], _parse_datatype_string(CUSTOMER_ROW)
+    return _parse_datatype_string(CUSTOMER_ROW)
+
+
+def _customer_event_state(spark, sf_dir, streams) -> str:
+    """A state over the first snapshot and two rounds of published events, each round applied by a stream of its own (the second restarts the first):
+    the changes twice, rivals of the deletes at their very time, late events that say again how every row of the first load was, and events
+    that cannot be read, with the latest time of all."""
+    base, keys, row = scratch_dir(spark, "stream_cdc"), ["c_custkey"], _customer_row()
     s1, s2 = FX.customer_snapshot_1(spark, sf_dir), FX.customer_snapshot_2(spark, sf_dir)
-    RUN.set_aside(s1, keys, "customer", base, C.BATCH_ID)
-    RUN.set_aside(s2, keys, "customer", base, C.NEXT_BATCH_ID)
+    _, f1 = RUN.set_aside(s1, keys, "customer", base, C.BATCH_ID)
+    _, f2 = RUN.set_aside(s2, keys, "customer", base, C.NEXT_BATCH_ID)
     CDC.init_state(s1, f"{base}/state")
-    # the changes, and behind them late events that say again how every row of the first load was
-    CDC.publish(H.change_events(s1, s2, keys, "customer", C.NEXT_LOAD_TS), f"{base}/events")
-    CDC.publish(H.change_events(s1.limit(0), s1, keys, "customer", C.LOAD_TS), f"{base}/events")
-    CDC.start_apply_stream(spark, f"{base}/events", f"{base}/state", f"{base}/_checkpoint", keys, row).awaitTermination()
-    return CDC.current(spark, f"{base}/state", keys, row)
+    changes = H.change_events(s1, s2, keys, "customer", C.NEXT_LOAD_TS, f1, f2)
+    rounds = [[changes, FX.unreadable_events(spark, sf_dir, C.LAST_LOAD_TS)],
+              [changes, changes.filter("operation = 'D'").withColumn("operation", F.lit("U")),
+               H.change_events(s1.limit(0), s1, keys, "customer", C.LOAD_TS)]]
+    for some in rounds:
+        for events in some:
+            CDC.publish(events, f"{base}/events")
+        for start in streams:
+            start(spark, f"{base}/events", f"{base}/state", keys, row, max_files=8).awaitTermination()
+    return f"{base}/state"
+
+
+@query("stream_cdc_apply")
+def stream_cdc_apply(spark, sf_dir):
+    path = _customer_event_state(spark, sf_dir, [CDC.start_apply_stream])
+    return CDC.current(spark, path, ["c_custkey"], _customer_row())
+
+
+@query("stream_cdc_faults")
+def stream_cdc_faults(spark, sf_dir):
+    path = _customer_event_state(spark, sf_dir, [CDC.start_fault_stream])
+    return CDC.stored_faults(spark, path).drop(CDC.LINE)
