@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame, functions as F
 from strata.llm.texts import text_batches
 
 #: Entries per generation of a worker's cache.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: UTF-8 bytes of text encoded at a time.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Kinds of characters: letters, numbers, white space, the rest; the last is for those without an assigned meaning in
 #: Python's tables, which may have a kind in the library's.
 LETTER, NUMBER, SPACE, OTHER, UNSETTLED = range(5)

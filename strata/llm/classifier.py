@@ -19,8 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from strata.llm import rolling
+from strata.llm.rows import quoted
 from strata.llm.texts import byte_batches
 
+#: UTF-8 bytes of text whose features are made at a time; a longer text is cut at words, and its sums are added up.
+PIECE_BYTES = 1 << 19
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -38,32 +42,38 @@ class Settings:
     seed: int = 7
 
 
-def features(flat: np.ndarray, offsets: np.ndarray, s: Settings):
-    """Yields (group, bucket, place): hashed features of words (0) or n-grams (1), and the byte where each begins."""
+def features(flat: np.ndarray, offsets: np.ndarray, s: Settings, previous: list | None = None):
+    """Yields (group, bucket, place): hashed features of words (0) or n-grams (1), and the byte where each begins. ``previous`` holds the hash of
+    the word before the first one when a text goes on, and gets that of the last word; it is empty at the beginning of a text."""
     shift = np.uint64(64 - s.buckets_log2)
     begins, ends = rolling.words(flat, offsets)
     if not len(begins):
         return
     hashes = rolling.ranges(rolling.prefix(rolling.TABLE[flat]), begins, ends)
+    begins, ends = begins.astype(np.int32), ends.astype(np.int32)
     yield 0, hashes >> shift, begins
     same_doc = np.searchsorted(offsets, begins, side="right")
     paired = np.flatnonzero(same_doc[1:] == same_doc[:-1]) + 1
-    pairs = np.where(hashes[paired] == hashes[paired - 1], np.uint64(1), hashes[paired] + hashes[paired - 1] * np.uint64(3))
-    yield 0, rolling.mix(pairs) >> shift, begins[paired]
+    left, right, where = hashes[paired - 1], hashes[paired], begins[paired]
+    if previous:
+        left, right, where = np.insert(left, 0, previous[0]), np.insert(right, 0, hashes[0]), np.insert(where, 0, begins[0])
+    if previous is not None:
+        previous[:] = [hashes[-1]]
+    pairs = np.where(right == left, np.uint64(1), right + left * np.uint64(3))
+    yield 0, rolling.mix(pairs) >> shift, where
     # the words' bytes once more, with one blank before each and one at the end
     sizes = ends - begins
-    to = np.cumsum(sizes + 1) - sizes
+    to = np.cumsum(sizes + 1, dtype=np.int32) - sizes
     line = np.full(int(sizes.sum()) + len(sizes) + 1, 0x20, np.uint8)
-    whence = np.zeros(len(line), np.int64)
     inside = np.ones(len(line), bool)
     inside[to - 1] = False
     inside[-1] = False
-    source = np.repeat(begins - to, sizes) + np.flatnonzero(inside)
-    line[inside] = flat[source]
-    whence[inside] = source
+    whence = np.cumsum(inside, dtype=np.int32)  # a byte of the words, counted over all words
+    whence += np.append(np.repeat(begins - to + np.arange(1, len(to) + 1, dtype=np.int32), sizes + 1), np.int32(0)) - 1
     whence[to - 1] = begins
-    blank = (~inside).astype(np.int32)
-    before = np.concatenate(([0], np.cumsum(blank)))
+    line[inside] = flat[whence[inside]]
+    before = np.zeros(len(line) + 1, np.int32)
+    np.cumsum(~inside, dtype=np.int32, out=before[1:])
     wide = line.astype(np.uint32)
     h = wide.copy()
     for n in range(2, max(s.grams) + 1):
@@ -75,7 +85,7 @@ def features(flat: np.ndarray, offsets: np.ndarray, s: Settings):
             bucket = (h[at] ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
             bucket ^= bucket >> np.uint32(15)
             bucket *= np.uint32(0xC2B2AE35)
-            yield 1, (bucket >> np.uint32(32 - s.buckets_log2)).astype(np.uint64), whence[at]
+            yield 1, bucket >> np.uint32(32 - s.buckets_log2), whence[at]
 
 
 def weighted(flat: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,23 +165,57 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", s: Set
     return np.frombuffer(model.shares, np.float32), model.constant
 
 
+def word_parts(flat: np.ndarray, most: int):
+    """(begin, end) of parts of a text of about ``most`` bytes, cut at white space; a longer word is not cut."""
+    begin, n = 0, len(flat)
+    while begin < n:
+        end = min(begin + most, n)
+        while end < n:
+            blank = np.flatnonzero(rolling.spaces(flat[end : end + most]))
+            if len(blank):
+                end += int(blank[0])
+                break
+            end = min(end + most, n)
+        yield begin, end
+        begin = end
+
+
+def logits(flat: np.ndarray, offsets: np.ndarray, shares: np.ndarray, s: Settings, most: int = PIECE_BYTES) -> np.ndarray:
+    """Mean share of the features of each text, half for either group; 0 without words."""
+    n = len(offsets) - 1
+    total, count = np.zeros((2, n)), np.zeros((2, n), np.int64)
+
+    def add(part, cuts_at, to, previous=None):
+        for group, bucket, place in features(part, cuts_at, s, previous):
+            cuts = np.searchsorted(place, cuts_at)
+            sums = np.concatenate(([0.0], np.cumsum(shares[bucket], dtype=np.float64)))
+            total[group, to] += sums[cuts[1:]] - sums[cuts[:-1]]
+            count[group, to] += np.diff(cuts)
+
+    if n == 1 and len(flat) > most:
+        previous: list = []
+        for a, b in word_parts(flat, most):
+            add(flat[a:b], np.array([0, b - a]), slice(0, 1), previous)
+    else:
+        add(flat, offsets, slice(0, n))
+    return 0.5 * (total / np.maximum(count, 1)).sum(axis=0)
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), text_col: str = "text", score_col: str = "score") -> DataFrame:
     """Adds ``score_col``: the probability of class 1 of the whole text. A text without words (null, empty, blank) has the
-    score of the constant alone. Other columns are kept, an earlier ``score_col`` is replaced. No shuffle."""
+    score of the constant alone. Other columns are kept, whatever their names; an earlier ``score_col`` is replaced. No shuffle; each text goes to
+    the worker once. A task holds a batch of rows, and the features of about ``PIECE_BYTES`` of text or of one longer word."""
     keep = [c for c in docs.columns if c != score_col]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text"))
+    numbered = [F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate(keep)]
+    text = f"c{keep.index(text_col)}" if text_col in keep else "t"
+    rows = docs.select(*numbered, *([] if text_col in keep else [F.col(quoted(text_col)).alias("t")]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         shares, constant = shared.value
-        for part, flat, offsets in byte_batches(batches, "__text"):
-            total, count = np.zeros((2, len(offsets) - 1)), np.zeros((2, len(offsets) - 1), np.int64)
-            for group, bucket, place in features(flat, offsets, s):
-                cuts = np.searchsorted(place, offsets)
-                sums = np.concatenate(([0.0], np.cumsum(shares[bucket], dtype=np.float64)))
-                total[group] += sums[cuts[1:]] - sums[cuts[:-1]]
-                count[group] += np.diff(cuts)
-            value = 1 / (1 + np.exp(-(0.5 * (total / np.maximum(count, 1)).sum(axis=0) + constant)))
-            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(value)], names=[*keep, score_col])
-
-    return rows.mapInArrow(run, rows.drop("__text").schema.add(score_col, "double"))
+        for part, flat, offsets in byte_batches(batches, text, PIECE_BYTES):
+            value = 1 / (1 + np.exp(-(logits(flat, offsets, shares, s) + constant)))
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(value)], names=[*(f"c{k}" for k in range(len(keep))), "s"])
+
+    scored = rows.mapInArrow(run, rows.select(*[f"c{k}" for k in range(len(keep))]).schema.add("s", "double"))
+    return scored.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(keep)], F.col("s").alias(score_col))

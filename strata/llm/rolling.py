@@ -13,7 +13,7 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1); kept for the next call up to 8M entries."""
+    """base**0 .. base**(n-1); kept for the next call up to 2M entries."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         size = 1 << max(12, int(n - 1).bit_length())
@@ -22,7 +22,7 @@ def powers(base: int, n: int) -> np.ndarray:
         while done < size:
             have[done : 2 * done] = have[:done] * np.uint64(step)
             done, step = 2 * done, step * step % (1 << 64)
-        if size <= 1 << 23:
+        if size <= 1 << 21:
             _powers[base] = have
     return have[:n]
 

@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from strata.llm import bpe, store
 from strata.llm.texts import text_batches
 
+#: UTF-8 bytes of text encoded at a time.
+BATCH_BYTES = 4 << 20
+
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int, shards: int | None = None) -> DataFrame:
     """Encodes every text with the tokenizers library (distinct words once per batch), appends ``end_id`` and writes the
@@ -36,7 +39,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int, shards: int
         wide = len(encoder.merges.bytes_of) > 1 << 16 or end_id >= 1 << 16
         ids, sizes, names = [], [0], []
         end = np.array([end_id], "<u4")
-        for part, texts in text_batches(batches, "text", bpe.BATCH_BYTES):
+        for part, texts in text_batches(batches, "text", BATCH_BYTES):
             for x in encoder.encode_batch(texts):
                 own = np.append(np.frombuffer(x, "<u4"), end)
                 ids.append(own.astype("<u4" if wide else "<u2").tobytes())
