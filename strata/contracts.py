@@ -81,6 +81,9 @@ ORDERS_TYPED = TypedContract("orders", (
     TypedColumn("o_orderpriority", "string", "5-LOW"),
 ))
 
+# Longest name that the customer tables hold.
+NAME_CHARS = 45
+
 # Fixed run parameters used by registered queries so that results are
 # reproducible (never now() or uuid() inside a query).
 BATCH_ID = "batch_001"

@@ -103,3 +103,23 @@ FROM {customer} WHERE c_custkey % 5 = 0 AND c_custkey % 30 <> 25
 def unreadable_events(spark: SparkSession, sf_dir: str, at: str) -> DataFrame:
     sql = UNREADABLE_EVENTS_SQL
     return spark.sql(sql, customer=table(spark, sf_dir, "customer")).withColumn("event_ts", F.lit(at).cast("timestamp_ntz"))
+
+
+# What rules over a whole batch look at: customers that come twice, customers stored by an earlier batch, and the parents of ``address_id``, of
+# which one is missing and some are held twice.
+CUSTOMER_BATCH_SQL = DIRTY_CUSTOMER_SQL + " UNION ALL " + DIRTY_CUSTOMER_SQL + " WHERE c_custkey % 13 = 0"
+STORED_CUSTOMERS_SQL = "SELECT CAST(c_custkey AS STRING) AS customer_id FROM {customer} WHERE c_custkey % 17 = 0"
+ADDRESS_PARENTS_SQL = ("SELECT n_nationkey AS address_id FROM {nation} "
+                       "UNION ALL SELECT n_nationkey FROM {nation} WHERE n_regionkey = 2")
+
+
+def customer_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(CUSTOMER_BATCH_SQL, customer=table(spark, sf_dir, "customer"))
+
+
+def stored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(STORED_CUSTOMERS_SQL, customer=table(spark, sf_dir, "customer"))
+
+
+def address_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(ADDRESS_PARENTS_SQL, nation=table(spark, sf_dir, "nation"))

@@ -342,8 +342,6 @@ FROM dlq_chk WHERE e IS NULL""",
 SELECT {uuid_sql("'dlq'", 'source_table', 'batch_id', 'raw_record')} AS error_id, *, 'PENDING' AS remediation_status,
        CAST(NULL AS VARCHAR) AS remediation_notes, {TS} AS created_at, 0 AS retry_count
 FROM dlq_bad""",
-    "dlq_classify": f"""WITH {DLQ_CTES}
-SELECT 'SCHEMA_VALIDATION' AS error_type, failed_field, count(*) AS failures FROM dlq_bad GROUP BY failed_field""",
     "dlq_extract": f"WITH {DLQ_CTES} SELECT error_message, failed_field, expected_type, actual_value FROM dlq_bad",
     "dlq_summary": f"""WITH {DLQ_CTES}
 SELECT 1 AS tables_processed, count(*) AS records_processed, count_if(e IS NULL) AS records_success,
@@ -687,6 +685,27 @@ SELECT error_category, failed_field, severity, count(*) AS errors FROM quarantin
 GROUP BY error_category, failed_field, severity""")
 
 
+def _duck(sql: str, **tables) -> str:
+    return sql.format(**tables).replace("STRING", "VARCHAR")
+
+
+# row rules, then the set rules in their order, each over the rows that are sound so far
+ORACLE["dlq_classify"] = f"""
+WITH batch AS ({_duck(FX.CUSTOMER_BATCH_SQL, customer="customer")}), stored AS ({_duck(FX.STORED_CUSTOMERS_SQL, customer="customer")}),
+parents AS (SELECT CAST(address_id AS VARCHAR) AS p, count(*) AS n FROM ({_duck(FX.ADDRESS_PARENTS_SQL, nation="nation")}) GROUP BY ALL),
+one AS (SELECT *, CASE WHEN customer_id IS NULL THEN 'SCHEMA_VALIDATION|customer_id must be integer, got <class ''NoneType''>'
+    WHEN regexp_matches(customer_id, '^[+-]?[0-9.]+$') AND contains(customer_id, '.') THEN 'SCHEMA_VALIDATION|customer_id must be integer, got <class ''float''>'
+    WHEN email IS NOT NULL AND NOT contains(email, '@') THEN 'SCHEMA_VALIDATION|Invalid email format: ' || email
+    WHEN length(first_name) > {C.NAME_CHARS} THEN 'CONSTRAINT_VIOLATION|value too long for first_name, at most {C.NAME_CHARS}'
+    WHEN TRY_CAST(store_id AS DOUBLE) NOT BETWEEN 1 AND 2 THEN 'CONSTRAINT_VIOLATION|store_id is out of range: ' || store_id END AS e FROM batch),
+two AS (SELECT * REPLACE (CASE WHEN e IS NOT NULL THEN e WHEN customer_id IN (SELECT customer_id FROM stored) THEN 'CONSTRAINT_VIOLATION|key is stored already: customer_id=' || customer_id
+    WHEN row_number() OVER (PARTITION BY customer_id, e IS NULL) > 1 THEN 'CONSTRAINT_VIOLATION|duplicate key: customer_id=' || customer_id END AS e) FROM one),
+three AS (SELECT coalesce(e, CASE WHEN address_id IS NULL THEN NULL WHEN p.n IS NULL THEN 'CONSTRAINT_VIOLATION|no parent for address_id=' || address_id
+    WHEN p.n > 1 THEN 'UNKNOWN_ERROR|several parents for address_id=' || address_id END) AS e FROM two LEFT JOIN parents p ON p.p = address_id)
+SELECT split_part(e, '|', 1) AS error_type, substr(e, strpos(e, '|') + 1) AS error_message,
+    CASE WHEN contains(e, 'customer_id') THEN 'customer_id' WHEN contains(e, 'email') THEN 'email' WHEN contains(e, 'first_name') THEN 'first_name'
+    WHEN contains(e, 'last_name') THEN 'last_name' END AS failed_field, count(*) AS failures FROM three WHERE e IS NOT NULL GROUP BY ALL"""
+
 ORACLE["ingest_single"] = ORACLE["bronze_audit_sqlserver"]
 ORACLE["medallion_end_to_end"] = ORACLE["layer_listing"].replace("AS record_count", "AS row_count, CAST(0 AS BIGINT) AS checks_failed, TRUE AS run_valid") \
     .replace(", count(*) FROM", ", count(*), 0, TRUE FROM")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..functions import rules as R
 from ..functions.hashing import md5_record_hash, sha256_record_hash, uuid_from_md5
-from ..operators import bronze as B, catalog as CAT, dlq as DLQ, gold as G, history as H, quality as Q
+from ..operators import bronze as B, catalog as CAT, constraints as CON, dlq as DLQ, gold as G, history as H, quality as Q
 from ..operators import quarantine as QR, silver as S
 from ..streaming import bronze_stream as STREAM, cdc_stream as CDC
 from . import fixtures as FX
@@ -179,12 +179,20 @@ def dlq_record(spark, sf_dir):
     return DLQ.dlq_model_rows(dlq_bad(spark, sf_dir), C.LOAD_TS)
 
 
+def _constrained(spark, sf_dir):
+    """A landed customer batch, checked by the row contract and by rules over the whole batch, stored bronze and the parent table."""
+    landed = CON.land(FX.customer_batch(spark, sf_dir), scratch_dir(spark, "landed") + "/customer", C.BATCH_ID)
+    rules = [CON.MaxLength("first_name", C.NAME_CHARS), CON.Between("store_id", 1, 2),
+             CON.Unique(["customer_id"], FX.stored_customers(spark, sf_dir)),
+             CON.Parent("address_id", FX.address_parents(spark, sf_dir), "address_id")]
+    checked = CON.apply(DLQ.checked(landed), rules)
+    return checked.drop(CON.ROW_ID)
+
+
 @query("dlq_classify")
 def dlq_classify(spark, sf_dir):
-    # every contract rule raises a ValueError-class failure
-    bad = dlq_bad(spark, sf_dir).withColumn("exception_class", F.lit("ValueError"))
-    return (bad.groupBy(DLQ.classify(F.col("exception_class")).alias("error_type"), "failed_field")
-            .agg(F.count(F.lit(1)).alias("failures")))
+    bad = DLQ.dlq_rows(_constrained(spark, sf_dir), "customer", C.BATCH_ID)
+    return bad.groupBy("error_type", "failed_field", "error_message").agg(F.count(F.lit(1)).alias("failures"))
 
 
 @query("dlq_extract")
