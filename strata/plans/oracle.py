@@ -680,6 +680,22 @@ SELECT error_id, br_source_key, source_table, target_table, batch_id,
        err2.message AS error_message
 FROM rv"""
 
+_REPLAYED = f"""{CUSTOMER_CTES},
+rq AS (SELECT error_id, br_source_key, batch_id, error_category, failed_field, {_replay_extract} FROM quarantine),
+rf AS (SELECT * REPLACE (regexp_replace(customer_id, '^X', '') AS customer_id, regexp_replace(store_id, '\\.0$', '') AS store_id,
+                         CASE WHEN active = 'one' THEN '1' ELSE active END AS active),
+              concat_ws(', ', CASE WHEN starts_with(customer_id, 'X') THEN 'customer_id' END, CASE WHEN store_id LIKE '%.0' THEN 'store_id' END,
+                        CASE WHEN active = 'one' THEN 'active' END) AS repaired FROM rq),
+rv AS (SELECT *, {case_of(CUSTOMER_RULES)} AS err2, {', '.join(f'{v} AS v_{f}' for f, _, v in CUSTOMER_RULES)} FROM rf)"""
+ORACLE["replay_promoted"] = f"""WITH {_REPLAYED}
+SELECT {', '.join(f'v_{f} AS {f}' for f in FIELDS)}, {uuid_sql("'sl_customer'", "'batch_001.replay_1'", 'br_source_key')} AS sl_customer_key,
+       br_source_key, {TS2} AS sl_load_time, 'batch_001.replay_1' AS sl_batch_id FROM rv WHERE err2 IS NULL"""
+ORACLE["replay_quarantine"] = f"""WITH {_REPLAYED}
+SELECT error_id, br_source_key, batch_id, error_category, failed_field, CASE WHEN err2 IS NULL THEN 'RESOLVED' ELSE 'PENDING' END AS remediation_status,
+       1 AS retry_count, {TS2} AS last_retry_at, CASE WHEN err2 IS NULL THEN 'replay replay_1: repaired ' || repaired
+       ELSE 'replay replay_1: still ' || err2.category || ' in ' || err2.failed_field END AS remediation_notes,
+       CASE WHEN err2 IS NULL THEN {TS2} END AS resolved_at, CASE WHEN err2 IS NULL THEN 'RULE_UPDATE' END AS resolution_method FROM rv"""
+
 ORACLE["quarantine_report"] = with_customer("""
 SELECT error_category, failed_field, severity, count(*) AS errors FROM quarantine
 GROUP BY error_category, failed_field, severity""")

@@ -19,6 +19,7 @@ from ..operators import bronze as B, catalog as CAT, constraints as CON, dlq as
 from ..operators import quarantine as QR, silver as S
 from ..streaming import bronze_stream as STREAM, cdc_stream as CDC
 from . import fixtures as FX
+from . import replay as REPLAY
 from . import runs as RUN
 from ..sources import sinks, tables as T
 from ..session import scratch_dir
@@ -573,6 +574,31 @@ def quarantine_replay(spark, sf_dir):
     return updated
 
 
+REPLAY_ID = "replay_1"
+
+
+def _replayed(spark, sf_dir):
+    """A stored medallion whose quarantine batch was replayed, and replayed again under the same id."""
+    lake = run_medallion(spark, sf_dir, scratch_dir(spark, "lake"))["paths"]["sl_customer"].rsplit("/silver/", 1)[0]
+    for _ in range(2):
+        REPLAY.replay_batch(spark, lake, C.BATCH_ID, REPLAY_ID, list(C.CUSTOMER_FIELDS), QR.default_fixes(), R.customer_rules(), C.NEXT_LOAD_TS)
+    return lake
+
+
+@query("replay_promoted")
+def replay_promoted(spark, sf_dir):
+    path = _replayed(spark, sf_dir) + "/silver/sl_customer"
+    return spark.read.option("basePath", path).parquet(sinks.batch_path(path, "sl_batch_id", REPLAY.silver_batch(C.BATCH_ID, REPLAY_ID)))
+
+
+@query("replay_quarantine")
+def replay_quarantine(spark, sf_dir):
+    path = f"{_replayed(spark, sf_dir)}/{REPLAY.ERRORS}"
+    return spark.read.option("basePath", path).parquet(sinks.batch_path(path, "batch_id", C.BATCH_ID)).select(
+        "error_id", "br_source_key", "batch_id", "error_category", "failed_field", "remediation_status", "retry_count", "last_retry_at", "remediation_notes",
+        "resolved_at", "resolution_method")
+
+
 @query("quarantine_report")
 def quarantine_report(spark, sf_dir):
     return QR.report(_flow(spark, sf_dir).quarantine())
