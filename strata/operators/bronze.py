@@ -18,12 +18,14 @@ def _ts(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp_ntz")
 
 
-def stringify(df: DataFrame) -> DataFrame:
-    """Lenient typing: every column becomes text; NULL stays NULL."""
+def stringify(df: DataFrame, carry=()) -> DataFrame:
+    """Lenient typing: every column becomes text; NULL stays NULL. Columns of ``carry`` stay as they are."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        if isinstance(f.dataType, _COMPLEX):
+        if f.name in carry:
+            cols.append(c)
+        elif isinstance(f.dataType, _COMPLEX):
             cols.append(F.to_json(c).alias(f.name))
         elif isinstance(f.dataType, T.BinaryType):
             cols.append(F.base64(c).alias(f.name))
@@ -32,10 +34,11 @@ def stringify(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def audit_lenient(df: DataFrame, table: str, batch_id: str, load_ts, key_cols=()) -> DataFrame:
+def audit_lenient(df: DataFrame, table: str, batch_id: str, load_ts, key_cols=(), carry=()) -> DataFrame:
     """Lenient bronze profile: br_{t}_key, br_load_time, br_source_file,
-    br_record_hash (SHA-256 of the non-audit fields), br_is_current, br_batch_id."""
-    source_cols = [c for c in df.columns if not c.startswith("br_")]
+    br_record_hash (SHA-256 of the non-audit fields), br_is_current, br_batch_id. Columns of ``carry`` are no fields of the
+    record: they are handed on behind the others."""
+    source_cols = [c for c in df.columns if not c.startswith("br_") and c not in carry]
     with_hash = df.withColumn("br_record_hash", sha256_record_hash(source_cols))
     key = uuid_from_md5(table, batch_id, *[F.col(k) for k in key_cols], F.col("br_record_hash"))
     return with_hash.select(
@@ -46,6 +49,7 @@ def audit_lenient(df: DataFrame, table: str, batch_id: str, load_ts, key_cols=()
         F.col("br_record_hash"),
         F.lit(True).alias("br_is_current"),
         F.lit(batch_id).alias("br_batch_id"),
+        *carry,
     )
 
 

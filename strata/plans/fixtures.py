@@ -47,6 +47,12 @@ def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(DIRTY_CUSTOMER_SQL, customer=table(spark, sf_dir, "customer"))
 
 
+def dirty_rows(customers: DataFrame, carry: str) -> DataFrame:
+    """The same view of given customer rows, with one more column of theirs."""
+    sql = DIRTY_CUSTOMER_SQL.replace("\nFROM {customer}", f", {carry}\nFROM {{customer}}")
+    return customers.sparkSession.sql(sql, customer=customers)
+
+
 # Two snapshots of a keyed table, for history operators. Snapshot 1 is the
 # state at the first load: keys with k % 10 = 9 had not arrived yet.
 # Snapshot 2 is the next full extract: keys with k % 10 = 7 were deleted at

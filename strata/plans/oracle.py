@@ -726,6 +726,7 @@ ORACLE["ingest_single"] = ORACLE["bronze_audit_sqlserver"]
 ORACLE["medallion_end_to_end"] = ORACLE["layer_listing"].replace("AS record_count", "AS row_count, CAST(0 AS BIGINT) AS checks_failed, TRUE AS run_valid") \
     .replace(", count(*) FROM", ", count(*), 0, TRUE FROM")
 ORACLE["stream_quarantine"] = ORACLE["silver_quarantine"]
+ORACLE["stream_bronze"] = with_customer("SELECT * FROM bronze")
 ORACLE["stream_cdc_apply"] = S2
 ORACLE["stream_cdc_faults"] = f"""
 SELECT *, TIMESTAMP '{C.LAST_LOAD_TS}' AS event_ts, CAST(0 AS BIGINT) AS event_seq,

@@ -689,13 +689,25 @@ def medallion_end_to_end(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
+def _streamed(spark, sf_dir) -> str:
+    """Customers as landed files, streamed in; then every file is delivered again under another name, and the stream goes on."""
+    base = scratch_dir(spark, "stream_quarantine")
+    table(spark, sf_dir, "customer").write.parquet(f"{base}/landing")
+    for _ in range(2):
+        stream = STREAM.customer_bronze_stream(spark, sf_dir, lambda raw: FX.dirty_rows(raw, STREAM.PLACE), source_dir=f"{base}/landing", glob="*.parquet")
+        STREAM.start_quarantine_stream(stream, f"{base}/lake", f"{base}/_checkpoint", C.BATCH_ID, C.LOAD_TS).awaitTermination()
+        sinks.copy_files(spark, f"{base}/landing", "again-")
+    return f"{base}/lake"
+
+
 @query("stream_quarantine")
 def stream_quarantine(spark, sf_dir):
-    base = scratch_dir(spark, "stream_quarantine")
-    stream = STREAM.customer_bronze_stream(spark, sf_dir, lambda raw: spark.sql(FX.DIRTY_CUSTOMER_SQL, customer=raw))
-    q = STREAM.start_quarantine_stream(stream, f"{base}/lake", f"{base}/_checkpoint", C.BATCH_ID, C.LOAD_TS)
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/lake/silver/sl_transformation_errors").drop("stream_epoch")
+    return spark.read.parquet(f"{_streamed(spark, sf_dir)}/silver/sl_transformation_errors").drop("stream_epoch")
+
+
+@query("stream_bronze")
+def stream_bronze(spark, sf_dir):
+    return spark.read.parquet(f"{_streamed(spark, sf_dir)}/bronze/br_customer").drop("stream_epoch")
 
 
 CUSTOMER_ROW = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"

@@ -84,3 +84,17 @@ def write_catalog_table(df: DataFrame, target_table: str, target_schema: str = "
 def write_json(df: DataFrame, path: str) -> None:
     """Metadata-sized frames (run audits, discovered tables) as JSON lines."""
     df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def copy_files(spark, folder: str, prefix: str) -> int:
+    """Copies every data file of a folder beside itself under ``prefix`` + name, as a sender that delivers twice would. Returns the files copied."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = hadoop.fs.Path(folder)
+    fs, n = path.getFileSystem(conf), 0
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isFile() and name[0] not in "_." and not name.startswith(prefix):
+            hadoop.fs.FileUtil.copy(fs, st.getPath(), fs, hadoop.fs.Path(path, prefix + name), False, conf)
+            n += 1
+    return n
