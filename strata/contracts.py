@@ -81,6 +81,9 @@ ORDERS_TYPED = TypedContract("orders", (
     TypedColumn("o_orderpriority", "string", "5-LOW"),
 ))
 
+# Where the registry's tables come from, as a connection text with a secret in it.
+CONNECTION_TEXT = "Driver=parquet;Server=local;UID=reader;PWD=s3cret;"
+
 # Longest name that the customer tables hold.
 NAME_CHARS = 45
 

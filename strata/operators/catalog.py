@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..contracts import FOREIGN_KEYS, PRIMARY_KEYS
 from ..sources.tables import local_frame, scan_table
@@ -189,6 +189,34 @@ def registry_rows(spark: SparkSession, frames: dict, as_of, source_system: str =
                                                             F.col("columns_json"))))
 
 
+def storage(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
+    """(table_name, n_files, size_bytes, largest_file, newest_file) of stored tables, from Spark's hidden ``_metadata`` column: executors name the file
+    that each row comes from, no data column is read, and rows of one file combine before the shuffle. Files without rows don't
+    count."""
+    parts = [scan_table(spark, sf_dir, t).select(F.lit(t).alias("table_name"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
+                                                 F.col("_metadata.file_modification_time").alias("at")) for t in tables]
+    files = reduce(DataFrame.unionByName, parts).groupBy("table_name", "path").agg(F.max("size").alias("size"), F.max("at").alias("at"))
+    found = files.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("size_bytes"), F.max("size").alias("largest_file"),
+                                            F.max("at").alias("newest_file"))
+    return found
+
+
+# Names of connection settings that hold secrets.
+SECRET_SETTINGS = ("pwd", "password", "secret", "token")
+
+
+def masked(connection: str) -> Column:
+    """A connection text with the values of its secret settings starred out."""
+    return F.regexp_replace(F.lit(connection), r"(?i)\b(" + "|".join(SECRET_SETTINGS) + r")\s*=\s*[^;]*", "$1=***")
+
+
+def with_storage(registry: DataFrame, stored: DataFrame, connection: Column) -> DataFrame:
+    """Registry rows with the size and files of their tables (0 for tables without rows) and the masked connection text. Both sides are
+    metadata-sized."""
+    return registry.join(stored.select("table_name", "n_files", "size_bytes"), "table_name", "left").na.fill(0, ["n_files", "size_bytes"]).withColumn(
+        "connection_text", connection)
+
+
 def upsert_registry(old: DataFrame, new: DataFrame, now) -> DataFrame:
     """Full outer join on table_name: new values win; created_at is kept
     from the old row; updated_at moves only when the content hash changed."""

@@ -7,6 +7,8 @@ CTE chains (bronze -> silver -> gold) are spelled once.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from .. import contracts as C
 from . import fixtures as FX
 from .fixtures import DIRTY_CUSTOMER_SQL
@@ -497,6 +499,39 @@ _pairs = [(ct, cc, pt, pc) for g in FK_GROUPS for ct, cc in g for pt, pc in g if
 ORACLE["fk_candidates"] = ("SELECT *, parent_unique AND orphan_rows = 0 AS is_foreign_key FROM ("
                            + " UNION ALL ".join(_fk_pair_sql(*p) for p in _pairs) + ") WHERE parent_unique")
 
+_CLASSES = {"BIGINT": "whole", "INTEGER": "whole", "SMALLINT": "whole", "VARCHAR": "text", "DATE": "day", "TIMESTAMP": "time", "BOOLEAN": "truth"}
+# columns of the driver tables that can be keys (fractions and arrays left out)
+KEYABLE = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"],
+           "customer": [c for c in CUSTOMER_COLS if c != "c_acctbal"], "supplier": [c for c in SUPPLIER_COLS if c != "s_acctbal"],
+           "part": [c for c in PART_COLS if c != "p_retailprice"], "orders": [c for c in ORDERS_COLS if c != "o_totalprice"],
+           "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"],
+           "events": [c for c in EVENTS_COLS if c != "value"], "documents": ["doc_id", "text", "lang", "source", "n_chars"], "embeddings": ["vec_id", "label"],
+           "pages": ["page_id", "url", "html"], "benchmark": ["item_id", "text"], "labels": ["doc_id", "quality", "toxic"],
+           "conversations": ["conv_id", "turn", "role", "text"]}
+_CELLS = " UNION ALL ".join(
+    f"SELECT {q(t)} AS t, {q(c)} AS c, CASE typeof({c}) " + " ".join(f"WHEN '{k}' THEN '{v}:'" for k, v in _CLASSES.items()) + f" END || CAST({c} AS VARCHAR) AS v FROM {t} WHERE {c} IS NOT NULL"
+    for t, cs in KEYABLE.items() for c in cs)
+_HELD = f"""cells AS ({_CELLS}), held AS (SELECT t, c, v, count(*) AS n FROM cells GROUP BY ALL),
+cols AS (SELECT t, c, count(*) AS n_values, max(n) AS most FROM held GROUP BY ALL)"""
+ORACLE["inclusion_dependencies"] = f"""WITH {_HELD},
+met AS (SELECT a.t, a.c, b.t AS pt, b.c AS pc, count(*) AS n FROM held a JOIN held b ON a.v = b.v AND (a.t <> b.t OR a.c <> b.c) GROUP BY ALL)
+SELECT m.t AS child_table, m.c AS child_column, m.pt AS parent_table, m.pc AS parent_column, k.n_values AS child_values, p.n_values AS parent_values,
+       p.most = 1 AS parent_unique
+FROM met m JOIN cols k ON k.t = m.t AND k.c = m.c JOIN cols p ON p.t = m.pt AND p.c = m.pc WHERE m.n = k.n_values"""
+
+
+def _unique_sql(table: str, cols) -> str:
+    return (f"SELECT {q(table)} AS table_name, {q(','.join(cols))} AS key_columns, CAST({len(cols)} AS INTEGER) AS n_columns, "
+            f"(SELECT count(*) FROM {table}) AS rows, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(cols)} FROM {table} "
+            f"WHERE {' AND '.join(c + ' IS NOT NULL' for c in cols)})) AS different")
+
+
+_TRIED = " UNION ALL ".join(_unique_sql(t, some) for t, cs in KEYABLE.items() for n in (1, 2, 3) for some in combinations(cs, n))
+# of two keys the one that holds the other is none of the smallest; three columns only in tables without a smaller key
+ORACLE["key_candidates"] = f"""WITH tried AS ({_TRIED}), found AS (SELECT * FROM tried WHERE rows > 0 AND rows = different)
+SELECT table_name, key_columns, n_columns FROM found f WHERE NOT EXISTS (SELECT 1 FROM found g WHERE g.table_name = f.table_name
+    AND g.n_columns < f.n_columns AND (f.n_columns > 2 OR list_has_all(string_split(f.key_columns, ','), string_split(g.key_columns, ','))))"""
+
 S1 = "SELECT * FROM customer WHERE c_custkey % 10 <> 9"
 S2 = ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 10 = 3 THEN round(c_acctbal + 100.0, 2) "
       "ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 10 <> 7")
@@ -726,6 +761,20 @@ ORACLE["ingest_single"] = ORACLE["bronze_audit_sqlserver"]
 ORACLE["medallion_end_to_end"] = ORACLE["layer_listing"].replace("AS record_count", "AS row_count, CAST(0 AS BIGINT) AS checks_failed, TRUE AS run_valid") \
     .replace(", count(*) FROM", ", count(*), 0, TRUE FROM")
 ORACLE["stream_quarantine"] = ORACLE["silver_quarantine"]
+_NAMES = ("customer", "orders", "part")
+_LOG = "SELECT {run} AS run_id, {batch} || ':dbo.' || {t} AS audit_id, 'parquet' AS source_system, 'dbo' AS source_schema, {t} AS source_table, 'bronze.dbo_' || {t} AS target_table, " \
+       "{rows} AS rows_processed, {status} AS status, {error} AS error_message, {batch} AS batch_id, {day} AS run_date, {at} AS ingestion_started_at"
+
+
+def _logged(run: int, place: int, name: str, status: str, error: str = "FALSE") -> str:
+    """A table begins two minutes after the one before: each asks the clock at its begin and its end."""
+    at = f"({TS} + INTERVAL {run - 1} DAY + INTERVAL {2 * place} MINUTE)"
+    rows = f"(SELECT count(*) FROM {name})" if status == "success" else "CAST(NULL AS BIGINT)"
+    return _LOG.format(run=q(f"run_{run}"), batch=BATCH, t=q(name), rows=rows, status=q(status), error=error, day=f"CAST({at} AS DATE)", at=at)
+
+
+ORACLE["run_log"] = " UNION ALL ".join([_logged(1, 0, "customer", "success"), _logged(1, 1, "orders", "broken_off"),
+                                        *[_logged(2, k, t, "success") for k, t in enumerate(_NAMES)], _logged(2, 3, "nowhere", "failed", "TRUE")])
 ORACLE["stream_bronze"] = with_customer("SELECT * FROM bronze")
 ORACLE["stream_cdc_apply"] = S2
 ORACLE["stream_cdc_faults"] = f"""

@@ -9,18 +9,21 @@ scalar, table names) are ever collected to the driver.
 
 from __future__ import annotations
 
+import datetime as dt
+import itertools
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions import rules as R
 from ..functions.hashing import md5_record_hash, sha256_record_hash, uuid_from_md5
-from ..operators import bronze as B, catalog as CAT, constraints as CON, dlq as DLQ, gold as G, history as H, quality as Q
+from ..operators import bronze as B, catalog as CAT, constraints as CON, dlq as DLQ, gold as G, history as H, keys as KEYS, quality as Q
 from ..operators import quarantine as QR, silver as S
 from ..streaming import bronze_stream as STREAM, cdc_stream as CDC
 from . import fixtures as FX
 from . import replay as REPLAY
-from . import runs as RUN
+from . import run_log as LOG, runs as RUN
 from ..sources import sinks, tables as T
 from ..session import scratch_dir
 from .fixtures import dirty_customers, table
@@ -406,12 +409,34 @@ def select_tables(spark, sf_dir):
     return CAT.include_exclude(names, SELECT_INCLUDE, SELECT_EXCLUDE).select("table_name")
 
 
-FK_TABLES = RELATIONAL + ("documents", "labels")
+def _frames(spark, sf_dir):
+    return {t: table(spark, sf_dir, t) for t in C.DRIVER_TABLES}
 
 
 @query("fk_candidates")
 def fk_candidates(spark, sf_dir):
-    return CAT.fk_candidates(spark, sf_dir, FK_TABLES)
+    return CAT.fk_candidates(spark, sf_dir, C.DRIVER_TABLES)
+
+
+@query("inclusion_dependencies")
+def inclusion_dependencies(spark, sf_dir):
+    return KEYS.inclusions(_frames(spark, sf_dir), scratch_dir(spark, "profile"))
+
+
+@query("key_candidates")
+def key_candidates(spark, sf_dir):
+    return KEYS.keys(_frames(spark, sf_dir), scratch_dir(spark, "profile"))
+
+
+@query("table_storage")
+def table_storage(spark, sf_dir):
+    return CAT.storage(spark, sf_dir, C.DRIVER_TABLES)
+
+
+@query("table_registry_storage")
+def table_registry_storage(spark, sf_dir):
+    rows = CAT.registry_rows(spark, {t: table(spark, sf_dir, t) for t in C.DRIVER_TABLES}, C.LOAD_TS)
+    return CAT.with_storage(rows, CAT.storage(spark, sf_dir, C.DRIVER_TABLES), CAT.masked(C.CONNECTION_TEXT))
 
 
 @query("table_registry_upsert")
@@ -640,11 +665,37 @@ def run_audit(spark, sf_dir):
                                      F.lit(audit.success()).alias("run_success"))
 
 
+class _Killed(BaseException):
+    """A run that ends without a word, as when its process is killed."""
+
+
+@query("run_log")
+def run_log(spark, sf_dir):
+    # two runs of one batch: the first dies while it reads orders and never comes to part, the second finds no table of that name either
+    lake, read = scratch_dir(spark, "run_log"), RUN.parquet_reader(spark, sf_dir)
+    begin = dt.datetime.fromisoformat(C.LOAD_TS)
+    for n, names in enumerate((INGEST_SPECS, (*INGEST_SPECS, "dbo.nowhere"))):
+        minutes = itertools.count()
+        audit = RUN.RunAudit("parquet", C.BATCH_ID, log=LOG.RunLog(spark, f"{lake}/log", f"run_{n + 1}"),
+                             clock=lambda n=n, minutes=minutes: begin + dt.timedelta(days=n, minutes=next(minutes)))
+
+        def reader(spec, n=n):
+            if n == 0 and spec.source_table == "orders":
+                raise _Killed
+            return read(spec)
+        try:
+            RUN.ingest_many(spark, reader, [RUN.TableSpec.parse(x) for x in names], lake, C.LOAD_TS, audit)
+        except _Killed:
+            pass
+    states = LOG.states(LOG.events(spark, f"{lake}/log"), begin + dt.timedelta(days=1, hours=1))
+    return states.select("run_id", *AUDIT_OUTCOME, "run_date", "ingestion_started_at").withColumn("error_message", F.col("error_message").isNotNull())
+
+
 @query("run_audit_json")
 def run_audit_json(spark, sf_dir):
     lake, audit = _ingest(spark, sf_dir)
     sinks.write_json(audit.frame(spark), f"{lake}/metadata/run_audit")
-    return spark.read.schema(RUN.AUDIT_SCHEMA).json(f"{lake}/metadata/run_audit").select(*AUDIT_OUTCOME)
+    return spark.read.schema(LOG.AUDIT_SCHEMA).json(f"{lake}/metadata/run_audit").select(*AUDIT_OUTCOME)
 
 
 @query("ingest_all")

@@ -22,13 +22,7 @@ from .. import contracts as C
 from ..operators import bronze as B, catalog as CAT
 from ..sources import sinks
 from ..sources.tables import local_frame, parse_qualified, scan_table
-
-AUDIT_SCHEMA = ("audit_id string, source_system string, source_schema string, source_table string, "
-                "target_table string, ingestion_started_at timestamp_ntz, ingestion_completed_at timestamp_ntz, "
-                "duration_seconds double, rows_processed bigint, status string, error_message string, batch_id string")
-# Audit statuses.
-STATUSES = ("running", "success", "failed", "empty")
-
+from .run_log import AUDIT_SCHEMA, STATUSES, RunLog
 
 def _utcnow() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -57,13 +51,26 @@ class RunAudit:
     batch_id: str
     started: dt.datetime = field(default_factory=_utcnow)
     entries: list = field(default_factory=list)
+    log: RunLog | None = None            # events are stored there as they happen
+    clock: Callable[[], dt.datetime] = _utcnow
 
-    def add(self, spec: TableSpec, started, ended, rows, status, error=None):
+    def _entry(self, spec: TableSpec, started, ended, rows, status, error=None) -> tuple:
         if status not in STATUSES:
             raise ValueError(f"status must be one of {STATUSES}")
-        self.entries.append((f"{self.batch_id}:{spec.source_schema}.{spec.source_table}", self.source_system,
-                             spec.source_schema, spec.source_table, f"{spec.target_schema}.{spec.target()}",
-                             started, ended, (ended - started).total_seconds(), rows, status, error, self.batch_id))
+        return (f"{self.batch_id}:{spec.source_schema}.{spec.source_table}", self.source_system, spec.source_schema, spec.source_table,
+                f"{spec.target_schema}.{spec.target()}", started, ended, (ended - started).total_seconds() if ended else None, rows, status, error, self.batch_id)
+
+    def begin(self, spec: TableSpec) -> dt.datetime:
+        started = self.clock()
+        if self.log:
+            self.log.append([self._entry(spec, started, None, None, "running")], started)
+        return started
+
+    def add(self, spec: TableSpec, started, ended, rows, status, error=None):
+        entry = self._entry(spec, started, ended, rows, status, error)
+        self.entries.append(entry)
+        if self.log:
+            self.log.append([entry], ended)
 
     def total_rows(self) -> int:
         return sum(e[8] or 0 for e in self.entries if e[9] == "success")
@@ -80,18 +87,18 @@ def ingest_table(reader: Callable[[TableSpec], DataFrame], spec: TableSpec, lake
     """Read -> SQL-Server bronze audit columns -> write (replace by default).
     An empty source is recorded as 'empty' with 0 rows; a failure is
     recorded and re-raised."""
-    started = _utcnow()
+    started = audit.begin(spec)
     try:
         df = reader(spec)
         if df.isEmpty():
-            audit.add(spec, started, _utcnow(), 0, "empty")
+            audit.add(spec, started, audit.clock(), 0, "empty")
             return 0
         audited = B.audit_sqlserver(df, spec.source_schema, spec.source_table, load_ts)
         rows = sinks.write_table(audited, f"{lake}/{spec.target_schema}/{spec.target()}", mode)
-        audit.add(spec, started, _utcnow(), rows, "success")
+        audit.add(spec, started, audit.clock(), rows, "success")
         return rows
     except Exception as e:  # noqa: BLE001 - recorded, then re-raised
-        audit.add(spec, started, _utcnow(), None, "failed", str(e))
+        audit.add(spec, started, audit.clock(), None, "failed", str(e))
         raise
 
 
