@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from strata.llm.rows import others, packed, quoted, unpacked
 from strata.llm.texts import text_batches
 
 #: Entries per generation of a worker's cache.
@@ -336,34 +337,37 @@ def round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """Replaces ``ids_col`` by ``text_col``: the decoded text, special tokens included (null ids: empty text)."""
-    keep = [c for c in encoded.columns if c not in (ids_col, text_col)]
-    rows = encoded.select(*keep, F.col(ids_col))
+    keep = others(encoded, ids_col, text_col)
+    rows = encoded.select(packed(keep), F.col(quoted(ids_col)).alias("ids"))
 
     def run(batches):
         e = encoder(path)
         for batch in batches:
-            texts = [e.decode(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in batch.column(len(keep))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*keep, text_col])
+            texts = [e.decode(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
-    schema = rows.drop(ids_col).schema.add(text_col, "string")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, rows.select("row").schema.add("text", "string")).select(*unpacked(keep), F.col("text").alias(text_col))
 
 
 def _mapped(docs, text_col, added, work, path, drop=False) -> DataFrame:
+    """Other columns travel by number, whatever their names; the text once, also if it is kept."""
     from pyspark.sql.pandas.types import from_arrow_type
 
-    keep = [c for c in docs.columns if c not in added and not (drop and c == text_col)]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text"))
+    keep = others(docs, *added, *([text_col] if drop else []))
+    held = text_col in keep
+    text = f"c{keep.index(text_col)}" if held else "t"
+    numbered = [f"c{k}" for k in range(len(keep))]
+    rows = docs.select(*[F.col(quoted(c)).alias(n) for c, n in zip(keep, numbered)], *([] if held else [F.col(quoted(text_col)).alias("t")]))
 
     def run(batches):
         e = encoder(path)
-        for part, texts in text_batches(batches, "__text", BATCH_BYTES):
+        for part, texts in text_batches(batches, text, BATCH_BYTES):
             new = work(e, texts)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[: len(keep)], *(pa.array(v, t) for v, t in zip(new, added.values(), strict=True))],
-                names=[*keep, *added])
-
-    schema = rows.drop("__text").schema
-    for name, kind in added.items():
-        schema = schema.add(name, from_arrow_type(kind))
-    return rows.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *(pa.array(v, t) for v, t in zip(new, added.values(), strict=True))],
+                                             names=[*numbered, *(f"a{k}" for k in range(len(added)))])
+
+    schema = rows.select(*numbered).schema
+    for k, kind in enumerate(added.values()):
+        schema = schema.add(f"a{k}", from_arrow_type(kind))
+    out = rows.mapInArrow(run, schema)
+    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, numbered)], *[F.col(f"a{k}").alias(c) for k, c in enumerate(added)])

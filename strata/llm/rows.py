@@ -23,3 +23,16 @@ def unpacked(names: list[str], alias: str = "row") -> list[Column]:
 def others(df: DataFrame, *but: str) -> list[str]:
     """Columns of ``df`` except those named."""
     return [c for c in df.columns if c not in but]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or the name with underscores behind it, that no column of ``df`` has (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def same(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, to select from a frame that has more."""
+    return [F.col(quoted(c)) for c in df.columns]

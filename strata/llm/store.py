@@ -24,16 +24,21 @@ def file_system(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def put(path: str, data: bytes) -> None:
-    """Writes a file whole under its final name: first beside it, then moved. A repeated or speculative task that writes
-    the same content leaves one whole file."""
+@contextmanager
+def placed(path: str):
+    """An output stream whose file appears under its name only when it is whole: written beside it, then moved. A repeated or speculative
+    task that writes the same content leaves one whole file; what a failed one has written is removed."""
     from pyarrow import fs
 
     store, where = file_system(path)
     store.create_dir(os.path.dirname(where), recursive=True)
     part = f"{where}.{uuid.uuid4().hex}"
-    with store.open_output_stream(part) as out:
-        out.write(data)
+    try:
+        with store.open_output_stream(part) as out:
+            yield out
+    except BaseException:
+        store.delete_file(part)
+        raise
     if store.get_file_info(where).type != fs.FileType.NotFound and not isinstance(store, fs.LocalFileSystem):
         store.delete_file(where)
     store.move(part, where)

@@ -11,6 +11,7 @@ on the input only, so a repeated task writes the same.
 from __future__ import annotations
 
 import zlib
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
@@ -22,39 +23,43 @@ from strata.llm.texts import text_batches
 
 #: UTF-8 bytes of text encoded at a time.
 BATCH_BYTES = 4 << 20
+#: UTF-8 bytes of text that a shard holds at most, about.
+SHARD_BYTES = 512 << 20
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int, shards: int | None = None) -> DataFrame:
     """Encodes every text with the tokenizers library (distinct words once per batch), appends ``end_id`` and writes the
     shards under ``folder``. Documents are in ascending doc_id order, null ids first, rows of the same id by text. A null
     text is empty. Returns the manifest: one row per shard (shard, n_docs, n_ids, wide, start); an empty table gives
-    none. Columns other than doc_id and text are not read."""
+    none. Columns other than doc_id and text are not read. There are as many shards as shuffle partitions, more if the text would make
+    them larger than ``SHARD_BYTES``; a task writes its files as it encodes, a batch at a time."""
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if shards is None:
+        n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // SHARD_BYTES))
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     rows = rows.repartitionByRange(shards, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
 
     def run(batches):
         encoder = bpe.encoder(tokenizer, by_library=True)
         wide = len(encoder.merges.bytes_of) > 1 << 16 or end_id >= 1 << 16
-        ids, sizes, names = [], [0], []
         end = np.array([end_id], "<u4")
-        for part, texts in text_batches(batches, "text", BATCH_BYTES):
-            for x in encoder.encode_batch(texts):
-                own = np.append(np.frombuffer(x, "<u4"), end)
-                ids.append(own.astype("<u4" if wide else "<u2").tobytes())
-                sizes.append(len(own))
-            names.append(part.column(0))
-        if names:
-            shard = TaskContext.get().partitionId()
-            at = f"{folder}/shard-{shard:06d}"
-            store.put(f"{at}.bin", b"".join(ids))
-            store.put(f"{at}.idx", np.cumsum(sizes).astype("<u8").tobytes())
-            table, sink = pa.Table.from_arrays([pa.chunked_array(names)], names=["doc_id"]), pa.BufferOutputStream()
-            with pa.ipc.new_file(sink, table.schema) as out:
-                out.write_table(table)
-            store.put(f"{at}.doc", sink.getvalue().to_pybytes())
-            yield pa.RecordBatch.from_pylist([{"shard": shard, "n_docs": len(sizes) - 1, "n_ids": sum(sizes), "wide": wide}],
+        at = f"{folder}/shard-{TaskContext.get().partitionId():06d}"
+        n_docs = n_ids = 0
+        with ExitStack() as files:
+            for part, texts in text_batches(batches, "text", BATCH_BYTES):
+                if not n_docs:
+                    ids_file, places_file, names_file = (files.enter_context(store.placed(f"{at}.{kind}")) for kind in ("bin", "idx", "doc"))
+                    names = files.enter_context(pa.ipc.new_file(names_file, pa.schema([("doc_id", part.column(0).type)])))
+                    places_file.write(np.zeros(1, "<u8").tobytes())
+                own = [np.append(np.frombuffer(x, "<u4"), end) for x in encoder.encode_batch(texts)]
+                places = n_ids + np.cumsum([len(x) for x in own])
+                ids_file.write(np.concatenate(own).astype("<u4" if wide else "<u2").tobytes())
+                places_file.write(places.astype("<u8").tobytes())
+                names.write_batch(pa.RecordBatch.from_arrays([part.column(0)], names=["doc_id"]))
+                n_docs, n_ids = n_docs + len(own), int(places[-1])
+        if n_docs:
+            yield pa.RecordBatch.from_pylist([{"shard": TaskContext.get().partitionId(), "n_docs": n_docs, "n_ids": n_ids, "wide": wide}],
                                              schema=pa.schema({"shard": pa.int64(), "n_docs": pa.int64(), "n_ids": pa.int64(), "wide": pa.bool_()}))
 
     done = store.kept(rows.mapInArrow(run, "shard long, n_docs long, n_ids long, wide boolean"), "token_manifest")
@@ -62,7 +67,19 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int, shards: int
     return done.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def read(spark: SparkSession, manifest: DataFrame, folder: str, id_type: str = "long") -> DataFrame:
+def id_type(manifest: DataFrame, folder: str) -> str:
+    """The Spark type of the doc_ids, as the files of the first shard tell it."""
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    row = manifest.first()
+    if row is None:
+        return "long"
+    fs, where = store.file_system(f"{folder}/shard-{row.shard:06d}.doc")
+    with fs.open_input_file(where) as source:
+        return from_arrow_type(pa.ipc.open_file(source).schema.field(0).type).simpleString()
+
+
+def read(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
     """Documents of the files, from memory maps: doc_id, start (ids of all documents before it), n_tokens and ids_crc32
     (of the ids as little-endian unsigned 32-bit integers). One task per shard maps its files; no shuffle of ids."""
     count = max(1, manifest.count())
@@ -83,4 +100,4 @@ def read(spark: SparkSession, manifest: DataFrame, folder: str, id_type: str = "
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return (manifest.repartitionByRange(count, "shard")
-            .mapInArrow(run, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(run, f"doc_id {id_type(manifest, folder)}, start long, n_tokens long, ids_crc32 long"))

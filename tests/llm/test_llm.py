@@ -79,7 +79,7 @@ def test_full_caches_change_nothing():
 
 
 def test_round_trip_keeps_other_columns_and_counts_null_as_empty(spark):
-    docs = spark.createDataFrame([(1, None, "x", 5), (1, "a b", "y", 6), (None, "", None, 7)], "doc_id long, text string, n_tokens string, `odd name` int")
+    docs = spark.createDataFrame([(1, None, "x", 5), (1, "a b", "y", 6), (None, "", None, 7)], "doc_id long, text string, n_tokens string, `odd name` int").withColumn("a.b", F.lit(1)).withColumn("t", F.lit(2))
     rows = bpe.round_trip(docs, queries.tokenizer_path()).collect()
     empty = hashlib.sha256(b"").hexdigest()
     assert [(r.doc_id, r["odd name"], r.n_tokens) for r in rows] == [(1, 5, 0), (1, 6, 2), (None, 7, 0)]
@@ -96,15 +96,18 @@ def test_token_files_round_trip(spark):
     folder = scratch_dir(spark, "token_files")
     manifest = token_files.write(docs, queries.tokenizer_path(), folder, end_id=2, shards=5)
     got = token_files.read(spark, manifest, folder).orderBy("start").collect()
-    e = bpe.Encoder(queries.tokenizer_path())
+    library = bpe.Encoder(queries.tokenizer_path()).merges.library
     want = Counter()
     for k, t in texts:
-        ids = e.encode_batch([t or ""])[0] + b"\x02\0\0\0"
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
         want[k, len(ids) // 4, zlib.crc32(ids)] += 1
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
     assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got[:-1])]).tolist()
     ids = [r.doc_id for r in got]
     assert ids[0] is None and ids[1:] == sorted(ids[1:])
+    text_ids = docs.select(F.concat(F.lit("id"), "doc_id").alias("doc_id"), "text")
+    named = token_files.write(text_ids, queries.tokenizer_path(), folder + "-text", end_id=2)
+    assert Counter(r.doc_id for r in token_files.read(spark, named, folder + "-text").collect()) == Counter(r.doc_id for r in text_ids.collect())
     none = token_files.write(docs.limit(0), queries.tokenizer_path(), folder + "-none", end_id=2)
     assert token_files.read(spark, none, folder + "-none").count() == 0
 
@@ -484,19 +487,136 @@ def test_entry_registers_all():
     assert os.path.isabs(queries.tokenizer_path())
 
 
-def test_pipeline_stages(spark):
+def test_pipeline_equals_brute_force(spark):
+    """Every stage on the whole table, and the whole run: fingerprints, removed bytes and tokens by plain loops from what the classifier keeps."""
     docs = queries.documents(spark, SF001)
     assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
-    good = corpus_pipeline.quality(spark, docs, SF001)
-    assert good.columns == docs.columns and 0 < good.count() <= docs.count()
+
+    def representatives(rows):
+        prints = {r.doc_id: brute_fingerprint(r.text) for r in rows}
+        by = {}
+        for i, p in prints.items():
+            by.setdefault(p, []).append(i)
+        pairs = [(a[0], b[0]) for p, a in by.items() for q, b in by.items() if p < q and (p ^ q).bit_count() <= 2]
+        return set(roots(prints, pairs + [(a[0], x) for a in by.values() for x in a[1:]]).values())
+
+    def left(rows):
+        data = [r.text.encode() for r in rows]
+        n = Counter(b[i : i + 400] for b in data for i in range(len(b) - 399))
+        out = {}
+        for r, b in zip(rows, data):
+            hit = bytearray(len(b))
+            for i in range(len(b) - 399):
+                if n[b[i : i + 400]] > 1:
+                    hit[i : i + 400] = b"\x01" * 400
+            out[r.doc_id] = bytes(x for x, y in zip(b, hit) if not y).decode("utf-8", "ignore")
+        return out
+
+    every = docs.collect()
     one = corpus_pipeline.near_duplicates(spark, docs, SF001)
-    prints = {r.doc_id: brute_fingerprint(r.text) for r in docs.collect()}
-    of = roots(prints, [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2])
-    assert sorted(r.doc_id for r in one.collect()) == sorted(set(of.values()))
-    left = corpus_pipeline.repeated_passages(spark, docs, SF001).collect()
-    want = dict(zip([r.doc_id for r in docs.collect()], brute_removal([r.text for r in docs.collect()], 400)))
-    assert all(len(r.text.encode()) <= want[r.doc_id][0] - want[r.doc_id][1] and r.n_chars == len(r.text) for r in left)
+    assert sorted(r.doc_id for r in one.collect()) == sorted(representatives(every))
+    assert {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.repeated_passages(spark, docs, SF001).collect()} == {
+        i: (t, len(t)) for i, t in left(every).items()}
     mixed = corpus_pipeline.source_mix(spark, docs, SF001)
-    assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} == set(prints)
-    final = corpus_pipeline.run(spark, SF001).collect()
-    assert final and {r.doc_id for r in final} <= set(of.values())
+    assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} == {r.doc_id for r in every}
+    good = corpus_pipeline.quality(spark, docs, SF001)
+    rows = good.collect()
+    assert good.columns == docs.columns and 0.5 * len(every) < len(rows) < len(every)
+    stay = representatives(rows)
+    rows = [r for r in rows if r.doc_id in stay]
+    texts = left(rows)
+    third = spark.createDataFrame([(r.doc_id, texts[r.doc_id], r.lang, r.source, len(texts[r.doc_id])) for r in rows], docs.schema)
+    library = bpe.encoder(queries.tokenizer_path()).merges.library
+    want = Counter()
+    for r in corpus_pipeline.source_mix(spark, third, SF001).collect():
+        ids = library.encode(r.text, add_special_tokens=False).ids
+        want[r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()] += 1
+    got = corpus_pipeline.run(spark, SF001)
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in got.collect()) == want
+
+
+def test_pipeline_stages_with_odd_rows(spark):
+    """Null ids, sources and texts, repeated rows and ids, extra columns with names that the stages use, and no rows."""
+    docs = queries.documents(spark, SF001)
+    some = docs.limit(60).collect()
+    odd = [(None, None, None, None, None), (None, "x y z " * 30, "en", None, 180), (None, "x y z " * 30, "en", None, 180), (7, "", "en", "web", 0),
+           (some[0].doc_id, some[0].text, "xx", "other", 1), (some[1].doc_id, "another text of one id " * 20, "en", "web", 9)]
+    rows = [tuple(r) for r in some] + [tuple(some[2])] * 3 + odd
+    extra = {"score": 1, "id": 2, "h": 3, "rows": 4, "s": 5, "t": 6, "row": 7, "a.b": 8, "__p": 9, "epoch": 10, "spans": 11}
+    frame = spark.createDataFrame(rows, docs.schema).withColumns({k: F.lit(v) for k, v in extra.items() if k != "a.b"}).withColumn("a.b", F.lit(8))
+    n = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, frame, SF001)
+        assert out.columns == frame.columns
+        found = out.collect()
+        assert all(r[k] == v for r in found for k, v in extra.items() if k != "epoch")
+        n[name] = found
+        assert stage(spark, frame.limit(0), SF001).count() == 0
+    near = n["simhash near-dedup"]
+    assert len([r for r in near if r.doc_id == some[2].doc_id]) <= 1 and len([r for r in near if r.doc_id is None and r.text]) == 1
+    assert len(n["suffix-array dedup"]) == len(rows) and len(n["source mix"]) >= len(rows)
+    tokens = corpus_pipeline.tokens(spark, frame, SF001)
+    assert tokens.count() == len(rows) and corpus_pipeline.tokens(spark, frame.limit(0), SF001).count() == 0
+
+
+def plain_features(text: bytes, s):
+    """(group, bucket) of a text's features, one after the other."""
+    full = (1 << 64) - 1
+
+    def mix(x):
+        for _ in range(2):
+            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & full
+        return x ^ x >> 32
+
+    words, out = re.findall(rb"[^\x20\x09-\x0D]+", text), []
+    from strata.llm import rolling
+    hashes = [mix((sum(int(rolling.TABLE[b]) * pow(rolling.BASE, k, 1 << 64) for k, b in enumerate(w)) + len(w) * 0xC2B2AE3D27D4EB4F) & full) for w in words]
+    out += [(0, h >> 64 - s.buckets_log2) for h in hashes]
+    out += [(0, mix(1 if a == b else (b + 3 * a) & full) >> 64 - s.buckets_log2) for a, b in zip(hashes, hashes[1:])]
+    for w in words:
+        line = b" " + w + b" "
+        for n in s.grams:
+            for k in range(len(line) - n + 1):
+                h = line[k]
+                for b in line[k + 1 : k + n]:
+                    h = (h * 0x01000193 & 0xFFFFFFFF) ^ b
+                h = (h ^ (n * 0x9E3779B1 & 0xFFFFFFFF)) * 0x85EBCA6B & 0xFFFFFFFF
+                h = (h ^ h >> 15) * 0xC2B2AE35 & 0xFFFFFFFF
+                out.append((1, h >> 32 - s.buckets_log2))
+    return out
+
+
+def test_scores_equal_a_plain_loop(spark, monkeypatch):
+    rng = random.Random(3)
+    s = classifier.Settings()
+    shares = np.random.default_rng(1).normal(size=1 << s.buckets_log2).astype(np.float32)
+    bits = ["a", "bc", " ", "\n", "é", "日本", "the", "  ", "x" * 40]
+    texts = [None, "", " ", "a", "a a"] + ["".join(rng.choice(bits) for _ in range(rng.randint(1, 60))) for _ in range(80)] + ["word é " * 300, "y" * 900 + " z"]
+    want = {}
+    for k, t in enumerate(texts):
+        found = plain_features((t or "").encode(), s)
+        means = [[shares[b] for g, b in found if g == group] for group in (0, 1)]
+        want[k] = 1 / (1 + np.exp(-(0.5 * sum(np.mean(np.array(m, np.float64)) if m else 0.0 for m in means) + 0.25)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("a.b", F.lit(1)).withColumn("t", F.lit(2)).withColumn("c0", F.lit(3))
+    for piece in (classifier.PIECE_BYTES, 100):   # long texts are cut at words
+        monkeypatch.setattr(classifier, "PIECE_BYTES", piece)
+        got = {r.doc_id: r.score for r in classifier.score(docs, (shares, 0.25)).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+        flat = "word é ".encode() * 300
+        whole = classifier.logits(np.frombuffer(flat, np.uint8), np.array([0, len(flat)]), shares, s, piece)
+        assert abs(1 / (1 + np.exp(-(whole[0] + 0.25))) - want[85]) < 1e-9
+
+
+def test_weights_equal_a_plain_loop():
+    s = classifier.Settings()
+    texts = [b"", b"a", "é word word".encode(), b"one two  three"]
+    bucket, doc, weight = classifier.weighted(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]), s)
+    got = Counter()
+    for b, d, w in zip(bucket.tolist(), doc.tolist(), weight.tolist()):
+        got[d, b] += w
+    want = Counter()
+    for d, t in enumerate(texts):
+        found = plain_features(t, s)
+        for g, b in found:
+            want[d, b] += 0.5 / sum(x == g for x, _ in found)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
