@@ -47,7 +47,7 @@ FOREIGN_KEYS = (
     ForeignKey("lineitem", ("l_suppkey",), "supplier", ("s_suppkey",)),
 )
 
-# The ten customer fields of the bronze/silver customer flow, in source order.
+# The ten customer fields of the bronze/silver customer flow, in source order.
 CUSTOMER_FIELDS = (
     "customer_id", "store_id", "first_name", "last_name", "email",
     "address_id", "activebool", "create_date", "last_update", "active",

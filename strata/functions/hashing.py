@@ -37,17 +37,13 @@ def md5_record_hash(cols) -> Column:
 
 
 def uuid_from_md5(*parts) -> Column:
-    """Deterministic UUID-shaped key: md5 of the '|'-joined parts.
+    """Deterministic UUID-shaped key: md5 of the parts, each behind its length, NULL as a mark of its own, so that different parts never
+    give one text.
 
     Unlike uuid(), a retried task or a second action produces the same key,
     so the two sinks of one validation pass always agree.
     """
-    texts = [F.coalesce((p if isinstance(p, Column) else F.lit(p)).cast("string"), F.lit(""))
-             for p in parts]
-    h = F.md5(F.concat_ws("|", *texts))
+    texts = [(p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts]
+    h = F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
-
-
-def non_audit_columns(df: DataFrame, audit_prefixes=("br_", "_bronze_", "sl_")) -> list[str]:
-    return [c for c in df.columns if not c.startswith(tuple(audit_prefixes))]

@@ -153,10 +153,10 @@ _CACHE: dict = {}
 
 def _memo(name: str, build):
     """Rule Columns are unresolved expressions, reusable by every DataFrame
-    of the same SparkContext; building them costs one JVM call per function,
-    so each rule set is built once per context."""
+    of the same application; building them costs one JVM call per function,
+    so each rule set is built once per application."""
     from pyspark import SparkContext
-    key = (name, id(SparkContext._active_spark_context))
+    key = (name, SparkContext._active_spark_context.applicationId)
     if key not in _CACHE:
         _CACHE[key] = build()
     return list(_CACHE[key])

@@ -14,6 +14,7 @@ from ..functions.rules import first_failure
 
 ERR = "_err"
 
+# The bronze columns that the silver customer is made of.
 SILVER_CUSTOMER_SOURCE = (
     "br_customer_key", "customer_id", "store_id", "first_name", "last_name", "email",
     "address_id", "activebool", "create_date", "last_update", "active",

@@ -33,7 +33,8 @@ def q(s: str) -> str:
 
 
 def uuid_sql(*parts: str) -> str:
-    inner = "concat_ws('|', " + ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts) + ")"
+    # each part behind its length, NULL as a mark of its own
+    inner = "concat_ws('|', " + ", ".join(f"coalesce(length(CAST({p} AS VARCHAR)) || ':' || CAST({p} AS VARCHAR), '-')" for p in parts) + ")"
     h = f"md5({inner})"
     return (f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
             f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12))")
@@ -318,7 +319,7 @@ FROM s""",
 WITH s AS (SELECT {stringify_sql('lineitem', LINEITEM_COLS)} FROM lineitem)
 SELECT l_orderkey, l_linenumber, {sha_sorted(LINEITEM_COLS)} AS record_hash FROM s""",
     "record_hash_md5": f"SELECT p_partkey, {md5_join(PART_COLS)} AS record_hash FROM part",
-    "surrogate_key": f"SELECT c_custkey, {uuid_sql(chr(39) + 'customer' + chr(39), BATCH, 'c_custkey')} AS surrogate_key FROM customer",
+    "surrogate_key": f"SELECT c_custkey, {uuid_sql(chr(39) + 'customer' + chr(39), BATCH, 'c_custkey', md5_join(CUSTOMER_COLS))} AS surrogate_key FROM customer",
     "bronze_typed_conform": """
 WITH s AS (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
                   CAST(o_orderstatus AS VARCHAR) AS o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice,

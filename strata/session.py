@@ -46,7 +46,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-_LOCAL_ROOT: dict[int, str] = {}
+_LOCAL_ROOT: dict[str, str] = {}
 
 
 def workspace_root(spark: SparkSession) -> str:
@@ -67,7 +67,7 @@ def workspace_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...): layer tables, "
                                "stream checkpoints and state versions must survive executor loss")
-        key = id(spark.sparkContext)
+        key = spark.sparkContext.applicationId
         if key not in _LOCAL_ROOT:
             _LOCAL_ROOT[key] = tempfile.mkdtemp(prefix="strata-ws-")
             spark.sparkContext.setCheckpointDir(os.path.join(_LOCAL_ROOT[key], "rdd"))
@@ -80,15 +80,21 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{workspace_root(spark)}/{purpose}/{uuid.uuid4().hex}"
 
 
+#: The most scan and shuffle tasks of one stage: their product is the number of shuffle blocks.
+MOST_SCAN_TASKS, MOST_SHUFFLE_PARTITIONS = 200_000, 50_000
+
+
 def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
-    """Sizing for a cluster run: scan splits of ~128 MB, and enough shuffle
-    partitions that each holds about one split's worth (AQE coalesces the
-    small ones and splits skewed ones at run time)."""
-    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    """Sizing for a cluster run: scan splits of ~128 MB, larger ones where they would be more than ``MOST_SCAN_TASKS``, and as many shuffle partitions
+    as splits up to ``MOST_SHUFFLE_PARTITIONS`` (AQE coalesces the small ones and splits skewed ones at run time; a large one spills). Streaming
+    state is kept in RocksDB, outside the heap."""
+    split = max(target_partition_bytes, -(-input_bytes // MOST_SCAN_TASKS))
+    shuffle = min(MOST_SHUFFLE_PARTITIONS, max(2 * total_cores, -(-input_bytes // split)))
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }

@@ -7,8 +7,9 @@ the JDBC SELECT.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def local_frame(spark: SparkSession, rows, schema) -> DataFrame:
@@ -35,10 +36,10 @@ _SCHEMAS: dict = {}
 
 def scan_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Whole table by name. Source tables are read-only inputs, so their
-    schema is inferred once per SparkContext and then passed explicitly,
+    schema is inferred once per application and then passed explicitly,
     which skips the footer read on every later scan."""
     path = table_path(sf_dir, name)
-    key = (id(spark.sparkContext), path)
+    key = (spark.sparkContext.applicationId, path)
     schema = _SCHEMAS.get(key)
     if schema is None:
         df = spark.read.parquet(path)
@@ -85,6 +86,38 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, *, query:
     return df.select(*columns) if columns else df
 
 
+def key_ranges(df: DataFrame, key: str, n: int, accuracy: int = 10000, written: str | None = None) -> list[str]:
+    """At most ``n`` conditions on ``key`` that split the rows into ranges of about equal size, however the values are spread: bounds are quantiles,
+    from one aggregate that combines before its shuffle. Rows without a key have a condition of their own if there are any. A single value
+    is never split, so one that holds more than its share makes fewer, unequal ranges. Values are written as SQL literals, so the conditions work in
+    any source that searches by key: a database's predicates (``written``: the key as its SQL spells it), or filters pushed into a scan."""
+    t = df.schema[key].dataType
+    if not isinstance(t, (T.IntegralType, T.DecimalType, T.DateType)):
+        raise ValueError(f"{key}: ranges need whole numbers, decimals or days")
+    got = df.agg(F.percentile_approx(key, [k / n for k in range(1, n)], accuracy).cast("array<string>").alias("q") if n > 1 else F.array().cast("array<string>").alias("q"),
+                 F.min(key).cast("string").alias("least"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
+    bounds = list(dict.fromkeys(b for b in got.q or () if b != got.least))
+    literal = (lambda v: f"DATE '{v}'") if isinstance(t, T.DateType) else str
+    edges, k = [None, *map(literal, bounds), None], written or key
+    out = [" AND ".join(x for x in (lo and f"{k} >= {lo}", hi and f"{k} < {hi}") if x) or f"{k} IS NOT NULL" for lo, hi in zip(edges, edges[1:])]
+    return out + ([f"{k} IS NULL"] if got.nulls else [])
+
+
+def scan_ranges(df: DataFrame, key: str, n: int, columns) -> DataFrame:
+    """A projected read of a table as ``n`` reads of ranges of its key, each with its condition pushed into its scan. For stored tables that are sorted by
+    the key or have an index on it: each range reads its own part only."""
+    parts = [df.filter(condition).select(*columns) for condition in key_ranges(df, key, n)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_jdbc_ranges(spark: SparkSession, url: str, table: str, key: str, n: int, *, columns=None, fetch_size: int = 10000, properties: dict | None = None) -> DataFrame:
+    """A database table read by ``n`` queries side by side, over ranges of ``key`` with about as many rows each. The quantiles cost one more read of the
+    key column."""
+    keys = read_jdbc(spark, url, query=f"SELECT {key} FROM {table}", fetch_size=fetch_size, properties=properties)
+    df = spark.read.jdbc(url, table, predicates=key_ranges(keys, keys.columns[0], n, written=key), properties={"fetchsize": str(fetch_size), **(properties or {})})
+    return df.select(*columns) if columns else df
+
+
 def parse_qualified(name: str, default_schema: str = "dbo") -> tuple[str, str]:
     """'schema.table' -> (schema, table); a bare name gets the default schema."""
     if "." in name:

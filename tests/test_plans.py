@@ -96,7 +96,8 @@ def test_recommended_conf_scales_with_input():
     small = recommended_conf(10 << 20, 8)
     big = recommended_conf(100 << 40, 8000)
     assert small["spark.sql.shuffle.partitions"] == "16"
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert recommended_conf(1 << 40, 1000)["spark.sql.shuffle.partitions"] == str((1 << 40) // (128 << 20))
+    assert big["spark.sql.shuffle.partitions"] == "50000"   # one per split would be 800,000, of as many maps
 
 
 def test_local_frame_is_a_sized_local_relation(spark):
