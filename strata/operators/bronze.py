@@ -6,6 +6,9 @@ whole-stage-codegen stage.
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..contracts import TypedContract
@@ -134,3 +137,30 @@ def apply_overrides(df: DataFrame, overrides: dict | None = None, exclude=()) ->
 def target_name(pattern: str, **parts) -> str:
     """Bronze target naming, e.g. '{schema}_{table}' or 'br_{table}'."""
     return pattern.format(**parts)
+
+
+@dataclass(frozen=True)
+class Target:
+    """Where a naming pattern puts a table: the layer's folder, the table's name, and whether every load day is a partition of it."""
+    layer: str
+    table: str
+    by_date: bool
+
+    def path(self, lake: str) -> str:
+        return f"{lake}/{self.layer}/{self.table}"
+
+
+def resolve_target(pattern: str, schema: str, table: str, env: str | None = None) -> Target:
+    """'bronze_{env}.{schema}_{table}_{date}' and the like: what stands before the first dot names the layer ('bronze' without a dot), ``{env}`` the
+    environment, and ``{date}`` stands for a partition column instead of a part of the name, so that all days are one table. A pattern with ``{env}`` needs an
+    environment; names may hold letters, digits and underscores only."""
+    if "{env}" in pattern and not env:
+        raise ValueError("the pattern names an environment, but there is none")
+    layer, name = pattern.split(".", 1) if "." in pattern else ("bronze", pattern)
+    if "{date}" in layer:
+        raise ValueError("a day cannot name a layer")
+    bare = re.sub(r"_?\{date\}", "", name) if not name.startswith("{date}") else re.sub(r"^\{date\}_?", "", name)
+    out = Target(target_name(layer, env=env), target_name(bare, schema=schema, table=table, env=env), "{date}" in name)
+    if not all(re.fullmatch(r"\w+", x) for x in (out.layer, out.table)):
+        raise ValueError(f"no name for a folder: {out.layer}.{out.table}")
+    return out

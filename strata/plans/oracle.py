@@ -776,6 +776,7 @@ def _logged(run: int, place: int, name: str, status: str, error: str = "FALSE")
 
 ORACLE["run_log"] = " UNION ALL ".join([_logged(1, 0, "customer", "success"), _logged(1, 1, "orders", "broken_off"),
                                         *[_logged(2, k, t, "success") for k, t in enumerate(_NAMES)], _logged(2, 3, "nowhere", "failed", "TRUE")])
+ORACLE["target_by_date"] = "SELECT *, DATE '2024-01-02' AS load_date, 'bronze_prod' AS layer FROM orders"
 ORACLE["stream_bronze"] = with_customer("SELECT * FROM bronze")
 ORACLE["stream_cdc_apply"] = S2
 ORACLE["stream_cdc_faults"] = f"""

@@ -152,6 +152,21 @@ def bronze_typed_conform(spark, sf_dir):
     return B.conform_typed(orders, C.ORDERS_TYPED)
 
 
+TARGET_PATTERN = "bronze_{env}.{schema}_{table}_{date}"
+LOAD_DAYS = ("2024-01-01", "2024-01-02")
+
+
+@query("target_by_date")
+def target_by_date(spark, sf_dir):
+    # two days in two environments, the second day twice; read back: one environment, the second day
+    lake, orders = scratch_dir(spark, "targets"), table(spark, sf_dir, "orders")
+    for env in ("dev", "prod"):
+        target = B.resolve_target(TARGET_PATTERN, "dbo", "orders", env)
+        for day in (*LOAD_DAYS, LOAD_DAYS[1]):
+            sinks.write_target(orders.filter(F.col("o_orderstatus") != "P") if env == "dev" else orders, lake, target, day)
+    return sinks.read_target(spark, lake, target, since=LOAD_DAYS[1]).withColumn("layer", F.lit(target.layer))
+
+
 COLUMN_OVERRIDES = {"o_totalprice": "CAST(o_totalprice AS DECIMAL(12,2))",
                     "o_orderdate": "CAST(o_orderdate AS DATE)"}
 

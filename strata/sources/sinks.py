@@ -51,6 +51,28 @@ def write_table(df: DataFrame, path: str, if_exists: str = "append", partition_b
     return int(obs.get.get("rows", 0))
 
 
+#: Partition column of tables whose naming pattern holds a day.
+LOAD_DATE = "load_date"
+
+
+def write_target(df: DataFrame, lake: str, target, load_date: str | None = None) -> int:
+    """Writes a load to its ``operators.bronze.Target``: a dated one replaces that day's partition, another one the table. Returns rows written."""
+    if target.by_date != (load_date is not None):
+        raise ValueError("a load day goes with a dated target, and with no other")
+    if target.by_date:
+        return write_batch(df, target.path(lake), LOAD_DATE, load_date)
+    return write_table(df, target.path(lake), "replace")
+
+
+def read_target(spark, lake: str, target, since: str | None = None, until: str | None = None) -> DataFrame:
+    """The table of a target; of a dated one the days from ``since`` to ``until``, by partition pruning: other days' files are not listed as input."""
+    df = spark.read.parquet(target.path(lake))
+    for bound, test in ((since, ">="), (until, "<=")):
+        if bound is not None:
+            df = df.filter(f"{LOAD_DATE} {test} DATE '{bound}'")
+    return df
+
+
 def ensure_schema(spark, schema: str, location: str | None = None) -> None:
     """CREATE SCHEMA IF NOT EXISTS for catalog-backed sinks (optionally at
     an explicit storage location instead of the warehouse default)."""
