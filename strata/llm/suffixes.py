@@ -193,25 +193,34 @@ def spans(once: DataFrame, length: int = 400, gram: int | None = None, group_seg
     gram = gram or max(1, length // GRAM_PART)
 
     def cut(batches):
-        names = ["k1", "k2", "again", "begin", "windows", "anchor", "gram", "whole"]
+        """One row per different segment of a piece, with all places where the piece has it: near copies that lie together are a row each segment."""
         for part, flat, offsets in byte_batches(batches, "t", PIECE_BYTES):
             for first, base, some, cuts in text_parts(flat, offsets, length, PIECE_BYTES):
                 got = segments(some, cuts, length, gram)
                 if got is None:
                     continue
                 row, begin, windows, anchor, g, whole = got
-                rows = pa.array(row + first)
+                order = np.lexsort((whole, g))
+                g, whole, row, begin = g[order], whole[order], row[order] + first, begin[order] + base
+                new = np.concatenate(([True], (g[1:] != g[:-1]) | (whole[1:] != whole[:-1])))
+                cuts_at = np.append(np.flatnonzero(new), len(g))
+                again = part.column(2).take(pa.array(row))
+                n = np.add.reduceat(1 + again.to_numpy(zero_copy_only=False).astype(np.int64), cuts_at[:-1])
+                places = pa.StructArray.from_arrays([part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(begin, pa.int32()), again],
+                                                    names=["k1", "k2", "begin", "again"])
+                one = order[cuts_at[:-1]]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k).take(rows) for k in range(3)), pa.array(begin + base, pa.int32()), pa.array(windows, pa.int32()),
-                     pa.array(anchor, pa.int32()), pa.array(g.view(np.int64)), pa.array(whole.view(np.int64))], names=names)
+                    [pa.array(g[new].view(np.int64)), pa.array(whole[new].view(np.int64)), pa.array(n), pa.array(windows[one], pa.int32()),
+                     pa.array(anchor[one], pa.int32()), pa.ListArray.from_arrays(pa.array(cuts_at, pa.int32()), places)],
+                    names=["gram", "whole", "n", "windows", "anchor", "places"])
 
     every = kept(once.select("k1", "k2", "again", "t").mapInArrow(
-        cut, "k1 long, k2 long, again boolean, begin int, windows int, anchor int, gram long, whole long"), "suffix_segments")
+        cut, "gram long, whole long, n long, windows int, anchor int, places array<struct<k1:long,k2:long,begin:int,again:boolean>>"), "suffix_segments")
     # one row per different segment, then what its group holds; a segment of a text with copies occurs more than once. The sides of joins on
     # ``gram`` are stored tables, so the joins are of plain shuffles, which adaptive execution splits where a gram is hot
-    times = F.sum(F.when(F.col("again"), 2).otherwise(1))
-    grams = kept(every.groupBy("gram").agg(times.alias("n")).where("n > 1").select("gram"), "suffix_grams")
-    one = every.groupBy("gram", "whole").agg(times.alias("times"), F.min(F.struct("k1", "k2", "begin", "windows", "anchor")).alias("at"))
+    grams = kept(every.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "suffix_grams")
+    place = F.struct(F.col("places")[0]["k1"].alias("k1"), F.col("places")[0]["k2"].alias("k2"), F.col("places")[0]["begin"].alias("begin"), "windows", "anchor")
+    one = every.groupBy("gram", "whole").agg(F.sum("n").alias("times"), F.min(place).alias("at"))
     one = kept(one.join(grams, "gram"), "suffix_classes")
     sizes = kept(one.groupBy("gram").agg(F.count("*").alias("different")), "suffix_sizes")
     whole = one.join(sizes.where("different = 1"), "gram").where("times > 1").select(
@@ -232,7 +241,9 @@ def spans(once: DataFrame, length: int = 400, gram: int | None = None, group_seg
     parts = kept(once.join(wanted, ["k1", "k2"]).select("t", "wanted").mapInArrow(fetch, PARTS_DDL), "suffix_parts")
     runs = kept(whole.union(repeats(parts, length, group_segments, PIECE_WINDOWS)), "suffix_runs")
     moved = F.transform("runs", lambda r: F.struct((F.col("begin") + r["from"]).alias("begin"), (F.col("begin") + r["to"] + (length - 1)).alias("end")))
-    mine = every.where(~F.col("again")).select("k1", "k2", "begin", "gram", "whole").join(runs, ["gram", "whole"])
+    # the runs go to a piece's places together, then to each text
+    mine = every.select("gram", "whole", F.filter("places", lambda x: ~x["again"]).alias("places")).where(F.size("places") > 0)
+    mine = mine.join(runs, ["gram", "whole"]).select("runs", F.explode("places").alias("at")).select("at.k1", "at.k2", "at.begin", "runs")
     return mine.groupBy("k1", "k2").agg(F.flatten(F.collect_list(moved)).alias("spans"))  # at most a text's segments
 
 
