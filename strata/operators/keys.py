@@ -4,9 +4,10 @@
 it). What arrives per value is the set of columns that hold it, as bits. A column is included in all columns that are in the set of each of
 its values: the bitwise *and* over its values. So all pairs of columns are compared by two aggregates, and no two tables are joined.
 
-**Keys.** The same values tell which single columns are unique. Wider keys are looked for level by level, pairs in every table, more columns in tables
-that have no key by then: a combination is tried if no part of it is a key, if its columns have values enough, and if a sketch of its distinct count
-does not rule it out; all that are tried on a level are counted in one shuffle.
+**Keys.** Looked for level by level: single columns and pairs in every table, more columns in tables that have no key by then. One pass a table counts
+rows and values and sketches the distinct values of each column. A combination is tried if no part of it is a key, none of its columns holds a NULL, and its
+columns have values enough by their sketches. In a large table the values of a slice (chosen by hash, all rows are read) are counted first: one that
+comes twice proves that the combination is no key, so few others are left, and of these every value of every row is counted.
 
 Columns of numbers with fractions, arrays, maps and structures are no keys and left out. Values are compared within a class of types (whole numbers, texts, days,
 times, truth values), as 128-bit hashes.
@@ -24,8 +25,12 @@ from .quality import union_all
 
 #: Columns per word of bits.
 WORD = 63
-#: A combination is ruled out if a sketch (2 % standard error) sees less than this share of the rows as distinct.
+#: A column is taken to have up to its sketched number of values (2 % standard error) divided by this share.
 LEAST_SHARE, SKETCH_ERROR = 0.9, 0.02
+#: In tables of so many rows one of ``SLICES`` slices of the values is counted before all are.
+SLICED_ROWS, SLICES = 1 << 20, 64
+#: Combinations hashed in one pass over a table: compiled code of more would be too long for the JVM to optimise.
+TOGETHER = 4
 CLASSES = ((T.IntegralType, "whole"), (T.StringType, "text"), (T.DateType, "day"), (T.TimestampNTZType, "time"), (T.TimestampType, "time"), (T.BooleanType, "truth"))
 INCLUSION_DDL = ("child_table string, child_column string, parent_table string, parent_column string, child_values bigint, parent_values bigint, "
                  "parent_unique boolean")
@@ -95,39 +100,49 @@ def keys(frames: dict, folder: str, max_columns: int = 3) -> DataFrame:
     spark = next(iter(frames.values())).sparkSession
     if not columns:
         return local_frame(spark, [], KEY_DDL)
-    stored = {r.col: r for r in _stored(profile(frames, columns), folder, "columns").collect()}   # one row per column
-    sizes = {r.t: r.n for r in union_all([df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("t"), "n") for t, df in frames.items()]).collect()}
-    n_values = {(t, c): stored[k].n_values for k, (t, c, _) in enumerate(columns) if k in stored}
-    whole = [(t, c) for k, (t, c, _) in enumerate(columns) if k in stored and stored[k].most == 1 and stored[k].n_values == sizes[t]]
-    found = [(t, (c,)) for t, c in whole]
-    for size in range(2, max_columns + 1):
-        open_tables = [t for t in frames if sizes[t] and (size == 2 or t not in {k for k, _ in found})]
+    sizes, n_values = _sketched(frames, columns)
+    found: list = []
+    for size in range(1, max_columns + 1):
+        open_tables = [t for t in frames if sizes.get(t) and (size < 3 or t not in {k for k, _ in found})]
         tried = [(t, some) for t in open_tables for some in combinations([c for x, c, _ in columns if x == t and (x, c) in n_values], size)
                  if not any(t == k and set(key) <= set(some) for k, key in found)
-                 and reduce(lambda a, b: a * b, [n_values[t, c] for c in some]) >= sizes[t]]
-        found += _unique(frames, tried, sizes, folder, size)
+                 and reduce(lambda a, b: a * b, [n_values[t, c] / LEAST_SHARE for c in some]) >= sizes[t]]
+        large = [x for x in tried if sizes[x[0]] >= SLICED_ROWS]
+        repeated = _repeated(frames, large, folder, f"slices_{size}", SLICES)
+        left = [x for x in tried if x not in repeated]
+        repeated = _repeated(frames, left, folder, f"combinations_{size}")
+        found += [x for x in left if x not in repeated]
     return local_frame(spark, sorted((t, ",".join(c), len(c)) for t, c in found), KEY_DDL)
 
 
-def _unique(frames: dict, tried, sizes: dict, folder: str, level: int) -> list:
-    """Those of the combinations that are keys. Sketches (one aggregate a table) leave few of them, which one shuffle of (combination, value) decides."""
-    likely = []
-    for t in {t for t, _ in tried}:
-        mine = [some for x, some in tried if x == t]
-        got = frames[t].agg(*[F.approx_count_distinct(F.xxhash64(*[F.col(f"`{c}`") for c in some]), SKETCH_ERROR).alias(f"n{k}") for k, some in enumerate(mine)]).first()
-        likely += [(t, some) for k, some in enumerate(mine) if got[f"n{k}"] >= LEAST_SHARE * sizes[t]]
-    if not likely:
-        return []
+def _sketched(frames: dict, columns) -> tuple[dict, dict]:
+    """Rows by table, and the sketched number of different values by (table, column) for columns without NULL; one aggregate a table."""
+    names = {t: [c for x, c, _ in columns if x == t] for t in frames}
+    parts = [df.agg(F.count(F.lit(1)).alias("n"), F.array(*[F.count(F.col(f"`{c}`")) for c in names[t]]).alias("filled"),
+                    F.array(*[F.approx_count_distinct(F.col(f"`{c}`"), SKETCH_ERROR) for c in names[t]]).alias("values"))
+             .select(F.lit(t).alias("t"), "n", "filled", "values") for t, df in frames.items() if names[t]]
+    rows = union_all(parts).collect()   # one row per table
+    return {r.t: r.n for r in rows}, {(r.t, c): v for r in rows for c, filled, v in zip(names[r.t], r.filled, r["values"]) if filled == r.n}
+
+
+def _cells(df: DataFrame, tried: list, slices: int) -> DataFrame:
+    """(k, h1, h2) per row and combination (k, columns) whose value is in the slice, of columns without NULL."""
+    if slices == 1:
+        return union_all([df.select(F.lit(k).alias("k"), *hashed([F.col(f"`{c}`") for c in some])) for k, some in tried])
     parts = []
-    for t in {t for t, _ in likely}:
+    for at in range(0, len(tried), TOGETHER):
         cells = []
-        for k, (x, some) in enumerate(likely):
-            if x == t:
-                values = [F.col(f"`{c}`") for c in some]
-                null = reduce(lambda a, b: a | b, [v.isNull() for v in values])
-                cells.append(F.struct(F.lit(k).alias("k"), null.alias("null"), *hashed(values)))
-        parts.append(frames[t].select(F.explode(F.array(*cells)).alias("x")).select("x.*"))
-    cells = reduce(DataFrame.unionByName, parts)
-    worst = cells.groupBy("k", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("null").alias("null")).groupBy("k").agg(
-        F.max("n").alias("n"), F.max("null").alias("null"))
-    return [likely[r.k] for r in _stored(worst, folder, f"combinations_{level}").collect() if r.n == 1 and not r.null]   # one row per combination
+        for k, some in tried[at : at + TOGETHER]:
+            h1, h2 = hashed([F.col(f"`{c}`") for c in some])
+            cells.append(F.when(F.pmod(h1, F.lit(slices)) == 0, F.struct(F.lit(k).alias("k"), h1, h2)))
+        parts.append(df.select(F.explode(F.array(*cells)).alias("x")).where("x IS NOT NULL").select("x.*"))
+    return union_all(parts)
+
+
+def _repeated(frames: dict, tried: list, folder: str, name: str, slices: int = 1) -> list:
+    """Those of the combinations (table, columns) that have a value twice, among the values of one of ``slices`` slices; one shuffle of (combination, value)."""
+    if not tried:
+        return []
+    cells = union_all([_cells(frames[t], [(k, some) for k, (x, some) in enumerate(tried) if x == t], slices) for t in dict.fromkeys(t for t, _ in tried)])
+    twice = cells.groupBy("k", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.max("n").alias("n")).where("n > 1")
+    return [tried[r.k] for r in _stored(twice, folder, name).collect()]   # at most one row per combination

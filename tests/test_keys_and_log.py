@@ -50,6 +50,31 @@ def test_declared_keys_and_relationships_are_found(spark):
     assert {(f.child, f.child_cols[0], f.parent, f.parent_cols[0]) for f in FOREIGN_KEYS} <= found
 
 
+def test_few_combinations_are_counted_in_every_row(spark, monkeypatch):
+    """Values that come twice in a slice rule most combinations out, without sketches of combinations and without the values of all other columns."""
+    rows = [(k, k // 2 * 3, k % 7, k // 700, str(k % 11)) for k in range(7000)]
+    t = spark.createDataFrame(rows, "a int, b int, c int, d int, e string")
+    tables = {"t": t, "u": t.drop("a").union(t.drop("a").limit(1)), "n": t.selectExpr("IF(a = 5, NULL, a) AS a", "c", "d")}
+    expected = {tuple(r) for r in K.keys(tables, scratch_dir(spark, "profile")).collect()}
+    # 2k and 2k + 1 of one value of b differ in c, and in d, or not; a row of u comes twice
+    assert expected == {("t", "a", 1), *(("t", f"b,{c}", 2) for c in ("c", "e"))}
+    monkeypatch.setattr(K, "SLICED_ROWS", 1)
+    monkeypatch.setattr(K, "profile", None)
+    counted = []
+    repeated = K._repeated
+
+    def watched(frames, tried, folder, name, slices=1):
+        if slices == 1:
+            counted.extend((t, ",".join(c)) for t, c in tried)
+        return repeated(frames, tried, folder, name, slices)
+
+    monkeypatch.setattr(K, "_repeated", watched)
+    assert {tuple(r) for r in K.keys(tables, scratch_dir(spark, "profile")).collect()} == expected
+    assert {x for x in counted if x[0] == "t"} == {(t, c) for t, c, _ in expected} and len(counted) < 10
+    some = K._cells(t, [(k, (c,)) for k, c in enumerate("abcde")], 64)
+    assert 0 < some.count() < 7000 * 5 / 16 and some.selectExpr("max(pmod(h1, 64))").first()[0] == 0
+
+
 def test_more_columns_than_bits_of_a_word(spark):
     wide = spark.range(5).selectExpr(*[f"id + {k} AS c{k}" for k in range(70)])
     got = {(r.child_column, r.parent_column) for r in K.inclusions({"t": wide, "u": wide.selectExpr("c69 AS last")}, scratch_dir(spark, "profile")).collect()}
