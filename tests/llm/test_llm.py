@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -294,6 +295,36 @@ def test_copies_of_a_row_are_fetched_once(spark, monkeypatch):
     assert Counter((r.n_bytes, r.n_removed) for r in got) == Counter(w[:2] for w in want)
 
 
+def test_spans_come_from_pieces_not_from_segments(spark):
+    """Near copies with a hundred repeated segments each: what follows the runs has a row per text and piece, not one per text and segment."""
+    rng = random.Random(3)
+    common = "".join(rng.choice("abcdefgh") for _ in range(1500))
+    texts = [common + f"<{k}>" + common[::-1] for k in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k1 long, t string").selectExpr("k1", "k1 * 7 AS k2", "k1 < 0 AS again", "t")
+    found = suffixes.spans(docs, length=20, gram=8)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "gather" in plan
+    n = Counter(t[i : i + 20] for t in texts for i in range(len(t) - 19))
+    want = {k: {x for i in range(len(t) - 19) if n[t[i : i + 20]] > 1 for x in range(i, i + 20)} for k, t in enumerate(texts)}
+    assert {r.k1: {x for s in r.spans for x in range(s.begin, s.end)} for r in found.collect()} == want
+
+
+def test_piece_spans_equal_plain_union():
+    rng = random.Random(4)
+    found = [{"places": [{"k1": rng.randrange(-2, 2), "k2": rng.randrange(2), "begin": rng.randrange(300), "again": False} for _ in range(rng.randint(1, 4))],
+              "runs": [{"from": a, "to": a + rng.randint(1, 9)} for a in sorted(rng.sample(range(40), rng.randint(1, 3)))]} for _ in range(25)]
+    place, run = pa.struct([("k1", pa.int64()), ("k2", pa.int64()), ("begin", pa.int32()), ("again", pa.bool_())]), pa.struct([("from", pa.int32()), ("to", pa.int32())])
+    array = pa.array([[], found], pa.list_(pa.struct([("places", pa.list_(place)), ("runs", pa.list_(run))])))
+    want = {}
+    for f in found:
+        for at in f["places"]:
+            for r in f["runs"]:
+                want.setdefault((at["k1"], at["k2"]), set()).update(range(at["begin"] + r["from"], at["begin"] + r["to"] + 5))
+    got = suffixes.piece_spans(array[1].values, 6).to_pylist()
+    assert {(r["k1"], r["k2"]): {x for s in r["spans"] for x in range(s["begin"], s["end"])} for r in got} == want and len(got) == len(want)
+    assert all(a["end"] < b["begin"] for r in got for a, b in zip(r["spans"], r["spans"][1:]))
+
+
 @pytest.mark.parametrize("most_sent", [0, 200_000])
 def test_long_texts_in_parts_and_copies_by_shuffle(spark, monkeypatch, most_sent):
     """Texts far longer than a piece, with repeats in themselves and each other, across the borders of parts; copies of them."""
